@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding for merge-type vocabularies.
 
-Encoding is our own: a score-ordered agenda (heap) of adjacent symbol pairs, merged best score first, leftmost on ties.
+Encoding is our own: a score-ordered agenda of adjacent symbol pairs, merged best score first, leftmost on ties; short
+words go through it in lockstep as arrays, long ones one by one through a heap.
 No piece of the vocabulary spans a word boundary or a line feed (checked when the model is loaded; other vocabularies
 are encoded text by text), so a text is encoded word by word and each distinct word once per worker. Every word that
 enters the word cache is checked against the sentencepiece library, in the same Arrow batch; a difference is an error.
@@ -17,6 +18,7 @@ import heapq
 import re
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +27,117 @@ from pyspark.sql import functions as F
 from .common import arrow_map
 
 #: Distinct words kept by a worker; the cache starts anew when it is full.
-CACHE_WORDS = 300_000
-MARK = "▁"
+CACHE_WORDS = 500_000
+#: Words that are learnt at once, about.
+STEP_WORDS = 200_000
+#: Longer words go to the heap one by one.
+LONG = 48
+MARK, TAILS, NONE = "▁", (".", ","), np.iinfo(np.int64).max
+
+
+class Agenda:
+    """Score-ordered agenda of adjacent symbol pairs for many short words at once.
+
+    All words stand in one array of symbols. Each step takes, in every word, the pair of best score (leftmost on ties),
+    merges it, and scores only the two pairs beside it anew. Pairs are looked up in an open-addressing hash table.
+    """
+
+    def __init__(self, pairs: list[tuple[int, int, int, int]]):
+        """pairs: left, right, rank (best first), made."""
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.rank, self.made = np.full(1 << self.bits, NONE, np.int64), np.zeros(1 << self.bits, np.int64)
+        keys = np.array([left << 32 | right for left, right, _, _ in pairs], np.int64)
+        for key, at, (_, _, rank, made) in zip(keys.tolist(), self._slot(keys).tolist(), pairs, strict=True):
+            while self.keys[at] != -1:
+                at = (at + 1) & ((1 << self.bits) - 1)
+            self.keys[at], self.rank[at], self.made[at] = key, rank, made
+
+    @classmethod
+    def of_pieces(cls, ids: dict[str, int], scores: dict[str, float]) -> "Agenda":
+        """Every way to make a piece of two symbols; ``of_char`` gives a character's symbol: a piece, or base + its code
+        point."""
+        base, symbols = max(ids.values()) + 1 if ids else 0, dict(ids)
+        for piece in ids:
+            for c in piece:
+                symbols.setdefault(c, base + ord(c))
+        order = {s: k for k, s in enumerate(sorted(set(scores.values()), reverse=True))}
+        out = cls([(symbols[p[:k]], symbols[p[k:]], order[scores[p]], i) for p, i in ids.items() for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols])
+        out.base, out.of_char = base, np.arange(base, base + 0x110000, dtype=np.int64)
+        for c, k in symbols.items():
+            if len(c) == 1:
+                out.of_char[ord(c)] = k
+        return out
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Table places of pairs; an empty place (of rank NONE) where there is none."""
+        keys = left << 32 | right
+        at = self._slot(keys)
+        open_ = np.flatnonzero((self.keys[at] != keys) & (self.keys[at] != -1))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            now = self.keys[at[open_]]
+            open_ = open_[(now != keys[open_]) & (now != -1)]
+        return at
+
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Symbol ids of words; a character without a piece is base + its code point."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        flat, ends = self.run(self.of_char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)], size)
+        flat, out, a = flat.tolist(), [], 0
+        for b in ends.tolist():
+            out.append(flat[a:b])
+            a = b
+        return out
+
+    def run(self, sym: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merge the symbols of words of these sizes: all symbols that are left, and where each word's end."""
+        word = np.repeat(np.arange(len(size)), size)
+        done_s, done_w = [], []
+        last = np.ones(len(sym), bool)
+        last[:-1] = word[1:] != word[:-1]
+        at = np.zeros(len(sym), np.int64)
+        rank = np.full(len(sym), NONE, np.int64)
+        pair = np.flatnonzero(~last)
+        at[pair] = self._find(sym[pair], sym[pair + 1])
+        rank[pair] = self.rank[at[pair]]
+        while len(sym):
+            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            best = np.minimum.reduceat(rank, first)
+            count = np.diff(np.append(first, len(sym)))
+            over = np.repeat(best == NONE, count)
+            if over.any():
+                done_s.append(sym[over])
+                done_w.append(word[over])
+                live = ~over
+                sym, word, at, rank = sym[live], word[live], at[live], rank[live]
+                if not len(sym):
+                    break
+                best, count = best[best != NONE], count[best != NONE]
+            hit = np.flatnonzero(rank == np.repeat(best, count))
+            hit = hit[np.concatenate(([True], word[hit[1:]] != word[hit[:-1]]))]
+            sym[hit] = self.made[at[hit]]
+            stay = np.ones(len(sym), bool)
+            stay[hit + 1] = False
+            hit = hit - np.arange(len(hit))  # places after the merged neighbours are gone
+            sym, word, at, rank = sym[stay], word[stay], at[stay], rank[stay]
+            same = np.ones(len(sym), bool)
+            same[:-1] = word[1:] == word[:-1]
+            same[-1] = False
+            left = hit[(hit > 0)] - 1
+            left = left[same[left]]
+            rank[hit] = NONE
+            redo = np.concatenate([left, hit[same[hit]]])
+            at[redo] = self._find(sym[redo], sym[redo + 1])
+            rank[redo] = self.rank[at[redo]]
+        if done_s:
+            sym, word = np.concatenate(done_s), np.concatenate(done_w)
+            order = np.argsort(word, kind="stable")
+            sym, word = sym[order], word[order]
+        return sym, np.cumsum(np.bincount(word, minlength=len(size)))
 
 
 class AgendaEncoder:
@@ -41,12 +152,13 @@ class AgendaEncoder:
         self.bytes = {int(lib.id_to_piece(i)[3:5], 16): i for i in range(n) if lib.is_byte(i)}
         self.unk = lib.unk_id()
         self.by_word = not any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids)
-        self.cache: dict[str, list[int]] = {}
+        #: Adjacent characters of pieces: no merge joins any others.
+        self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.agenda = Agenda.of_pieces(self.ids, self.scores)
+        self.cache: dict[str, tuple[list[int], str]] = {}
 
     def merge(self, text: str) -> list[int]:
-        """Ids of a normalised text (spaces as marks)."""
-        if text in self.ids and len(text) == 1:
-            return [self.ids[text]]
+        """Symbol ids of one long normalised text (spaces as marks), by a heap."""
         sym, scores = list(text), self.scores
         n = len(sym)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -73,16 +185,21 @@ class AgendaEncoder:
                 s = scores.get(sym[h] + sym[i])
                 if s is not None:
                     heapq.heappush(agenda, (-s, h, i, len(sym[h]) + len(sym[i])))
+        return [self.ids[p] if p in self.ids else self.agenda.base + ord(p) for p in sym if p]
+
+    def spelled(self, symbols: list[int]) -> list[int]:
+        """Characters without a piece as their bytes, or as unknown."""
+        base = self.agenda.base
+        if not symbols or max(symbols) < base:
+            return symbols
         out: list[int] = []
-        for piece in sym:
-            if piece:
-                at = self.ids.get(piece)
-                if at is not None:
-                    out.append(at)
-                elif self.bytes:
-                    out += [self.bytes[b] for b in piece.encode()]
-                elif not out or out[-1] != self.unk:
-                    out.append(self.unk)
+        for s in symbols:
+            if s < base:
+                out.append(s)
+            elif self.bytes:
+                out += [self.bytes[b] for b in chr(s - base).encode()]
+            elif not out or out[-1] != self.unk:
+                out.append(self.unk)
         return out
 
     def words(self, text: str) -> list[str]:
@@ -100,28 +217,49 @@ class AgendaEncoder:
 
     def learn(self, words: set[str]) -> None:
         """Encode new words by the agenda and check them against the library."""
-        todo = [w for w in words if w not in self.cache]
+        todo = words.difference(self.cache)
         if len(self.cache) + len(todo) > CACHE_WORDS:
             self.cache.clear()
-            todo = list(words)
-        # the library puts a mark before each text: the one that the word stands for, or one to take off again
-        plain = self.lib.encode([w.replace(MARK, " ") for w in todo], num_threads=1)
-        lone = self.ids.get(MARK)
-        for w, theirs in zip(todo, plain, strict=True):
-            if w[:1] == "\n" and self.by_word:
-                ours, theirs = self.merge(w), theirs[1:] if theirs[:1] == [lone] else theirs
-            else:
-                ours = self.merge((MARK + w).replace(" ", MARK))
-                theirs = theirs or [lone]  # an empty text gets no mark from the library
-            if ours != theirs:
-                raise ValueError(f"agenda and library differ on {w!r}: {ours} {theirs}")
-            self.cache[w] = ours
+            todo = words
+        if not todo:
+            return
+        # a full stop or comma that no piece joins to the letter before it is encoded apart
+        tails = {w for w in todo if w[-1:] in TAILS and w[-2:-1].isalpha() and w[-2:] not in self.joined} if self.by_word else set()
+        todo = [*(todo - tails), *{w[:-1] for w in tails}.difference(todo, self.cache)]
+        plain = [w if w[:1] == "\n" and self.by_word else (MARK + w).replace(" ", MARK) for w in todo]
+        short = [k for k, w in enumerate(plain) if len(w) <= LONG]
+        found = dict(zip(short, self.agenda.encode([plain[k] for k in short]), strict=True))
+        ours = [self.spelled(found[k] if k in found else self.merge(w)) for k, w in enumerate(plain)]
+        # one text of all new words; the library puts a mark before it
+        lone = plain[0][:1] == "\n"
+        theirs = self.lib.encode("".join(plain)[0 if lone else 1 :])
+        if list(chain.from_iterable(ours)) != (theirs[1:] if lone else theirs) and self.by_word:
+            raise ValueError("agenda and library differ")
+        if not self.by_word and any(o != self.lib.encode(w) for o, w in zip(ours, todo, strict=True)):
+            raise ValueError("agenda and library differ")
+        for w, o in zip(todo, ours, strict=True):
+            self.cache[w] = o, ",".join(map(str, o))
+        for w in tails:
+            a, s = self.cache[w[:-1]]
+            t = self.ids[w[-1]] if w[-1] in self.ids else self.bytes[ord(w[-1])]
+            self.cache[w] = [*a, t], f"{s},{t}"
+
+    def parts(self, texts: list[str]) -> list[list[tuple[list[int], str]]]:
+        """For each text its words' (ids, decimal ids)."""
+        cut = [self.words(t) for t in texts]
+        out, size = [], 0
+        for k in range(len(cut)):
+            size += len(cut[k])
+            if size > STEP_WORDS or k == len(cut) - 1:
+                now = cut[len(out) : k + 1]
+                self.learn(set(chain.from_iterable(now)))
+                get = self.cache.__getitem__
+                out += [list(map(get, p)) for p in now]
+                size = 0
+        return out
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        parts = [self.words(t) for t in texts]
-        self.learn(set(chain.from_iterable(parts)))
-        get = self.cache.__getitem__
-        return [list(chain.from_iterable(map(get, p))) for p in parts]
+        return [list(chain.from_iterable(x for x, _ in p)) for p in self.parts(texts)]
 
 
 _encoders: dict[str, AgendaEncoder] = {}
@@ -153,9 +291,10 @@ def digests(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_co
         enc = encoder(model_path)
         n, a, b = [], [], []
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        for ids in enc.encode_batch(texts):
+        for words in enc.parts(texts):
+            ids = list(chain.from_iterable([x for x, _ in words]))
             n.append(len(ids))
-            a.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+            a.append(hashlib.sha256(",".join([x for _, x in words]).encode()).hexdigest())
             b.append(hashlib.sha256(enc.lib.decode(ids).encode()).hexdigest())
         return pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], schema=fields)
 

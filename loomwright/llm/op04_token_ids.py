@@ -17,21 +17,25 @@ import os
 import zlib
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import BATCH_ROWS, arrow_map, scratch
+from .op02_sentencepiece import Agenda
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+#: Words that are learnt at once, about.
+STEP_WORDS = 200_000
+TAILS = (".", ",")
 ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
-#: Bytes of input texts in a range partition, about.
-PARTITION_BYTES = 16 << 20
 
 
 class WordTokenizer:
-    """Ids by word, as little-endian unsigned 32-bit integers."""
+    """Ids by word, as little-endian unsigned 32-bit integers. Words of letters below U+0300 (which NFC leaves alone)
+    are merged here, many at once; all other words go to the library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,21 +43,74 @@ class WordTokenizer:
 
         self.lib = Tokenizer.from_file(path)
         spec = json.loads(self.lib.to_str())
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         pre = json.dumps(spec["pre_tokenizer"])
-        self.by_word = '"behavior": "Removed"' in pre and r"[^\\s\\p{L}\\p{N}]+" in pre and not any(c.isspace() for t in spec["added_tokens"] for c in t["content"])
+        self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and '"behavior": "Removed"' in pre and r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in pre and not any(c.isspace() for t in spec["added_tokens"] for c in t["content"])
         self.cache: dict[str, bytes] = {}
-
-    def packed(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").replace("\t", " ").split(" ") if self.by_word else [t] for t in texts]
-        new = set(chain.from_iterable(words)).difference(self.cache)
+        model = spec["model"]
+        self.merges = self.by_word and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>" and not model["ignore_merges"]
+        if self.merges:
+            ids = model["vocab"]
+            pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+            self.agenda = Agenda([(ids[a], ids[b], k, ids[a + b]) for k, (a, b) in enumerate(pairs)])
+            shown = byte_characters()
+            self.inner, self.final = (np.array([ids.get(c + end, -1) for c in shown], np.int64) for end in ("", "</w>"))
+
+    def learn(self, words: set[str]) -> None:
+        new = words.difference(self.cache)
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
-            new = set(chain.from_iterable(words))
-        todo = list(new)
-        for w, e in zip(todo, self.lib.encode_batch_fast(todo, add_special_tokens=False), strict=True):
+            new = words
+        cores: dict[str, list[tuple[str, str]]] = {}
+        rest = []
+        for w in new:
+            core, tail = (w[:-1], w[-1]) if w[-1:] in TAILS else (w, "")
+            low = core.lower()
+            if self.merges and core.isalpha() and max(core) < "\u0300" and low.isalpha() and max(low) < "\u0300":
+                cores.setdefault(low, []).append((w, tail))
+            else:
+                rest.append(w)
+        for w, e in zip(rest, self.lib.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.cache[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        get = self.cache.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        if not cores:
+            return
+        raw = [c.encode() for c in cores]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        flat = np.frombuffer(b"".join(raw), np.uint8)
+        sym = self.inner[flat]
+        ends = np.cumsum(size) - 1
+        sym[ends] = self.final[flat[ends]]
+        sym, ends = self.agenda.run(sym, size)
+        packed, a = sym.astype("<u4").tobytes(), 0
+        tails = {t: b"".join(i.to_bytes(4, "little") for i in self.lib.encode(t, add_special_tokens=False).ids) for t in ("", *TAILS)}
+        for b, forms in zip((ends * 4).tolist(), cores.values(), strict=True):
+            own = packed[a:b]
+            a = b
+            for w, t in forms:
+                self.cache[w] = own + tails[t] if t else own
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        words = [t.replace("\n", " ").replace("\t", " ").split(" ") if self.by_word else [t] for t in texts]
+        out, size = [], 0
+        for k in range(len(words)):
+            size += len(words[k])
+            if size > STEP_WORDS or k == len(words) - 1:
+                now = words[len(out) : k + 1]
+                self.learn(set(chain.from_iterable(now)))
+                get = self.cache.__getitem__
+                out += [b"".join(map(get, w)) for w in now]
+                size = 0
+        return out
+
+
+def byte_characters() -> list[str]:
+    """The characters that byte-level vocabularies show bytes as: printable Latin-1 as itself, the others from U+0100."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    out, extra = [], 0
+    for b in range(256):
+        out.append(chr(b) if b in plain else chr(0x100 + extra))
+        extra += b not in plain
+    return out
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -90,7 +147,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, out: str, *, end_id: int = 1
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    n = partitions or max(8, docs.select(F.col(id_col)).rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = partitions or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = d.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     w = d.mapInArrow(run, "doc_id long, part int, pos long, ids array<int>").write
     for k, v in ORC_OPTIONS.items():
