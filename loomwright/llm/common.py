@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows in an Arrow batch; whole texts can be long, so batches are short.
 BATCH_ROWS = 512
@@ -36,7 +37,7 @@ def written(df: DataFrame, fmt: str = "parquet", **options: str) -> DataFrame:
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with one output batch per input batch of at most BATCH_ROWS rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,12 +1,18 @@
 """The queries and SQL that __spark_entry__ adds when this folder is there."""
 
 from .op02_sentencepiece import op2_sentencepiece
+from .op03_minhash import op3_minhash
 from .op04_token_ids import op4_token_ids
+from .op07_language import op7_language
+from .op08_secrets import op8_secrets
 from .op09_decontaminate import OP9_SQL, op9_decontaminate
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_minhash": op3_minhash,
     "op4_token_ids": op4_token_ids,
+    "op7_language": op7_language,
+    "op8_secrets": op8_secrets,
     "op9_decontaminate": op9_decontaminate,
 }
 ORACLE_SQL = {"op9_decontaminate": OP9_SQL}
