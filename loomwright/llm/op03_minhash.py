@@ -1,10 +1,10 @@
 """MinHash near-dedup with b-bit signatures.
 
 A document's set is its distinct ``size``-word shingles (a shorter text: its whole word sequence as one). Each document
-gets ``BANDS * ROWS`` minima of multiply hashes. Bands of ROWS minima give bucket keys; of every minimum the low 2 bits
-are kept and packed, and the collision-corrected similarity of a candidate pair is estimated by counting equal bit
-pairs. Pairs whose estimate is not more than SIGMAS standard deviations below the threshold are confirmed on the full
-shingle sets. With the threshold at 0.85, 32 bands of 6 miss a link with a chance under 3e-7; at 0.8 under 6e-5.
+gets K minima of multiply hashes. Bands of a few minima give bucket keys; of every minimum the low 2 bits are kept and
+packed, and the collision-corrected similarity of a candidate pair is estimated by counting equal bit pairs. Pairs whose
+estimate is not more than SIGMAS standard deviations below the threshold are confirmed on the full shingle sets. Bands
+are as wide as leaves a link at the threshold a chance under MISS to be missed: 32 of 6 at 0.85, 38 of 5 at 0.8.
 
 Buckets are not expanded into all pairs. Documents of equal word sequences are one class. In each bucket all classes are
 compared with one centre first; links found that way settle nearly all. Two more rounds compare, in buckets that
@@ -28,8 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, components, written
 
-ROWS, BANDS, SIGMAS = 6, 32, 6.0
-K = ROWS * BANDS
+K, SIGMAS, MISS = 192, 6.0, 1e-6
 CACHE_WORDS = 400_000
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(0, 2**32, K, dtype=np.uint32) | np.uint32(1)
@@ -89,19 +88,28 @@ def _pack(m: np.ndarray) -> np.ndarray:
     return (bits << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
-def _bands(m: np.ndarray) -> np.ndarray:
-    b = m.reshape(len(m), BANDS, ROWS).astype(np.uint64)
-    x = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX[8], (len(m), BANDS)).copy()
-    for k in range(ROWS):
+def band_rows(percent: int) -> int:
+    """Minima in a band: the most with which a link at the threshold is missed by a chance under MISS."""
+    s = percent / 100
+    return next((r for r in range(8, 1, -1) if (1 - s**r) ** (K // r) < MISS), 1)
+
+
+def _bands(m: np.ndarray, rows: int) -> np.ndarray:
+    n = K // rows
+    b = m[:, : n * rows].reshape(len(m), n, rows).astype(np.uint64)
+    x = np.broadcast_to(np.arange(1, n + 1, dtype=np.uint64) * _MIX[8], (len(m), n)).copy()
+    for k in range(rows):
         x = (x ^ b[:, :, k]) * _MIX[9 + k % 6]
         x ^= x >> np.uint64(31)
     return x.view(np.int64)
 
 
-def signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n_shingles, print, bits, bands); the last three null for empty sets."""
     fields = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("bits", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
 
+    width = band_rows(percent)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, prints, full, mins = [], [], [], []
         for t in batch.column(1):
@@ -116,10 +124,10 @@ def signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFr
             prints.append(hashlib.blake2b(b" ".join(w), digest_size=16).digest())
             full.append(True)
             mins.append(minima(x))
-        bits, bands = np.zeros((0, K // 32), np.int64), np.zeros((0, BANDS), np.int64)
+        bits, bands = np.zeros((0, K // 32), np.int64), np.zeros((0, K // width), np.int64)
         if mins:
             m = np.stack(mins)
-            bits, bands = _pack(m), _bands(m)
+            bits, bands = _pack(m), _bands(m, width)
         at, off, gaps = 0, [0], []
         for f in full:
             at += f
@@ -127,8 +135,8 @@ def signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFr
             gaps.append(not f)
 
         def lists(a: np.ndarray) -> pa.Array:
-            width = a.shape[1]
-            return pa.ListArray.from_arrays(pa.array([o * width for o in off], pa.int32()), pa.array(np.ascontiguousarray(a).reshape(-1), pa.int64()), mask=pa.array(gaps, pa.bool_()))
+            n_own = a.shape[1]
+            return pa.ListArray.from_arrays(pa.array([o * n_own for o in off], pa.int32()), pa.array(np.ascontiguousarray(a).reshape(-1), pa.int64()), mask=pa.array(gaps, pa.bool_()))
 
         return pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), lists(bits), lists(bands)], schema=fields)
 
@@ -171,7 +179,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
-    sig = written(signatures(docs, size, id_col, text_col))
+    sig = written(signatures(docs, size, percent, id_col, text_col))
     sets = sig.where("print is not null and id is not null")
     classes = sets.groupBy("print").agg(F.min("id").alias("rep"))
     one = sets.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
@@ -225,5 +233,14 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     return out.select(F.col("id").alias(id_col), "n_shingles", cid.alias("component_id"), F.coalesce(F.col("id") == cid, F.lit(True)).alias("kept"))
 
 
+def keep_first(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, of one document of each component: the one of the smallest id. Rows that repeat
+    an id are one document; rows without an id stay."""
+    found = near_duplicates(docs, size=size, percent=percent, id_col=id_col, text_col=text_col)
+    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone"))
+    named = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col("_gone"), "left_anti").dropDuplicates([id_col])
+    return named.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=3, percent=85)
