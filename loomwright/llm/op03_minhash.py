@@ -1,16 +1,17 @@
 """MinHash near-dedup with b-bit signatures.
 
 A document's set is its distinct ``size``-word shingles (a shorter text: its whole word sequence as one). Each document
-gets K minima of multiply hashes. Bands of a few minima give bucket keys; of every minimum the low 2 bits are kept and
-packed, and the collision-corrected similarity of a candidate pair is estimated by counting equal bit pairs. Pairs whose
-estimate is not more than SIGMAS standard deviations below the threshold are confirmed on the full shingle sets. Bands
-are as wide as leaves a link at the threshold a chance under MISS to be missed: 32 of 6 at 0.85, 38 of 5 at 0.8.
-
-Buckets are not expanded into all pairs. Documents of equal word sequences are one class. In each bucket all classes are
-compared with one centre first; links found that way settle nearly all. Two more rounds compare, in buckets that
-still hold several components, with other centres; what then remains of pairs across components in one bucket is
-compared without exception, so a link between different components is never skipped. Components come from the confirmed
-links.
+gets K minima of multiply hashes. Bands of a few minima give bucket keys; they are as wide as leaves a link at the
+threshold a chance under MISS to be missed: 32 of 6 at 0.85, 38 of 5 at 0.8. Documents that share a bucket with another
+get SIGNED minima, of which the low 2 bits are kept and packed, and the collision-corrected similarity of a candidate
+pair is estimated by counting equal bit pairs. Pairs whose estimate is not more than SIGMAS standard deviations below the
+threshold are confirmed on the full shingle sets.
+
+Buckets are not expanded into all pairs. Documents of equal word sequences are one class. Each class is first compared
+with the least id that shares a bucket with it; links found that way settle nearly all. CENTRES more rounds compare, in
+buckets that still hold several components, each class with one other centre outside its component; what then remains of
+pairs across components in one bucket is compared without exception, so a link between different components is never
+skipped. Components come from the confirmed links.
 
 Defined results: no words or null text: an empty set, linked with nothing. Repeated rows come back as often as they came;
 rows that share an id are one node. A null id is its own component (null) and is kept. Other columns are not read.
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, components, written
 
-K, SIGMAS, MISS = 192, 6.0, 1e-6
+K, SIGNED, SIGMAS, MISS = 192, 1024, 5.0, 1e-6
+#: Rounds with other centres before the exhaustive one.
+CENTRES = 3
 CACHE_WORDS = 400_000
 _rng = np.random.default_rng(20240607)
-_MULT = _rng.integers(0, 2**32, K, dtype=np.uint32) | np.uint32(1)
-_ADD = _rng.integers(0, 2**32, K, dtype=np.uint32)
+_MULT = _rng.integers(0, 2**32, SIGNED, dtype=np.uint32) | np.uint32(1)
+_ADD = _rng.integers(0, 2**32, SIGNED, dtype=np.uint32)
 _MIX = _rng.integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -73,18 +76,19 @@ def exact_set(text: str | None, size: int) -> set:
     return set(zip(*(w[k:] for k in range(size)), strict=False))
 
 
-def minima(x: np.ndarray) -> np.ndarray:
-    """K minima over the hashes, in blocks so that a very long text needs little memory."""
+def minima(x: np.ndarray, n: int) -> np.ndarray:
+    """The first n minima over the hashes, in blocks so that a very long text needs little memory."""
     x32 = (x >> np.uint64(32)).astype(np.uint32)
-    out = np.full(K, 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(x32), 2048):
-        np.minimum(out, (_MULT[:, None] * x32[None, k : k + 2048] + _ADD[:, None]).min(axis=1), out=out)
+    out = np.full(n, 0xFFFFFFFF, np.uint32)
+    step = max(256, (1 << 18) // n)
+    for k in range(0, len(x32), step):
+        np.minimum(out, (_MULT[:n, None] * x32[None, k : k + step] + _ADD[:n, None]).min(axis=1), out=out)
     return out
 
 
 def _pack(m: np.ndarray) -> np.ndarray:
     """Two low bits of the mixed minima, 32 to a long."""
-    bits = (((m * np.uint32(0x9E3779B1)) >> np.uint32(15)) & np.uint32(3)).astype(np.uint64).reshape(len(m), K // 32, 32)
+    bits = (((m * np.uint32(0x9E3779B1)) >> np.uint32(15)) & np.uint32(3)).astype(np.uint64).reshape(len(m), m.shape[1] // 32, 32)
     return (bits << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
@@ -104,56 +108,54 @@ def _bands(m: np.ndarray, rows: int) -> np.ndarray:
     return x.view(np.int64)
 
 
-def signatures(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, print, bits, bands); the last three null for empty sets."""
-    fields = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("bits", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
+def _lists(a: np.ndarray, full: list[bool]) -> pa.Array:
+    """Rows of a as lists, null where ``full`` is not."""
+    off = np.concatenate(([0], np.cumsum(full))) * a.shape[1]
+    return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.ascontiguousarray(a).reshape(-1), pa.int64()), mask=pa.array([not f for f in full], pa.bool_()))
+
 
-    width = band_rows(percent)
+def banded(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, n_shingles, print, bands) of ``docs(id, text)``; the last two null for empty sets."""
+    fields = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    rows = band_rows(percent)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, prints, full, mins = [], [], [], []
+        n, prints, mins = [], [], []
         for t in batch.column(1):
             w = word_list(t.as_py())
-            if not w:
-                n.append(0)
-                prints.append(None)
-                full.append(False)
-                continue
-            x = shingle_hashes(w, size)
+            x = shingle_hashes(w, size) if w else ()
             n.append(len(x))
-            prints.append(hashlib.blake2b(b" ".join(w), digest_size=16).digest())
-            full.append(True)
-            mins.append(minima(x))
-        bits, bands = np.zeros((0, K // 32), np.int64), np.zeros((0, K // width), np.int64)
-        if mins:
-            m = np.stack(mins)
-            bits, bands = _pack(m), _bands(m, width)
-        at, off, gaps = 0, [0], []
-        for f in full:
-            at += f
-            off.append(at)
-            gaps.append(not f)
+            prints.append(hashlib.blake2b(b" ".join(w), digest_size=16).digest() if w else None)
+            if w:
+                mins.append(minima(x, K))
+        bands = _bands(np.stack(mins), rows) if mins else np.zeros((0, K // rows), np.int64)
+        return pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), _lists(bands, [p is not None for p in prints])], schema=fields)
 
-        def lists(a: np.ndarray) -> pa.Array:
-            n_own = a.shape[1]
-            return pa.ListArray.from_arrays(pa.array([o * n_own for o in off], pa.int32()), pa.array(np.ascontiguousarray(a).reshape(-1), pa.int64()), mask=pa.array(gaps, pa.bool_()))
+    return arrow_map(docs, run, "id long, n_shingles long, print binary, bands array<long>")
 
-        return pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), lists(bits), lists(bands)], schema=fields)
 
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return arrow_map(d, run, "id long, n_shingles long, print binary, bits array<long>, bands array<long>")
+def signed(texts: DataFrame, size: int) -> DataFrame:
+    """(id, n_shingles, bits) of ``texts(id, text)``, none of them empty."""
+    fields = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("bits", pa.list_(pa.int64()))])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_hashes(word_list(t.as_py()), size) for t in batch.column(1)]
+        bits = _pack(np.stack([minima(x, SIGNED) for x in sets]))
+        return pa.record_batch([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), _lists(bits, [True] * len(sets))], schema=fields)
+
+    return arrow_map(texts, run, "id long, n_shingles long, bits array<long>")
 
 
 def estimate(a: str, b: str) -> Column:
     """Similarity from equal 2-bit pairs, corrected for the quarter that agree by chance."""
     half = 0x5555555555555555
-    unequal = " + ".join(f"bit_count((({a}[{k}] ^ {b}[{k}]) | shiftrightunsigned({a}[{k}] ^ {b}[{k}], 1)) & {half}L)" for k in range(K // 32))
-    return (F.lit(1.0) - F.expr(f"({unequal})") / F.lit(float(K)) - F.lit(0.25)) / F.lit(0.75)
+    unequal = " + ".join(f"bit_count((({a}[{k}] ^ {b}[{k}]) | shiftrightunsigned({a}[{k}] ^ {b}[{k}], 1)) & {half}L)" for k in range(SIGNED // 32))
+    return (F.lit(1.0) - F.expr(f"({unequal})") / F.lit(float(SIGNED)) - F.lit(0.25)) / F.lit(0.75)
 
 
 def slack(threshold: float) -> float:
     p = threshold + (1 - threshold) / 4
-    return threshold - SIGMAS * (p * (1 - p) / K) ** 0.5 / 0.75
+    return threshold - SIGMAS * (p * (1 - p) / SIGNED) ** 0.5 / 0.75
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -179,7 +181,8 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
-    sig = written(signatures(docs, size, percent, id_col, text_col))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sig = written(banded(docs, size, percent))
     sets = sig.where("print is not null and id is not null")
     classes = sets.groupBy("print").agg(F.min("id").alias("rep"))
     one = sets.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
@@ -187,10 +190,9 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     shared = cells.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
     # buckets with several classes only: a small part of all
     cells = written(cells.join(shared.select("key", "first"), "key"))
-    mark = one.join(cells.select("id").distinct(), "id", "left_semi").select("id", "n_shingles", "bits")
-    mark = written(mark)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(mark.select("id"), "id", "left_semi")
-    texts = written(texts.dropDuplicates(["id"]))
+    some = cells.select("id").distinct()
+    texts = written(docs.join(some, "id", "left_semi").dropDuplicates(["id"]))
+    mark = written(signed(texts, size))
     low = slack(percent / 100)
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -200,32 +202,32 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
         ok = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (estimate("sa", "sb") >= low)
         return pairs.join(a, "a").join(b, "b").where(ok).select("a", "b")
 
-    tried = likely(cells.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
-    tried = written(tried)
-    links = written(_confirm(tried, texts, size, percent).distinct())
-    comp = components(links)
-    for step in range(3):
-        named = cells.join(comp, cells["id"] == comp["node"], "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-        open_keys = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by("id", F.xxhash64("id", F.lit(step))).alias("mid"), F.min_by("c", F.xxhash64("id", F.lit(step))).alias("mid_c")).where("lo < hi")
-        left = named.join(open_keys.select("key", "mid", "mid_c"), "key")
-        if step < 2:
-            pairs = left.where("c <> mid_c").select(F.greatest("id", "mid").alias("a"), F.least("id", "mid").alias("b")).distinct()
+    tried = written(likely(cells.groupBy("id").agg(F.min("first").alias("b")).where("id <> b").select(F.col("id").alias("a"), "b")))
+    comp = components(_confirm(tried, texts, size, percent))
+    for step in range(CENTRES + 1):
+        at = cells.join(comp, cells["id"] == comp["node"], "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        order = F.xxhash64("id", F.lit(step))
+        mid = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("id", "c"), order).alias("mid")).where("lo < hi").select("key", "mid")
+        left = written(at.join(mid, "key"))
+        if left.isEmpty():
+            break
+        if step < CENTRES:  # each document with one centre outside its component
+            one_each = left.where("c <> mid.c").groupBy("id").agg(F.min_by("mid.id", F.xxhash64("mid.id", F.lit(step))).alias("m"))
+            pairs = one_each.select(F.greatest("id", "m").alias("a"), F.least("id", "m").alias("b")).distinct()
             pairs = likely(pairs.join(tried, ["a", "b"], "left_anti"))
         else:  # whatever is left across components, without exception
-            rest = left.select("key", "id", "c").join(mark, "id")
-            x = rest.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n_shingles").alias("nb"), F.col("bits").alias("sb"))
-            y = rest.select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n_shingles").alias("na"), F.col("bits").alias("sa"))
-            ok = (F.col("ca") != F.col("cb")) & (F.col("b") < F.col("a")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (estimate("sa", "sb") >= low)
-            pairs = x.join(y, "key").where(ok).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+            own = left.groupBy("id").agg(F.collect_list("key").alias("keys"))  # no more than there are bands
+            rest = left.select("key", "id", "c").join(mark, "id").join(own, "id")
+            x = rest.select("key", *[F.col(n).alias(f"{n}_b") for n in ("id", "c", "n_shingles", "bits", "keys")])
+            y = rest.select("key", *[F.col(n).alias(f"{n}_a") for n in ("id", "c", "n_shingles", "bits", "keys")])
+            near = (F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * percent) & (estimate("bits_a", "bits_b") >= low)
+            # each pair in the first bucket that it shares
+            met = x.join(y, (x["key"] == y["key"]) & (F.col("c_a") != F.col("c_b")) & (F.col("id_b") < F.col("id_a")) & near & F.when(near, x["key"] == F.array_min(F.array_intersect("keys_a", "keys_b"))))
+            pairs = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs)
-        if pairs.isEmpty():
-            if step < 2:
-                continue
-            break
-        more = written(_confirm(pairs, texts, size, percent).distinct())
+        more = written(_confirm(pairs, texts, size, percent))
         if not more.isEmpty():
-            links = links.unionByName(more)
-            comp = components(links)
+            comp = components(more.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         tried = tried.unionByName(pairs)
     by_class = classes.join(comp, classes["rep"] == comp["node"], "left").select(F.col("print").alias("p"), F.coalesce("component", "rep").alias("c"))
     out = sig.select("id", "n_shingles", "print").join(by_class, F.col("print") == F.col("p"), "left")
