@@ -32,6 +32,8 @@ from .common import arrow_map, components, written
 K, SIGNED, SIGMAS, MISS = 192, 1024, 5.0, 1e-6
 #: Rounds with other centres before the exhaustive one.
 CENTRES = 3
+#: Bits of the broadcast map that texts are sifted by: 8 MB at most, whatever the input.
+SIFT_BITS = 1 << 26
 CACHE_WORDS = 400_000
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(0, 2**32, SIGNED, dtype=np.uint32) | np.uint32(1)
@@ -158,6 +160,17 @@ def slack(threshold: float) -> float:
     return threshold - SIGMAS * (p * (1 - p) / SIGNED) ** 0.5 / 0.75
 
 
+def sifted(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` less most of those whose id is not among ``ids``: a bit map of hashed ids, of at most SIFT_BITS, is
+    broadcast. Hashes that meet let some through, so an exact join has to follow; without this, it shuffles all texts."""
+    h = F.pmod(F.xxhash64("id"), F.lit(SIFT_BITS)) + 1
+    maps = ids.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("map"))
+    at = F.bitmap_bit_position(h)
+    byte = F.conv(F.hex(F.substr("map", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    j = rows.join(F.broadcast(maps), F.bitmap_bucket_number(h) == F.col("bucket"))
+    return j.where(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1).select(*rows.columns)
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b) of pairs whose full sets agree to ``percent``."""
     fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -191,7 +204,7 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
     # buckets with several classes only: a small part of all
     cells = written(cells.join(shared.select("key", "first"), "key"))
     some = cells.select("id").distinct()
-    texts = written(docs.join(some, "id", "left_semi").dropDuplicates(["id"]))
+    texts = written(sifted(docs, some).join(some, "id", "left_semi").dropDuplicates(["id"]))
     mark = written(signed(texts, size))
     low = slack(percent / 100)
 
