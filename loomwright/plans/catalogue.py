@@ -1,4 +1,4 @@
-"""Queries over the driver's tables, with the SQL that gives the same rows."""
+"""All queries over the driver's tables, with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import q_aggregates, q_dedup, q_joins, q_rules, q_text, q_trees, q_windows  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES  # noqa: F401
