@@ -8,8 +8,8 @@ pair is estimated by counting equal bit pairs. Pairs whose estimate is not more
 threshold are confirmed on the full shingle sets.
 
 Buckets are not expanded into all pairs. Documents of equal word sequences are one class. Each class is first compared
-with the least id that shares a bucket with it; links found that way settle nearly all. CENTRES more rounds compare, in
-buckets that still hold several components, each class with one other centre outside its component; what then remains of
+with the least id that shares a bucket with it; links found that way settle nearly all. A second round compares, in
+buckets that still hold several components, each class with CENTRES others outside its component; what then remains of
 pairs across components in one bucket is compared without exception, so a link between different components is never
 skipped. Components come from the confirmed links.
 
@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from .common import arrow_map, components, written
 
 K, SIGNED, SIGMAS, MISS = 192, 1024, 5.0, 1e-6
-#: Rounds with other centres before the exhaustive one.
+#: Other centres that a class is compared with before the exhaustive step.
 CENTRES = 3
-#: Bits of the broadcast map that texts are sifted by: 8 MB at most, whatever the input.
-SIFT_BITS = 1 << 26
+#: Bits of the broadcast map that texts are sifted by: 2 MB at most, whatever the input.
+SIFT_BITS = 1 << 24
 CACHE_WORDS = 400_000
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(0, 2**32, SIGNED, dtype=np.uint32) | np.uint32(1)
@@ -217,16 +217,17 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
 
     tried = written(likely(cells.groupBy("id").agg(F.min("first").alias("b")).where("id <> b").select(F.col("id").alias("a"), "b")))
     comp = components(_confirm(tried, texts, size, percent))
-    for step in range(CENTRES + 1):
+    for last in (False, True):
         at = cells.join(comp, cells["id"] == comp["node"], "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-        order = F.xxhash64("id", F.lit(step))
-        mid = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("id", "c"), order).alias("mid")).where("lo < hi").select("key", "mid")
-        left = written(at.join(mid, "key"))
+        centre = lambda k: F.min_by(F.struct("id", "c"), F.xxhash64("id", F.lit(k)))
+        spread = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.array(*[centre(k) for k in range(CENTRES)]).alias("mids")).where("lo < hi")
+        left = written(at.join(spread.select("key", "mids"), "key"))
         if left.isEmpty():
             break
-        if step < CENTRES:  # each document with one centre outside its component
-            one_each = left.where("c <> mid.c").groupBy("id").agg(F.min_by("mid.id", F.xxhash64("mid.id", F.lit(step))).alias("m"))
-            pairs = one_each.select(F.greatest("id", "m").alias("a"), F.least("id", "m").alias("b")).distinct()
+        if not last:  # each document with up to CENTRES centres outside its component
+            some = left.select("id", "c", F.posexplode("mids").alias("k", "mid")).where("c <> mid.c")
+            some = some.groupBy("id", "k").agg(F.min_by("mid.id", F.xxhash64("mid.id", "k")).alias("m"))
+            pairs = some.select(F.greatest("id", "m").alias("a"), F.least("id", "m").alias("b")).distinct()
             pairs = likely(pairs.join(tried, ["a", "b"], "left_anti"))
         else:  # whatever is left across components, without exception
             own = left.groupBy("id").agg(F.collect_list("key").alias("keys"))  # no more than there are bands
@@ -238,9 +239,8 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
             met = x.join(y, (x["key"] == y["key"]) & (F.col("c_a") != F.col("c_b")) & (F.col("id_b") < F.col("id_a")) & near & F.when(near, x["key"] == F.array_min(F.array_intersect("keys_a", "keys_b"))))
             pairs = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs)
-        more = written(_confirm(pairs, texts, size, percent))
-        if not more.isEmpty():
-            comp = components(more.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        more = _confirm(pairs, texts, size, percent)
+        comp = components(more.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         tried = tried.unionByName(pairs)
     by_class = classes.join(comp, classes["rep"] == comp["node"], "left").select(F.col("print").alias("p"), F.coalesce("component", "rep").alias("c"))
     out = sig.select("id", "n_shingles", "print").join(by_class, F.col("print") == F.col("p"), "left")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map
 
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 1000
 #: N-grams of 1 to so many characters, hashed into 2 ** BITS buckets.
 NGRAMS, BITS = 3, 18
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.0005, 0.0005
@@ -148,17 +148,21 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     langs = sorted({lang for _, lang in rows})
     if not langs:
         return Model([], np.zeros((0, 0)), np.zeros(0))
-    docs = []
+    docs, size = [], 1 << BITS
+    seen = np.zeros(size)
     for text, lang in rows:
         c = characters(text)
         if len(c):
-            docs.append((*np.unique(np.concatenate([at[ok] for at, ok in buckets(c)]), return_counts=True), langs.index(lang)))
-    size = 1 << BITS
-    seen = np.zeros(size)
-    for k, _, _ in docs:
-        seen[k] += 1
+            n = np.zeros(size, np.int32)
+            for a in range(0, len(c), STEP):
+                for at, ok in buckets(c[a : a + STEP + NGRAMS - 1]):
+                    n += np.bincount(at[:STEP][ok[:STEP]], minlength=size).astype(np.int32)
+            k = np.flatnonzero(n).astype(np.int32)
+            docs.append((k, n[k], langs.index(lang)))
+            seen[k] += 1
     idf = np.log((1 + len(docs)) / (1 + seen)) + 1.0
-    data = [(k, Model.SCALE * n / n.sum() * idf[k], y) for k, n, y in docs]
+    data = [(k, (Model.SCALE * n / n.sum() * idf[k]).astype(np.float32), y) for k, n, y in docs]
+    docs.clear()
     held = [d for k, d in enumerate(data) if k % 5 == 0]
     learn = [d for k, d in enumerate(data) if k % 5] or data
     n_lang = len(langs)
