@@ -37,6 +37,11 @@ def casefold(c: Column) -> Column:
     return F.pandas_udf(run, "string")(c)
 
 
+def let(c: Column, fn) -> Column:
+    """fn(c) with c computed once, however often fn uses it. For values that no Python function makes."""
+    return F.transform(F.array(c), fn)[0]
+
+
 def blank(c: Column) -> Column:
     """Null as the empty text."""
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -100,29 +105,33 @@ def usable(c: Column) -> Column:
 
 def outer_quotes_off(c: Column) -> Column:
     """One pair of outer quotes off, if neither mark stands inside."""
-    t, out = strip(c), None
-    for a, b in QUOTES.items():
-        inner = strip(t.substr(F.lit(2), F.greatest(F.length(t) - 2, F.lit(0))))
-        ok = (F.length(t) >= 2) & F.startswith(t, F.lit(a)) & F.endswith(t, F.lit(b)) & (inner != "") & ~F.contains(inner, F.lit(a)) & ~F.contains(inner, F.lit(b))
-        out = F.when(ok, inner) if out is None else out.when(ok, inner)
-    return out.otherwise(t)
+    def off(t: Column) -> Column:
+        inner, out = strip(t.substr(F.lit(2), F.greatest(F.length(t) - 2, F.lit(0)))), None
+        for a, b in QUOTES.items():
+            ok = (F.length(t) >= 2) & F.startswith(t, F.lit(a)) & F.endswith(t, F.lit(b)) & (inner != "") & ~F.contains(inner, F.lit(a)) & ~F.contains(inner, F.lit(b))
+            out = F.when(ok, inner) if out is None else out.when(ok, inner)
+        return out.otherwise(t)
+
+    return let(strip(c), off)
 
 
 def loose_brackets_off(c: Column, rounds: int = 4) -> Column:
     """Brackets at the edges without their partner off, up to ``rounds`` at either end (longer runs are not titles)."""
-    t = strip(c)
-    for _ in range(rounds):
-        lone = None
+    def first(t: Column) -> Column:
+        lone = F.lit(False)
         for a, b in BRACKETS.items():
-            hit = F.startswith(t, F.lit(a)) & ~F.contains(t, F.lit(b))
-            lone = hit if lone is None else lone | hit
-        t = F.when(lone, strip(t.substr(F.lit(2), F.length(t)))).otherwise(t)
-    for _ in range(rounds):
-        lone = None
+            lone |= F.startswith(t, F.lit(a)) & ~F.contains(t, F.lit(b))
+        return F.when(lone, strip(t.substr(F.lit(2), F.length(t)))).otherwise(t)
+
+    def last(t: Column) -> Column:
+        lone = F.lit(False)
         for a, b in BRACKETS.items():
-            hit = F.endswith(t, F.lit(b)) & ~F.contains(t, F.lit(a))
-            lone = hit if lone is None else lone | hit
-        t = F.when(lone, strip(t.substr(F.lit(1), F.length(t) - 1))).otherwise(t)
+            lone |= F.endswith(t, F.lit(b)) & ~F.contains(t, F.lit(a))
+        return F.when(lone, strip(t.substr(F.lit(1), F.length(t) - 1))).otherwise(t)
+
+    t = strip(c)
+    for step in [first] * rounds + [last] * rounds:
+        t = let(t, step)
     return t
 
 

@@ -31,18 +31,16 @@ def clean_title(title: Column, max_chars: int = 160, keep_single_letter: bool =
     """struct<text, flags, reason> of a normalised title: prefixes and markup off, then the first of the rejections that
     holds is the reason, else flags for review."""
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(title, IMAGE, ""), TAG, ""), LINK, "$1")
-    t = F.regexp_replace(bare, r"^\s*#{1,6}\s*", "")
-    t = F.regexp_replace(F.regexp_replace(t, SCAFFOLD, ""), rf"^\s*[{BULLETS}]+\s*", "")
-    t = F.regexp_replace(F.regexp_replace(t, ENUMERATION, ""), ENUMERATION, "")
-    toc = t.rlike(TOC_TRAILER)
-    t = F.regexp_replace(F.regexp_replace(t, TOC_TRAILER, ""), r"^[ \t\r\n:：、\-—]+|[ \t\r\n:：、\-—]+\z", "")
-    prefix = t != bare
-    quoted = T.outer_quotes_off(t)
-    unquoted = quoted != T.strip(t)
-    inner = T.loose_brackets_off(quoted)
-    unbracketed = inner != quoted
-    x = T.tidy(inner)
-    # what follows works on a lambda variable, so the steps above are computed once
+
+    def cut(v: Column) -> Column:
+        t = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, r"^\s*#{1,6}\s*", ""), SCAFFOLD, ""), rf"^\s*[{BULLETS}]+\s*", "")
+        t = F.regexp_replace(F.regexp_replace(t, ENUMERATION, ""), ENUMERATION, "")
+        return F.struct(v.alias("bare"), t.rlike(TOC_TRAILER).alias("toc"), F.regexp_replace(F.regexp_replace(t, TOC_TRAILER, ""), r"^[ \t\r\n:：、\-—]+|[ \t\r\n:：、\-—]+\z", "").alias("t"))
+
+    quoted = T.let(T.let(bare, cut), lambda v: F.struct(v["toc"].alias("toc"), (v["t"] != v["bare"]).alias("prefix"), v["t"].alias("t"), T.outer_quotes_off(v["t"]).alias("q")))
+    inner = T.let(quoted, lambda v: F.struct(v["toc"].alias("toc"), v["prefix"].alias("prefix"), (v["q"] != T.strip(v["t"])).alias("unquoted"), v["q"].alias("q"), T.loose_brackets_off(v["q"]).alias("i")))
+    parts = T.let(inner, lambda v: F.struct(T.tidy(v["i"]).alias("x"), v["toc"].alias("toc"), v["prefix"].alias("prefix"), v["unquoted"].alias("unquoted"), (v["i"] != v["q"]).alias("unbracketed")))
+
     def judge(v: Column) -> Column:
         s = v["x"]
         n, tech = F.length(s), T.usable(s)
@@ -66,8 +64,7 @@ def clean_title(title: Column, max_chars: int = 160, keep_single_letter: bool =
         flags = F.concat(T.reasons(*early), F.when(reason.isNull(), T.reasons(*late)).otherwise(F.array().cast("array<string>")))
         return F.struct(s.alias("text"), flags.alias("flags"), reason.alias("reason"))
 
-    one = F.array(F.struct(x.alias("x"), toc.alias("toc"), prefix.alias("prefix"), unquoted.alias("unquoted"), unbracketed.alias("unbracketed")))
-    return F.transform(one, judge)[0]
+    return T.let(parts, judge)
 
 
 def record_gate(df: DataFrame, name: str, point: str, max_chars: int = 160) -> DataFrame:
@@ -100,7 +97,7 @@ def clean_context(c: Column, max_chars: int) -> Column:
         over = F.length(v) > max_chars if max_chars else F.lit(False)
         return F.struct(F.when(over, short).otherwise(v).alias("text"), T.reasons((v != c, "context_markup_or_layout_reference_removed"), (over, "context_truncated")).alias("flags"))
 
-    return F.transform(F.array(t), cut)[0]
+    return T.let(t, cut)
 
 
 def metadata_gate(year: Column, file_detail: Column, file_format: Column, language: Column, path: Column, periodical: Column) -> Column:
@@ -177,11 +174,15 @@ def evidence_gate(verdict: Column, evidence: Column, fields: Column, sound: Colu
     return F.when(sound & (F.size(evidence) > 0) & literal, verdict).otherwise("uncertain")
 
 
+def _holding(needle: str):
+    return lambda f: F.contains(f, F.lit(needle))
+
+
 def review_cause(decision: Column, flags: Column, order: list[tuple[str, str]]) -> Column:
     """The label of the first needle, in order, that a flag contains."""
     out = F.when(~decision.isin("review", "error"), "").when(decision == "error", "api_error_after_retries")
     for needle, label in order:
-        out = out.when(F.exists(flags, lambda f, n=needle: F.contains(f, F.lit(n))), label)
+        out = out.when(F.exists(flags, _holding(needle)), label)
     return out.otherwise("model_review_uncertain")
 
 
@@ -218,3 +219,111 @@ def manifest_status(df: DataFrame, ident: str, decision: str, track: str, path:
 def combine_votes(first: Column, second: Column) -> Column:
     """Two reviews: the second only counts where the first is unreasonable; disagreement is uncertain."""
     return F.when(first == "reasonable", "reasonable").when(second.isNull(), "pending").when(first == second, first).otherwise("uncertain")
+
+
+def language_move(zh: Column, en: Column) -> Column:
+    """struct<zh, en, move>: a text in the wrong language's field moves to an empty one, or both change places."""
+    cjk, latin = f"[{T.CJK}]", "[A-Za-z]"
+    z, e = T.blank(zh), T.blank(en)
+    z_en, e_zh = z.rlike(latin) & ~z.rlike(cjk), e.rlike(cjk) & ~e.rlike(latin)
+    out = lambda a, b, m: F.struct(a.alias("zh"), b.alias("en"), F.lit(m).alias("move"))
+    return F.when(z_en & (e == ""), out(F.lit(""), z, "zh->en")).when((z == "") & e_zh, out(e, F.lit(""), "en->zh")).when(z_en & e_zh, out(e, z, "swap:zh,en")).otherwise(out(z, e, ""))
+
+
+def language_reversed(name: Column, point: Column) -> Column:
+    return (T.script_class(T.blank(name)) == "latin") & (T.script_class(T.blank(point)) == "cjk")
+
+
+def standard_record(df: DataFrame, fields: dict[str, list[str]]) -> DataFrame:
+    """Each field from the first of its columns that is there and not empty; all other columns stay."""
+    new = {f: F.coalesce(*[F.nullif(F.col(c).cast("string"), F.lit("")) for c in cols if c in df.columns], F.lit("")) for f, cols in fields.items()}
+    return df.withColumns(new)
+
+
+def schema_problems(df: DataFrame, ident: str, required: dict[str, Column]) -> DataFrame:
+    """(id, problems): missing or unsuitable fields, and repeated ids."""
+    n = F.count("*").over(W.partitionBy(ident))
+    p = T.reasons((F.col(ident).isNull(), f"missing:{ident}"), *[(F.col(f).isNull(), f"missing:{f}") for f in required], *[(~F.coalesce(ok, F.lit(True)), f"invalid:{f}") for f, ok in required.items()], (n > 1, f"duplicate:{ident}"))
+    return df.withColumn("problems", p).where(F.size("problems") > 0).select(ident, "problems")
+
+
+def title_grounding(out: Column, sources: list[Column]) -> Column:
+    """How an output title follows from its sources: the first source that supports it."""
+    k = T.compact_key(out)
+    rule = None
+    for src in sources:
+        mixed = src.rlike(f"[{T.CJK}]") & src.rlike("[A-Za-z]")
+        base = F.regexp_extract(src, r"\A(.*?)\s*[（(][^（）()]*[）)]\s*\z", 1)
+        for cond, name in ((k == T.compact_key(src), "exact_or_safe_normalization"), ((k != "") & mixed & F.contains(T.compact_key(src), k), "bilingual_field_split"), ((base != "") & (k == T.compact_key(base)), "parenthetical_removed")):
+            rule = F.when(cond, name) if rule is None else rule.when(cond, name)
+    return F.when(T.blank(out) == "", "empty").otherwise(rule.otherwise("unsupported_title_rewrite"))
+
+
+def restorable(*, relevant: Column, language_flag: Column, other_flags: Column, pair: Column, confidence: Column, field_ok: Column, reason_ok: Column, other_problem: Column, name: Column, point: Column, tag: Column) -> Column:
+    """Why a dropped record cannot be restored as a mere language case; null if it can."""
+    n = F.trim(T.blank(name))
+    english = n.rlike("[A-Za-z]") & ~n.rlike(f"[{T.CJK}]")
+    count = lambda ch: F.length(n) - F.length(F.replace(n, F.lit(ch), F.lit("")))
+    return T.first_reason(
+        (~F.coalesce(relevant, F.lit(False)), "subject_not_confirmed"), (~language_flag, "not_language_candidate"), (other_flags, "additional_or_unrecognized_flags"), (pair != "not_applicable", "pair_not_confirmed"), (F.coalesce(confidence, F.lit(0.0)) < 0.8, "confidence_below_existing_threshold"),
+        (~field_ok, "field_contract_not_confirmed"), (~reason_ok, "language_only_reason_not_confirmed"), (other_problem, "other_problem_in_reason"), (~english | (F.trim(T.blank(point)) != ""), "cannot_move_name_without_conflict"),
+        ((F.length(n) == 1) | (F.length(n) > 160) | n.rlike(r"(?i)https?://|www\.|@|[�\x00-\x08]"), "invalid_title_format"), ((count("(") != count(")")) | (count("[") != count("]")) | (count("{") != count("}")), "unbalanced_title_brackets"), (T.blank(tag) == "", "missing_subject_tag"),
+    )
+
+
+def delivery_exclusions(records: DataFrame, errors: DataFrame, incomplete: list[str]) -> DataFrame:
+    """Adds ``reasons``: no definition, incomplete issue codes, and errors linked by record, candidate or chunk prefix.
+
+    records: record_id, definition, issues (array), candidate_ids (array); errors: record_id, candidate_ids, chunk_id, issue."""
+    codes = F.transform("issues", lambda i: F.trim(F.split(i, ":")[0]))
+    own = F.array_union(F.when(F.trim(T.blank(F.col("definition"))) == "", F.array(F.lit("definition_missing"))).otherwise(F.array().cast("array<string>")), F.filter(codes, lambda c: c.isin(incomplete) | c.rlike("_(failed|unreviewed|deferred)$")))
+    keys = records.select("record_id", F.explode_outer("candidate_ids").alias("cand"))
+    by_record = errors.where("record_id is not null").select("record_id", "issue")
+    by_cand = keys.join(errors.select(F.explode("candidate_ids").alias("cand"), "issue"), "cand").select("record_id", "issue")
+    chunk = keys.withColumn("chunk_id", F.regexp_extract("cand", r"\A(.*)-[^-]*\z", 1)).where("chunk_id <> ''")
+    by_chunk = chunk.join(errors.where("chunk_id is not null").select("chunk_id", "issue"), "chunk_id").select("record_id", "issue")
+    linked = by_record.unionByName(by_cand).unionByName(by_chunk).groupBy("record_id").agg(F.collect_set(F.concat(F.lit("linked_pipeline_error:"), "issue")).alias("_linked"))
+    return records.join(linked, "record_id", "left").withColumn("reasons", F.array_sort(F.array_distinct(F.concat(own, F.coalesce("_linked", F.array().cast("array<string>")))))).drop("_linked")
+
+
+def label_coverage(labels: Column, n: int) -> Column:
+    """Whether labels (array<struct<no, ...>>) cover 1..n exactly once."""
+    return F.array_sort(F.transform(labels, lambda x: x["no"])) == F.sequence(F.lit(1), F.lit(n))
+
+
+def ordered_parts(text: Column, anchor: Column) -> Column:
+    """Whether the parts of an anchor (cut at ellipses) stand in the text in order, white space aside."""
+    t = F.regexp_replace(T.blank(text), r"(?U)\s+", "")
+    parts = F.filter(F.split(F.regexp_replace(T.blank(anchor), r"(?U)\s+", ""), r"…+|\.{3,}"), lambda p: p != "")
+    rest = lambda pos: F.substr(t, pos, F.length(t))
+    end = F.aggregate(parts, F.lit(1), lambda pos, p: F.when((pos > 0) & (F.position(p, rest(pos)) > 0), pos - 1 + F.position(p, rest(pos)) + F.length(p)).otherwise(F.lit(0)))
+    return (F.size(parts) > 0) & (end > 0)
+
+
+def agreement(df: DataFrame, part: str, machine: str, human: str) -> DataFrame:
+    """Per part and overall: of the machine's passes how many people approve, of people's how many it passes, and how many
+    approved ones it does not drop, in percent."""
+    m, h = F.col(machine) == "PASS", F.col(human) == "PASS"
+    g = df.withColumn("_p", F.explode(F.array(F.col(part), F.lit("overall")))).groupBy(F.col("_p").alias(part)).agg(F.count("*").alias("n"), F.count_if(m & h).alias("both"), F.count_if(m).alias("machine_pass"), F.count_if(h).alias("human_pass"), F.count_if(h & (F.col(machine) != "DROP")).alias("not_dropped"))
+    rate = lambda a, b: F.when(F.col(b) > 0, F.bround(100.0 * F.col(a) / F.col(b), 2))
+    return g.select(part, "n", rate("both", "machine_pass").alias("approval"), rate("both", "human_pass").alias("recall"), rate("not_dropped", "human_pass").alias("not_drop"))
+
+
+def family_vote(entries: DataFrame, ident: str, family: str, zone: str, anchor: str, share: float = 0.7) -> DataFrame:
+    """The family that has at least ``share`` of a book's entries, in two zones and with two anchors at least; else null."""
+    g = entries.groupBy(ident, family).agg(F.count("*").alias("n"), F.count_distinct(zone).alias("zones"), F.count_distinct(anchor).alias("anchors"))
+    t = g.groupBy(ident).agg(F.sum("n").alias("all"), F.max_by(F.struct(family, "n", "zones", "anchors"), F.struct("n", family)).alias("m"))
+    ok = (F.col("m.n") >= share * F.col("all")) & (F.col("m.zones") >= 2) & (F.col("m.anchors") >= 2)
+    return t.select(ident, F.when(ok, F.col(f"m.{family}")).alias(family), "all")
+
+
+def shared_budget(fields: list[Column], total: int) -> Column:
+    """struct<parts, truncated>: fields in order take from one character budget."""
+    left, parts, cut = F.lit(total), [], F.lit(False)
+    for f in fields:
+        v = T.blank(f)
+        take = F.substr(v, F.lit(1), F.greatest(left, F.lit(0)))
+        parts.append(take)
+        cut |= F.length(v) > F.length(take)
+        left = left - F.length(take)
+    return F.struct(F.array(*parts).alias("parts"), cut.alias("truncated"))

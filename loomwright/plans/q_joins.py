@@ -79,7 +79,7 @@ def multi_pattern_mentions(s, d):
 
 
 @query("""
-WITH i AS (SELECT event_id, user_id, CAST(epoch(ts) AS BIGINT) AS s, CAST(epoch(ts) AS BIGINT) + CAST(floor(abs(value)) AS BIGINT) % 5000 + 1 AS e FROM events),
+WITH i AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s, CAST(floor(epoch(ts)) AS BIGINT) + CAST(floor(abs(value)) AS BIGINT) % 5000 + 1 AS e FROM events),
 w AS (SELECT event_id, user_id, s, max(e) OVER (PARTITION BY user_id ORDER BY s, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM i)
 SELECT event_id, user_id, coalesce(s < m, false) AS overlaps FROM w""")
 def interval_sweep(s, d):
@@ -89,7 +89,7 @@ def interval_sweep(s, d):
 
 
 @query("""
-WITH i AS (SELECT event_id, user_id, event_type, CAST(epoch(ts) AS BIGINT) AS s, CAST(epoch(ts) AS BIGINT) + CAST(floor(abs(value)) AS BIGINT) % 5000 + 1 AS e FROM events)
+WITH i AS (SELECT event_id, user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS s, CAST(floor(epoch(ts)) AS BIGINT) + CAST(floor(abs(value)) AS BIGINT) % 5000 + 1 AS e FROM events)
 SELECT a.event_id AS a, b.event_id AS b FROM i a JOIN i b ON a.user_id = b.user_id AND a.s < b.e AND b.s < a.e WHERE a.event_type < b.event_type""")
 def interval_overlap(s, d):
     e = table(s, d, "events").select("event_id", "user_id", "event_type", seconds(F.col("ts")).alias("s"), F.col("value"))

@@ -1 +1,129 @@
-"""Placeholder."""
+"""Text normalisation and records over the driver's tables."""
+
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import rules as R
+from ..operators import segment as G
+from .registry import query, table
+
+ONE = "string_split(text, chr(10))[1]"
+
+
+@query(f"""
+WITH x AS (SELECT doc_id, {ONE} AS l FROM documents)
+SELECT doc_id, trim(regexp_replace(l, '\\s+', ' ', 'g')) AS compact, lower(regexp_replace(l, '[^A-Za-z0-9㐀-鿿]+', '', 'g')) AS compact_key, replace(lower(trim(l)), 'ß', 'ss') AS name_key,
+ CASE WHEN regexp_matches(l, '[㐀-鿿]') AND regexp_matches(l, '[A-Za-z]') THEN 'mixed' WHEN regexp_matches(l, '[㐀-鿿]') THEN 'cjk' WHEN regexp_matches(l, '[A-Za-z]') THEN 'latin' ELSE 'none' END AS script,
+ CASE WHEN regexp_replace(l, '\\s+', '', 'g') = '' THEN 1.0::DOUBLE ELSE round(1.0::DOUBLE - length(regexp_replace(l, '[^A-Za-z0-9㐀-鿿]+', '', 'g'))::DOUBLE / length(regexp_replace(l, '\\s+', '', 'g')), 6) END AS symbols FROM x""")
+def text_keys(s, d):
+    x = table(s, d, "documents").select("doc_id", T.first_line(F.col("text")).alias("l"))
+    return x.select("doc_id", T.compact(F.col("l")).alias("compact"), T.compact_key(F.col("l")).alias("compact_key"), T.name_key(F.col("l")).alias("name_key"), T.script_class(F.col("l")).alias("script"), F.round(T.symbol_ratio(F.col("l")), 6).alias("symbols"))
+
+
+@query("""
+WITH x AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'ab中文cd文' WHEN 1 THEN 'plain' WHEN 2 THEN '中-x-中' ELSE '' END AS t FROM documents)
+SELECT doc_id, CAST(CASE t WHEN 'ab中文cd文' THEN 3 WHEN '中-x-中' THEN 2 ELSE 0 END AS INT) AS switches FROM x""")
+def script_switches(s, d):
+    x = table(s, d, "documents").select("doc_id", F.when(F.col("doc_id") % 4 == 0, "ab中文cd文").when(F.col("doc_id") % 4 == 1, "plain").when(F.col("doc_id") % 4 == 2, "中-x-中").otherwise("").alias("t"))
+    return x.select("doc_id", T.script_switches(F.col("t")).alias("switches"))
+
+
+@query(f"""
+SELECT doc_id, sha1(doc_id || chr(31) || source || chr(31) || doc_id || chr(31) || {ONE} || chr(31)) AS record_key,
+ lang || ':important:' || substr(sha256('["' || lang || '", "important", ' || doc_id || ']'), 1, 24) AS namespaced FROM documents""")
+def record_keys(s, d):
+    x = table(s, d, "documents")
+    key = F.sha1(F.concat_ws("\u001f", F.col("doc_id").cast("string"), T.blank(F.col("source")), F.col("doc_id").cast("string"), T.first_line(F.col("text")), F.lit("")))
+    seed = F.concat(F.lit('["'), "lang", F.lit('", "important", '), F.col("doc_id").cast("string"), F.lit("]"))
+    return x.select("doc_id", key.alias("record_key"), F.concat("lang", F.lit(":important:"), F.substring(F.sha2(seed, 256), 1, 24)).alias("namespaced"))
+
+
+@query("SELECT doc_id, CASE WHEN lang = source THEN lang WHEN n_chars % 2 = 0 THEN lang || chr(10) || source ELSE lang || chr(10) || source || chr(10) || 'odd' END AS context FROM documents")
+def context_assembly(s, d):
+    x = table(s, d, "documents")
+    return x.select("doc_id", T.join_unique([F.col("lang"), F.col("source"), F.lit(""), F.col("lang"), F.when(F.col("n_chars") % 2 == 0, "").otherwise("odd")]).alias("context"))
+
+
+@query("""
+WITH x AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[ \\t]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'), '\\s+([,.!?;:])', '\\1', 'g') AS t FROM documents),
+y AS (SELECT doc_id, t, length(regexp_extract(left(t, 600), '(?s)^(.*[。！？；.!?;])', 1)) AS e FROM x)
+SELECT doc_id, sha256(CASE WHEN length(t) <= 600 THEN t WHEN e - 1 >= 300 THEN left(t, e) ELSE regexp_replace(left(t, 600), '\\s+$', '') || '…' END) AS h, length(t) > 600 AS cut FROM y""")
+def clean_context(s, d):
+    x = table(s, d, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("t")).select("doc_id", R.clean_context(F.col("t"), 600).alias("c"))
+    return x.select("doc_id", F.sha2("c.text", 256).alias("h"), F.array_contains("c.flags", "context_truncated").alias("cut"))
+
+
+@query("""
+WITH x AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'English name' WHEN 1 THEN '中文' WHEN 2 THEN '' ELSE 'English name' END AS zh, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'point' WHEN 2 THEN '中文' ELSE '中文' END AS en FROM documents)
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '中文' ELSE '中文' END AS zh, CASE doc_id % 4 WHEN 0 THEN 'English name' WHEN 1 THEN 'point' WHEN 2 THEN '' ELSE 'English name' END AS en,
+ CASE doc_id % 4 WHEN 0 THEN 'zh->en' WHEN 1 THEN '' WHEN 2 THEN 'en->zh' ELSE 'swap:zh,en' END AS move, doc_id % 4 = 3 AS reversed FROM x""")
+def language_routing(s, d):
+    k = F.col("doc_id") % 4
+    x = table(s, d, "documents").select("doc_id", F.when(k == 1, "中文").when(k == 2, "").otherwise("English name").alias("zh"), F.when(k == 0, "").when(k == 1, "point").otherwise("中文").alias("en"))
+    m = R.language_move(F.col("zh"), F.col("en"))
+    return x.select("doc_id", m["zh"].alias("zh"), m["en"].alias("en"), m["move"].alias("move"), R.language_reversed(F.col("zh"), F.col("en")).alias("reversed"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang ELSE source END AS name, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) ELSE 'k' || doc_id END AS id, lang || '/' || source AS main_tags FROM documents")
+def field_fallback(s, d):
+    x = table(s, d, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("").alias("name"), F.col("source").alias("key_zh"), F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).alias("id"), F.concat(F.lit("k"), "doc_id").alias("record_id"), F.concat_ws("/", "lang", "source").alias("main_tags"))
+    r = R.standard_record(x, {"name": ["name", "key_zh"], "id": ["id", "record_id"], "main_tags": ["main_tags"]})
+    return r.select(F.col("doc_id"), "name", "id", "main_tags")
+
+
+@query("SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 1999 END AS other FROM orders")
+def publication_year(s, d):
+    x = table(s, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "'ed.' yyyy-MM-dd").alias("a"), F.when(F.col("o_orderkey") % 2 == 0, "isbn 120000").otherwise("ca.1999, repr").alias("b"))
+    return x.select("o_orderkey", T.publication_year(F.col("a")).alias("year"), T.publication_year(F.col("b")).alias("other"))
+
+
+@query("""
+WITH u AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z][a-z0-9_-]+|[0-9]+(?:[.][0-9]+)?')) AS u FROM benchmark)
+SELECT a.item_id, round_even(CASE WHEN len(a.u) = 0 THEN 1.0 ELSE len(list_intersect(a.u, b.u))::DOUBLE / len(a.u) END, 4) AS overlap FROM u a JOIN u b ON b.item_id = a.item_id + 1""")
+def content_grounding(s, d):
+    b = table(s, d, "benchmark").select("item_id", T.compact(F.col("text")).alias("t"))
+    j = b.join(b.select((F.col("item_id") - 1).alias("item_id"), F.col("t").alias("src")), "item_id")
+    return j.select("item_id", T.grounding(F.col("t"), F.col("src"), 0.72)["overlap"].alias("overlap"))
+
+
+@query("SELECT page_id, CAST(len(regexp_extract_all(html, '<img')) AS BIGINT) AS n_images, regexp_matches(html, '(?i)<table') AS has_table FROM pages")
+def html_structure(s, d):
+    x = table(s, d, "pages").select("page_id", G.without_embedded_images(F.col("html")).alias("html"))
+    return x.select("page_id", F.regexp_count("html", F.lit("<img")).cast("long").alias("n_images"), F.col("html").rlike("(?i)<table").alias("has_table"))
+
+
+@query()
+def html_table_integrity(s, d):
+    return table(s, d, "pages").select("page_id", G.intact_table(F.col("html")).alias("intact"))
+
+
+@query()
+def repetition_compaction(s, d):
+    return table(s, d, "documents").select("doc_id", F.length(T.cap_repeats(F.col("text"))).alias("n"))
+
+
+@query(f"""
+WITH x AS (SELECT doc_id, {ONE} AS l FROM documents),
+t AS (SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN '# ' || l WHEN 1 THEN '1.2. ' || l WHEN 2 THEN '"' || l || '"' WHEN 3 THEN 'Table 3' WHEN 4 THEN 'contents' WHEN 5 THEN 'a' WHEN 6 THEN 'https://example.com' WHEN 7 THEN '-12.5' ELSE l END AS raw FROM x),
+n AS (SELECT doc_id, trim(regexp_replace(raw, '[ \\t]+', ' ', 'g')) AS raw FROM t),
+p AS (SELECT doc_id, raw, regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw, '^\\s*#{{1,6}}\\s*', ''), '^\\s*(?:[0-9]+(?:\\.[0-9]+){{0,5}}[.):]|[0-9]+\\s+|[A-Za-z][.)]\\s+)\\s*', ''), '^\\s*(?:[0-9]+(?:\\.[0-9]+){{0,5}}[.):]|[0-9]+\\s+|[A-Za-z][.)]\\s+)\\s*', ''), '^[ \\t\\r\\n:：、—-]+|[ \\t\\r\\n:：、—-]+$', '', 'g') AS v FROM n),
+q AS (SELECT doc_id, v <> raw AS prefix, CASE WHEN length(v) >= 2 AND v[1] = '"' AND v[-1] = '"' AND NOT contains(v[2:-2], '"') AND trim(v[2:-2]) <> '' THEN trim(v[2:-2]) ELSE v END AS w, v FROM p),
+c AS (SELECT doc_id, prefix, w <> v AS unquoted, w, length(regexp_replace(w, '[^A-Za-z0-9㐀-鿿]+', '', 'g')) AS tech, 1.0 - length(regexp_replace(w, '[^A-Za-z0-9㐀-鿿]+', '', 'g'))::DOUBLE / greatest(1, length(regexp_replace(w, '\\s+', '', 'g'))) AS sym FROM q)
+SELECT doc_id, sha256(w) AS h, CASE WHEN w = '' THEN 'empty_title' WHEN regexp_matches(w, '(?i)^(?:https?://|www\\.|ftp://|[a-z0-9.-]+\\.(?:com|org|net|cn|edu))$') THEN 'url_or_email_title' WHEN lower(w) IN ('contents', 'index', 'table', 'figure', 'preface', 'references') THEN 'structural_or_metadata_title'
+ WHEN regexp_matches(w, '(?i)^(?:fig(?:ure)?|table|plate|photo)\\s*[A-Za-z]?[0-9]+(?:\\s|[：:].*)?$') THEN 'figure_or_table_title' WHEN regexp_matches(w, '(?i)^[+-]?(?:[0-9]+(?:\\.[0-9]+)?|[IVXLCDM]{{1,10}})$') THEN 'bare_number_or_date' WHEN regexp_matches(w, '^[A-Za-z]$') THEN 'single_latin_letter'
+ WHEN length(w) > 640 THEN 'extremely_overlong_title' WHEN tech = 0 THEN 'no_usable_title_characters' WHEN sym > 0.62 AND tech < 5 AND NOT regexp_matches(w, '[$_^]') THEN 'symbol_dominated_title' END AS reason, prefix, unquoted FROM c""")
+def rule_gate_titles(s, d):
+    l, k = T.first_line(F.col("text")), F.col("doc_id") % 9
+    raw = F.when(k == 0, F.concat(F.lit("# "), l)).when(k == 1, F.concat(F.lit("1.2. "), l)).when(k == 2, F.concat(F.lit('"'), l, F.lit('"'))).when(k == 3, "Table 3").when(k == 4, "contents").when(k == 5, "a").when(k == 6, "https://example.com").when(k == 7, "-12.5").otherwise(l)
+    x = table(s, d, "documents").select("doc_id", T.normalize_text(raw).alias("t")).select("doc_id", R.clean_title(F.col("t")).alias("c"))
+    return x.select("doc_id", F.sha2("c.text", 256).alias("h"), "c.reason", F.array_contains("c.flags", "title_prefix_removed").alias("prefix"), F.array_contains("c.flags", "outer_quotes_removed").alias("unquoted"))
+
+
+@query(f"""
+WITH x AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'contents' WHEN doc_id % 4 = 1 THEN '' ELSE lang || ' ' || source || ' name' END AS a, CASE WHEN doc_id % 3 = 0 THEN 'q' WHEN doc_id % 3 = 1 THEN '' ELSE 'some point' END AS b FROM documents),
+y AS (SELECT doc_id, CASE WHEN a = 'contents' THEN 'structural_or_metadata_title' END AS ra, CASE WHEN b = 'q' THEN 'single_latin_letter' END AS rb, a IN ('', 'contents') AS la, b IN ('', 'q') AS lb FROM x)
+SELECT doc_id, CASE WHEN la AND lb THEN 'rejected' ELSE 'pass' END AS status, CASE WHEN NOT (la AND lb) THEN 'rule_pass' WHEN (ra IS NULL) <> (rb IS NULL) THEN coalesce(ra, rb) ELSE 'no_valid_title_after_rule_cleanup' END AS reason FROM y""")
+def record_rule_gate(s, d):
+    k3, k4 = F.col("doc_id") % 3, F.col("doc_id") % 4
+    x = table(s, d, "documents").select("doc_id", F.when(k4 == 0, "contents").when(k4 == 1, "").otherwise(F.concat_ws(" ", "lang", "source", F.lit("name"))).alias("a"), F.when(k3 == 0, "q").when(k3 == 1, "").otherwise("some point").alias("b"))
+    return R.record_gate(x, "a", "b").select("doc_id", "rule.status", "rule.reason")

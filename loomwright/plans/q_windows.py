@@ -1 +1,207 @@
-"""Placeholder."""
+"""Positional operators over the driver's tables."""
+
+from pyspark.sql import functions as F
+
+from ..operators import segment as G
+from ..operators import windows as X
+from .registry import query, seconds, table
+
+LINES = "l AS (SELECT doc_id, CAST(k AS INT) AS line_no, line FROM (SELECT doc_id, unnest(range(1, len(x) + 1)) AS k, unnest(x) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)))"
+
+
+@query(f"WITH {LINES} SELECT doc_id, line_no, sha256(line) AS h FROM l")
+def source_lines(s, d):
+    return X.lines(table(s, d, "documents")).select("doc_id", "line_no", F.sha2("line", 256).alias("h"))
+
+
+@query("SELECT conv_id, turn, role, lag(role) OVER w AS previous, lead(role) OVER w AS next FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
+def lag_lead_turns(s, d):
+    return X.neighbours(table(s, d, "conversations").select("conv_id", "turn", "role"), "conv_id", "turn", "role")
+
+
+@query("""
+WITH e AS (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events), g AS (SELECT user_id, t, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t) > 3600 THEN 1 ELSE 0 END AS b FROM (SELECT DISTINCT user_id, t FROM e)),
+r AS (SELECT user_id, t, sum(b) OVER (PARTITION BY user_id ORDER BY t) AS run FROM g)
+SELECT user_id, min(t) AS first, max(t) AS last, count(*) AS n FROM r GROUP BY user_id, run HAVING count(*) >= 3""")
+def event_islands(s, d):
+    e = table(s, d, "events").select("user_id", seconds(F.col("ts")).alias("t")).distinct()
+    return X.islands(e, "user_id", "t", 3600, 3)
+
+
+@query(f"""
+WITH {LINES}, p AS (SELECT doc_id, line_no FROM l WHERE length(line) BETWEEN 1 AND 120), g AS (SELECT doc_id, line_no, CASE WHEN line_no - lag(line_no) OVER (PARTITION BY doc_id ORDER BY line_no) > 5 THEN 1 ELSE 0 END AS b FROM p),
+r AS (SELECT doc_id, line_no, sum(b) OVER (PARTITION BY doc_id ORDER BY line_no) AS run FROM g)
+SELECT doc_id, min(line_no) AS first, max(line_no) AS last, count(*) AS n FROM r GROUP BY doc_id, run HAVING count(*) >= 3""")
+def toc_islands(s, d):
+    """Runs of three or more short lines at most five apart, as tables of contents are found."""
+    x = X.lines(table(s, d, "documents")).where(F.length("line").between(1, 120))
+    return X.islands(x, "doc_id", "line_no", 5, 3)
+
+
+@query("""
+WITH i AS (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s, CAST(floor(epoch(ts)) AS BIGINT) + CAST(floor(abs(value)) AS BIGINT) % 50000 + 1 AS e FROM events),
+w AS (SELECT user_id, s, e, max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM i)
+SELECT user_id, CAST(sum(greatest(0, e - greatest(s, coalesce(m, s)))) AS BIGINT) AS active, CAST(sum(e - s) AS BIGINT) AS work, max(e) - min(s) AS span FROM w GROUP BY 1""")
+def interval_union(s, d):
+    e = table(s, d, "events").select("user_id", seconds(F.col("ts")).alias("s"), F.col("value")).withColumn("e", F.col("s") + F.floor(F.abs("value")) % 50000 + 1)
+    return X.active_time(e, "user_id", "s", "e")
+
+
+@query("""
+WITH k AS (SELECT conv_id, turn, CAST(length(text) % 4 AS INT) + 1 AS level FROM conversations)
+SELECT conv_id, turn, level, coalesce(level > lag(level) OVER (PARTITION BY conv_id ORDER BY turn) + 1, false) AS jump FROM k""")
+def level_jump_warnings(s, d):
+    c = table(s, d, "conversations").select("conv_id", "turn", (F.length("text") % 4 + 1).alias("level"))
+    return X.level_jumps(c, "conv_id", "turn", "level")
+
+
+@query("SELECT conv_id, turn, coalesce(turn <> lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) + 1, false) AS break FROM conversations")
+def number_discontinuities(s, d):
+    return X.number_breaks(table(s, d, "conversations").select("conv_id", "turn"), ["conv_id"], "turn", "turn")
+
+
+@query("""
+WITH h AS (SELECT conv_id, turn, CAST(length(text) % 4 AS INT) + 1 AS level, 't' || turn AS title FROM conversations)
+SELECT a.conv_id, a.turn, a.level, coalesce((SELECT string_agg(b.title, '/' ORDER BY b.turn) FROM h b WHERE b.conv_id = a.conv_id AND b.turn < a.turn AND b.level < a.level
+  AND NOT EXISTS (SELECT 1 FROM h c WHERE c.conv_id = a.conv_id AND c.turn > b.turn AND c.turn < a.turn AND c.level <= b.level)), '') AS path FROM h a""")
+def heading_stack_paths(s, d):
+    h = table(s, d, "conversations").select("conv_id", "turn", (F.length("text") % 4 + 1).alias("level"), F.concat(F.lit("t"), F.col("turn")).alias("title"))
+    return X.heading_paths(h, "conv_id", "turn", "level", "title", 5).select("conv_id", "turn", "level", F.array_join("parents", "/").alias("path"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN len(p) > 3 THEN length(p[1]) + length(p[2]) + length(p[3]) + 2 * 2 + 1 ELSE 0 END AS place FROM (SELECT doc_id, string_split(text, 'th') AS p FROM documents)""")
+def numbered_occurrence(s, d):
+    return table(s, d, "documents").select("doc_id", X.nth_place(F.col("text"), F.lit("th"), 3).cast("long").alias("place"))
+
+
+@query("""
+WITH x AS (SELECT doc_id, text, length(text) AS n FROM documents), p AS (SELECT doc_id, text, n, unnest(range(0, 5)) AS i FROM x WHERE n > 300 UNION ALL SELECT doc_id, text, n, 0 FROM x WHERE n <= 300),
+s AS (SELECT DISTINCT doc_id, text, CAST(CASE WHEN n <= 300 THEN 0 ELSE round_even(i * (n - 300) / 4.0, 0) END AS BIGINT) AS start FROM p),
+m AS (SELECT doc_id, text, start, CASE WHEN strpos(substr(text, start + 1), chr(10)) = 0 THEN 0 ELSE strpos(substr(text, start + 1), chr(10)) + start END AS nl, row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1 AS k FROM s)
+SELECT doc_id, CAST(k AS INT) AS sample_no, CAST(CASE WHEN start > 0 AND nl > 0 AND nl - start < 300 THEN nl ELSE start END AS INT) AS start,
+ sha256(substr(text, CASE WHEN start > 0 AND nl > 0 AND nl - start < 300 THEN nl ELSE start END + 1, 300)) AS h FROM m""")
+def distributed_samples(s, d):
+    x = X.spread_samples(table(s, d, "documents").select("doc_id", "text"), "doc_id", "text", 300, 5)
+    return x.select("doc_id", "sample_no", "start", F.sha2("sample", 256).alias("h"))
+
+
+@query(f"""
+WITH {LINES}, f AS (SELECT doc_id, line_no, count(*) OVER (PARTITION BY doc_id) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k FROM l WHERE trim(line) <> ''),
+q AS (SELECT doc_id, line_no, unnest([0.1, 0.5, 0.9]) AS share, n, k FROM f)
+SELECT doc_id, share::DOUBLE AS share, line_no AS line, greatest(line_no - 24, 1) AS first, line_no + 24 AS last FROM q WHERE k = floor((n - 1) * share) + 1""")
+def fractile_samples(s, d):
+    return X.fractile_windows(X.lines(table(s, d, "documents")), "doc_id", "line_no", "line", [0.1, 0.5, 0.9], 24)
+
+
+@query(f"""
+WITH {LINES}, z AS (SELECT doc_id, line_no, length(line) AS score, max(line_no) OVER (PARTITION BY doc_id) AS n FROM l),
+y AS (SELECT *, CAST(least(floor((line_no - 1) * 6.0 / n), 5) AS INT) AS zone FROM z), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, zone ORDER BY score DESC, abs(line_no - (zone + 0.5) * n / 6), line_no) AS r FROM y)
+SELECT doc_id, line_no, score, zone FROM r WHERE r = 1""")
+def zoned_samples(s, d):
+    return X.zone_picks(X.lines(table(s, d, "documents")).select("doc_id", "line_no", F.length("line").cast("long").alias("score")), "doc_id", "line_no", "score", 6)
+
+
+@query(f"WITH {LINES} SELECT doc_id, min(line_no) FILTER (length(line) > 200) AS body_start, min(line_no) AS first_line FROM l GROUP BY 1")
+def first_line_filters(s, d):
+    return X.lines(table(s, d, "documents")).groupBy("doc_id").agg(F.min(F.when(F.length("line") > 200, F.col("line_no"))).alias("body_start"), F.min("line_no").alias("first_line"))
+
+
+@query("""
+SELECT event_id, event_type, CASE WHEN count(*) OVER w = 20 THEN sum((value > 60)::INT) OVER w / 20.0::DOUBLE END AS rate FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""")
+def circuit_breaker_window(s, d):
+    return X.failure_rate(table(s, d, "events"), "event_type", ["ts", "event_id"], F.col("value") > 60, 20).select("event_id", "event_type", "rate")
+
+
+@query("""
+WITH b AS (SELECT event_id, user_id, ts, (value > 20)::INT AS busy FROM events), r AS (SELECT *, sum(busy) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM b),
+k AS (SELECT *, sum(1 - busy) OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS k FROM r)
+SELECT event_id, user_id FROM k WHERE busy = 0 AND k >= 2""")
+def idle_gate(s, d):
+    return X.quiet_runs(table(s, d, "events").select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], F.col("value") > 20, 2).select("event_id", "user_id")
+
+
+@query("SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type, count(*) AS n FROM events GROUP BY 1")
+def latest_per_key(s, d):
+    g = table(s, d, "events").groupBy("user_id").agg(F.max_by(F.struct("event_id", "event_type"), F.struct("ts", "event_id")).alias("m"), F.count("*").alias("n"))
+    return g.select("user_id", "m.event_id", "m.event_type", "n")
+
+
+@query("""
+WITH t AS (SELECT min(event_type) AS a, max(event_type) AS b FROM events), s AS (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events)
+SELECT x.user_id, CAST(x.n AS INT) AS n, x.t AS start, y.t AS end FROM (SELECT * FROM s, t WHERE event_type = a) x LEFT JOIN (SELECT * FROM s, t WHERE event_type = b) y ON x.user_id = y.user_id AND x.n = y.n""")
+def start_finish_pairs(s, d):
+    """Two event types taken as starts and finishes, paired first in, first out."""
+    e = table(s, d, "events").withColumn("t", seconds(F.col("ts")))
+    ends = e.agg(F.min("event_type").alias("a"), F.max("event_type").alias("b")).first()
+    return X.paired(e, ["user_id"], ["ts", "event_id"], "event_type", ends.a, ends.b, "t")
+
+
+@query("""
+WITH e AS (SELECT user_id, event_id, CAST(floor(epoch(ts)) AS BIGINT) AS t, event_type FROM events)
+SELECT user_id, count(*) AS records, max(t) - min(t) AS seconds, CASE WHEN max(t) > min(t) THEN round(count(*) / (max(t) - min(t))::DOUBLE, 9) END AS per_second FROM e GROUP BY 1""")
+def throughput_per_run(s, d):
+    g = table(s, d, "events").withColumn("t", seconds(F.col("ts"))).groupBy("user_id").agg(F.count("*").alias("records"), (F.max("t") - F.min("t")).alias("seconds"))
+    return g.withColumn("per_second", F.when(F.col("seconds") > 0, F.round(F.col("records") / F.col("seconds"), 9)))
+
+
+@query("""
+SELECT doc_id, count(*) AS n_units, sha256(text) AS h FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) FROM documents) GROUP BY doc_id, text""")
+def markdown_units(s, d):
+    """Lossless units: put together in order they are the text again. In these plain texts each line is a unit."""
+    u = G.units(table(s, d, "documents").select("doc_id", "text"))
+    g = u.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("unit_no", "text"))).alias("u"), F.sum(F.col("end_line") - F.col("start_line") + 1).alias("n_units"))
+    return g.select("doc_id", "n_units", F.sha2(F.array_join(F.transform("u", lambda x: x["text"]), ""), 256).alias("h"))
+
+
+@query("SELECT doc_id, CAST(ceil(length(text) / 800.0) AS BIGINT) >= 1 AS some, length(text) AS n_chars, sha256(text) AS h FROM documents")
+def chunk_pack(s, d):
+    """Chunks of at most 800 characters, whole lines and sentences where possible; together they are the text."""
+    c = G.chunks(table(s, d, "documents").select("doc_id", "text"), budget=800)
+    g = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_no", "text"))).alias("c"), F.max(F.length("text")).alias("m"))
+    whole = F.array_join(F.transform("c", lambda x: x["text"]), "")
+    return g.select("doc_id", (F.col("m") <= 800).alias("some"), F.length(whole).cast("long").alias("n_chars"), F.sha2(whole, 256).alias("h"))
+
+
+@query(f"""
+WITH {LINES} SELECT doc_id, CAST(line_no AS INT) AS line_no, CASE WHEN regexp_matches(line, '^#{{1,6}} ') THEN 'markdown' ELSE 'numbered' END AS method FROM l
+WHERE regexp_matches(line, '^#{{1,6}} +[^ ]') OR (regexp_matches(line, '^ *[0-9]+([.][0-9]+)*[.)]? +[A-Z]') AND length(line) <= 120 AND NOT regexp_matches(line, '[.;:] *$'))""")
+def heading_extract(s, d):
+    return G.headings(X.lines(table(s, d, "documents"))).where(F.col("method").isin("markdown", "numbered")).select("doc_id", "line_no", "method")
+
+
+@query(f"""WITH {LINES} SELECT doc_id, line_no, regexp_extract(line, '^ *([0-9]+[.)]|[-*]) +(.*)$', 2) AS item FROM l WHERE regexp_matches(line, '^ *([0-9]+[.)]|[-*]) +[^ ]')""")
+def list_items_extract(s, d):
+    return G.list_items(X.lines(table(s, d, "documents"))).select("doc_id", "line_no", "item")
+
+
+@query("SELECT doc_id, CAST(len(regexp_extract_all(text, '[^.!?\n]+([.!?]+|\n|$)')) AS BIGINT) AS n FROM documents")
+def sentence_units(s, d):
+    return G.sentences(table(s, d, "documents").select("doc_id", "text")).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+WITH {LINES}, m AS (SELECT doc_id, line_no, line, max(line_no) OVER (PARTITION BY doc_id) AS n FROM l)
+SELECT doc_id, CAST(least(floor((line_no - 1) * 12.0 / n), 11) AS INT) AS region, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars, count(*) FILTER (regexp_matches(line, '[0-9]')) AS n_digits FROM m GROUP BY 1, 2""")
+def structure_metrics(s, d):
+    return G.region_metrics(X.lines(table(s, d, "documents")), 12)
+
+
+@query("""
+WITH x AS (SELECT doc_id, text, length(text) AS n FROM documents), p AS (SELECT DISTINCT doc_id, text, CAST(floor(i * (n - 1000) / 6) AS BIGINT) AS st FROM (SELECT *, unnest(range(0, 7)) AS i FROM x WHERE n > 7000))
+SELECT doc_id, CAST(count(DISTINCT substr(text, st + 1, 1000)) AS BIGINT) AS n_samples FROM p GROUP BY 1 UNION ALL SELECT doc_id, 1 FROM x WHERE n <= 7000""")
+def language_samples(s, d):
+    x = table(s, d, "documents").select("doc_id", G.language_samples(F.col("text")).alias("samples"))
+    return x.select("doc_id", F.size("samples").cast("long").alias("n_samples"))
+
+
+@query("SELECT page_id, CAST(len(regexp_extract_all(html, '<a href=')) AS BIGINT) AS n_links, length(regexp_replace(regexp_replace(html, '<(script|style)[^>]*>[^<]*</(script|style)>', '', 'g'), '<[^>]*>', '', 'g')) AS n_text FROM pages")
+def html_format_cleanup(s, d):
+    return table(s, d, "pages").select("page_id", F.regexp_count("html", F.lit("<a href=")).cast("long").alias("n_links"), F.length(G.plain_html(F.col("html"))).cast("long").alias("n_text"))
+
+
+@query("SELECT doc_id, trim(string_split(text, chr(10))[1]) AS title FROM documents WHERE length(trim(string_split(text, chr(10))[1])) BETWEEN 2 AND 100 AND NOT regexp_matches(trim(string_split(text, chr(10))[1]), '^(#|[-*]|https?:)')")
+def title_guess(s, d):
+    x = table(s, d, "documents").select("doc_id", F.trim(F.split("text", "\n")[0]).alias("first"), G.title_guess(F.col("text"), F.lit("stem")).alias("title"))
+    return x.where("title = first").select("doc_id", "title")
