@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,19 +27,20 @@ def written(df: DataFrame) -> DataFrame:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for the nodes of ``edges(a, b)``; a component is named by its smallest node. Alternating star
     steps: each takes a minimum per node, pre-aggregated, and a join that can be split."""
-    e = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
-    for _ in range(max_rounds):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        e = written(small.where("u <> v").distinct())
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if before == now:
+    e, before = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), None
+    for k in range(max_rounds):
+        if k:
+            both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+            e = small.where("u <> v").distinct()
+        seen = Observation()  # tells, while a step is written, whether it changed anything
+        e = written(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+        if before == seen.get or not seen.get["n"]:
             break
-        before = now
+        before = seen.get
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
