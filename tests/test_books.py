@@ -41,7 +41,7 @@ def test_collections_and_risks(spark):
 def test_dictionary_gates(spark):
     assert ev(spark, B.foreign_dictionary_title(L("德汉机械词典"))) and not ev(spark, B.foreign_dictionary_title(L("英汉词典")))
     h = ev(spark, B.foreign_headings(L("\n".join(f"# ΑΒΓΔ{k}" for k in range(6)))))
-    assert h.signal and h.count == 6
+    assert h.signal and h["count"] == 6
     t = ev(spark, B.traditional_ratio(L("體" * 600 + "中" * 600), "體"))
     assert (t.chars, t.variants, t.body) == (1200, 600, True)
     g = ev(spark, B.document_gates(L("PASS"), L(False), L(True)))
