@@ -313,3 +313,24 @@ def bibliographic_regions(units_: DataFrame, ident: str = "doc_id") -> DataFrame
     n = sum((near.rlike(p).cast("int") for p in signals[1:]), near.rlike(signals[0]).cast("int"))
     k, all_ = F.row_number().over(w), F.count("*").over(W.partitionBy(ident))
     return full.withColumn("signals", n).withColumn("_k", k).withColumn("_n", all_).where(((F.col("_k") <= F.ceil(F.col("_n") / 20)) | (F.col("_k") > F.col("_n") - F.ceil(F.col("_n") / 20))) & (F.col("signals") >= 2)).drop("_k", "_n")
+
+
+def grouped_names(items: DataFrame, ident: str, term: str, order: str) -> DataFrame:
+    """Terms that differ only in case as one: the first spelling and the ascending places of all. A blank term names nothing."""
+    key = F.lower(F.trim(term))
+    g = items.where(F.trim(term) != "").groupBy(ident, key.alias("key"))
+    return g.agg(F.min_by(term, order).alias("name"), F.array_sort(F.collect_list(order)).alias("places"))
+
+
+ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "St", "No", "Fig", "Vol", "pp", "cf", "vs", "etc", "e.g", "i.e")
+
+
+def trimmed_tail(body: Column) -> Column:
+    """A body cut after its last whole sentence, if it breaks off: its last line ends without a sentence mark, in a hyphen, or
+    in an abbreviation's dot. A body without any whole sentence stays as it is; null stays null."""
+    short = "|".join(re.escape(a) for a in ABBREVIATIONS)
+    end = rf"(?:(?<!\b(?:{short}))\.|[!?。！？])[\"'”’)\]]*"
+    t = F.rtrim(F.regexp_replace(body, r"\s+\z", ""))
+    whole = t.rlike(rf"(?s){end}\z")
+    cut = F.regexp_extract(t, rf"(?s)\A(.*{end})(?=\s|(?<=[。！？”’]))", 1)
+    return F.when(whole | (cut == ""), t).otherwise(cut)

@@ -213,3 +213,19 @@ def calibrated(df: DataFrame, *, decision: str, depth: str, path_score: str, lev
     pick = lambda c: F.when(accepted, F.bround(c, 6)).otherwise(zero)
     cal = F.struct(pick(F.col("_dir")).alias("direction"), pick(F.col("_spec")).alias("specificity"), F.bround("_n", 6).alias("norm_score"), pick(F.col("_all")).alias("overall"), pick(F.col("_pen")).alias("penalty"), F.when(accepted, tier).otherwise("not_accepted").alias("tier"), F.when(accepted, flags).otherwise(F.array(F.concat(F.lit("decision:"), F.col(decision)))).alias("flags"))
     return d.withColumn("cal", cal).drop("_n", "_top", "_deep", "_dir", "_spec", "_pen", "_all")
+
+
+def constrained(df: DataFrame, candidates: str, rules: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Routing candidates that satisfy all plugged-in rules, and in ``vetoes`` the rules that took one away. A rule that is
+    null for a candidate does not take it away; without rules all stay."""
+    def broken(rule):
+        return lambda x: ~F.coalesce(rule(x), F.lit(True))
+
+    def held(rule):
+        return lambda x: F.coalesce(rule(x), F.lit(True))
+
+    names = [F.when(F.exists(candidates, broken(f)), F.lit(n)) for n, f in rules.items()]
+    out = df.withColumn("vetoes", F.array_compact(F.array(*names)) if names else F.array().cast("array<string>"))
+    for f in rules.values():
+        out = out.withColumn(candidates, F.filter(candidates, held(f)))
+    return out
