@@ -77,6 +77,17 @@ def test_layout_references(spark, text, want):
     assert one(spark, text, lambda c: R.clean_context(c, 0)["text"]) == want
 
 
+def test_two_origins_take_every_document(spark):
+    from loomwright.plans.q_dedup import two_origin_merge
+
+    d = "/root/testdata/sf0.01"
+    rows = two_origin_merge(spark, d).collect()
+    want = {(r.doc_id % 2, r.doc_id) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id").collect()}
+    assert len(rows) == len(want) and {(r.origin, r.pos) for r in rows} == want
+    ids = [r.id for r in rows if r.kept]
+    assert len(ids) == len(set(ids)) and any("non_dictionary" in x for x in ids)
+
+
 def test_units_are_lossless(spark):
     r = random.Random(1)
     pieces = ["# A\n", "## B ##\n", "text\n", "\n", "```\ncode\n# no\n```\n", "| a | b |\n|---|---|\n| 1 | 2 |\n", "- x\n  more\n", "$$\nx\n$$\n", "Head\n====\n", "<div>\nx\n</div>\n", "1. one\n2. two\n"]
