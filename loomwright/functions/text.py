@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 CJK = "㐀-鿿"
 #: Opening marks and their closing ones (fixed values).
 QUOTES = {'"': '"', "'": "'", "“": "”", "‘": "’", "《": "》"}
+#: Unicode white space, as (?U)\s has it.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】"}
 
 
@@ -115,24 +117,14 @@ def outer_quotes_off(c: Column) -> Column:
     return let(strip(c), off)
 
 
-def loose_brackets_off(c: Column, rounds: int = 4) -> Column:
-    """Brackets at the edges without their partner off, up to ``rounds`` at either end (longer runs are not titles)."""
-    def first(t: Column) -> Column:
-        lone = F.lit(False)
-        for a, b in BRACKETS.items():
-            lone |= F.startswith(t, F.lit(a)) & ~F.contains(t, F.lit(b))
-        return F.when(lone, strip(t.substr(F.lit(2), F.length(t)))).otherwise(t)
-
-    def last(t: Column) -> Column:
-        lone = F.lit(False)
-        for a, b in BRACKETS.items():
-            lone |= F.endswith(t, F.lit(b)) & ~F.contains(t, F.lit(a))
-        return F.when(lone, strip(t.substr(F.lit(1), F.length(t) - 1))).otherwise(t)
-
-    t = strip(c)
-    for step in [first] * rounds + [last] * rounds:
-        t = let(t, step)
-    return t
+def loose_brackets_off(c: Column) -> Column:
+    """All brackets at the edges without their partner off, and the white space among them: first those that open, then
+    those that close. Taking off brackets of one side never gives another a partner, so one trim a side is the whole loop."""
+    def lone(t: Column, pairs: dict[str, str]) -> Column:
+        return F.concat(F.lit(WHITE), *[F.when(F.contains(t, F.lit(b)), F.lit("")).otherwise(F.lit(a)) for a, b in pairs.items()])
+
+    t = let(strip(c), lambda t: F.ltrim(t, lone(t, BRACKETS)))
+    return let(t, lambda t: F.rtrim(t, lone(t, {b: a for a, b in BRACKETS.items()})))
 
 
 def join_unique(cols: list[Column], sep: str = "\n") -> Column:

@@ -65,6 +65,13 @@ def test_two_origins_rename(spark):
     assert got == {(0, 0): ("1", True), (1, 0): ("s_non_dictionary_1", True), (1, 1): ("2", False)}
 
 
+def test_loose_brackets_off_whole_runs(spark):
+    raw = ["(((((name", "name)))))", "((((((( [ [{ name", "(((((a)", "]]]]]] name ]]]]]] )", "(a) b)))))", "((((((", "", "（（（（（ 名 】】】】】", None]
+    want = ["name", "name", "name", "(((((a)", "]]]]]] name", "(a) b)))))", "", "", "名", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(raw)], "i int, x string").withColumn("x", T.loose_brackets_off(F.col("x"))).orderBy("i")
+    assert [r.x for r in df.collect()] == want
+
+
 @pytest.mark.parametrize("raw,text,reason", [("## 3.1 弹性模量", "弹性模量", None), ("“应力”", "应力", None), ("(open", "open", None), ("图 2-1", "图 2-1", "figure_or_table_title"), ("例 3", "例 3", "worked_example_title"), ("目录", "目录", "structural_or_metadata_title"), ("2020年5月", "2020年5月", "bare_number_or_date"), ("A", "A", "single_latin_letter"), ("", "", "empty_title"), ("a@b.com", "a@b.com", "url_or_email_title"), ("锟斤拷锟", "锟斤拷锟", "garbled_title"), ("【学习目标】 力", "力", None), ("&lt;偏移&gt; 命令", "<偏移> 命令", None)])
 def test_clean_title(spark, raw, text, reason):
     df = spark.createDataFrame([(raw,)], "x string").withColumn("t", T.normalize_text(F.col("x"))).select(R.clean_title(F.col("t")).alias("c"))
