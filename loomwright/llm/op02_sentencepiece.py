@@ -5,6 +5,8 @@ words go through it in lockstep as arrays, long ones one by one through a heap.
 No piece of the vocabulary spans a word boundary or a line feed (checked when the model is loaded; other vocabularies
 are encoded text by text), so a text is encoded word by word and each distinct word once per worker. Every word that
 enters the word cache is checked against the sentencepiece library, in the same Arrow batch; a difference is an error.
+Not checked are words with a last ``.`` or ``,`` that no piece joins to the letter before it: only the word without the mark
+is checked, and the mark's id is appended.
 Decoding is the library's ``decode(ids)``.
 
 Null texts count as empty; an empty text has no ids and decodes to the empty string. Other columns are ignored, repeated
