@@ -4,7 +4,8 @@ Encoding is our own: a score-ordered agenda of adjacent symbol pairs, merged bes
 words go through it in lockstep as arrays, long ones one by one through a heap.
 No piece of the vocabulary spans a word boundary or a line feed (checked when the model is loaded; other vocabularies
 are encoded text by text), so a text is encoded word by word and each distinct word once per worker. Every word that
-enters the word cache is checked against the sentencepiece library, in the same Arrow batch; a difference is an error.
+enters the word cache is checked against the sentencepiece library, in the same Arrow batch; where they differ, the library's ids
+are taken and the word is counted.
 Not checked are words with a last ``.`` or ``,`` that no piece joins to the letter before it: only the word without the mark
 is checked, and the mark's id is appended.
 Decoding is the library's ``decode(ids)``.
@@ -158,6 +159,9 @@ class AgendaEncoder:
         self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.agenda = Agenda.of_pieces(self.ids, self.scores)
         self.cache: dict[str, tuple[list[int], str]] = {}
+        self.opening = lib.encode("\n")
+        #: Words for which the library's ids, not the agenda's, were taken.
+        self.differences = 0
 
     def merge(self, text: str) -> list[int]:
         """Symbol ids of one long normalised text (spaces as marks), by a heap."""
@@ -218,34 +222,43 @@ class AgendaEncoder:
         return parts.split(" ")
 
     def learn(self, words: set[str]) -> None:
-        """Encode new words by the agenda and check them against the library."""
+        """Encode new words by the agenda and check them against the library; where they differ, the library's ids hold."""
         todo = words.difference(self.cache)
         if len(self.cache) + len(todo) > CACHE_WORDS:
             self.cache.clear()
             todo = words
-        if not todo:
-            return
         # a full stop or comma that no piece joins to the letter before it is encoded apart
         tails = {w for w in todo if w[-1:] in TAILS and w[-2:-1].isalpha() and w[-2:] not in self.joined} if self.by_word else set()
-        todo = [*(todo - tails), *{w[:-1] for w in tails}.difference(todo, self.cache)]
-        plain = [w if w[:1] == "\n" and self.by_word else (MARK + w).replace(" ", MARK) for w in todo]
+        base = sorted((todo - tails) | {w[:-1] for w in tails}.difference(self.cache))
+        plain = [self._marked(w) for w in base]
         short = [k for k, w in enumerate(plain) if len(w) <= LONG]
-        found = dict(zip(short, self.agenda.encode([plain[k] for k in short]), strict=True))
+        found = dict(zip(short, self.agenda.encode([plain[k] for k in short]), strict=True)) if short else {}
         ours = [self.spelled(found[k] if k in found else self.merge(w)) for k, w in enumerate(plain)]
-        # one text of all new words; the library puts a mark before it
-        lone = plain[0][:1] == "\n"
-        theirs = self.lib.encode("".join(plain)[0 if lone else 1 :])
-        if list(chain.from_iterable(ours)) != (theirs[1:] if lone else theirs) and self.by_word:
-            raise ValueError("agenda and library differ")
-        if not self.by_word and any(o != self.lib.encode(w) for o, w in zip(ours, todo, strict=True)):
-            raise ValueError("agenda and library differ")
-        for w, o in zip(todo, ours, strict=True):
+        # a word of marks alone would run into the next one, so it is checked on its own
+        lone = [k for k, w in enumerate(plain) if not self.by_word or not w.strip(MARK)]
+        joined = [k for k, w in enumerate(plain) if self.by_word and w.strip(MARK)]
+        if joined and list(chain.from_iterable([ours[k] for k in joined])) != self._library("".join([plain[k] for k in joined])):
+            lone += joined
+        for k in lone:
+            theirs = self._library(plain[k]) if self.by_word else self.lib.encode(base[k])
+            if ours[k] != theirs:
+                ours[k] = theirs
+                self.differences += 1
+        for w, o in zip(base, ours, strict=True):
             self.cache[w] = o, ",".join(map(str, o))
         for w in tails:
             a, s = self.cache[w[:-1]]
             t = self.ids[w[-1]] if w[-1] in self.ids else self.bytes[ord(w[-1])]
             self.cache[w] = [*a, t], f"{s},{t}"
 
+    def _marked(self, word: str) -> str:
+        return word if word[:1] == "\n" and self.by_word else (MARK + word).replace(" ", MARK)
+
+    def _library(self, marked: str) -> list[int]:
+        """The library's ids of parts that stand for themselves. It puts a mark before a text, so a line feed, which no
+        piece holds, goes first: its two ids are cut off."""
+        return self.lib.encode("\n" + marked)[len(self.opening) :]
+
     def parts(self, texts: list[str]) -> list[list[tuple[list[int], str]]]:
         """For each text its words' (ids, decimal ids)."""
         cut = [self.words(t) for t in texts]
