@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomwright.functions import text as T
 from loomwright.operators import aggregates as A
 from loomwright.operators import dedup as D
+from loomwright.operators import graph
 from loomwright.operators import joins as J
 from loomwright.operators import rules as R
 from loomwright.operators import sampling as S
@@ -39,6 +40,47 @@ def test_greedy_equals_sequential(spark, seed):
     assert {g.pos: (g.kept, g.kept_by) for g in D.greedy(df, -F.col("n")).collect()} == want
 
 
+def test_greedy_on_a_long_chain(spark):
+    """Each row shares a key with the next; the greedy rule keeps every other row, whatever the chain's length."""
+    n = 5000
+    df = spark.range(n).selectExpr("id as pos", "array(string(id), string(id + 1)) as keys")
+    got = {r.pos: r.kept for r in D.greedy(df, F.col("pos")).collect()}
+    assert got == {k: k % 2 == 0 for k in range(n)}
+
+
+@pytest.mark.parametrize("rows", [0, 3, 40])
+def test_greedy_by_components(spark, monkeypatch, rows):
+    """With little room in one task, small components are walked and large ones go on in rounds: the same rows stay."""
+    monkeypatch.setattr(D, "ROUNDS", 1)
+    monkeypatch.setattr(D, "ONE_TASK_ROWS", rows)
+    data = [(k, [f"a{k // 2}", f"b{(k + 1) // 2}"]) for k in range(12)] + [(100 + k, [f"c{k // 30}", f"d{k}"]) for k in range(60)] + [(300, ["e"]), (301, ["e", "f"]), (302, ["f"])]
+    df = spark.createDataFrame(data, "pos int, keys array<string>")
+    claimed, want = set(), {}
+    for p, keys in data:
+        want[p] = claimed.isdisjoint(keys)
+        if want[p]:
+            claimed.update(keys)
+    assert {r.pos: r.kept for r in D.greedy(df, F.col("pos")).collect()} == want
+
+
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_components_by_steps_and_in_one_task(spark, monkeypatch, limit):
+    monkeypatch.setattr(graph, "ONE_TASK_EDGES", limit)
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (5, 5)]
+    got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 140)}, 200: 200, 201: 200}
+
+
+def test_alone_clears_up(spark):
+    import os
+
+    there = lambda: {p for p in os.listdir(spark.sparkContext.getConf().get("spark.checkpoint.dir")) if p.startswith("lw-")}
+    before = there()
+    out = graph.alone(spark, lambda: graph.written(graph.written(spark.range(3)).selectExpr("id + 1 as id")).selectExpr("id * 2 as id"))
+    assert sorted(r.id for r in out.collect()) == [2, 4, 6]
+    assert len(there() - before) == 1
+
+
 def test_naive_window_differs(spark):
     df = spark.createDataFrame([(0, ["x", "p"], 3), (1, ["x", "q"], 2), (2, ["y", "q"], 1)], "pos long, keys array<string>, n int")
     assert {g.pos for g in D.greedy(df, -F.col("n")).where("kept").collect()} == {0, 2}
