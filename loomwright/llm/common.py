@@ -1,40 +1,36 @@
-"""Shared helpers: scratch tables, Arrow maps with bounded batches, connected components."""
+"""Shared helpers: Arrow maps with bounded batches, column names that cannot clash; scratch tables and components are the
+library's own."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from ..operators.graph import alone, components, temporary, written
+
+__all__ = ["BATCH_ROWS", "alone", "arrow_map", "components", "free_name", "short_batches", "temporary", "written"]
+
 #: Rows in an Arrow batch; whole texts can be long, so batches are short.
 BATCH_ROWS = 512
 
 
-def scratch(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one of our own only where that is unset (tests)."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"/tmp/loomwright-{spark.sparkContext.applicationId}"
-    return f"{base.rstrip('/')}/lw-{uuid.uuid4().hex[:16]}"
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that begins like ``name`` and that ``df`` does not have, whatever the case of letters."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
 
 
-def written(df: DataFrame, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it again, so lost executors cost nothing upstream."""
-    spark, path = df.sparkSession, scratch(df.sparkSession)
-    schema = df.schema
-    writer = df.write.format(fmt)
-    if fmt == "parquet":
-        writer = writer.option("compression", "zstd")
-    for k, v in options.items():
-        writer = writer.option(k, v)
-    writer.save(path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(schema).format(fmt).load(path)
+def short_batches(df: DataFrame) -> None:
+    """Let Spark send at most BATCH_ROWS rows to Python at once. The setting is read when a plan is made and there is none
+    for a single map, so it stays for the session: later maps get short batches too, with the same rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(key)) > BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
@@ -45,38 +41,5 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                 if (out := fn(batch.slice(k, BATCH_ROWS))) is not None:
                     yield out
 
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(df.sparkSession.conf.get(key)) > BATCH_ROWS:
-        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    short_batches(df)
     return df.mapInArrow(run, schema)
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of ``edges(a, b)`` as (node, component): component is the smallest node reachable.
-
-    Alternating large-star and small-star steps: each only needs a minimum per node (pre-aggregated before the
-    shuffle) and a join that AQE can split, so a hub with very many neighbours never meets one task. What shows that
-    nothing changed any more is observed while a step is written.
-    """
-    e, before = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), None
-    for k in range(max_rounds):
-        if k:
-            both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-            large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            large = large.where("u <> v").distinct()
-            low = large.groupBy("u").agg(F.min("v").alias("m"))
-            joined = large.join(low, "u")
-            small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-            e = small.where("u <> v").distinct()
-        seen = Observation()
-        e = written(e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
-        if before == seen.get:
-            break
-        before = seen.get
-        if not before["n"]:
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    roots = e.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct()

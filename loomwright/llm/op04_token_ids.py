@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, arrow_map, scratch
+from .common import BATCH_ROWS, arrow_map, short_batches, temporary
 from .op02_sentencepiece import Agenda
 
 CACHE_WORDS = 600_000
@@ -144,8 +144,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, out: str, *, end_id: int = 1
                 pos += n
 
     spark = docs.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    short_batches(docs)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = partitions or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = d.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -183,8 +182,6 @@ def positions(ids: DataFrame) -> DataFrame:
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    out = scratch(spark)
+    out = temporary(spark)
     write_ids(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json"), out)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(out)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return positions(read_ids(spark, out))

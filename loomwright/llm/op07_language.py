@@ -5,8 +5,10 @@ frequency in the text times inverse document frequency. Weights are learnt one d
 elastic-net penalties (per-coordinate steps; small sums give exact zeros), then the temperature of the softmax is fitted
 on a part of the sample that was not learnt from.
 
-The sample is bounded: of the rows with a language that ``train`` lets in, the SAMPLE_ROWS whose id hashes lowest, whole
-texts. A text's logits are means over all its n-grams, taken with array operations over many texts at once.
+The sample that weights are learnt from is bounded: SAMPLE_ROWS of the rows with a language that ``train`` lets in, whole
+texts, shared out evenly among the languages (of a language with fewer, all), those whose id and text hash lowest. With
+more than SAMPLE_ROWS languages, that many of the commonest are learnt. Document frequencies are counted over all rows that
+``train`` lets in. A text's logits are means over all its n-grams, taken with array operations over many texts at once.
 
 Texts that are null or have no letter get ``und`` with score 0. Without any labelled row all texts are ``und``. Repeated
 rows are judged alike; other columns are not read.
@@ -15,13 +17,15 @@ rows are judged alike; other columns are not read.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, short_batches
 
 SAMPLE_ROWS = 1000
 #: N-grams of 1 to so many characters, hashed into 2 ** BITS buckets.
@@ -143,24 +147,58 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def fit(rows: list[tuple[str, str]]) -> Model:
-    """Learn from (text, language) pairs."""
+def _bucket_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text's n-grams and how often each is met."""
+    c, n = characters(text), np.zeros(1 << BITS, np.int32)
+    for a in range(0, len(c), STEP):
+        for at, ok in buckets(c[a : a + STEP + NGRAMS - 1]):
+            n += np.bincount(at[:STEP][ok[:STEP]], minlength=1 << BITS).astype(np.int32)
+    k = np.flatnonzero(n).astype(np.int32)
+    return k, n[k]
+
+
+def document_frequencies(texts: DataFrame, wanted: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many texts of the only column have letters, and in how many each bucket is met, for the wanted buckets. Each
+    task sums over its texts before anything is shuffled; no more than a row per wanted bucket reaches the driver."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)  # 2 ** BITS flags
+
+    def run(batches):
+        n, mark, total = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.bool_), 0
+        for batch in batches:
+            for t in batch.column(0):
+                c = characters(t.as_py() or "")
+                total += len(c) > 0
+                for a in range(0, len(c), STEP):
+                    for at, ok in buckets(c[a : a + STEP + NGRAMS - 1]):
+                        mark[at[ok]] = True
+                if len(c):
+                    k = np.flatnonzero(mark)
+                    n[k] += 1
+                    mark[k] = False
+        k = np.flatnonzero((n > 0) & shared.value)
+        yield pa.record_batch([pa.array([-1, *k.tolist()], pa.int32()), pa.array([total, *n[k].tolist()], pa.int64())], names=["bucket", "n"])
+
+    short_batches(texts)
+    found = texts.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    at, n, seen = found.column(0).to_numpy(), found.column(1).to_numpy(), np.zeros(1 << BITS)
+    seen[at[at >= 0]] = n[at >= 0]
+    return int(n[at < 0].sum()), seen
+
+
+def fit(rows: list[tuple[str, str]], frequencies: Callable[[np.ndarray], tuple[int, np.ndarray]] | None = None) -> Model:
+    """Learn from (text, language) pairs. ``frequencies`` gives document frequencies; without it they are the pairs' own."""
     langs = sorted({lang for _, lang in rows})
     if not langs:
         return Model([], np.zeros((0, 0)), np.zeros(0))
     docs, size = [], 1 << BITS
-    seen = np.zeros(size)
+    own = np.zeros(size)
     for text, lang in rows:
-        c = characters(text)
-        if len(c):
-            n = np.zeros(size, np.int32)
-            for a in range(0, len(c), STEP):
-                for at, ok in buckets(c[a : a + STEP + NGRAMS - 1]):
-                    n += np.bincount(at[:STEP][ok[:STEP]], minlength=size).astype(np.int32)
-            k = np.flatnonzero(n).astype(np.int32)
-            docs.append((k, n[k], langs.index(lang)))
-            seen[k] += 1
-    idf = np.log((1 + len(docs)) / (1 + seen)) + 1.0
+        k, n = _bucket_counts(text)
+        if len(k):
+            docs.append((k, n, langs.index(lang)))
+            own[k] += 1
+    total, seen = frequencies(own > 0) if frequencies else (len(docs), own)
+    idf = np.log((1 + total) / (1 + seen)) + 1.0
     data = [(k, (Model.SCALE * n / n.sum() * idf[k]).astype(np.float32), y) for k, n, y in docs]
     docs.clear()
     held = [d for k, d in enumerate(data) if k % 5 == 0]
@@ -189,15 +227,19 @@ def fit(rows: list[tuple[str, str]]) -> Model:
 
 
 def temperature(scored: list[tuple[np.ndarray, int]]) -> float:
-    """The temperature of least log loss on held-out logits, by golden section over its logarithm."""
+    """The temperature of least log loss on held-out logits, by golden section over its logarithm. Targets are smoothed by
+    one case in the held-out number and two, so that a sample without any error doesn't make the model certain."""
     if not scored:
         return 1.0
     z, y = np.stack([a for a, _ in scored]), np.array([b for _, b in scored])
+    off = 1 / (len(y) + 2) if z.shape[1] > 1 else 0.0
+    target = np.full(z.shape, off / max(1, z.shape[1] - 1))
+    target[np.arange(len(y)), y] = 1 - off
 
     def loss(t: float) -> float:
         s = z / np.exp(t)
         s = s - s.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(y)), y]).mean())
+        return float((np.log(np.exp(s).sum(axis=1)) - (s * target).sum(axis=1)).mean())
 
     a, b, r = np.log(0.05), np.log(20.0), (5**0.5 - 1) / 2
     for _ in range(40):
@@ -206,14 +248,41 @@ def temperature(scored: list[tuple[np.ndarray, int]]) -> float:
     return float(np.exp((a + b) / 2))
 
 
+def quotas(counts: dict[str, int], rows: int) -> dict[str, int]:
+    """Rows to take of each language: even shares, what a small language leaves over going to the others."""
+    out, left = {}, rows
+    for k, lang in enumerate(sorted(counts, key=lambda x: (counts[x], x))):
+        out[lang] = min(counts[lang], left // (len(counts) - k))
+        left -= out[lang]
+    return out
+
+
+def sample(d: DataFrame, rows: int) -> list[tuple[str, str]]:
+    """(text, language) of at most ``rows`` rows of ``d(id, text, lang)``, by language, in an order of their hashes."""
+    keys = d.select("lang", "id", F.xxhash64("text").alias("t")).distinct()
+    counts = {r.lang: r["count"] for r in keys.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).collect()}
+    take = quotas(counts, rows)
+    if not take:
+        return []
+    # by hash, a little more than the quota of each language, so that no language is ranked as a whole
+    share = {lang: min(1.0, (n + 6 * n**0.5 + 20) / counts[lang]) for lang, n in take.items()}
+    lit_map = lambda m: F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("lang"))
+    keys = keys.withColumn("h", F.xxhash64("id", "t")).where((F.pmod("h", F.lit(1 << 40)) / float(1 << 40)) < lit_map(share))
+    keys = keys.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "id", "t")))
+    chosen = {tuple(r) for r in keys.where(F.col("rank") <= lit_map(take)).select("id", "t", "lang").collect()}
+    if not chosen:
+        return []
+    found = d.where(F.col("id").isin(sorted({c[0] for c in chosen}))).select("id", F.xxhash64("text").alias("t"), "lang", "text")
+    found = found.where(F.col("t").isin(sorted({c[1] for c in chosen}))).dropDuplicates(["id", "t", "lang"]).collect()
+    found = [r for r in found if (r.id, r.t, r.lang) in chosen]
+    return [(r.text, r.lang) for r in sorted(found, key=lambda r: (zlib.crc32(f"{r.id} {r.t}".encode()), r.id, r.t, r.lang))]
+
+
 def train(docs: DataFrame, allowed: Column | None = None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     d = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     d = d.where(allowed) if allowed is not None else d
-    order = [F.xxhash64(F.col(id_col)), F.col(id_col), F.col(lang_col), F.xxhash64(F.col(text_col))]
-    # the ids alone are ranked; whole texts are then read for the chosen rows only
-    ids = [r[0] for r in d.select(F.col(id_col), *[o.alias(f"o{k}") for k, o in enumerate(order[:2])]).distinct().orderBy("o0", "o1").limit(sample_rows).select(id_col).collect()]
-    rows = d.where(F.col(id_col).isin(ids)).select(id_col, text_col, lang_col).collect() if ids else []
-    return fit([(r[1], r[2]) for r in sorted(rows, key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[2], r[1]))])
+    d = d.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    return fit(sample(d, sample_rows), lambda wanted: document_frequencies(d.select("text"), wanted))
 
 
 def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -49,3 +49,56 @@ def test_pieces_equal_whole(model, monkeypatch):
 def test_without_labels(spark, docs):
     none = op7.train(docs.limit(0))
     assert {r.lang_pred for r in op7.identify(docs.limit(5), none).collect()} == {"und"}
+
+
+def plain_ngrams(text):
+    """Bucket of every n-gram that counts, one by one."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    out = []
+    for w in words:
+        w = f" {w} "
+        for n in range(1, op7.NGRAMS + 1):
+            for k in range(len(w) - n + 1):
+                g = w[k : k + n]
+                if " " not in g[1:-1] and not (g[0] == " " and g[-1] == " "):
+                    h = 0
+                    for j, c in enumerate(g):
+                        h = ord(c) if j == 0 else (h * 0x9E3779B97F4A7C15 + ord(c)) % 2**64
+                    out.append((h + n) * 0xD6E8FEB86659FD93 % 2**64 >> (64 - op7.BITS))
+    return out
+
+
+def test_against_brute_force(spark, docs, model):
+    """Logits and probabilities from n-grams taken one by one, over whole texts."""
+    rows = [r for r in docs.select("doc_id", "text").collect() if r.text is not None][:150]
+    got = {r.doc_id: r for r in op7.identify(docs, model).collect()}
+    for r in rows:
+        grams = plain_ngrams(r.text)
+        if not grams:
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        z = model.bias + model.SCALE * model.weights[grams].astype(float).mean(axis=0)
+        assert np.allclose(z, model.logits([r.text])[0], atol=1e-5)
+        p = np.exp((z - z.max()) / model.temperature)
+        p /= p.sum()
+        assert abs(p.max() - got[r.doc_id].score) < 1e-6 and model.langs[int(p.argmax())] == got[r.doc_id].lang_pred
+
+
+def test_document_frequencies(spark, docs):
+    texts = [t for t in (r.text for r in docs.select("text").collect()[:200])] + [None, "", "12"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    total, seen = op7.document_frequencies(df, np.ones(1 << op7.BITS, bool))
+    want = np.zeros(1 << op7.BITS)
+    for t in texts:
+        want[list(set(plain_ngrams(t or "")))] += 1
+    assert total == sum(any(c.isalpha() for c in t or "") for t in texts) and (seen == want).all()
+
+
+def test_sample_by_language(spark):
+    assert op7.quotas({"a": 3, "b": 500, "c": 10**6}, 100) == {"a": 3, "b": 48, "c": 49}
+    rows = [(k, f"the and of word{k}", "en") for k in range(3000)] + [(5000 + k, f"der und die wort{k}", "de") for k in range(3)] + [(1, "the and of word1", "en")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = op7.sample(df.withColumnRenamed("doc_id", "id"), 40)
+    assert len(got) == len(set(got)) == 40 and sum(lang == "de" for _, lang in got) == 3
+    model = op7.train(df, sample_rows=40)
+    assert model.predict(["der und die haus"])[0] == ["de"]
