@@ -4,9 +4,9 @@
 document id: one range partition after the other, each file sorted. ``read_ids`` reads whole files stripe by stripe in
 parallel, or only what row indexes and Bloom filters leave for given ids.
 
-The tokenizer is applied to the white-space separated words of a text, each distinct word once per worker: its
-normaliser and pre-tokeniser never reach over white space (checked when the file is loaded; else whole texts are
-encoded). Null texts count as empty: one end id. Rows that repeat a document id stand next to each other, in the order
+The tokenizers library encodes the white-space separated words of a text, each distinct word once per worker, a last full
+stop or comma apart: its normaliser and pre-tokeniser never reach over white space (checked when the file is loaded; else whole
+texts are encoded). Null texts count as empty: one end id. Rows that repeat a document id stand next to each other, in the order
 of their texts. A null id sorts first. Empty tables give an empty file set.
 """
 
@@ -24,18 +24,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import BATCH_ROWS, arrow_map, short_batches, temporary
-from .op02_sentencepiece import Agenda
 
 CACHE_WORDS = 600_000
 #: Words that are learnt at once, about.
 STEP_WORDS = 200_000
 TAILS = (".", ",")
+#: Words in one text for the library.
+TOGETHER = 256
 ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
 
 
 class WordTokenizer:
-    """Ids by word, as little-endian unsigned 32-bit integers. Words of letters below U+0300 (which NFC leaves alone)
-    are merged here, many at once; all other words go to the library."""
+    """Ids by word, as little-endian unsigned 32-bit integers, all from the library. Words of letters below U+0300 (which
+    NFC leaves alone) are one pre-token each, so the library gets many of them in one text, and the ids that end a word
+    tell them apart; other words are encoded one by one."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,13 +50,9 @@ class WordTokenizer:
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and '"behavior": "Removed"' in pre and r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in pre and not any(c.isspace() for t in spec["added_tokens"] for c in t["content"])
         self.cache: dict[str, bytes] = {}
         model = spec["model"]
-        self.merges = self.by_word and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>" and not model["ignore_merges"]
-        if self.merges:
-            ids = model["vocab"]
-            pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-            self.agenda = Agenda([(ids[a], ids[b], k, ids[a + b]) for k, (a, b) in enumerate(pairs)])
-            shown = byte_characters()
-            self.inner, self.final = (np.array([ids.get(c + end, -1) for c in shown], np.int64) for end in ("", "</w>"))
+        self.final = np.zeros(self.lib.get_vocab_size(), np.bool_)
+        if self.by_word and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>":
+            self.final[[i for t, i in model["vocab"].items() if t.endswith("</w>")]] = True
 
     def learn(self, words: set[str]) -> None:
         new = words.difference(self.cache)
@@ -62,32 +60,28 @@ class WordTokenizer:
             self.cache.clear()
             new = words
         cores: dict[str, list[tuple[str, str]]] = {}
-        rest = []
+        rest, together = [], bool(self.final.any())
         for w in new:
             core, tail = (w[:-1], w[-1]) if w[-1:] in TAILS else (w, "")
-            low = core.lower()
-            if self.merges and core.isalpha() and max(core) < "\u0300" and low.isalpha() and max(low) < "\u0300":
+            if together and core.isalpha() and max(core) < "\u0300" and (low := core.lower()).isalpha() and max(low) < "\u0300":
                 cores.setdefault(low, []).append((w, tail))
             else:
                 rest.append(w)
         for w, e in zip(rest, self.lib.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.cache[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        if not cores:
-            return
-        raw = [c.encode() for c in cores]
-        size = np.fromiter(map(len, raw), np.int64, len(raw))
-        flat = np.frombuffer(b"".join(raw), np.uint8)
-        sym = self.inner[flat]
-        ends = np.cumsum(size) - 1
-        sym[ends] = self.final[flat[ends]]
-        sym, ends = self.agenda.run(sym, size)
-        packed, a = sym.astype("<u4").tobytes(), 0
         tails = {t: b"".join(i.to_bytes(4, "little") for i in self.lib.encode(t, add_special_tokens=False).ids) for t in ("", *TAILS)}
-        for b, forms in zip((ends * 4).tolist(), cores.values(), strict=True):
-            own = packed[a:b]
-            a = b
-            for w, t in forms:
-                self.cache[w] = own + tails[t] if t else own
+        names = list(cores)
+        chunks = [names[k : k + TOGETHER] for k in range(0, len(names), TOGETHER)]
+        for chunk, e in zip(chunks, self.lib.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            packed, ends = ids.tobytes(), (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
+            if len(ends) == len(chunk):
+                own = [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            else:  # a letter that the vocabulary ends no word with
+                own = [b"".join(i.to_bytes(4, "little") for i in self.lib.encode(c, add_special_tokens=False).ids) for c in chunk]
+            for c, x in zip(chunk, own, strict=True):
+                for w, t in cores[c]:
+                    self.cache[w] = x + tails[t] if t else x
 
     def packed(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").replace("\t", " ").split(" ") if self.by_word else [t] for t in texts]
@@ -103,16 +97,6 @@ class WordTokenizer:
         return out
 
 
-def byte_characters() -> list[str]:
-    """The characters that byte-level vocabularies show bytes as: printable Latin-1 as itself, the others from U+0100."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    out, extra = [], 0
-    for b in range(256):
-        out.append(chr(b) if b in plain else chr(0x100 + extra))
-        extra += b not in plain
-    return out
-
-
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
