@@ -6,15 +6,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.graph import alone, components, temporary, written
 
-__all__ = ["BATCH_ROWS", "alone", "arrow_map", "components", "free_name", "short_batches", "temporary", "written"]
+__all__ = ["BATCH_ROWS", "alone", "arrow_map", "components", "free_name", "marked", "short_batches", "temporary", "without", "written"]
 
 #: Rows in an Arrow batch; whole texts can be long, so batches are short.
 BATCH_ROWS = 512
+#: Bits of the broadcast map that rows are sifted by: 2 MB at most, whatever the input.
+SIFT_BITS = 1 << 24
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -43,3 +46,25 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
 
     short_batches(df)
     return df.mapInArrow(run, schema)
+
+
+def marked(rows: DataFrame, key: Column, ids: DataFrame, flag: str) -> DataFrame:
+    """``rows`` with a column ``flag``: false where the key (a long) is surely not among the only column of ``ids``. A bit
+    map of hashed ids, of at most SIFT_BITS, is broadcast. Hashes that meet make it true, so an exact join has to follow."""
+    id_, bucket, bits = (free_name(rows, n) for n in ("id", "bucket", "bits"))
+    hashed = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(SIFT_BITS)) + 1
+    maps = ids.toDF(id_).select(hashed(F.col(id_)).alias(id_)).groupBy(F.bitmap_bucket_number(id_).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(id_)).alias(bits))
+    at = F.bitmap_bit_position(hashed(key))
+    byte = F.conv(F.hex(F.substr(bits, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    j = rows.join(F.broadcast(maps), F.bitmap_bucket_number(hashed(key)) == F.col(bucket), "left")
+    hit = F.col(bucket).isNotNull() & (F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1)
+    return j.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(bucket, bits)
+
+
+def without(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose key (a long) is not among the only column of ``ids``, all columns. Only rows that the sift marks are
+    shuffled. Rows without a key stay."""
+    flag, gone = free_name(rows, "sift"), free_name(rows, "gone")
+    m = marked(rows, F.col(key), ids, flag)
+    rest = m.where(flag).join(ids.toDF(gone).distinct(), F.col(key) == F.col(gone), "left_anti")
+    return m.where(~F.col(flag)).unionByName(rest).select(*[F.col(f"`{c}`") for c in rows.columns])

@@ -14,7 +14,8 @@ pairs across components in one bucket is compared without exception, so a link b
 skipped. Components come from the confirmed links.
 
 Defined results: no words or null text: an empty set, linked with nothing. Repeated rows come back as often as they came;
-rows that share an id are one node. A null id is its own component (null) and is kept. Other columns are not read.
+rows that share an id are one node, whose text is the one of least hash among those with words. A null id is its own
+component (null) and is kept. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, written
+from .common import alone, arrow_map, components, free_name, marked, without, written
 
 K, SIGNED, SIGMAS, MISS = 192, 1024, 5.0, 1e-6
 #: Other centres that a class is compared with before the exhaustive step.
 CENTRES = 3
-#: Bits of the broadcast map that texts are sifted by: 2 MB at most, whatever the input.
-SIFT_BITS = 1 << 24
+#: Classes of more copies than this, and at least a HOT_CLASSES-th of all rows, find their component by a broadcast.
+HOT, HOT_CLASSES = 1000, 10_000
+#: Side of the blocks that a large bucket is compared in, in the exhaustive step.
+BLOCK = 2000
 CACHE_WORDS = 400_000
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(0, 2**32, SIGNED, dtype=np.uint32) | np.uint32(1)
@@ -117,13 +120,13 @@ def _lists(a: np.ndarray, full: list[bool]) -> pa.Array:
 
 
 def banded(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(id, n_shingles, print, bands) of ``docs(id, text)``; the last two null for empty sets."""
-    fields = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """(id, h, n_shingles, print, bands) of ``docs(id, h, text)``; the last two null for empty sets."""
+    fields = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()), ("bands", pa.list_(pa.int64()))])
     rows = band_rows(percent)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, prints, mins = [], [], []
-        for t in batch.column(1):
+        for t in batch.column(2):
             w = word_list(t.as_py())
             x = shingle_hashes(w, size) if w else ()
             n.append(len(x))
@@ -131,9 +134,9 @@ def banded(docs: DataFrame, size: int, percent: int) -> DataFrame:
             if w:
                 mins.append(minima(x, K))
         bands = _bands(np.stack(mins), rows) if mins else np.zeros((0, K // rows), np.int64)
-        return pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), _lists(bands, [p is not None for p in prints])], schema=fields)
+        return pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), _lists(bands, [p is not None for p in prints])], schema=fields)
 
-    return arrow_map(docs, run, "id long, n_shingles long, print binary, bands array<long>")
+    return arrow_map(docs, run, "id long, h long, n_shingles long, print binary, bands array<long>")
 
 
 def signed(texts: DataFrame, size: int) -> DataFrame:
@@ -160,17 +163,6 @@ def slack(threshold: float) -> float:
     return threshold - SIGMAS * (p * (1 - p) / SIGNED) ** 0.5 / 0.75
 
 
-def sifted(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``rows`` less most of those whose id is not among ``ids``: a bit map of hashed ids, of at most SIFT_BITS, is
-    broadcast. Hashes that meet let some through, so an exact join has to follow; without this, it shuffles all texts."""
-    h = F.pmod(F.xxhash64("id"), F.lit(SIFT_BITS)) + 1
-    maps = ids.select(h.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("map"))
-    at = F.bitmap_bit_position(h)
-    byte = F.conv(F.hex(F.substr("map", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    j = rows.join(F.broadcast(maps), F.bitmap_bucket_number(h) == F.col("bucket"))
-    return j.where(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1).select(*rows.columns)
-
-
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b) of pairs whose full sets agree to ``percent``."""
     fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -194,17 +186,34 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
+    return alone(docs.sparkSession, lambda: _near_duplicates(docs, size, percent)).withColumnRenamed("id", id_col)
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sig = written(banded(docs, size, percent))
-    sets = sig.where("print is not null and id is not null")
-    classes = sets.groupBy("print").agg(F.min("id").alias("rep"))
-    one = sets.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    # ids of several rows: the text of least hash that has words is theirs
+    first = F.min(F.when(F.col("print").isNotNull(), F.struct("h", "print")))
+    twice = written(sig.where("id is not null").groupBy("id").agg(F.count("*").alias("n"), first.alias("s")).where("n > 1").select("id", "s.h", "s.print"))
+    repeats = not twice.isEmpty()
+    if repeats:
+        firsts = twice.select(F.col("id").alias("i"), F.col("h").alias("first_h"), F.col("print").alias("first_print"))
+        rows = sig.join(firsts, F.col("id") == F.col("i"), "left")
+        sig = rows.withColumn("own", F.col("i").isNull() | (F.col("h") == F.col("first_h"))).withColumn("print", F.when(F.col("i").isNull(), F.col("print")).otherwise(F.col("first_print"))).drop("i", "first_h", "first_print")
+        docs = docs.join(firsts.drop("first_print"), F.col("id") == F.col("i"), "left").where("i is null or h = first_h").drop("i", "first_h")
+    else:
+        sig = sig.withColumn("own", F.lit(True))
+    sets = sig.where("own and print is not null and id is not null and bands is not null")
+    classes = written(sets.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+    one = sets.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+    one = one.dropDuplicates(["id"]) if repeats else one
     cells = one.select("id", F.explode("bands").alias("key"))
     shared = cells.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
     # buckets with several classes only: a small part of all
     cells = written(cells.join(shared.select("key", "first"), "key"))
     some = cells.select("id").distinct()
-    texts = written(sifted(docs, some).join(some, "id", "left_semi").dropDuplicates(["id"]))
+    texts = marked(docs.select("id", "text"), F.col("id"), some, "maybe").where("maybe").select("id", "text").join(some, "id", "left_semi")
+    texts = written(texts.dropDuplicates(["id"]) if repeats else texts)
     mark = written(signed(texts, size))
     low = slack(percent / 100)
 
@@ -231,30 +240,46 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col
             pairs = likely(pairs.join(tried, ["a", "b"], "left_anti"))
         else:  # whatever is left across components, without exception
             own = left.groupBy("id").agg(F.collect_list("key").alias("keys"))  # no more than there are bands
-            rest = left.select("key", "id", "c").join(mark, "id").join(own, "id")
-            x = rest.select("key", *[F.col(n).alias(f"{n}_b") for n in ("id", "c", "n_shingles", "bits", "keys")])
-            y = rest.select("key", *[F.col(n).alias(f"{n}_a") for n in ("id", "c", "n_shingles", "bits", "keys")])
+            blocks = left.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+            rest = left.select("key", "id", "c").join(mark, "id").join(own, "id").join(blocks, "key")
+            block, every = F.expr("cast(pmod(xxhash64(id), blocks) as int)"), F.explode(F.expr("sequence(0, blocks - 1)"))
+            side = lambda s: [F.col(n).alias(f"{n}_{s}") for n in ("id", "c", "n_shingles", "bits", "keys")]
+            x = rest.select("key", block.alias("p"), every.alias("q"), *side("b"))
+            y = rest.select("key", every.alias("p"), block.alias("q"), *side("a"))
             near = (F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * percent) & (estimate("bits_a", "bits_b") >= low)
             # each pair in the first bucket that it shares
-            met = x.join(y, (x["key"] == y["key"]) & (F.col("c_a") != F.col("c_b")) & (F.col("id_b") < F.col("id_a")) & near & F.when(near, x["key"] == F.array_min(F.array_intersect("keys_a", "keys_b"))))
+            same = (x["key"] == y["key"]) & (x["p"] == y["p"]) & (x["q"] == y["q"])
+            met = x.join(y, same & (F.col("c_a") != F.col("c_b")) & (F.col("id_b") < F.col("id_a")) & near & F.when(near, x["key"] == F.array_min(F.array_intersect("keys_a", "keys_b"))))
             pairs = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs)
         more = _confirm(pairs, texts, size, percent)
         comp = components(more.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         tried = tried.unionByName(pairs)
-    by_class = classes.join(comp, classes["rep"] == comp["node"], "left").select(F.col("print").alias("p"), F.coalesce("component", "rep").alias("c"))
-    out = sig.select("id", "n_shingles", "print").join(by_class, F.col("print") == F.col("p"), "left")
+    by_class = classes.join(comp, classes["rep"] == comp["node"], "left").select(F.col("print").alias("p"), "n", F.coalesce("component", "rep").alias("c"))
+    # copies of a class meet by its print, but the rows of a large class, one task's otherwise, by a broadcast
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    large = F.broadcast(by_class.where(F.col("n") > max(HOT, total // HOT_CLASSES)).select(F.col("p").alias("large_p"), F.col("c").alias("large_c")))
+    rows = sig.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("print")).alias("print")).join(large, F.col("print") == F.col("large_p"), "left")
+    known = rows.where("print is null or large_p is not null").withColumn("c", F.col("large_c"))
+    others = rows.where("print is not null and large_p is null").join(by_class.drop("n"), F.col("print") == F.col("p"), "left").drop("p")
     cid = F.coalesce("c", "id")
-    return out.select(F.col("id").alias(id_col), "n_shingles", cid.alias("component_id"), F.coalesce(F.col("id") == cid, F.lit(True)).alias("kept"))
+    return known.unionByName(others).select("id", "n_shingles", cid.alias("component_id"), F.coalesce(F.col("id") == cid, F.lit(True)).alias("kept"))
 
 
 def keep_first(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, of one document of each component: the one of the smallest id. Rows that repeat
-    an id are one document; rows without an id stay."""
+    """The rows of ``docs``, all columns, of one document of each component: the one of the smallest id. Of rows that repeat
+    an id the one whose text is the document's stays (ties: the least as JSON); rows without an id stay."""
     found = near_duplicates(docs, size=size, percent=percent, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone"))
-    named = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col("_gone"), "left_anti").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    stay = without(docs, id_col, found.where(~F.col("kept")).select(id_col))
+    twice = found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    if twice.isEmpty():
+        return stay
+    row, at = free_name(docs, "row"), free_name(docs, "same")
+    t = twice.toDF(at)
+    again = stay.join(t, F.col(id_col) == F.col(at), "left_semi")
+    wordless = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    best = again.groupBy(F.col(id_col).alias(at)).agg(F.min_by(F.struct(*docs.columns), F.struct(wordless, F.xxhash64(F.col(text_col)), F.to_json(F.struct(*docs.columns)))).alias(row))
+    return without(stay, id_col, twice).unionByName(best.select(f"{row}.*"))
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
