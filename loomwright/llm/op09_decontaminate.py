@@ -6,14 +6,18 @@ document windows are looked up in the broadcast benchmark windows, and a match c
 
 Null or word-less texts have no words and are clean; items without words have no windows. Each input row gives one row,
 so repeated rows repeat; other columns pass by. The benchmark is broadcast only up to BROADCAST_WINDOWS windows; beyond
-that the same lookup runs as a shuffled join.
+that the same lookup runs as a shuffled join of (row, place, hash), and words are compared where hashes agree.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import without, written
+
 WINDOW = 10
 #: Up to so many distinct benchmark windows (about 150 bytes each) are broadcast.
 BROADCAST_WINDOWS = 500_000
@@ -40,33 +44,50 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
     return w.groupBy("size", "words").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
-def _key(size: int) -> Column:
-    return F.xxhash64(*[F.expr(f"get(w, pos + {k})") for k in range(size)])
+def _hashed(words_: str, at: str, size: int) -> Column:
+    return F.xxhash64(F.lit(size), *[F.expr(f"get({words_}, {at} + {k})") for k in range(size)])
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_words, spans (sorted distinct struct<pos,size> of windows, from word 0), items."""
-    spark, win = docs.sparkSession, benchmark_windows(benchmark).cache()
+def hits(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", with_words: bool = False) -> DataFrame:
+    """One row per input row: id, n_words, spans (sorted distinct struct<pos,size> of windows, from word 0), items, and with
+    ``with_words`` the words ``w``."""
+    spark, win = docs.sparkSession, written(benchmark_windows(benchmark))
     sizes = {r["size"]: r["n"] for r in win.groupBy("size").agg(F.count("*").alias("n")).collect()}  # WINDOW rows at most
-    small = sum(sizes.values()) <= BROADCAST_WINDOWS
     d = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.col(text_col)).alias("w"))
-    d = d.select("id", "row", F.size("w").alias("n_words"), "w", F.posexplode_outer("w").alias("pos", "word")).drop("word")
-    found = None
-    for size in sorted({*sizes, WINDOW}, reverse=True):
-        b = win.where(F.col("size") == size).select(F.split("words", " ").alias("bw"), "items")
-        b = b.select(F.xxhash64(*[F.expr(f"get(bw, {k})") for k in range(size)]).alias("key"), F.array_join("bw", " ").alias("bwords"), "items")
-        x = d.withColumn("key", F.when(F.expr(f"pos + {size} <= n_words"), _key(size)))
-        same = (F.col("key") == F.col("k2")) & (F.array_join(F.expr(f"slice(w, pos + 1, {size})"), " ") == F.col("bwords"))
-        b = b.withColumnRenamed("key", "k2")
-        x = x.join(F.broadcast(b) if small else b, same, "left")
-        if size == WINDOW:  # this pass keeps one row at least of each document
-            x = x.where("items is not null or coalesce(pos, 0) = 0")
-        else:
-            x = x.where("items is not null")
-        x = x.select("id", "row", "n_words", F.when(F.col("items").isNotNull(), F.struct(F.col("pos").alias("pos"), F.lit(size).alias("size"))).alias("span"), "items")
-        found = x if found is None else found.unionByName(x)
-    g = found.groupBy("row", "id").agg(F.max("n_words").cast("long").alias("n_words"), F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    return g.withColumnRenamed("id", id_col)
+    small = sum(sizes.values()) <= BROADCAST_WINDOWS
+    if not small:  # the row numbers have to agree when words are met again
+        d = written(d)
+    b = win.withColumn("bw", F.split("words", " "))
+    of_size = F.lit(None).cast("long")
+    for size in sizes:
+        of_size = F.when(F.col("size") == size, _hashed("bw", "0", size)).otherwise(of_size)
+    b = b.select(of_size.alias("k2"), F.col("size").alias("size2"), F.col("words").alias("bwords"), "items")
+    # a row per word, and one for a text without words
+    at = d.withColumn("n_words", F.size("w")).withColumn("pos", F.explode_outer(F.expr("if(size(w) > 0, sequence(0, size(w) - 1), null)")))
+    if small:  # one broadcast lookup a size, all at the same row
+        x, found = at, []
+        for size in sorted(sizes):
+            own = b.where(F.col("size2") == size).select(F.col("k2").alias(f"key{size}"), F.col("bwords").alias(f"words{size}"), F.col("items").alias(f"items{size}"))
+            here = F.when(F.expr(f"pos + {size} <= n_words"), _hashed("w", "pos", size))
+            same = F.array_join(F.expr(f"slice(w, pos + 1, {size})"), " ") == F.col(f"words{size}")
+            x = x.join(F.broadcast(own), (here == F.col(f"key{size}")) & same, "left")
+            found.append(size)
+        met = [F.col(f"items{size}").isNotNull() for size in found]
+        x = x.where(reduce(Column.__or__, met, F.coalesce("pos", F.lit(0)) == 0))  # one row at least of each document stays
+        spans = F.array(*[F.when(m, F.struct("pos", F.lit(size).alias("size"))) for m, size in zip(met, found, strict=True)]) if found else F.array().cast("array<struct<pos:int,size:int>>")
+        items = F.concat(F.array().cast("array<string>"), *[F.coalesce(f"items{size}", F.array().cast("array<string>")) for size in found])
+        first_words = [F.first(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("w")), ignorenulls=True).alias("w")] if with_words else []
+        g = x.groupBy("row").agg(F.first("id").alias("id"), F.first("n_words").cast("long").alias("n_words"), F.array_distinct(F.flatten(F.collect_set(F.array_compact(spans)))).alias("spans"), F.flatten(F.collect_set(items)).alias("items"), *first_words)
+    else:  # only numbers are shuffled; words are compared where keys agree
+        keys = F.array(*[F.struct(F.lit(size).alias("size"), F.when(F.expr(f"pos + {size} <= n_words"), _hashed("w", "pos", size)).alias("key")) for size in sorted(sizes)])
+        window, span = F.array_join(F.expr("slice(w, pos + 1, size)"), " "), F.struct("pos", "size")
+        x = at.select("row", "pos", F.explode(keys).alias("k")).select("row", "pos", "k.size", "k.key").where("key is not null")
+        x = x.join(b, (F.col("key") == F.col("k2")) & (F.col("size") == F.col("size2"))).select(F.col("row").alias("r"), "pos", "size", "bwords", "items")
+        x = x.join(d.select("row", "w"), F.col("r") == F.col("row")).where(window == F.col("bwords"))
+        x = x.groupBy("r").agg(F.collect_set(span).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
+        none = [F.coalesce("spans", F.array().cast("array<struct<pos:int,size:int>>")).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")]
+        g = d.join(x, F.col("row") == F.col("r"), "left").select("id", F.size("w").cast("long").alias("n_words"), *none, *(["w"] if with_words else []))
+    return g.select(F.col("id").alias(id_col), "n_words", F.array_sort("spans").alias("spans"), F.array_sort(F.array_distinct("items")).alias("items"), *(["w"] if with_words else []))
 
 
 def covered() -> Column:
@@ -81,17 +102,15 @@ def report(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of documents without any hit, all columns. Rows that share an id go together; rows without an id stay."""
-    bad = report(docs, benchmark, id_col=id_col, text_col=text_col).where("contaminated").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+    bad = report(docs, benchmark, id_col=id_col, text_col=text_col).where("contaminated").where(F.col(id_col).isNotNull())
+    return without(docs, id_col, written(bad.select(id_col).distinct()))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_hit, kept_words): the normalised words outside all hits, joined by spaces."""
-    h = hits(docs, benchmark, id_col=id_col, text_col=text_col)
-    d = docs.select(F.monotonically_increasing_id().alias("row"), words(F.col(text_col)).alias("w"))
-    j = h.join(d, "row")
+    h = hits(docs, benchmark, id_col=id_col, text_col=text_col, with_words=True)
     keep = F.expr("array_join(filter(w, (x, i) -> not exists(spans, s -> i >= s.pos and i < s.pos + s.size)), ' ')")
-    return j.select(id_col, "n_words", covered().alias("n_hit"), F.when(F.size("spans") == 0, F.array_join("w", " ")).otherwise(keep).alias("kept_words"))
+    return h.select(id_col, "n_words", covered().alias("n_hit"), F.when(F.size("spans") == 0, F.array_join("w", " ")).otherwise(keep).alias("kept_words"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

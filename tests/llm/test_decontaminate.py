@@ -36,10 +36,11 @@ DOCS = [(1, None), (2, ""), (3, "!!!"), (4, LONG + " xx " + LONG.upper().replace
 
 
 def test_against_brute_force(spark):
-    d, b = spark.createDataFrame(DOCS, "doc_id long, text string").selectExpr("*", "1 as items", "2 as w", "3 as row"), spark.createDataFrame(ITEMS, "item_id long, text string")
+    d, b = spark.createDataFrame(DOCS, "doc_id long, text string").selectExpr("*", "1 as items", "2 as w", "3 as row", "4 as _bad", "5 as gone", "6 as sift", "7 as id"), spark.createDataFrame(ITEMS, "item_id long, text string")
     got = sorted(map(tuple, op9.report(d, b).collect()), key=repr)
     assert got == brute(DOCS, ITEMS)
     kept = {r.doc_id for r in op9.drop_contaminated(d, b).collect()}
+    assert op9.drop_contaminated(d, b).columns == d.columns
     assert kept == {1, 2, 3, 7, 9, None}
     spans = {r.doc_id: r.kept_words for r in op9.remove_spans(d, b).where("doc_id in (4, 5)").collect()}
     assert spans == {4: "xx", 5: "a b shortitem"}
@@ -49,6 +50,8 @@ def test_shuffled_lookup_and_empty(spark, monkeypatch):
     d, b = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
     monkeypatch.setattr(op9, "BROADCAST_WINDOWS", 0)
     assert sorted(map(tuple, op9.report(d, b).collect()), key=repr) == brute(DOCS, ITEMS)
+    spans = {r.doc_id: r.kept_words for r in op9.remove_spans(d, b).where("doc_id in (4, 5)").collect()}
+    assert spans == {4: "xx", 5: "a b shortitem"}
     assert op9.report(d.limit(0), b).count() == 0
     assert sorted(map(tuple, op9.report(d, b.limit(0)).collect()), key=repr) == brute(DOCS, [])
 
