@@ -74,3 +74,21 @@ def test_empty_and_repeated(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (2, [1.0, 0.0], 1)], "vec_id long, embedding array<double>, label int")
     got = sorted(map(tuple, op10.near_vectors(df).collect()), key=repr)
     assert got == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)], key=repr)
+
+
+def test_below_the_sample(spark, monkeypatch):
+    """Leaves that no sampled vector reaches are split too; memory of a tree goes by the sample."""
+    monkeypatch.setattr(op10, "SAMPLE", 30)
+    monkeypatch.setattr(op10, "LEAF", 20)
+    rows = fixture(seed=6)
+    want, got = brute(rows), run(spark, rows)
+    links = sum(n for n, _ in want.values())
+    assert sum(n for n, _ in got.values()) >= 0.9 * links
+    assert all(got[k][0] <= want[k][0] for k in want)
+    x = op10._unit([e for _, e, _ in rows[:30]])
+    assert len(op10.fit_tree(x, 0, 20, 0.01).nodes) < 30 * 20
+
+
+def test_codes():
+    codes = [[1, 5], [], [1 << 24]]
+    assert op10.unpack_codes(op10.pack_codes(codes)) == codes
