@@ -1,14 +1,19 @@
 """Licence scans by a trained paragraph classifier.
 
-Paragraphs are the lines of a text. The classifier is a sparse multinomial logistic regression over word 1- to 3-grams
-that hold a telling word: one that the licence templates use and the background sample hardly does. It is trained here
-(follow-the-regularised-leader) on the templates, cut and altered by rule, against an ``unknown`` class of background
-paragraphs and of sentences that only speak of licences; its temperature is fitted on a held-out part. A family is
-accepted if its calibrated probability is at least LEAST_SCORE, it is not ``unknown``, and a template of that family
-confirms it: enough of the shorter side's word pairs are found in the other.
+Paragraphs are cut at blank lines; the lines of one belong together, however they are wrapped, and marks of comments at
+their heads don't count. A paragraph of more than SPAN words is judged in spans of that many, each beginning half a span
+after the one before, so that a notice within long prose is not thinned out. The classifier is a sparse multinomial
+logistic regression over word 1- to 3-grams that hold a telling word: one that the licence templates use and the background
+sample hardly does. It is trained here (follow-the-regularised-leader) on the templates, cut and altered by rule, against an
+``unknown`` class of background paragraphs and of sentences that only speak of licences; its temperature is fitted on a
+held-out part. A family is accepted if its calibrated probability is at least LEAST_SCORE, it is not ``unknown``, and a
+template of that family confirms it: enough of the shorter side's word pairs are found in the other.
 
-A paragraph without any telling word has no features, so its class is the one of the bias alone, ``unknown`` (asserted
-after training); such paragraphs are passed over. Whole texts are read.
+A span without any telling word has no features, so its class is the one of the bias alone, ``unknown`` (asserted after
+training); such spans are passed over. Whole texts are read. Each (paragraph, family) is one finding, of its best score.
+
+The background is a bounded sample: BACKGROUND_SPANS spans of the BACKGROUND_ROWS documents whose id hashes lowest, those
+of least hash.
 
 Null and empty texts have no paragraphs and no licence. Repeated rows repeat; other columns are not read; an empty table
 gives an empty result, and without a background sample only the built-in unknown sentences are learnt.
@@ -18,6 +23,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -26,29 +32,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map
+from .licence_texts import NOTICES, OTHERS
 
-BACKGROUND_ROWS, LEAST_SCORE, CONFIRM = 300, 0.6, 0.5
+BACKGROUND_ROWS, BACKGROUND_SPANS, LEAST_SCORE, CONFIRM = 300, 4000, 0.6, 0.5
+#: Words that are judged together.
+SPAN = 96
 UNKNOWN = "unknown"
-#: Short public notices and opening sentences of the families.
-TEMPLATES = {
-    "MIT": ["released under the mit license", "licensed under the mit license", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "spdx license identifier mit"],
-    "Apache-2.0": ["licensed under the apache license version 2 0", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "spdx license identifier apache 2 0"],
-    "BSD": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products", "licensed under the bsd 3 clause license", "use of this source code is governed by a bsd style license", "spdx license identifier bsd 3 clause"],
-    "GPL": ["this work is licensed under the gnu general public license version 3", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "released under the gnu general public license version 2", "licensed under gpl v3", "spdx license identifier gpl 3 0 or later"],
-    "LGPL": ["licensed under the gnu lesser general public license version 3", "modify it under the terms of the gnu lesser general public license as published by the free software foundation", "spdx license identifier lgpl 2 1"],
-    "AGPL": ["licensed under the gnu affero general public license version 3", "modify it under the terms of the gnu affero general public license as published by the free software foundation", "spdx license identifier agpl 3 0"],
-    "MPL-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0", "licensed under the mozilla public license version 2 0", "spdx license identifier mpl 2 0"],
-    "ISC": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "released under the isc license", "spdx license identifier isc"],
-    "CC-BY": ["licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"],
-    "CC-BY-SA": ["licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"],
-    "CC-BY-NC": ["licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
-    "CC0": ["dedicated to the public domain under cc0 1 0", "to the extent possible under law the author has waived all copyright and related rights to this work", "licensed under cc0 1 0 universal"],
-    "Unlicense": ["this is free and unencumbered software released into the public domain", "released under the unlicense"],
-    "EPL": ["licensed under the eclipse public license version 2 0", "made available under the terms of the eclipse public license 2 0"],
-}
-NEGATIVES = ["a driver license is needed to rent a car", "the licence fee went up again this year", "they gave him permission to leave the room early", "the software was released in spring and the public liked it", "creative people commonly work under pressure", "version 2 0 of the report is out", "the foundation published its general terms", "our apache helicopter tour starts at noon", "he studied at mit before the war", "the new work is subject to review", "under the terms of the treaty both sides agreed", "copyright law is complicated", "public domain images are easy to find", "the eclipse was seen by the general public", "free charge for every electric car", "please read the documentation files", "the source of the river is unknown", "fishing without a license is an offence", "licensed doctors only", "all conditions must be met before sale", "isc and bsd are listed on the exchange", "gnu herds cross the river", "mozilla is a browser maker", "commons debate on attribution of costs"]
 BITS_ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 WORD = re.compile(r"[^\W_]+")
+#: A blank line, one with nothing but a comment's mark included.
+BLANK = re.compile(r"\n[ \t\r\f\v]*(?:(?:#+|//+|\*+|;+|--+)[ \t\r]*)?(?=\n)")
+
+
+def paragraphs(text: str) -> list[str]:
+    """Parts between blank lines that hold a word."""
+    return [p for p in BLANK.split(text) if WORD.search(p)]
+
+
+def spans(w: list[str]) -> list[list[str]]:
+    if len(w) <= SPAN:
+        return [w]
+    return [w[k : k + SPAN] for k in range(0, len(w) - SPAN // 2, SPAN // 2)]
 
 
 def words(paragraph: str) -> list[str]:
@@ -64,32 +68,37 @@ def pairs(w: list[str]) -> set[tuple[str, ...]]:
 
 
 class Classifier:
-    def __init__(self, background: list[str]):
-        """background: paragraphs without licences, as far as known."""
+    def __init__(self, background: list[list[str]], templates: dict[str, list[str]] = NOTICES):
+        """background: the words of spans without licences, as far as known."""
         rnd = random.Random(11)
-        seen = Counter(x for p in background for x in set(words(p)))
+        seen = Counter(x for p in background for x in set(p))
         most = max(1, len(background) // 100)
-        self.telling = {x for ts in TEMPLATES.values() for t in ts for x in t.split() if seen[x] <= most and not (len(x) < 3 and x not in ("cc", "sa", "nc", "by"))}
-        self.classes = [UNKNOWN, *TEMPLATES]
+        known = {f: [words(t) for t in ts] for f, ts in templates.items()}
+        self.telling = {x for ts in known.values() for t in ts for x in t if seen[x] <= most and not (len(x) < 3 and x not in ("cc", "sa", "nc", "by"))}
+        self.classes = [UNKNOWN, *known]
         data: list[tuple[list[str], int]] = []
-        fill = [words(p)[:12] for p in background] or [n.split() for n in NEGATIVES]
-        for k, ts in enumerate(TEMPLATES.values(), 1):
-            for t in ts:
-                w = t.split()
+        others = [n.split() for n in OTHERS]
+
+        def fill() -> list[str]:
+            w = rnd.choice(background or others)
+            a = rnd.randrange(max(1, len(w) - 11))
+            return w[a : a + rnd.randrange(1, 25)]
+
+        for k, ts in enumerate(known.values(), 1):
+            for w in ts:
                 for _ in range(24):
                     v = [x for x in w if rnd.random() > 0.06] or w
                     if len(v) > 12 and rnd.random() < 0.5:
                         a = rnd.randrange(len(v) // 4 + 1)
                         v = v[a : a + rnd.randrange(len(v) * 2 // 3, len(v) + 1)]
-                    data.append(([*(rnd.choice(fill) if rnd.random() < 0.3 else []), *v, *(rnd.choice(fill) if rnd.random() < 0.3 else [])], k))
+                    data.append(([*(fill() if rnd.random() < 0.3 else []), *v, *(fill() if rnd.random() < 0.3 else [])], k))
                 data += [(w, k)] * 6
-        for p in background:
-            data.append((words(p), 0))
-        for n in NEGATIVES:
-            data += [(n.split(), 0)] * 8
-        known = sorted({x for t in TEMPLATES.values() for s in t for x in s.split()})
-        for _ in range(500):  # telling words in no licence's order
-            data.append(([*rnd.choice(fill), rnd.choice(known), *rnd.choice(fill), rnd.choice(known)], 0))
+        data += [(w, 0) for w in background]
+        for n in others:
+            data += [(n, 0)] * 8
+        single = sorted({x for ts in known.values() for t in ts for x in t})
+        for _ in range(800):  # telling words in no licence's order
+            data.append(([*fill(), rnd.choice(single), *fill(), rnd.choice(single)], 0))
         rnd.shuffle(data)
         held, learn = data[::5], [d for k, d in enumerate(data) if k % 5]
         self.at: dict[tuple[str, ...], int] = {}
@@ -119,7 +128,7 @@ class Classifier:
         assert self.weights[-1].argmax() == 0, "a paragraph without features must be unknown"
         scored = [(self.weights[[*self.ids(w), n_f]].sum(axis=0), y) for w, y in held]
         self.temperature = min(np.geomspace(0.25, 8, 41), key=lambda t: sum(np.log(np.exp((s - s.max()) / t).sum()) - (s[y] - s.max()) / t for s, y in scored))
-        self.templates = {f: [pairs(t.split()) for t in ts] for f, ts in TEMPLATES.items()}
+        self.templates = {f: [pairs(t) for t in ts] for f, ts in known.items()}
 
     def grams(self, w: list[str]) -> list[tuple[str, ...]]:
         return [g for g in ngrams(w) if not self.telling.isdisjoint(g)]
@@ -127,9 +136,8 @@ class Classifier:
     def ids(self, w: list[str]) -> list[int]:
         return sorted({self.at[g] for g in self.grams(w) if g in self.at})
 
-    def classify(self, paragraph: str) -> tuple[str, float]:
-        """(family or unknown, probability)."""
-        w = words(paragraph)
+    def classify(self, w: list[str]) -> tuple[str, float]:
+        """(family or unknown, probability) of the words of a span."""
         ids = self.ids(w)
         if not ids:
             return UNKNOWN, 1.0
@@ -151,27 +159,31 @@ class Classifier:
         if self.telling.isdisjoint(WORD.findall(low) if not low.isascii() else low.translate(_CUT).split()):
             return []
         out = []
-        for k, line in enumerate(text.split("\n")):
-            if not self.telling.isdisjoint(words(line)):
-                family, p = self.classify(line)
-                if family != UNKNOWN:
-                    out.append((k, family, p))
+        for k, p in enumerate(paragraphs(text)):
+            best: dict[str, float] = {}
+            for w in spans(words(p)):
+                if not self.telling.isdisjoint(w):
+                    family, score = self.classify(w)
+                    if family != UNKNOWN:
+                        best[family] = max(score, best.get(family, 0.0))
+            out += [(k, f, best[f]) for f in sorted(best)]
         return out
 
 
 _CUT = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: int = BACKGROUND_ROWS) -> Classifier:
-    """Fit on the paragraphs of the ``rows`` documents whose id hashes lowest (a bounded sample). Paragraphs that are
-    short and share most of their word pairs with a template are left out of the background."""
-    d = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    ids = [r[0] for r in d.select(id_col).distinct().orderBy(F.xxhash64(F.col(id_col)), id_col).limit(rows).collect()]
-    texts = sorted(r[0] for r in d.where(F.col(id_col).isin(ids)).select(text_col).collect()) if ids else []
-    templates = [pairs(t.split()) for ts in TEMPLATES.values() for t in ts]
-    lines = [line for t in texts for line in t.split("\n") if words(line)]
-    lines = [line for line in lines if not any(len(pairs(words(line)) & t) >= 0.5 * len(t) for t in templates)]
-    return Classifier(lines[:: max(1, len(lines) // 4000)])
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: int = BACKGROUND_ROWS, most: int = BACKGROUND_SPANS) -> Classifier:
+    """Fit on ``most`` spans of ``rows`` documents (a bounded sample). Spans that share most of the word pairs of a template
+    are left out of the background."""
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    ids = [r.id for r in d.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(rows).collect()]
+    # of rows that share an id, the text that is least
+    texts = [r.t for r in d.where(F.col("id").isin(ids)).groupBy("id").agg(F.min("text").alias("t")).orderBy("id").collect()] if ids else []
+    templates = [pairs(words(t)) for ts in NOTICES.values() for t in ts]
+    found = {tuple(w) for t in texts for p in paragraphs(t) for w in spans(words(p)) if w}
+    found = [w for w in found if not any(len(own & t) >= 0.5 * len(t) for own in [pairs(list(w))] for t in templates)]
+    return Classifier([list(w) for w in sorted(found, key=lambda w: (zlib.crc32(" ".join(w).encode()), w))[:most]])
 
 
 def licences(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,7 +195,7 @@ def licences(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, found = [], []
         for t in batch.column(1).to_pylist():
-            n.append(t.count("\n") + 1 if t else 0)
+            n.append(len(paragraphs(t)) if t else 0)
             found.append([{"paragraph": k, "family": f, "score": p} for k, f, p in shared.value.scan(t)] if t else [])
         return pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(found, fields[2].type)], schema=fields)
 
