@@ -49,19 +49,18 @@ def written(df: DataFrame, fmt: str = "parquet", **options: str) -> DataFrame:
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def alone(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
-    """What ``build`` gives, written; every other table that it wrote meanwhile is deleted."""
+def alone(spark: SparkSession, build: Callable[[], DataFrame], last: DataFrame | None = None) -> DataFrame:
+    """What ``build`` gives, written; every other table that it wrote meanwhile is deleted, and so is ``last`` if it is one
+    that ``alone`` gave."""
     before = len(_made)
     out = written(build())
-    drop_tables(spark, _made[before:-1])
-    return out
-
-
-def drop_tables(spark: SparkSession, paths: list[str]) -> None:
-    for path in list(paths):
+    old = [p for p in _made if last is not None and getattr(last, "_alone", None) == p]
+    out._alone = _made[-1]
+    for path in [*_made[before:-1], *old]:
         fs, at = _file_system(spark, path)
         fs.delete(at, True)
         _made.remove(path)
+    return out
 
 
 def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
