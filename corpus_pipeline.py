@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, near-duplicates, benchmark decontamination, secrets, SentencePiece.
 
-Each stage takes what its predecessor kept, written as Parquet and read again. All but the last return the columns of
-``documents``; the last gives the encoded corpus.
+Each stage takes what its predecessor kept, written as Parquet and read again; then all that was written before it goes. All
+but the last return the columns of ``documents``; the last gives the encoded corpus.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm import op02_sentencepiece, op03_minhash, op07_language, op08_secrets, op09_decontaminate
-from loomwright.llm.common import written
+from loomwright.llm.common import alone
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts are replaced; no document goes. ``n_chars`` follows the text."""
-    clean = op08_secrets.redact(docs, op08_secrets.train(op08_secrets.labelled_findings(spark)))
+    model = op08_secrets.train(op08_secrets.labelled_findings(spark), op08_secrets.learn_vocabulary(docs))
+    clean = op08_secrets.redact(docs, model)
     return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
 
 
@@ -50,8 +51,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = alone(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), last=docs)
+    return STAGES[-1][1](spark, docs, sf_dir)
