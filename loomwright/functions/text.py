@@ -169,17 +169,30 @@ def first_reason(*pairs: tuple[Column, str], otherwise: str | None = None) -> Co
     return out.otherwise(F.lit(otherwise)) if otherwise is not None else out
 
 
+def _known(terms: list[str]) -> list[str]:
+    """Normalised terms, longest first."""
+    return sorted({unicodedata.normalize("NFKC", t).casefold().strip() for t in terms if t.strip()}, key=lambda t: (-len(t), t))
+
+
+def _one_term(term: str, longer: list[str] = ()) -> str:
+    """A term's pattern, a plain ASCII term only as a whole word; not where a longer term begins that it opens."""
+    quoted = lambda t: "".join("\\" + c if c in r".\+*?[^]$(){}=!<>|:-#&/~" else c for c in t)
+    edges = lambda t: ("(?<![a-z0-9])", "(?![a-z0-9])") if t.isascii() and t[:1].isalnum() else ("", "")
+    left, right = edges(term)
+    return left + quoted(term) + "".join(f"(?!{quoted(x[len(term) :])}{edges(x)[1]})" for x in longer) + right
+
+
 def term_pattern(terms: list[str]) -> str:
-    """One pattern of all terms, longest first; plain ASCII terms only as whole words."""
-    known = sorted({unicodedata.normalize("NFKC", t).casefold().strip() for t in terms if t.strip()}, key=lambda t: (-len(t), t))
-    quoted = ["".join("\\" + c if c in r".\+*?[^]$(){}=!<>|:-#&/~" else c for c in t) for t in known]
-    return "|".join(rf"(?<![a-z0-9]){q}(?![a-z0-9])" if t.isascii() and t[:1].isalnum() else q for t, q in zip(known, quoted, strict=True))
+    """One pattern of all terms, longest first."""
+    return "|".join(map(_one_term, _known(terms)))
 
 
 def term_hits(c: Column, terms: list[str]) -> Column:
-    """Distinct terms in a small normalised text, overlapping ones too, in order of place."""
-    p = term_pattern(terms)
-    return F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?=({p}))"), F.lit(1))) if p else F.array().cast("array<string>")
+    """Distinct terms in a small normalised text, overlapping ones too, longer ones first; at one place only the longest
+    counts. A plain search tells most texts off; only where it finds a term its surroundings are looked at."""
+    known = _known(terms)
+    hits = [F.when(F.contains(c, F.lit(t)) & c.rlike(_one_term(t, [x for x in known if x.startswith(t) and x != t])), F.lit(t)) for t in known]
+    return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
 
 
 def cap_repeats(c: Column, least: int = 8) -> Column:

@@ -8,23 +8,28 @@ from pyspark.sql import Window as W
 
 from ..functions import text as T
 
-ISSUE = r"(?:第\s*\d+\s*(?:卷|期)|总第\s*\d+\s*期|月刊|双月刊|季刊"
+#: What an issue of a periodical is called.
+ISSUE = r"第\s*\d+\s*(?:卷|期)|总第\s*\d+\s*期|月刊|双月刊|季刊"
+ISSUE_LATIN = r"No\.?\s*\d+\s*\(\s*Total\s+No|Vol\.?\s*\d+\s*,?\s*No\.?\s*\d+|Monthly|Bimonthly|Quarterly"
+#: Characters of a book that each signal reads: fixed values of the feature, not a sample.
+FRONT_PERIODICAL, FRONT_EDITORS, FRONT_AUTHORS, FRONT_YEAR, FRONT_MARKET, FRONT_ARTICLE, FRONT_LINES = 12_000, 80_000, 120_000, 120_000, 30_000, 60_000, 800
 
 
 def periodical_signals(title: Column, publisher: Column, metadata: Column, text: Column, reference_title: Column) -> Column:
     """Careful signals that a row is an issue of a periodical; ``reference_title``: the title has a reference term."""
     ident = lambda c: F.regexp_replace(F.lower(T.blank(c)), r"[^0-9a-z一-鿿]+", "")
-    pub, head = T.blank(publisher), F.substring(T.blank(text), 1, 12000)
+    pub, head = T.blank(publisher), F.substring(T.blank(text), 1, FRONT_PERIODICAL)
     editorial = F.contains(pub, F.lit("编辑部")) & (ident(title) != "") & F.contains(ident(pub), ident(title)) & ~reference_title
-    meta = T.blank(metadata).rlike(rf"(?is)(?:本刊|本期期刊|该期刊|杂志).{{0,40}}{ISSUE})")
+    meta = T.blank(metadata).rlike(rf"(?is)(?:本刊|本期期刊|该期刊|杂志).{{0,40}}(?:{ISSUE})")
     issn = head.rlike(r"(?i)\bISSN\s*\d{4}\s*[-–]\s*\d{3}[\dXx]\b")
-    issue = head.rlike(rf"(?i){ISSUE}|No\.?\s*\d+\s*\(\s*Total\s+No|Vol\.?\s*\d+\s*,?\s*No\.?\s*\d+|Monthly|Bimonthly|Quarterly)")
+    issue = head.rlike(rf"(?i)(?:{ISSUE}|{ISSUE_LATIN})")
     chinese = head.rlike(r"(?is)(?:19|20)\d{2}\s*年\s*第\s*\d+\s*期.{0,80}(?:总\s*第\s*\d+\s*期|第\s*\d+\s*卷)")
     return T.reasons((pub.rlike("杂志社|期刊社"), "publisher_periodical"), (editorial, "publisher_editorial_issue"), (meta, "metadata_periodical"), (chinese, "md_chinese_issue"), (issn & issue, "md_issn_issue"))
 
 
 #: Phrases that tell a collection (fixed values); the second to fifth tell research authorship.
 PHRASES = ["contributors to this volume", "first authors in chapters", "applied research conducted by the authors", "collection of selected topics", "individually important contributions", "section editors"]
+#: The head of a section and a chapter's name.
 SECTION = r"(?im)^\s*#{0,6}\s*(?:\d+(?:\.\d+)*\.?\s*)?"
 CHAPTER = r"(?:chapter\s+\d+|第[一二三四五六七八九十百0-9]+章)"
 
@@ -33,10 +38,12 @@ def collection_signals(text: Column) -> Column:
     """struct of section counts, phrases and a confidence that a book is an edited collection."""
     t = T.blank(text)
     n = lambda p, c=t: F.regexp_count(c, F.lit(p))
-    editors = n(r"(?i)\b(?:editors?|edited\s+by)\b|主编|编者", F.substring(t, 1, 80000))
+    editors = n(r"(?i)\b(?:editors?|edited\s+by)\b|主编|编者", F.substring(t, 1, FRONT_EDITORS))
     refs, ends = n(SECTION + r"(?:references|bibliography|参考文献)[ \t]*$"), n(SECTION + r"(?:conclusions?(?:\s+and\s+[^\n]+)?|discussion\s+and\s+conclusion|结论|小结)[ \t]*$")
     abstracts, chapters = n(SECTION + r"(?:abstract|摘要)[ \t]*$"), n(rf"(?im)^\s*#{{0,6}}\s*{CHAPTER}")
-    authored = n(rf"(?im)^[^\n]*{CHAPTER}[^\n]*\n\s*(?-i:(?=[^\n]{{1,180}}$)(?=(?:[^\nA-Z]*[A-Z]){{6}})[^\n\d]*(?:,|&|\band\b)[^\n\d]*$)", F.substring(t, 1, 120000))
+    author = lambda x: (F.length(x) <= 180) & ~x.rlike(r"(?U)\d") & x.rlike(r"(?i)\b(?:and|&)\b|,") & (F.regexp_count(x, F.lit(r"\p{Lu}")) >= 6)
+    behind = lambda ls, i: F.slice(F.filter(F.transform(F.slice(ls, i + 1, 5), F.trim), lambda x: x != ""), 1, 2)
+    authored = T.let(F.split(F.substring(t, 1, FRONT_AUTHORS), "\n"), lambda ls: F.size(F.filter(F.sequence(F.lit(1), F.size(ls)), lambda i: F.get(ls, i - 1).rlike(r"(?i)\bchapter\s+\d+\b|第[一二三四五六七八九十百0-9]+章") & F.exists(behind(ls, i), author))))
     found = F.array_compact(F.array(*[F.when(F.contains(F.lower(t), F.lit(p)), F.lit(p)) for p in PHRASES]))
     s = F.struct(editors.alias("editors"), refs.alias("references"), ends.alias("conclusions"), abstracts.alias("abstracts"), chapters.alias("chapters"), authored.alias("authors"), found.alias("phrases"))
 
@@ -53,12 +60,13 @@ def collection_signals(text: Column) -> Column:
     return T.let(s, judge)
 
 
+#: What tells a year of first publication.
 YEARS = r"(?i)\b(?:(?:originally|first)\s+published|original\s+edition\s+(?:was\s+)?published)[^\n]{0,120}?(?<!\d)((?:18|19|20)\d{2})(?!\d)|(?:原版|初版|首次|最初)[^\n]{0,50}?(?:出版|发行)[^\n]{0,50}?((?:18|19|20)\d{2})"
 
 
 def original_year(text: Column) -> Column:
     """The earliest year of first publication that the front of a text tells, electronic editions aside."""
-    front = F.substring(T.blank(text), 1, 120000)
+    front = F.substring(F.array_join(F.slice(F.split(T.blank(text), "\n"), 1, FRONT_LINES), "\n"), 1, FRONT_YEAR)
     lines = F.filter(F.regexp_extract_all(front, F.lit(r"(?m)^[^\n]*(?:published|出版|发行)[^\n]*$"), F.lit(0)), lambda x: x.rlike(YEARS) & ~F.lower(x).rlike("ebook|electronic|digitized|电子版|数字版") & ~x.rlike(r"(?i)\b(?:standard|code|equation|formula|model|paper|article|study|method|process|algorithm|magazine|journal|classification\s+system)\b[^.\n]{0,100}\b(?:originally|first|original)\b"))
     return F.array_min(F.transform(lines, lambda x: F.greatest(F.coalesce(F.nullif(F.regexp_extract(x, YEARS, 1), F.lit("")), F.lit("0")), F.coalesce(F.nullif(F.regexp_extract(x, YEARS, 2), F.lit("")), F.lit("0"))).cast("int")))
 
@@ -69,18 +77,26 @@ def full_text_risks(text: Column, title: Column, genre: Column) -> Column:
     year = original_year(text)
     answers = F.regexp_count(t, F.lit(r"(?im)^\s*(?:#{1,6}\s*)?(?:solution|answer|解答|答案)\s*[:：]?"))
     exam = (g == "EXAM_PREP") | T.blank(title).rlike(r"(?i)\bGATE\b|exam|practice\s+questions?|solved\s+problems?|习题集|题库|试题|考试|考研|考级|题解")
-    market = F.substring(t, 1, 30000).rlike(r"(?i)solved\s+problems?|practice\s+questions?|question\s+bank|历年.{0,12}(?:试题|真题)|题库|习题集")
-    article = (F.regexp_count(t, F.lit("\n")) < 1200) & t.rlike(SECTION + r"(?:abstract|摘要)[ \t]*$") & t.rlike(SECTION + r"(?:references|bibliography|参考文献)[ \t]*$") & t.rlike(r"(?i)\bthis\s+paper\b|本文(?:提出|研究|介绍|分析|探讨)") & F.substring(t, 1, 60000).rlike(r"(?i)\bproceedings\b|conference\s+paper|journal\s+article|会议论文|期刊论文")
+    market = F.substring(t, 1, FRONT_MARKET).rlike(r"(?i)solved\s+problems?|practice\s+questions?|question\s+bank|历年.{0,12}(?:试题|真题)|题库|习题集")
+    article = (F.regexp_count(t, F.lit("\n")) < 1200) & t.rlike(SECTION + r"(?:abstract|摘要)[ \t]*$") & t.rlike(SECTION + r"(?:references|bibliography|参考文献)[ \t]*$") & t.rlike(r"(?i)\bthis\s+paper\b|本文(?:提出|研究|介绍|分析|探讨)") & F.substring(t, 1, FRONT_ARTICLE).rlike(r"(?i)\bproceedings\b|conference\s+paper|journal\s+article|会议论文|期刊论文")
     return T.reasons((F.coalesce(year < 2000, F.lit(False)), "original_publication_year_before_2000"), (exam & (answers >= 50) & market, "exam_question_answer_dominated"), (article, "single_article_or_conference_paper"))
 
 
 def place_of(text: Column, pattern: str) -> Column:
-    """struct<line, anchor> of a pattern's first match: the line's number and its first 240 characters."""
-    before = F.split(T.blank(text), pattern, 2)[0]
-    line = F.regexp_count(before, F.lit("\n")) + 1
-    return F.when(T.blank(text).rlike(pattern), F.struct(line.alias("line"), F.substring(F.trim(F.get(F.split(T.blank(text), "\n"), line - 1)), 1, 240).alias("anchor")))
+    """struct<line, anchor> of a pattern's first match: the number of the line where it begins, and 240 characters of its
+    lines from 80 before the match, white space as one blank."""
+    t = T.blank(text)
+
+    def found(v: Column) -> Column:
+        head = F.regexp_extract(v["before"], r"([^\n]*)\z", 1)
+        raw = F.concat(head, v["hit"], F.regexp_extract(F.substr(t, F.length(v["before"]) + F.length(v["hit"]) + 1, F.length(t)), r"\A([^\n]*)", 1))
+        anchor = F.substr(raw, F.greatest(F.length(head) - 80, F.lit(0)) + 1, F.lit(240))
+        return F.struct((F.regexp_count(v["before"], F.lit("\n")) + 1).alias("line"), F.trim(F.regexp_replace(anchor, r"(?U)\s+", " ")).alias("anchor"))
+
+    return F.when(t.rlike(pattern), T.let(F.struct(F.split(t, pattern, 2)[0].alias("before"), F.regexp_extract(t, f"({pattern})", 1).alias("hit")), found))
 
 
+#: Languages of dictionaries other than Chinese and English.
 PAIRS = ["德汉", "汉德", "法汉", "汉法", "俄汉", "汉俄", "日汉", "汉日", "韩汉", "汉韩", "意汉", "汉意", "葡汉", "汉葡", "阿汉", "汉阿", "german-chinese", "chinese-german", "french-chinese", "chinese-french", "russian-chinese", "chinese-russian", "japanese-chinese", "chinese-japanese", "korean-chinese", "chinese-korean"]
 
 

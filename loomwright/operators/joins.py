@@ -80,11 +80,12 @@ def as_of(rows: DataFrame, events: DataFrame, part: str, pos: str, value: str) -
 
 def longest_prefix(rows: DataFrame, col: str, prefixes: DataFrame, prefix: str, value: str) -> DataFrame:
     """Each row with the value of the longest prefix of its text. Every prefix length of the text is looked up by equality,
-    so the join is a hash join, not a loop; only lengths that occur are tried."""
-    lengths = [r[0] for r in prefixes.select(F.length(prefix).alias("n")).distinct().orderBy("n").limit(1000).collect()]
+    so the join is a hash join, not a loop; only lengths that occur are tried (no more than the longest prefix has characters)."""
+    lengths = [r[0] for r in prefixes.select(F.length(prefix).alias("n")).where("n is not null").distinct().orderBy("n").collect()]
     if not lengths:
         return rows.withColumn(value, F.lit(None).cast("string"))
-    keyed = rows.select(col).distinct().withColumn("_n", F.explode(F.array(*map(F.lit, lengths)))).where(F.length(col) >= F.col("_n"))
+    tried = F.from_json(F.lit(str(lengths)), "array<int>")
+    keyed = rows.select(col).distinct().withColumn("_n", F.explode(F.filter(tried, lambda n: n <= F.length(col))))
     keyed = keyed.withColumn("_p", F.substr(F.col(col), F.lit(1), F.col("_n")))
     hit = keyed.join(prefixes.select(F.col(prefix).alias("_p"), F.col(value).alias("_v")), "_p").groupBy(col).agg(F.max_by("_v", "_n").alias(value))
     return rows.join(hit, col, "left")
@@ -97,12 +98,17 @@ def matched_terms(rows: DataFrame, col: str, terms: list[str]) -> DataFrame:
 
 
 def mentions(docs: DataFrame, names: DataFrame, ident: str, text: str, name: str, most: int = 8, word: str = r"(?U)\w+") -> DataFrame:
-    """Multi-pattern join of names (up to three words) and texts at word boundaries: (name, id, place), the first ``most``
-    per name. Word n-grams of the texts meet the names by equality."""
+    """Multi-pattern join of names and texts at word boundaries: (name, id, place), the first ``most`` per name. Word n-grams
+    of the texts, of the lengths that names have, meet the names by equality."""
     low = F.lower(F.col(text))
+    own = F.regexp_extract_all(F.lower(F.col(name)), F.lit(word), F.lit(0))
+    n = names.select(F.col(name).alias("name"), F.array_join(own, " ").alias("key"), F.size(own).alias("words")).where("key <> ''").distinct()
+    sizes = [r.words for r in n.select("words").distinct().orderBy("words").collect()]  # as many as names differ in length
+    if not sizes:
+        return docs.limit(0).select(F.lit("").alias("name"), ident, F.lit(0).alias("place"), F.lit(0).alias("hit"))
     d = docs.select(ident, F.regexp_extract_all(low, F.lit(word), F.lit(0)).alias("w")).select(ident, "w", F.posexplode("w").alias("place", "_")).drop("_")
-    d = d.select(ident, "place", F.explode(F.array(*[F.when(F.col("place") + n <= F.size("w"), F.array_join(F.slice("w", F.col("place") + 1, n), " ")) for n in (1, 2, 3)])).alias("key")).where("key is not null")
-    n = names.select(F.col(name).alias("name"), F.array_join(F.regexp_extract_all(F.lower(F.col(name)), F.lit(word), F.lit(0)), " ").alias("key")).where("key <> ''").distinct()
+    d = d.select(ident, "place", F.explode(F.array(*[F.when(F.col("place") + k <= F.size("w"), F.array_join(F.slice("w", F.col("place") + 1, k), " ")) for k in sizes])).alias("key")).where("key is not null")
+    n = n.drop("words")
     w = W.partitionBy("name").orderBy(ident, "place")
     return d.join(n, "key").withColumn("hit", F.row_number().over(w)).where(F.col("hit") <= most).select("name", ident, "place", "hit")
 

@@ -61,7 +61,11 @@ def clean_title(title: Column, max_chars: int = 160, keep_single_letter: bool =
             (sentence & refers, "cross_reference_entry_requires_model_review"), (sentence & ~refers, "sentence_like_title_requires_model_review"), (s.rlike(COMMAND) & (n >= 8), "question_or_procedure_title_requires_model_review"),
             (switches >= 4, "mixed_script_requires_model_review"), ((switches >= 8) & (n >= 20), "severely_mixed_script_title_requires_model_review"), (tech <= 1, "very_short_title_requires_model_review"), (s.rlike("[：:].+[：:]"), "multiple_colon_segments_requires_model_review"),
         ]
-        flags = F.concat(T.reasons(*early), F.when(reason.isNull(), T.reasons(*late)).otherwise(F.array().cast("array<string>")))
+        # a rejection keeps the flags that were set before it
+        after_label = reason.isin("figure_or_table_title", "worked_example_title", "bare_number_or_date", "single_latin_letter", "extremely_overlong_title", "no_usable_title_characters", "symbol_dominated_title")
+        after_length = reason.isin("no_usable_title_characters", "symbol_dominated_title")
+        kept = T.reasons((label & after_label, late[0][1]), (overlong & ~extreme & after_length, late[1][1]))
+        flags = F.concat(T.reasons(*early), F.when(reason.isNull(), T.reasons(*late)).otherwise(kept))
         return F.struct(s.alias("text"), flags.alias("flags"), reason.alias("reason"))
 
     return T.let(parts, judge)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .graph import written
+
 
 def shard(df: DataFrame, position: str, index: int, count: int) -> DataFrame:
     """The rows of 1-based positions that fall to one of ``count`` shards."""
@@ -39,25 +41,22 @@ def ranked(df: DataFrame, key: str, seed: int) -> DataFrame:
     return numbered(df, [hashed(key, seed), key])
 
 
-def quotas(counts: dict[str, int], total: int) -> dict[str, int]:
-    """Largest remainders; ties by name."""
-    every = sum(counts.values())
-    if total >= every:
-        return dict(counts)
-    exact = {g: total * n / every for g, n in counts.items()}
-    out = {g: int(x) for g, x in exact.items()}
-    for g in sorted(counts, key=lambda g: (-round(exact[g] - out[g], 9), g))[: total - sum(out.values())]:
-        out[g] += 1
-    return out
-
-
 def stratified(df: DataFrame, stratum: str, key: str, total: int, seed: int) -> DataFrame:
-    """Rows by seeded hash, as many per stratum as its share of ``total``; strata are few and counted first. Only each
-    stratum's first rows are sought, so a large stratum is cut down in every partition before the shuffle."""
-    n = {r[0]: r[1] for r in df.groupBy(stratum).count().limit(100_000).collect()}
-    q = df.sparkSession.createDataFrame([(g, k) for g, k in quotas(n, total).items()], f"_g {df.schema[stratum].dataType.simpleString()}, _q long")
+    """Rows by seeded hash, as many per stratum as its share of ``total`` (largest remainders, ties by name), however many
+    strata there are. Only each stratum's first rows are sought, so a large stratum is cut down in every partition before
+    the shuffle."""
+    n = written(df.groupBy(F.col(stratum).alias("_g")).agg(F.count("*").alias("_n")))
+    every = n.agg(F.sum("_n")).first()[0] or 0
+    if total >= every:
+        return df
+    exact = F.lit(float(total)) * F.col("_n") / F.lit(every)
+    n = n.withColumn("_q", F.floor(exact)).withColumn("_left", F.round(exact - F.floor(exact), 9))
+    seats = total - (n.agg(F.sum("_q")).first()[0] or 0)  # fewer than there are strata
+    more = n.orderBy(F.desc("_left"), "_g").limit(seats).select(F.col("_g").alias("_m"), F.lit(1).alias("_one"))
+    q = n.join(more, F.col("_g").eqNullSafe(F.col("_m")), "left").select("_g", (F.col("_q") + F.coalesce("_one", F.lit(0))).alias("_q"))
     w = W.partitionBy(stratum).orderBy(hashed(key, seed), key)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= total).join(F.broadcast(q), F.col(stratum) == F.col("_g")).where("_rn <= _q").drop("_rn", "_g", "_q")
+    ranked_ = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= total)
+    return ranked_.join(q, F.col(stratum).eqNullSafe(F.col("_g"))).where("_rn <= _q").drop("_rn", "_g", "_q")
 
 
 def modulo(df: DataFrame, key: Column, percent: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -124,33 +125,34 @@ def recall(df: DataFrame, subject_fields: list[str], title: str, other_fields: l
     return d.withColumn("recall", out).drop("_s", "_t", "_o")
 
 
-def beam_route(records: DataFrame, tree: DataFrame, score: Callable[[DataFrame], DataFrame], *, width: int, threshold: float, max_depth: int = 8, least_depth: int = 1) -> DataFrame:
-    """Level-wise routing of records down a tree: (record, path, path_score, decision).
+def beam_route(records: DataFrame, tree: DataFrame, score: Callable[[DataFrame], DataFrame], *, width: int, threshold: float, max_depth: int | None = None, least_depth: int = 1) -> DataFrame:
+    """Level-wise routing of records down a forest, from every root: (record, path, path_score, decision). With
+    ``max_depth``, beams still open there end; without, routing goes as deep as the forest.
 
     ``score`` gets (record, node, child and the record's columns) and adds ``p`` and ``stop`` (evidence for stopping at the
     node). Of each beam the ``width`` best children at or above the threshold go on, of each record the ``width`` best
     beams stay; beams end at leaves, when no child is good enough (truncated), or where a stop is asked for. A beam's score
     is the geometric mean of its levels."""
     kids = tree.select(F.col("parent").alias("node"), F.col("code").alias("child"))
-    roots = tree.where("parent is null").select("code")
-    beams = records.crossJoin(F.broadcast(roots.limit(1))).select("record", F.col("code").alias("node"), F.array().cast("array<string>").alias("path"), F.lit(0.0).alias("log_score"), F.lit("open").alias("state"))
+    roots = tree.where("parent is null").agg(F.array_sort(F.collect_list("code")).alias("r")).first().r  # a taxonomy's trees
+    beams = records.select("record", F.explode(F.from_json(F.lit(json.dumps(roots)), "array<string>")).alias("node")).select("record", "node", F.array().cast("array<string>").alias("path"), F.lit(0.0).alias("log_score"), F.lit("open").alias("state"))
     inner = tree.where("parent is not null").select(F.col("parent").alias("node")).distinct().withColumn("_inner", F.lit(True))
-    best = W.partitionBy("record").orderBy(F.col("log_score").desc(), F.array_join("path", "/"))
-    for _ in range(max_depth):
+    best = W.partitionBy("record").orderBy(F.col("log_score").desc(), F.array_join("path", "/"), "node")
+    beams, level = written(beams), 0
+    while (max_depth is None or level < max_depth) and not beams.where("state = 'open'").isEmpty():
+        level += 1
         live = beams.where("state = 'open'")
         scored = written(score(live.join(records, "record").join(kids, "node")))
-        halt = scored.groupBy("record", "path").agg(F.bool_or("stop").alias("halt"))
-        live = live.join(halt, ["record", "path"], "left")
-        good = scored.join(halt, ["record", "path"]).where(~F.col("halt") & (F.col("p") >= threshold))
-        good = good.withColumn("_r", F.row_number().over(W.partitionBy("record", "path").orderBy(F.col("p").desc(), "child"))).where(F.col("_r") <= width)
+        halt = scored.groupBy("record", "node", "path").agg(F.bool_or("stop").alias("halt"))
+        live = live.join(halt, ["record", "node", "path"], "left")
+        good = scored.join(halt, ["record", "node", "path"]).where(~F.col("halt") & (F.col("p") >= threshold))
+        good = good.withColumn("_r", F.row_number().over(W.partitionBy("record", "node", "path").orderBy(F.col("p").desc(), "child"))).where(F.col("_r") <= width)
         grown = good.select("record", F.col("child").alias("node"), F.concat("path", F.array("child")).alias("path"), (F.col("log_score") + F.ln("p")).alias("log_score")).join(inner, "node", "left")
         grown = grown.select("record", "node", "path", "log_score", F.when(F.col("_inner"), "open").otherwise("leaf").alias("state"))
-        moved = good.select("record", F.col("path")).distinct().withColumn("_moved", F.lit(True))
-        ended = live.join(moved, ["record", "path"], "left").where("_moved is null").select("record", "node", "path", "log_score", F.when(F.col("halt"), "stopped").otherwise("truncated").alias("state"))
+        moved = good.select("record", "node", "path").distinct().withColumn("_moved", F.lit(True))
+        ended = live.join(moved, ["record", "node", "path"], "left").where("_moved is null").select("record", "node", "path", "log_score", F.when(F.col("halt"), "stopped").otherwise("truncated").alias("state"))
         every = beams.where("state <> 'open'").unionByName(grown).unionByName(ended)
         beams = written(every.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= width).drop("_r"))
-        if beams.where("state = 'open'").isEmpty():
-            break
     n = F.size("path")
     d = beams.withColumn("path_score", F.when(n > 0, F.exp(F.col("log_score") / n)).otherwise(0.0))
     d = d.withColumn("_r", F.row_number().over(W.partitionBy("record").orderBy(F.col("path_score").desc(), F.array_join("path", "/")))).where("_r = 1")

@@ -25,9 +25,11 @@ def islands(df: DataFrame, part: str, order: str, most_gap: int, least: int) ->
     return g.groupBy(part, "_run").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n")).where(F.col("n") >= least).drop("_run")
 
 
-def heading_paths(heads: DataFrame, part: str, order: str, level: str, title: str, levels: int = 6) -> DataFrame:
+def heading_paths(heads: DataFrame, part: str, order: str, level: str, title: str, levels: int | None = None) -> DataFrame:
     """Adds ``parents``: the titles of the open headings above each one. For each level its last heading so far, left out
-    if a heading of a smaller level has come since: one window, no stack."""
+    if a heading of a smaller level has come since: one window, no stack. Levels go from 1 to ``levels``, else to the
+    deepest there is."""
+    levels = levels or heads.agg(F.max(level)).first()[0] or 1
     w = W.partitionBy(part).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     d = heads
     for k in range(1, levels):

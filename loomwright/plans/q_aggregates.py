@@ -27,7 +27,7 @@ t AS (SELECT DISTINCT o_orderpriority AS track FROM orders UNION SELECT '9-NONE'
 SELECT t.track, count(*) FILTER (dec = 'KEEP') AS KEEP, count(*) FILTER (dec = 'REVIEW') AS REVIEW, count(*) FILTER (dec = 'DROP') AS DROP FROM t LEFT JOIN o USING (track) GROUP BY 1""")
 def track_decision_pivot(s, d):
     o = table(s, d, "orders").select(F.col("o_orderpriority").alias("track"), F.when(F.col("o_orderstatus") == "F", "KEEP").when(F.col("o_orderstatus") == "O", "REVIEW").otherwise("DROP").alias("dec"))
-    tracks = [r[0] for r in o.select("track").distinct().limit(100).collect()] + ["9-NONE"]  # an enum
+    tracks = [r[0] for r in o.select("track").distinct().collect()] + ["9-NONE"]  # an enum
     return A.pivot_counts(o, "track", "dec", sorted(tracks), ["KEEP", "REVIEW", "DROP"])
 
 

@@ -61,7 +61,8 @@ WITH t AS (SELECT unnest(['the','and','password','token','license','der','la','e
 SELECT doc_id, term FROM documents, t WHERE regexp_matches(lower(text), '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)')""")
 def theta_contains_terms(s, d):
     m = J.matched_terms(table(s, d, "documents").select("doc_id", "text"), "text", TERMS)
-    return m.select("doc_id", F.explode("terms").alias("term"))
+    # the outer form, as the other has Catalyst compute the terms twice, once in a filter before it
+    return m.select("doc_id", F.explode_outer("terms").alias("term")).where("term is not null")
 
 
 @query("""

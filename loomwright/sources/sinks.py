@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Keys that one JSON report may have.
+MOST_KEYS = 10_000
+
 
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     """Text columns with a header; only ``columns``. Spark's commit makes it all or nothing."""
@@ -53,8 +56,11 @@ def report(df: DataFrame, metrics: list[str]) -> DataFrame:
 
 
 def report_json(df: DataFrame, metrics: list[str], **settings) -> str:
-    """The report as one JSON text, for few keys."""
+    """The report as one JSON text of at most MOST_KEYS keys; more are an error, and belong in a table (``report``)."""
     out: dict = {"settings": settings}
-    for r in report(df, metrics).orderBy("metric", "place").limit(10_000).collect():
+    rows = report(df, metrics).orderBy("metric", "place").limit(MOST_KEYS + 1).collect()
+    if len(rows) > MOST_KEYS:
+        raise ValueError(f"over {MOST_KEYS} keys: write report() as a table")
+    for r in rows:
         out.setdefault(r.metric, {})[r.key] = r.n
     return json.dumps(out, ensure_ascii=False)

@@ -143,3 +143,22 @@ def test_frames(spark):
     assert {r.check: r.n for r in E.qa(q, "id", "name", "path", {"path": F.lit(True)}).collect()} == {"duplicate:id": 2, "error:edge_whitespace": 1, "duplicate:name": 1}
     assert ev(spark, R.title_grounding(L("应力"), [L("应力 stress")])) == "bilingual_field_split"
     assert ev(spark, R.label_coverage(F.array(F.struct(L(2).alias("no")), F.struct(L(1).alias("no"))), 2))
+
+
+def test_chapter_authors_and_places(spark):
+    """The first two lines with words of the five behind a chapter's head may name its authors."""
+    body = "Edited by X\n" + "\n".join(f"# Chapter {k}: on things\n\nA Subtitle without names here\nJOHN A. DOE and MARY B. ROE\nx\nConclusions\nReferences" for k in range(1, 5))
+    late = "Chapter 1\none\ntwo\nJOHN A. DOE and MARY B. ROE"
+    far = "Chapter 1\n\n\n\n\n\nJOHN A. DOE and MARY B. ROE"
+    got = [r.n for r in spark.createDataFrame([(1, body), (2, late), (3, far)], "k int, x string").orderBy("k").select(B.collection_signals(F.col("x"))["authors"].alias("n")).collect()]
+    assert got == [4, 0, 0]
+    text = "first\n" + "a" * 100 + " key  word " + "b" * 300 + "\nlast"
+    got = spark.createDataFrame([(text,)], "x string").select(B.place_of(F.col("x"), r"key\s+word").alias("p")).first().p
+    assert got.line == 2 and got.anchor == ("a" * 79 + " key word " + "b" * 300)[: 79 + len(" key word ") + 150] and "  " not in got.anchor
+
+
+def test_year_only_in_the_front(spark):
+    late = "x\n" * 800 + "First published 1950"
+    front = "x\n" * 700 + "First published 1950"
+    got = [r.y for r in spark.createDataFrame([(1, late), (2, front)], "k int, x string").orderBy("k").select(B.original_year(F.col("x")).alias("y")).collect()]
+    assert got == [None, 1950]

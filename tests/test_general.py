@@ -239,7 +239,6 @@ def test_aggregate_helpers(spark):
     with pytest.raises(ValueError):
         A.conserved(3, kept=1, removed=1)
     assert A.budgeted(["aaa", "bbbbbbbb", "cc"], 6) == ["aaa", "cc"]
-    assert S.quotas({"a": 5, "b": 3, "c": 2}, 5) == {"a": 3, "b": 1, "c": 1} or sum(S.quotas({"a": 5, "b": 3, "c": 2}, 5).values()) == 5
 
 
 def test_readers_and_sinks(spark, tmp_path):
@@ -332,3 +331,64 @@ def test_without_llm(tmp_path):
     shutil.rmtree(tmp_path / "loomwright" / "llm", ignore_errors=True)
     code = "import __spark_entry__ as e; q = e.queries(); o = e.oracle_sql(); assert q and not [k for k in q if k.startswith('op') or k == 'pipeline'] and set(o) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+def test_many_strata_and_prefix_lengths(spark):
+    df = spark.range(150_000).selectExpr("id as k", "concat('s', id % 120000) as g")
+    got = S.stratified(df, "g", "k", 130_000, 1)
+    assert got.count() == 130_000 and got.select("g").distinct().count() == 120_000
+    small = spark.createDataFrame([("a", k) for k in range(5)] + [("b", 10 + k) for k in range(3)] + [(None, 20), (None, 21)], "g string, k long")
+    assert {r.g: r.n for r in S.stratified(small, "g", "k", 5, 1).groupBy("g").agg(F.count("*").alias("n")).collect()} == {"a": 3, "b": 1, None: 1}
+    text = "x" * 2500
+    prefixes = spark.createDataFrame([("x" * n, str(n)) for n in range(1, 2001)] + [("y", "y")], "p string, v string")
+    rows = spark.createDataFrame([(text,), ("xx",), ("z",), ("y",), (None,)], "t string")
+    assert {r.t: r.v for r in J.longest_prefix(rows, "t", prefixes, "p", "v").collect()} == {text: "2000", "xx": "2", "z": None, "y": "y", None: None}
+
+
+def test_names_of_any_length(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "five")], "doc_id long, text string")
+    names = spark.createDataFrame([("Two three four five SIX",), ("five",), ("six one",)], "name string")
+    got = sorted((r.name, r.doc_id, r.place) for r in J.mentions(docs, names, "doc_id", "text", "name").collect())
+    assert got == [("Two three four five SIX", 1, 1), ("five", 1, 4), ("five", 2, 0)]
+    assert J.mentions(docs, names.limit(0), "doc_id", "text", "name").count() == 0
+
+
+def test_beams_start_from_every_root(spark):
+    tree = spark.createDataFrame([("A", None), ("A1", "A"), ("B", None), ("B1", "B"), *[(f"B{k + 1}", f"B{k}") for k in range(1, 12)]], "code string, parent string")
+    records = spark.createDataFrame([(1, "A1"), (2, "B")], "record long, want string")
+    score = lambda d: d.withColumn("p", F.when(F.startswith("child", "want"), 0.9).otherwise(0.2)).withColumn("stop", F.lit(False))
+    got = {r.record: (r.path, r.decision) for r in H.beam_route(records, tree, score, width=2, threshold=0.5).collect()}
+    assert got == {1: (["A1"], "accepted_leaf"), 2: ([f"B{k}" for k in range(1, 13)], "accepted_leaf")}
+
+
+def test_deep_heading_parents(spark):
+    heads = spark.createDataFrame([(1, k, k, f"h{k}") for k in range(1, 9)] + [(1, 9, 2, "x")], "doc_id long, line_no int, level int, title string")
+    got = {r.line_no: r.parents for r in X.heading_paths(heads, "doc_id", "line_no", "level", "title").collect()}
+    assert got[8] == [f"h{k}" for k in range(1, 8)] and got[9] == ["h1"]
+
+
+def test_rejections_keep_earlier_flags(spark):
+    got = one(spark, "~=" * 150, lambda c: R.clean_title(c))
+    assert got.reason in ("symbol_dominated_title", "no_usable_title_characters", "garbled_title")
+    got = one(spark, "。," * 90, lambda c: R.clean_title(c))
+    assert got.reason == "no_usable_title_characters" and got.flags == ["overlong_title_requires_model_review"]
+
+
+def test_report_refuses_many_keys(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "MOST_KEYS", 3)
+    df = spark.createDataFrame([(str(k),) for k in range(4)], "a string")
+    with pytest.raises(ValueError, match="over 3 keys"):
+        sinks.report_json(df, ["a"])
+    assert json.loads(sinks.report_json(df.limit(2), ["a"], x=1))["settings"] == {"x": 1}
+
+
+def test_term_hits_against_one_pattern(spark):
+    """The same terms as one pattern finds that is tried at every place, the longest first."""
+    import re
+
+    terms = ["data", "data mining", "mining", "c++", "机器", "机器学习", "学习", "a.b", "in the", "the"]
+    texts = ["data mining in the mine", "big data, and data mining", "mydata mining", "c++ and c+", "机器学习", "机器 学习", "a.b axb", "bin then in the", "", None, "data data-mining"]
+    p = re.compile(f"(?=({T.term_pattern(terms)}))")
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = df.select(T.term_hits(F.col("x"), terms).alias("y")).collect()
+    assert [sorted(r.y) for r in got] == [sorted({m.group(1) for m in p.finditer(t or "")}) for t in texts]
