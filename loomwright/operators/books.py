@@ -67,7 +67,7 @@ YEARS = r"(?i)\b(?:(?:originally|first)\s+published|original\s+edition\s+(?:was\
 def original_year(text: Column) -> Column:
     """The earliest year of first publication that the front of a text tells, electronic editions aside."""
     front = F.substring(F.array_join(F.slice(F.split(T.blank(text), "\n"), 1, FRONT_LINES), "\n"), 1, FRONT_YEAR)
-    lines = F.filter(F.regexp_extract_all(front, F.lit(r"(?m)^[^\n]*(?:published|出版|发行)[^\n]*$"), F.lit(0)), lambda x: x.rlike(YEARS) & ~F.lower(x).rlike("ebook|electronic|digitized|电子版|数字版") & ~x.rlike(r"(?i)\b(?:standard|code|equation|formula|model|paper|article|study|method|process|algorithm|magazine|journal|classification\s+system)\b[^.\n]{0,100}\b(?:originally|first|original)\b"))
+    lines = F.filter(F.regexp_extract_all(front, F.lit(r"(?im)^[^\n]*(?:published|出版|发行)[^\n]*$"), F.lit(0)), lambda x: x.rlike(YEARS) & ~F.lower(x).rlike("ebook|electronic|digitized|电子版|数字版") & ~x.rlike(r"(?i)\b(?:standard|code|equation|formula|model|paper|article|study|method|process|algorithm|magazine|journal|classification\s+system)\b[^.\n]{0,100}\b(?:originally|first|original)\b"))
     return F.array_min(F.transform(lines, lambda x: F.greatest(F.coalesce(F.nullif(F.regexp_extract(x, YEARS, 1), F.lit("")), F.lit("0")), F.coalesce(F.nullif(F.regexp_extract(x, YEARS, 2), F.lit("")), F.lit("0"))).cast("int")))
 
 

@@ -108,7 +108,7 @@ def layout_verdict(evidence: DataFrame, lines: DataFrame) -> DataFrame:
 def source_language_kept(output: Column, evidence: Column) -> Column:
     """False where the evidence has Latin prose and no CJK, but the output has CJK."""
     prose = F.regexp_replace(T.blank(evidence), r"<[^>]*>|\$[^$]*\$|`[^`]*`", " ")
-    latin = (F.regexp_count(prose, F.lit(r"\b[A-Za-z]{2,}\b")) >= 3) & ~T.blank(evidence).rlike(f"[{T.CJK}]")
+    latin = (F.regexp_count(prose, F.lit(r"(?U)\b[A-Za-z]{2,}\b")) >= 3) & ~T.blank(evidence).rlike(f"[{T.CJK}]")
     return ~(latin & T.blank(output).rlike(f"[{T.CJK}]"))
 
 

@@ -256,8 +256,8 @@ def format_cleanup(text: Column) -> Column:
     """Images, display formulas, navigation lines and captions off; words broken at line ends joined."""
     t = F.regexp_replace(text, r"!\[[^\]]*\]\([^)]*\)", "")
     t = F.regexp_replace(t, r"(?s)\$\$.*?\$\$", "")
-    t = F.regexp_replace(t, r"(?im)^\s*(?:next|previous|back to top|home)\s*$", "")
-    t = F.regexp_replace(t, r"(?im)^\s*(?:figure|fig\.|table)\s*[0-9]+[.:].*$", "")
+    t = F.regexp_replace(t, r"(?im)^[ \t]*(?:next|previous|back to top|home)[ \t]*$", "")
+    t = F.regexp_replace(t, r"(?im)^[ \t]*(?:figure|fig\.|table)[ \t]*[0-9]+[.:].*$", "")
     t = F.regexp_replace(t, r"(?<=[a-z])-\n(?=[a-z])", "")
     return F.regexp_replace(t, r"\n{4,}", "\n\n\n")
 

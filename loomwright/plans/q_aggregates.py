@@ -109,9 +109,12 @@ def report_counts(s, d):
 WITH b AS (SELECT n_chars < 500 AS a, n_chars BETWEEN 500 AND 4999 AS b, n_chars > 4999 AS c FROM documents)
 SELECT count(*) AS n_input, count(*) FILTER (a) AS short, count(*) FILTER (b) AS middle, count(*) FILTER (c) AS long, count(*) = count(*) FILTER (a) + count(*) FILTER (b) + count(*) FILTER (c) AS conserved FROM b""")
 def conservation_check(s, d):
+    """Fails if the parts don't add up to the input."""
     n = F.col("n_chars")
     g = table(s, d, "documents").agg(F.count("*").alias("n_input"), F.count_if(n < 500).alias("short"), F.count_if(n.between(500, 4999)).alias("middle"), F.count_if(n > 4999).alias("long"))
-    return g.withColumn("conserved", F.expr("n_input = short + middle + long"))
+    r = g.first()
+    A.conserved(r.n_input, short=r.short, middle=r.middle, long=r.long)
+    return s.createDataFrame([(*r, True)], "n_input long, short long, middle long, long long, conserved boolean")
 
 
 @query("SELECT c_custkey, c_name FROM customer ORDER BY sha256('7|' || c_custkey), c_custkey LIMIT 25")

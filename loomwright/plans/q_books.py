@@ -19,45 +19,85 @@ def pick(k, *values):
     return out
 
 
-@query("""
-SELECT doc_id, ['', 'publisher_periodical', 'metadata_periodical', 'md_issn_issue', 'md_chinese_issue', ''][doc_id % 6 + 1] AS signals FROM documents""")
+@query(r"""
+WITH x AS (SELECT doc_id, source AS title, ['Press', '某杂志社', '', '', source || ' 编辑部', ''][doc_id % 6 + 1] AS pub, ['', '', '本刊为双月刊', '杂志', '', ''][doc_id % 6 + 1] AS meta,
+ substr(['', '', 'Vol. 3, No. 2 ', 'ISSN 1234-567X Vol. 3, No. 2 ', '2020年第3期 总第 55 期', 'ISSN 1234-567X '][doc_id % 6 + 1] || text, 1, 12000) AS head FROM documents),
+y AS (SELECT doc_id, [CASE WHEN regexp_matches(pub, '杂志社|期刊社') THEN 'publisher_periodical' END,
+ CASE WHEN contains(pub, '编辑部') AND contains(regexp_replace(lower(pub), '[^0-9a-z一-鿿]+', '', 'g'), regexp_replace(lower(title), '[^0-9a-z一-鿿]+', '', 'g')) THEN 'publisher_editorial_issue' END,
+ CASE WHEN regexp_matches(meta, '(?is)(?:本刊|本期期刊|该期刊|杂志).{0,40}(?:第\s*\d+\s*(?:卷|期)|总第\s*\d+\s*期|月刊|双月刊|季刊)') THEN 'metadata_periodical' END,
+ CASE WHEN regexp_matches(head, '(?is)(?:19|20)\d{2}\s*年\s*第\s*\d+\s*期.{0,80}(?:总\s*第\s*\d+\s*期|第\s*\d+\s*卷)') THEN 'md_chinese_issue' END,
+ CASE WHEN regexp_matches(head, '(?i)\bISSN\s*\d{4}\s*[-–]\s*\d{3}[\dX]\b') AND regexp_matches(head, '(?i)第\s*\d+\s*(?:卷|期)|总第\s*\d+\s*期|月刊|季刊|No\.?\s*\d+\s*\(\s*Total\s+No|Vol\.?\s*\d+\s*,?\s*No\.?\s*\d+|Monthly|Quarterly') THEN 'md_issn_issue' END] AS v FROM x)
+SELECT doc_id, array_to_string(list_filter(v, lambda e: e IS NOT NULL), ',') AS signals FROM y""")
 def periodical_signals(s, d):
     k = F.col("doc_id") % 6
-    sig = B.periodical_signals(F.lit("t"), pick(k, "Press", "某杂志社", "", "", "", ""), pick(k, "", "", "本刊为双月刊", "", "", ""), F.concat(pick(k, "", "", "", "ISSN 1234-567X Vol. 3, No. 2 ", "2020年第3期 总第 55 期", "ISSN 1234-567X "), F.regexp_replace("text", "(?i)monthly|quarterly", "")), F.lit(False))
+    pub = pick(k, "Press", "某杂志社", "", "", F.concat("source", F.lit(" 编辑部")), "")
+    sig = B.periodical_signals(F.col("source"), pub, pick(k, "", "", "本刊为双月刊", "杂志", "", ""), F.concat(pick(k, "", "", "Vol. 3, No. 2 ", "ISSN 1234-567X Vol. 3, No. 2 ", "2020年第3期 总第 55 期", "ISSN 1234-567X "), "text"), F.lit(False))
     return table(s, d, "documents").select("doc_id", F.array_join(sig, ",").alias("signals"))
 
 
-@query("""
-SELECT doc_id, ['high', 'low', 'medium', 'low'][doc_id % 4 + 1] AS confidence, [5, 5, 4, 0][doc_id % 4 + 1] AS chapters, [5, 5, 3, 0][doc_id % 4 + 1] AS n_references FROM documents""")
+def chapters(n, end):
+    return "".join(f"Chapter {i}\nA subtitle\nJOHN A. DOE and MARY B. ROE\nx\nConclusions\n{'References' if i <= end else 'x'}\n" for i in range(1, n + 1))
+
+
+BOOKS = ["Edited by X\n" + chapters(5, 5), chapters(5, 5), "Edited by X\n" + chapters(4, 3), ""]
+
+
+@query(r"""
+WITH x AS (SELECT doc_id, ['""" + "','".join(BOOKS) + r"""'][doc_id % 4 + 1] || text AS t FROM documents),
+c AS (SELECT doc_id, len(regexp_extract_all(substr(t, 1, 80000), '(?i)\b(?:editors?|edited\s+by)\b|主编|编者')) AS ed, len(regexp_extract_all(t, '(?im)^\s*#{0,6}\s*(?:\d+(?:\.\d+)*\.?\s*)?(?:references|bibliography|参考文献)[ \t]*$')) AS refs,
+ len(regexp_extract_all(t, '(?im)^\s*#{0,6}\s*(?:\d+(?:\.\d+)*\.?\s*)?(?:conclusions?(?:\s+and\s+[^\n]+)?|discussion\s+and\s+conclusion|结论|小结)[ \t]*$')) AS ends, len(regexp_extract_all(t, '(?im)^\s*#{0,6}\s*(?:chapter\s+\d+|第[一二三四五六七八九十百0-9]+章)')) AS ch,
+ list_filter(['contributors to this volume', 'first authors in chapters', 'applied research conducted by the authors', 'collection of selected topics', 'individually important contributions', 'section editors'], lambda p: contains(lower(t), p)) AS ph, string_split(substr(t, 1, 120000), chr(10)) AS l FROM x),
+n AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, l FROM c),
+a AS (SELECT doc_id, count(*) AS au FROM n WHERE regexp_matches(l[i], '(?i)\bchapter\s+\d+\b|第[一二三四五六七八九十百0-9]+章')
+ AND len(list_filter(list_filter(list_transform(l[i + 1:i + 5], lambda v: trim(v)), lambda v: v <> '')[1:2], lambda v: length(v) <= 180 AND NOT regexp_matches(v, '\d') AND regexp_matches(v, '(?i)\b(?:and|&)\b|,') AND len(regexp_extract_all(v, '\p{Lu}')) >= 6)) > 0 GROUP BY 1),
+j AS (SELECT c.*, coalesce(au, 0) AS au, len(list_intersect(ph, ['first authors in chapters', 'applied research conducted by the authors', 'collection of selected topics', 'individually important contributions'])) > 0 AS research FROM c LEFT JOIN a USING (doc_id))
+SELECT doc_id, CASE WHEN ed > 0 AND ((research AND refs >= 3) OR (ch >= 4 AND refs >= 4 AND ends >= 3 AND au >= 3)) THEN 'high' WHEN ed > 0 AND ((list_contains(ph, 'contributors to this volume') AND refs >= 3 AND ch >= 5) OR research OR (ch >= 4 AND refs >= 3 AND ends >= 2 AND au >= 2)) THEN 'medium' ELSE 'low' END AS confidence,
+ CAST(ch AS INT) AS chapters, CAST(refs AS INT) AS n_references, CAST(au AS INT) AS authors FROM j""")
 def collection_signals(s, d):
-    k = F.col("doc_id") % 4
-    chap = lambda n, end: "".join(f"Chapter {i}\nJOHN A. DOE and MARY B. ROE\nx\nConclusions\n{'References' if i <= end else 'x'}\n" for i in range(1, n + 1))
-    body = F.concat(pick(k, "Edited by X\n" + chap(5, 5), chap(5, 5), "Edited by X\n" + chap(4, 3), ""), F.regexp_replace("text", "(?i)chapter|references|conclusion|edit|abstract", ""))
-    x = table(s, d, "documents").select("doc_id", B.collection_signals(body).alias("c"))
-    return x.select("doc_id", "c.confidence", "c.chapters", F.col("c.references").alias("n_references"))
+    x = table(s, d, "documents").select("doc_id", B.collection_signals(F.concat(pick(F.col("doc_id") % 4, *BOOKS), "text")).alias("c"))
+    return x.select("doc_id", "c.confidence", "c.chapters", F.col("c.references").alias("n_references"), "c.authors")
 
 
-@query("""
-SELECT doc_id, ['original_publication_year_before_2000', '', 'exam_question_answer_dominated', 'single_article_or_conference_paper', ''][doc_id % 5 + 1] AS risks, CASE doc_id % 5 WHEN 0 THEN 1987 WHEN 1 THEN 2005 END AS year FROM documents WHERE n_chars < 20000 AND NOT regexp_matches(text, '(?i)published|solution|answer|abstract|references|proceedings|paper')""")
+RISKS = ["Originally published in 1987\n", "First published 2005 by X\n", "question bank\n" + "Answer: x\n" * 50, "Proceedings\nAbstract\nIn this paper\nReferences\n", "ebook first published 1950\n"]
+
+
+@query(r"""
+WITH x AS (SELECT doc_id, doc_id % 5 AS k, ['""" + "','".join(RISKS) + r"""'][doc_id % 5 + 1] || text AS t FROM documents),
+f AS (SELECT doc_id, k, t, unnest(CASE WHEN t = '' THEN [''] ELSE string_split(substr(array_to_string(string_split(t, chr(10))[1:800], chr(10)), 1, 120000), chr(10)) END) AS line FROM x),
+y AS (SELECT doc_id, min(CAST(regexp_extract(line, '(?i)(?:\b(?:(?:originally|first)\s+published|original\s+edition\s+(?:was\s+)?published)(?:[^\n]{0,119}?[^\d\n])??|(?:原版|初版|首次|最初)[^\n]{0,50}?(?:出版|发行)[^\n]{0,50}?)((?:18|19|20)\d{2})(?:\D|$)', 1) AS INT)) AS year FROM f
+ WHERE regexp_matches(line, '(?i)(?:\b(?:(?:originally|first)\s+published|original\s+edition\s+(?:was\s+)?published)(?:[^\n]{0,119}?[^\d\n])??|(?:原版|初版|首次|最初)[^\n]{0,50}?(?:出版|发行)[^\n]{0,50}?)((?:18|19|20)\d{2})(?:\D|$)') AND NOT regexp_matches(lower(line), 'ebook|electronic|digitized|电子版|数字版')
+ AND NOT regexp_matches(line, '(?i)\b(?:standard|code|equation|formula|model|paper|article|study|method|process|algorithm|magazine|journal|classification\s+system)\b[^.\n]{0,100}\b(?:originally|first|original)\b') GROUP BY 1)
+SELECT x.doc_id, array_to_string(list_filter([CASE WHEN year < 2000 THEN 'original_publication_year_before_2000' END,
+ CASE WHEN k = 2 AND len(regexp_extract_all(t, '(?im)^\s*(?:#{1,6}\s*)?(?:solution|answer|解答|答案)\s*[:：]?')) >= 50 AND regexp_matches(substr(t, 1, 30000), '(?i)solved\s+problems?|practice\s+questions?|question\s+bank|历年.{0,12}(?:试题|真题)|题库|习题集') THEN 'exam_question_answer_dominated' END,
+ CASE WHEN len(string_split(t, chr(10))) <= 1200 AND regexp_matches(t, '(?im)^\s*#{0,6}\s*(?:\d+(?:\.\d+)*\.?\s*)?(?:abstract|摘要)[ \t]*$') AND regexp_matches(t, '(?im)^\s*#{0,6}\s*(?:\d+(?:\.\d+)*\.?\s*)?(?:references|bibliography|参考文献)[ \t]*$') AND regexp_matches(t, '(?i)\bthis\s+paper\b|本文(?:提出|研究|介绍|分析|探讨)') AND regexp_matches(substr(t, 1, 60000), '(?i)\bproceedings\b|conference\s+paper|journal\s+article|会议论文|期刊论文') THEN 'single_article_or_conference_paper' END], lambda e: e IS NOT NULL), ',') AS risks, year
+FROM x LEFT JOIN y USING (doc_id)""")
 def full_text_risks(s, d):
     k = F.col("doc_id") % 5
-    x = table(s, d, "documents").where("n_chars < 20000 and not text rlike '(?i)published|solution|answer|abstract|references|proceedings|paper'")
-    t = F.concat(pick(k, "Originally published in 1987\n", "First published 2005 by X\n", "question bank\n" + "Answer: x\n" * 50, "Proceedings\nAbstract\nIn this paper\nReferences\n", "ebook first published 1950\n"), "text")
-    return x.select("doc_id", F.array_join(B.full_text_risks(t, pick(k, "t", "t", "exam guide", "t", "t"), F.lit("")), ",").alias("risks"), B.original_year(t).alias("year"))
+    t = F.concat(pick(k, *RISKS), "text")
+    return table(s, d, "documents").select("doc_id", F.array_join(B.full_text_risks(t, pick(k, "t", "t", "exam guide", "t", "t"), F.lit("")), ",").alias("risks"), B.original_year(t).alias("year"))
 
 
 @query("""
-SELECT p_partkey, p_partkey % 3 = 0 AS foreign_title FROM part""")
+WITH x AS (SELECT p_partkey, lower(['German-Chinese dictionary ', 'English dictionary ', 'German-Chinese trade ', '俄汉词典 ', ''][p_partkey % 5 + 1] || p_name) AS t FROM part)
+SELECT p_partkey, regexp_matches(t, '词典|辞典|字典|术语|词汇|对照|双解|dictionary|glossary|lexicon') AND regexp_matches(t, '[德法俄日韩意葡阿]汉|汉[德法俄日韩意葡阿]|(german|french|russian|japanese|korean)-chinese|chinese-(german|french|russian|japanese|korean)') AS foreign_title FROM x""")
 def foreign_dictionary_titles(s, d):
-    k = F.col("p_partkey") % 3
-    return table(s, d, "part").select("p_partkey", B.foreign_dictionary_title(F.concat(pick(k, "German-Chinese dictionary ", "English dictionary ", "German-Chinese trade "), "p_name")).alias("foreign_title"))
+    t = F.concat(pick(F.col("p_partkey") % 5, "German-Chinese dictionary ", "English dictionary ", "German-Chinese trade ", "俄汉词典 ", ""), "p_name")
+    return table(s, d, "part").select("p_partkey", B.foreign_dictionary_title(t).alias("foreign_title"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN doc_id % 4 IN (1, 2) THEN 'DROP' ELSE 'PASS' END AS decision, CASE doc_id % 4 WHEN 1 THEN 'heading_language' WHEN 2 THEN 'traditional' ELSE '' END AS adjusted FROM documents""")
+GATED = ["", "\n".join(f"# ΑΒΓΔ{i}" for i in range(6)) + "\n", "體" * 600 + "汉" * 300, "體" * 300]
+
+
+@query(r"""
+WITH x AS (SELECT doc_id, ['""" + "','".join(GATED) + r"""'][doc_id % 4 + 1] || text AS t FROM documents),
+h AS (SELECT doc_id, t, regexp_replace(t, '[^一-鿿]+', '', 'g') AS han, regexp_extract_all(t, '(?m)^\s*#{1,6}\s+(.+?)\s*$', 1) AS heads FROM x),
+c AS (SELECT doc_id, length(han) AS n, length(han) - length(replace(han, '體', '')) AS v,
+ len(list_filter(heads, lambda e: regexp_matches(e, '[Ͱ-ԯ֐-ࣿऀ-෿฀-๿぀-ヿㇰ-ㇿ가-힯]'))) AS b, list_sum(list_transform(heads, lambda e: len(regexp_extract_all(e, '[ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØŒÙÚÛÜÝŸßàáâãäåæçèéêëìíîïñòóôõöøœùúûüýÿͰ-ԯ֐-ࣿऀ-෿฀-๿぀-ヿㇰ-ㇿ가-힯]')))) AS chars,
+ len(list_filter(heads, lambda e: regexp_matches(e, '[ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØŒÙÚÛÜÝŸßàáâãäåæçèéêëìíîïñòóôõöøœùúûüýÿ]') AND len(string_split(e, ',')) >= 3 AND length(e) <= 140 AND NOT regexp_matches(e, '[0-9]') AND len(regexp_extract_all(e, '\p{L}')) > 0 AND len(regexp_extract_all(e, '\p{Lu}')) >= 0.85 * len(regexp_extract_all(e, '\p{L}')))) AS a FROM h),
+g AS (SELECT doc_id, n >= 500 AND v >= 500 AND v / n >= 0.05 AS body, CASE WHEN a >= 5 THEN a ELSE 0 END + CASE WHEN b >= 5 AND chars >= 20 THEN b ELSE 0 END >= 5 AS signal FROM c)
+SELECT doc_id, CASE WHEN body OR signal THEN 'DROP' ELSE 'PASS' END AS decision, CASE WHEN body THEN 'traditional' WHEN signal THEN 'heading_language' ELSE '' END AS adjusted FROM g""")
 def dictionary_document_gates(s, d):
-    k = F.col("doc_id") % 4
-    t = F.concat(pick(k, "", "\n".join(f"# ΑΒΓΔ{i}" for i in range(6)) + "\n", "體" * 600, "體" * 300), "text")
+    t = F.concat(pick(F.col("doc_id") % 4, *GATED), "text")
     g = B.document_gates(F.lit("PASS"), B.traditional_ratio(t, "體")["body"], B.foreign_headings(t)["signal"])
     return table(s, d, "documents").select("doc_id", g.alias("g")).select("doc_id", "g.decision", F.array_join("g.adjusted", ",").alias("adjusted"))
 
@@ -70,61 +110,90 @@ def qualitative_gate(s, d):
 
 
 @query("""
-SELECT doc_id, CASE WHEN toxic = 1 AND doc_id % 2 = 0 THEN 'REVIEW' ELSE 'PASS' END AS decision, toxic = 1 AS challenged FROM labels""")
+WITH e AS (SELECT doc_id, toxic, quality, unnest(range(1, doc_id % 5 + 2)) AS i FROM labels),
+v AS (SELECT doc_id, count(*) FILTER (i % 4 <> 3 AND (quality = 1 OR i < 4)) AS n, count(DISTINCT (i + 1) // 2) FILTER (i % 4 <> 3 AND (quality = 1 OR i < 4)) AS m FROM e GROUP BY 1)
+SELECT doc_id, CASE WHEN (toxic = 1 OR doc_id % 3 >= 2) AND NOT (quality = 1 AND n >= 3 AND m >= 3) THEN 'REVIEW' ELSE 'PASS' END AS decision, toxic = 1 OR doc_id % 3 >= 2 AS challenged FROM labels JOIN v USING (doc_id)""")
 def pass_challenges(s, d):
-    ev = F.transform(F.sequence(F.lit(1), F.when(F.col("doc_id") % 2 == 0, 2).otherwise(3)), lambda i: F.struct(i.alias("sample"), F.lit(True).alias("strong"), F.lit(True).alias("verified")))
-    x = table(s, d, "labels").select("doc_id", B.pass_challenge(F.lit("PASS"), F.col("toxic") == 1, F.lit(0), F.lit("PASS"), F.lit(True), ev).alias("p"))
+    """Quotes i from samples (i + 1) / 2, some of them weak or not found; the answer recommends what the label says."""
+    i = F.sequence(F.lit(1).cast("long"), F.col("doc_id") % 5 + 1)
+    ev = F.transform(i, lambda k: F.struct(F.floor((k + 1) / 2).alias("sample"), (k % 4 != 3).alias("strong"), ((F.col("quality") == 1) | (k < 4)).alias("verified")))
+    x = table(s, d, "labels").select("doc_id", B.pass_challenge(F.lit("PASS"), F.col("toxic") == 1, F.col("doc_id") % 3, F.when(F.col("quality") == 1, "PASS").otherwise("DROP"), F.lit(True), ev).alias("p"))
     return x.select("doc_id", "p.decision", (F.size("p.reasons") > 0).alias("challenged"))
 
 
 @query("""
-SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'keep' WHEN 1 THEN 'drop' WHEN 2 THEN 'review' WHEN 3 THEN 'review' ELSE 'review' END AS decision, CASE doc_id % 5 WHEN 3 THEN 'matched_l1_unknown' WHEN 4 THEN 'matched_l1_must_be_empty' ELSE '' END AS errors FROM documents""")
+WITH x AS (SELECT doc_id, [' In_scope', 'out_of_scope', 'uncertain', 'odd'][doc_id % 4 + 1] AS sc, ['high', 'Medium', 'low', ''][doc_id // 4 % 4 + 1] AS co, [source, '', 'maybe ' || source][doc_id // 16 % 3 + 1] AS re, list_distinct([['a', 'b', 'zz', lang, ''][doc_id % 5 + 1], ['', 'a', 'zz'][doc_id % 3 + 1]]) AS m0 FROM documents),
+y AS (SELECT *, lower(trim(sc)) AS s, lower(trim(co)) AS c, list_filter(m0, lambda e: e <> '') AS m FROM x),
+z AS (SELECT *, len(list_filter(m, lambda e: e IN ('a', 'b'))) AS good, len(list_filter(m, lambda e: e NOT IN ('a', 'b'))) > 0 AS strange FROM y),
+e AS (SELECT doc_id, s, c, re, list_filter([CASE WHEN s NOT IN ('in_scope', 'out_of_scope', 'uncertain') THEN 'scope_decision' END, CASE WHEN c NOT IN ('high', 'medium', 'low') THEN 'confidence' END, CASE WHEN trim(re) = '' THEN 'reason' END, CASE WHEN strange AND (s <> 'in_scope' OR good = 0) THEN 'matched_l1_unknown' END,
+ CASE WHEN s = 'in_scope' AND len(m) = 0 THEN 'matched_l1_required' END, CASE WHEN s = 'out_of_scope' AND len(m) > 0 THEN 'matched_l1_must_be_empty' END], lambda v: v IS NOT NULL) AS err FROM z)
+SELECT doc_id, CASE WHEN len(err) > 0 THEN 'review' WHEN s = 'in_scope' THEN 'keep' WHEN s = 'out_of_scope' AND c = 'high' AND NOT regexp_matches(re, '(?i)maybe|perhaps|possibly') THEN 'drop' ELSE 'review' END AS decision, array_to_string(err, ',') AS errors FROM e""")
 def scope_verdicts(s, d):
-    k = F.col("doc_id") % 5
-    arr = lambda *x: F.array(*map(F.lit, x)).cast("array<string>")
-    v = B.scope_verdict(pick(k, "in_scope", "out_of_scope", "out_of_scope", "in_scope", "out_of_scope"), pick(k, "low", "high", "medium", "high", "high"), F.lit("because"), F.when(k == 0, arr("a", "zz")).when(k == 3, arr("zz")).when(k == 4, arr("a")).otherwise(arr()), ["a", "b"])
-    x = table(s, d, "documents").select("doc_id", v.alias("v"))
+    k = F.col("doc_id")
+    scope, conf = pick(k % 4, " In_scope", "out_of_scope", "uncertain", "odd"), pick(F.floor(k / 4) % 4, "high", "Medium", "low", "")
+    why = pick(F.floor(k / 16) % 3, F.col("source"), "", F.concat(F.lit("maybe "), "source"))
+    matched = F.array(pick(k % 5, "a", "b", "zz", F.col("lang"), ""), pick(k % 3, "", "a", "zz"))
+    x = table(s, d, "documents").select("doc_id", B.scope_verdict(scope, conf, why, matched, ["a", "b"]).alias("v"))
     return x.select("doc_id", "v.decision", F.array_join("v.errors", ",").alias("errors"))
 
 
-@query("SELECT doc_id, ['approved', 'review', 'other', 'technical_failed', 'review'][doc_id % 5 + 1] AS disposition FROM documents")
+@query("""
+WITH x AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'other' WHEN doc_id % 11 = 0 THEN 'technical_failed' ELSE 'sample_supported' END AS st, CASE WHEN quality = 0 THEN 'other' WHEN toxic = 1 THEN 'none' ELSE 'sample_supported' END AS ro, ['entry', 'term', 'odd'][doc_id % 4 % 3 + 1] AS fa, ['inline', 'standalone', 'both', 'odd'][doc_id // 4 % 4 + 1] AS he, CASE WHEN doc_id % 7 = 0 THEN 'damaged' ELSE 'no_problem_reported_in_samples' END AS qu, CASE WHEN doc_id % 13 = 0 THEN NULL ELSE 'model_considered_compatible' END AS fi FROM labels)
+SELECT doc_id, CASE WHEN st = 'technical_failed' THEN 'technical_failed' WHEN st = 'other' AND ro = 'other' THEN 'other' WHEN st = 'sample_supported' AND ro = 'sample_supported' AND fa IN ('entry', 'term') AND he <> 'odd' AND qu <> 'damaged' AND fi IS NOT NULL THEN 'approved' ELSE 'review' END AS disposition FROM x""")
 def dictionary_approval(s, d):
-    k = F.col("doc_id") % 5
-    ok = "sample_supported"
-    v = B.dictionary_disposition(pick(k, ok, ok, "other", "technical_failed", ok), pick(k, ok, "none", "other", ok, ok), F.lit("entry"), F.when(k == 4, "odd").otherwise("inline"), F.lit("no_problem_reported_in_samples"), F.lit("model_considered_compatible"), ["entry"])
-    return table(s, d, "documents").select("doc_id", v.alias("disposition"))
+    k, ok = F.col("doc_id"), "sample_supported"
+    v = B.dictionary_disposition(F.when(k % 3 == 0, "other").when(k % 11 == 0, "technical_failed").otherwise(ok), F.when(F.col("quality") == 0, "other").when(F.col("toxic") == 1, "none").otherwise(ok), pick(k % 4 % 3, "entry", "term", "odd"), pick(F.floor(k / 4) % 4, "inline", "standalone", "both", "odd"), F.when(k % 7 == 0, "damaged").otherwise("no_problem_reported_in_samples"), F.when(k % 13 != 0, "model_considered_compatible"), ["entry", "term"])
+    return table(s, d, "labels").select("doc_id", v.alias("disposition"))
 
 
-@query("""
-SELECT p_partkey, p_name AS title, [1, 1, 1, 0][p_partkey % 4 + 1] AS n_repairs FROM part""")
+@query(r"""
+WITH a AS (SELECT p_partkey, trim(['IV-2.1 ', 'Known as ', '(', '', 'X.3) also referred to as (', 'V '][p_partkey % 6 + 1] || p_name || ['', ')'][p_partkey // 6 % 2 + 1]) AS t0 FROM part),
+b AS (SELECT *, CASE WHEN regexp_matches(t0, '^[IVXLC]+(?:[-.]\d+)+[.)]?\s+(.+)$') THEN trim(regexp_extract(t0, '^[IVXLC]+(?:[-.]\d+)+[.)]?\s+(.+)$', 1)) ELSE t0 END AS t1 FROM a),
+c AS (SELECT *, CASE WHEN regexp_matches(t1, '(?i)^(?:also\s+)?(?:known|referred\s+to)\s+as\s+(.+)$') THEN trim(regexp_extract(t1, '(?i)^(?:also\s+)?(?:known|referred\s+to)\s+as\s+(.+)$', 1)) ELSE t1 END AS t2 FROM b),
+e AS (SELECT *, CASE WHEN regexp_matches(t2, '^[^(]*\)$') THEN trim(t2[:-2]) WHEN regexp_matches(t2, '^\([^)]*$') THEN trim(t2[2:]) ELSE t2 END AS t3 FROM c)
+SELECT p_partkey, t3 AS title, (t1 <> t0)::INT + (t2 <> t1)::INT + (t3 <> t2)::INT AS n_repairs FROM e""")
 def title_repair_chain(s, d):
-    k = F.col("p_partkey") % 4
-    t = F.concat(pick(k, "IV-2.1 ", "Known as ", "(", ""), "p_name")
+    k = F.col("p_partkey")
+    t = F.concat(pick(k % 6, "IV-2.1 ", "Known as ", "(", "", "X.3) also referred to as (", "V "), "p_name", pick(F.floor(k / 6) % 2, "", ")"))
     x = table(s, d, "part").select("p_partkey", B.title_repairs(t).alias("r"))
     return x.select("p_partkey", "r.title", F.size("r.repairs").alias("n_repairs"))
 
 
 @query("""
-SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || ' note' ELSE source END AS text FROM documents""")
+WITH x AS (SELECT doc_id, trim(text) AS t, trim(regexp_replace(['  ' || source || '   and ' || lang || ' ', string_split(text, ' ')[2], ''][doc_id % 3 + 1], '[ \t\n]+', ' ', 'g')) AS n FROM documents)
+SELECT doc_id, sha256(CASE WHEN coalesce(n, '') = '' OR contains(t, n) THEN t ELSE trim(t || ' ' || n) END) AS h FROM x""")
 def appended_notes(s, d):
-    return table(s, d, "documents").select("doc_id", B.append_note(F.col("source"), F.when(F.col("doc_id") % 2 == 0, "  note ").otherwise(F.col("source"))).alias("text"))
-
-
-@query("""
-WITH l AS (SELECT doc_id, k, lines FROM (SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS k FROM documents))
-SELECT doc_id, CAST(k AS INT) AS line_no FROM l WHERE k > 1 AND length(trim(lines[k])) > 50 AND regexp_matches(trim(lines[k]), '^[A-Z][A-Z ,()-]{2,110}[.:] ?[^ ]') AND NOT regexp_matches(trim(lines[k]), '[.]{3,}|…{2,}|^#')""")
+    note = pick(F.col("doc_id") % 3, F.concat(F.lit("  "), "source", F.lit("   and "), "lang", F.lit(" ")), F.coalesce(F.get(F.split("text", " "), F.lit(1)), F.lit("")), "")
+    return table(s, d, "documents").select("doc_id", F.sha2(B.append_note(F.col("text"), note), 256).alias("h"))
+
+
+@query(r"""
+WITH t AS (SELECT doc_id, upper(lang) || '. ' || text || chr(10) || chr(10) || '## ' || source || ' NAMES' || chr(10) || text || chr(10) || '**' || lang || '** ' || source || chr(10) || chr(10) || 'short ' || lang || chr(10) || chr(10) || text AS x FROM documents),
+s AS (SELECT doc_id, string_split(x, chr(10)) AS l, unnest(range(1, len(string_split(x, chr(10))) + 1)) AS k FROM t),
+c AS (SELECT doc_id, k, trim(l[k]) AS t, trim(regexp_replace(trim(l[k]), '^#{1,6}\s*|\*\*', '', 'g')) AS c, CASE WHEN k > 1 THEN trim(l[k - 1]) ELSE '' END AS p, CASE WHEN k < len(l) THEN trim(l[k + 1]) ELSE '' END AS n, length(array_to_string(l[k + 1:k + 8], '')) AS behind FROM s),
+f AS (SELECT *, CASE WHEN regexp_matches(t, '^#{1,6}\s+\S') AND length(c) < 220 THEN 'heading' WHEN regexp_matches(t, '^\*\*[^*]{2,140}\*\*') THEN 'bold_inline' WHEN regexp_matches(t, '^[A-Z][A-Z ,()\-’‘]{2,110}[.:] ?\S') THEN 'capital_inline' WHEN regexp_matches(t, '^[一-鿿]{2,18}\s+\S') AND length(t) > 50 THEN 'chinese_inline'
+ WHEN length(c) BETWEEN 3 AND 99 AND k > 1 AND p = '' AND n = '' AND NOT regexp_matches(c, '[.!?。！？;；]$') THEN 'plain_short' END AS family FROM c
+ WHERE NOT (length(c) < 2 OR regexp_matches(c, '(?i)^(?:contents|table of contents|references|bibliography|further reading|see also|index)\b') OR regexp_matches(c, '\.{3,}|…{2,}')))
+SELECT doc_id, CAST(k AS INT) AS line_no, family, CASE WHEN family = 'heading' THEN 3 + CASE WHEN length(c) > 4 AND c = upper(c) AND regexp_matches(c, '[A-Z]') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(c, '^\d+(?:\.\d+){2,}\s') THEN 2 ELSE 0 END WHEN family IN ('bold_inline', 'capital_inline') THEN 4 WHEN family = 'chinese_inline' THEN 2 ELSE 1 END AS score
+FROM f WHERE family IS NOT NULL AND (family LIKE '%inline' OR behind > 30)""")
 def entry_candidate_scoring(s, d):
-    x = B.entry_candidates(X.lines(table(s, d, "documents")))
-    return x.where("family = 'capital_inline' and line_no > 1 and length(trim(line)) > 50").select("doc_id", "line_no")
+    """Capital heads, headings, bold names and short lines around each document's own text."""
+    x = F.concat(F.upper("lang"), F.lit(". "), "text", F.lit("\n\n## "), "source", F.lit(" NAMES\n"), "text", F.lit("\n**"), "lang", F.lit("** "), "source", F.lit("\n\nshort "), "lang", F.lit("\n\n"), "text")
+    return B.entry_candidates(X.lines(table(s, d, "documents").select("doc_id", x.alias("text")))).select("doc_id", "line_no", "family", "score")
 
 
 @query("""
-SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '0-3,5-10' WHEN 1 THEN '4-10' ELSE '0-10' END AS left_over FROM documents""")
+WITH x AS (SELECT doc_id, unnest(range(0, n_chars % 40 + 5)) AS p, doc_id % 23 AS a, doc_id % 23 + doc_id % 7 AS b, n_chars % 31 AS c, n_chars % 31 + doc_id % 5 AS e FROM documents),
+k AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS g FROM x WHERE NOT (p >= a AND p < b) AND NOT (p >= c AND p < e)),
+i AS (SELECT doc_id, min(p) AS s, max(p) + 1 AS t FROM k GROUP BY doc_id, g)
+SELECT doc_id, coalesce(string_agg(s || '-' || t, ',' ORDER BY s), '') AS left_over FROM documents LEFT JOIN i USING (doc_id) GROUP BY 1""")
 def span_subtraction(s, d):
-    sp = lambda *xs: F.array(*[F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b in xs]).cast(E.SPANS)
-    k = F.col("doc_id") % 3
-    r = E.subtract(sp((0, 10)), F.when(k == 0, sp((3, 5))).when(k == 1, sp((0, 2), (1, 4))).otherwise(sp((10, 12))))
-    return table(s, d, "documents").select("doc_id", F.array_join(F.transform(r, lambda x: F.concat_ws("-", x["start"], x["end"])), ",").alias("left_over"))
+    k, n = F.col("doc_id"), F.col("n_chars")
+    span = lambda a, b: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"))
+    gone = F.filter(F.array(span(k % 23, k % 23 + k % 7), span(n % 31, n % 31 + k % 5)), lambda x: x["start"] < x["end"])
+    r = E.subtract(F.array(span(F.lit(0), n % 40 + 5)), gone)
+    joined = F.aggregate(F.array_sort(r), F.array().cast(E.SPANS), lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["end"] == x["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), x["end"].alias("end"))))).otherwise(F.concat(acc, F.array(x))))
+    return table(s, d, "documents").select("doc_id", F.array_join(F.transform(joined, lambda x: F.concat_ws("-", x["start"], x["end"])), ",").alias("left_over"))
 
 
 @query("""
@@ -144,21 +213,25 @@ def entry_anchor_validation(s, d):
     return E.anchored(e, docs).select("doc_id", "problem", F.col("start").cast("long").alias("start"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'definition' WHEN doc_id % 4 = 1 THEN 'background' WHEN doc_id % 4 = 2 THEN 'dependent' ELSE 'misquoted' END AS what, doc_id % 4 = 0 AS kept FROM documents WHERE n_chars > 40""")
+@query(r"""
+WITH x AS (SELECT doc_id, ['', 'It is ', 'Those are ', 'Items '][doc_id % 4 + 1] || text AS t, CASE WHEN lang = 'fr' THEN 'background' WHEN lang = 'es' THEN NULL ELSE 'definition' END AS role, CASE WHEN n_chars % 9 = 0 THEN NULL ELSE n_chars % 10 = 0 END AS prior, ['', '§'][doc_id % 6 // 5 + 1] || coalesce(string_split(text, ' ')[3], '') AS ev FROM documents)
+SELECT doc_id, coalesce(role = 'definition', false) AND coalesce(NOT prior, false) AND trim(ev) <> '' AND contains(t, ev) AND NOT regexp_matches(t, '(?i)^(?:it|this|these|those|they|such)\b') AS kept FROM x""")
 def definition_role_guard(s, d):
-    k = F.col("doc_id") % 4
-    t = F.concat(F.when(k == 2, "It is ").otherwise("Stress is "), F.substring("text", 1, 30))
-    g = E.definition_guard(F.lit(True), t, F.when(k == 1, "background").otherwise("definition"), F.lit(False), F.when(k == 3, F.concat(F.lit("§"), F.substring("text", 1, 9))).otherwise(F.substring(t, 1, 9)))
-    return table(s, d, "documents").where("n_chars > 40").select("doc_id", pick(k, "definition", "background", "dependent", "misquoted").alias("what"), g.alias("kept"))
+    k = F.col("doc_id")
+    t = F.concat(pick(k % 4, "", "It is ", "Those are ", "Items "), "text")
+    ev = F.concat(F.when(k % 6 == 5, "§").otherwise(""), F.coalesce(F.get(F.split("text", " "), F.lit(2)), F.lit("")))
+    prior = F.when(F.col("n_chars") % 9 != 0, F.col("n_chars") % 10 == 0)
+    g = E.definition_guard(F.lit(True), t, F.when(F.col("lang") == "fr", "background").when(F.col("lang") == "es", None).otherwise("definition"), prior, ev)
+    return table(s, d, "documents").select("doc_id", g.alias("kept"))
 
 
 @query("""
-WITH m AS (SELECT user_id % 20 AS g, event_id, 'c' || event_id AS c, event_type FROM events WHERE event_id < 2000)
-SELECT CAST(g AS INT) AS group_id, 'r' || substr(sha256('["b","r",[' || string_agg('"' || c || '"', ',' ORDER BY c) || ']]'), 1, 20) AS record_id, count(*) AS n, count(DISTINCT event_type) AS n_scopes FROM m GROUP BY g""")
+WITH m AS (SELECT user_id AS g, event_id, 'c' || event_id AS c, event_type, CASE WHEN event_id % 3 = 0 THEN 'definition_missing: x' ELSE event_type END AS issue, CASE WHEN event_id % 50 = 0 THEN 'd' || event_id END AS def FROM events)
+SELECT g AS group_id, 'r' || substr(sha256('["b","r",[' || string_agg('"' || c || '"', ',' ORDER BY c) || ']]'), 1, 20) AS record_id, count(*) AS n, count(DISTINCT event_type) AS n_scopes, count(DISTINCT CASE WHEN issue NOT LIKE 'definition_missing%' THEN issue END) + max((issue LIKE 'definition_missing%')::INT) * (max(def) IS NULL)::INT AS n_issues FROM m GROUP BY g""")
 def record_construction(s, d):
-    m = table(s, d, "events").where("event_id < 2000").select(F.lit("b").alias("book_id"), F.lit("r").alias("run_id"), (F.col("user_id") % 20).cast("int").alias("group_id"), F.col("event_id").alias("pos"), F.concat(F.lit("c"), "event_id").alias("candidate_id"), F.array("event_type").alias("scope"), F.array().cast("array<string>").alias("issues"), F.lit(None).cast("string").alias("definition"))
-    return E.records(m).select("group_id", "record_id", F.size("candidate_ids").cast("long").alias("n"), F.size("scope").cast("long").alias("n_scopes"))
+    k = F.col("event_id")
+    m = table(s, d, "events").select(F.lit("b").alias("book_id"), F.lit("r").alias("run_id"), F.col("user_id").alias("group_id"), k.alias("pos"), F.concat(F.lit("c"), k).alias("candidate_id"), F.array("event_type").alias("scope"), F.array(F.when(k % 3 == 0, "definition_missing: x").otherwise(F.col("event_type"))).alias("issues"), F.when(k % 50 == 0, F.concat(F.lit("d"), k)).alias("definition"))
+    return E.records(m).select("group_id", "record_id", F.size("candidate_ids").cast("long").alias("n"), F.size("scope").cast("long").alias("n_scopes"), F.size("issues").cast("long").alias("n_issues"))
 
 
 @query("""
@@ -187,11 +260,14 @@ def group_audits(s, d):
 
 
 @query("""
-SELECT user_id, count(*) AS lines FROM events WHERE event_id < 5000 GROUP BY 1 HAVING count(*) FILTER (event_type = (SELECT min(event_type) FROM events)) = count(*)""")
+WITH l AS (SELECT user_id, event_id // 8 AS unit_no, event_id, event_type FROM events)
+SELECT user_id, unit_no, count(*) AS lines FROM l GROUP BY 1, 2 HAVING count(*) FILTER (event_type <> (SELECT max(event_type) FROM events)) = count(*)""")
 def rule_only_routing(s, d):
-    e = table(s, d, "events").where("event_id < 5000").select(F.lit(1).alias("doc_id"), F.col("user_id").alias("unit_no"), F.col("event_id").alias("line_no"), F.lit("x").alias("line"), "event_type")
-    low = table(s, d, "events").agg(F.min("event_type").alias("name"))
-    return E.rule_only_units(e, e.select("doc_id", "line_no", F.col("event_type").alias("name")), low).select(F.col("unit_no").alias("user_id"), "lines")
+    """Units of a user's neighbouring events, all of whose lines were parsed to a nominated name: any but the last one."""
+    e = table(s, d, "events").select(F.col("user_id").alias("doc_id"), F.floor(F.col("event_id") / 8).alias("unit_no"), F.col("event_id").alias("line_no"), F.lit("x").alias("line"), "event_type")
+    types = table(s, d, "events").select(F.col("event_type").alias("name")).distinct()
+    low = types.join(types.agg(F.max("name").alias("name")), "name", "left_anti")
+    return E.rule_only_units(e, e.select("doc_id", "line_no", F.col("event_type").alias("name")), low).select(F.col("doc_id").alias("user_id"), "unit_no", "lines")
 
 
 @query("""
@@ -275,11 +351,15 @@ def batched_scoring(s, d):
     return j.select(F.split("id", "-")[0].cast("long").alias("conv_id"), F.split("id", "-")[1].cast("long").alias("turn"), "decision")
 
 
-@query("""SELECT doc_id, '{"a": ' || doc_id || '}' AS json FROM documents""")
+@query(r"""
+WITH x AS (SELECT doc_id, ['<think>{"no": 1}</think>text ```json' || chr(10) || '{"a": ' || doc_id || '}' || chr(10) || '``` tail', lang || ' {"b": "' || source || '", "c": [1, 2]} and {"d": 1}', 'none ' || source][doc_id % 3 + 1] AS t FROM documents),
+y AS (SELECT doc_id, regexp_extract(regexp_replace(t, '(?s)<think>.*?</think>', ''), '\{[^{}]*\}') AS j FROM x)
+SELECT doc_id, CASE WHEN j <> '' THEN j END AS json FROM y""")
 def json_extraction(s, d):
     from ..operators.score import json_object
 
-    t = F.concat(F.lit('<think>{"no": 1}</think>text ```json\n{"a": '), F.col("doc_id").cast("string"), F.lit("}\n``` tail"))
+    k = F.col("doc_id")
+    t = pick(k % 3, F.concat(F.lit('<think>{"no": 1}</think>text ```json\n{"a": '), k.cast("string"), F.lit("}\n``` tail")), F.concat("lang", F.lit(' {"b": "'), "source", F.lit('", "c": [1, 2]} and {"d": 1}')), F.concat(F.lit("none "), "source"))
     return table(s, d, "documents").select("doc_id", json_object(t).alias("json"))
 
 
@@ -293,16 +373,25 @@ def batch_packing(s, d):
 
 
 @query("""
-WITH k AS (SELECT DISTINCT url FROM pages), m AS (SELECT page_id, replace(replace(url, 'https://', 'http://'), '?page=2&ref=x', '') AS p FROM pages)
-SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'own' ELSE 'mapped' END AS how FROM pages""")
+WITH k AS (SELECT DISTINCT url AS p FROM pages), n AS (SELECT regexp_extract(p, '([^/]+)$', 1) AS name, count(*) AS n FROM k GROUP BY 1),
+r AS (SELECT page_id, [url, 'store://' || url, 'store://x/' || url, '/old/' || regexp_extract(url, '([^/]+)$', 1), '/old/none' || page_id][page_id % 5 + 1] AS p FROM pages),
+m AS (SELECT page_id, p, CASE WHEN p LIKE 'store://x/%' THEN '/' || p[11:] WHEN p LIKE 'store://%' THEN p[9:] END AS mapped, regexp_extract(p, '([^/]+)$', 1) AS name FROM r)
+SELECT page_id, CASE WHEN p IN (SELECT p FROM k) THEN 'own' WHEN mapped IN (SELECT p FROM k) THEN 'mapped' WHEN n = 1 THEN 'name' WHEN n > 1 THEN 'ambiguous' ELSE 'missing' END AS how FROM m LEFT JOIN n USING (name)""")
 def path_resolution(s, d):
+    """Paths that are known, under a mapped prefix, under a longer one that leads nowhere, known by name only, or unknown."""
     u = table(s, d, "pages").select("page_id", "url")
-    rows = u.select("page_id", F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(F.concat(F.lit("store://"), "url")).alias("p"))
+    name = F.regexp_extract("url", r"([^/]+)\z", 1)
+    p = pick(F.col("page_id") % 5, F.col("url"), F.concat(F.lit("store://"), "url"), F.concat(F.lit("store://x/"), "url"), F.concat(F.lit("/old/"), name), F.concat(F.lit("/old/none"), "page_id"))
     maps = s.createDataFrame([("store://", ""), ("store://x/", "/")], "prefix string, root string")
-    return readers.resolve_paths(rows, "p", maps, u.select(F.col("url").alias("path"))).select("page_id", "how")
+    return readers.resolve_paths(u.select("page_id", p.alias("p")), "p", maps, u.select(F.col("url").alias("path"))).select("page_id", "how")
 
 
-@query("SELECT doc_id, 'u' AS kept, T.n AS n FROM (SELECT doc_id, length(source) AS n FROM documents) T")
+@query(r"""
+WITH x AS (SELECT doc_id, [source, '中文 ' || source, '中文'][doc_id % 3 + 1] AS o, ['', '中'][doc_id // 3 % 2 + 1] || [text, 'two wörds', '<b>many tags here</b> $x y z w$ `code is here`'][doc_id % 5 % 3 + 1] AS e, lang, text FROM documents),
+y AS (SELECT *, len(list_filter(regexp_split_to_array(regexp_replace(e, '<[^>]*>|\$[^$]*\$|`[^`]*`', ' ', 'g'), '[^\p{L}\p{N}_]+'), lambda w: regexp_full_match(w, '[A-Za-z]{2,}'))) >= 3 AND NOT regexp_matches(e, '[㐀-䶿一-鿿豈-﫿]') AS latin FROM x)
+SELECT doc_id, NOT (latin AND regexp_matches(o, '[㐀-䶿一-鿿豈-﫿]')) AS kept, contains(regexp_replace(lower(text), '\s+', '', 'g'), lower(lang)) AS supported FROM y""")
 def source_language_check(s, d):
-    ok = E.source_language_kept(F.col("source"), F.col("text")) & E.aliases_supported(F.array(F.col("lang")), F.concat("text", F.lit(" "), "lang"))
-    return table(s, d, "documents").select("doc_id", F.when(ok, "u").otherwise("changed").alias("kept"), F.length(T.blank(F.col("source"))).cast("long").alias("n"))
+    k = F.col("doc_id")
+    out = pick(k % 3, F.col("source"), F.concat(F.lit("中文 "), "source"), "中文")
+    ev = F.concat(pick(F.floor(k / 3) % 2, "", "中"), pick(k % 5 % 3, F.col("text"), "two wörds", "<b>many tags here</b> $x y z w$ `code is here`"))
+    return table(s, d, "documents").select("doc_id", E.source_language_kept(out, ev).alias("kept"), E.aliases_supported(F.array(F.upper("lang")), F.col("text")).alias("supported"))

@@ -11,6 +11,18 @@ FOLD = "replace(lower(regexp_replace({}, '^\\s+|\\s+$', '', 'g')), 'ß', 'ss')"
 REC = f"""r AS (SELECT doc_id AS pos, lang || '/' || source AS branch, text, lang, {FOLD.format("string_split(text, chr(10))[1]")} AS name, {FOLD.format("string_split(text, chr(10))[-1]")} AS point, length(text) AS n FROM documents)"""
 
 
+def greedy_sql(rows):
+    """SQL for the greedy rule, row by row: ``g(pos, kept, kept_by)`` from ``rows``, a CTE named o with pos, i (1, 2, ... in
+    order of rank) and keys."""
+    return rows + """, g AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS pos, CAST([] AS VARCHAR[]) AS claimed, CAST([] AS BIGINT[]) AS owners, true AS kept, CAST(NULL AS BIGINT) AS kept_by
+ UNION ALL SELECT o.i, o.pos, CASE WHEN hit IS NULL THEN list_concat(claimed, o.keys) ELSE claimed END, CASE WHEN hit IS NULL THEN list_concat(owners, list_transform(o.keys, lambda v: o.pos)) ELSE owners END, hit IS NULL, CASE WHEN hit IS NULL THEN o.pos ELSE owners[list_position(claimed, hit)] END
+ FROM (SELECT g.*, o.i AS j, list_filter(o.keys, lambda v: list_contains(g.claimed, v))[1] AS hit FROM g JOIN o ON o.i = g.i + 1) q JOIN o ON o.i = q.j)"""
+
+
+#: Rows of a branch with their keys, in the order of the greedy rule.
+KEYED_SQL = "k AS (SELECT *, list_filter([CASE WHEN name <> '' THEN lang || '|n|' || name END, CASE WHEN point <> '' THEN lang || '|p|' || point END], lambda v: v IS NOT NULL) AS keys FROM r)"
+
+
 def records(s, d):
     x = table(s, d, "documents").select(F.col("doc_id").alias("pos"), F.concat_ws("/", "lang", "source").alias("branch"), "text", "lang", T.name_key(T.first_line(F.col("text"))).alias("name"), T.name_key(F.element_at(F.split("text", "\n"), -1)).alias("point"), F.length("text").alias("n"))
     return x
@@ -20,7 +32,7 @@ def keyed(s, d, path="branch"):
     return records(s, d).withColumn("keys", D.branch_keys(F.col(path), name=F.col("name"), point=F.col("point")))
 
 
-@query()
+@query("WITH RECURSIVE " + REC + ", " + KEYED_SQL + ", " + greedy_sql("o AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, pos) AS BIGINT) AS i, pos, keys FROM k)") + " SELECT pos AS doc_id, kept, kept_by FROM g WHERE pos IS NOT NULL")
 def dedup_branch_length(s, d):
     """Greedy same-branch dedup: the longer definition first, rows dropped by a kept row's name or knowledge point."""
     x = keyed(s, d, "lang")
@@ -42,17 +54,26 @@ def candidate_components(s, d):
     return D.key_components(keyed(s, d, "lang")).select(F.col("pos").alias("doc_id"), "component")
 
 
-@query()
+#: Components of rows that share keys.
+COMPONENT_SQL = "e AS (SELECT DISTINCT a.pos AS x, b.pos AS y FROM (SELECT pos, unnest(keys) AS key FROM k) a JOIN (SELECT pos, unnest(keys) AS key FROM k) b USING (key)), c AS (SELECT pos AS x, pos AS y FROM k UNION SELECT c.x, e.y FROM c JOIN e ON c.y = e.x), m AS (SELECT x AS pos, min(y) AS component FROM c GROUP BY 1)"
+
+
+@query("WITH RECURSIVE " + REC + ", " + KEYED_SQL + ", " + COMPONENT_SQL + """, j AS (SELECT component, list(CAST(pos AS VARCHAR) ORDER BY pos) AS ids, arg_min(lang, pos) AS tags FROM k JOIN m USING (pos) GROUP BY 1 HAVING count(*) > 1)
+SELECT 'g_' || substr(sha256('["subject","' || tags || '",["' || array_to_string(ids, '","') || '"]]'), 1, 32) AS group_id, tags AS main_tags, array_to_string(ids, ',') AS members FROM j""")
 def candidate_groups(s, d):
     x = keyed(s, d, "lang").withColumn("id", F.col("pos").cast("string"))
     return D.candidate_groups(x, "subject", F.col("lang")).select("group_id", "main_tags", F.array_join("member_ids", ",").alias("members"))
 
 
-@query()
+@query("WITH RECURSIVE " + REC + ", " + KEYED_SQL + ", " + COMPONENT_SQL + """, j AS (SELECT k.*, component FROM k JOIN m USING (pos)),
+w AS (SELECT component, pos AS wp, name AS wn, point AS wq, branch AS wb, lang AS wl FROM j QUALIFY row_number() OVER (PARTITION BY component ORDER BY branch LIKE '%src0' DESC, n DESC, pos) = 1),
+t AS (SELECT component, list_distinct(list(tag)) AS tags FROM (SELECT component, unnest([branch, lang]) AS tag, pos FROM j) JOIN w USING (component) WHERE pos <> wp GROUP BY 1)
+SELECT pos AS doc_id, wp AS winner, CASE WHEN pos <> wp THEN CASE WHEN name <> '' AND name = wn THEN 'same_leaf_name' WHEN point <> '' AND point = wq THEN 'same_leaf_english' ELSE 'same_leaf_transitive' END END AS reason,
+ CASE WHEN pos = wp THEN array_to_string(list_sort(list_distinct(list_concat([wl], list_filter(coalesce(tags, []), lambda v: v <> wb)))), ',') END AS tags FROM j JOIN w USING (component) LEFT JOIN t USING (component)""")
 def leaf_dedup_merge_tags(s, d):
     x = keyed(s, d, "lang").withColumn("main_tags", F.col("branch")).withColumn("related_tags", F.array("lang")).withColumn("name_k", F.col("name")).withColumn("english_k", F.col("point"))
     m = D.leaf_merge(x, F.col("branch").endswith("src0"), F.col("n"))
-    return m.select(F.col("pos").alias("doc_id"), "winner", "reason", F.array_join("related_tags", ",").alias("tags"))
+    return m.select(F.col("pos").alias("doc_id"), "winner", "reason", F.array_join(F.array_sort("related_tags"), ",").alias("tags"))
 
 
 @query(f"""WITH {REC}, k AS (SELECT lang, point, pos, row_number() OVER (PARTITION BY lang, point ORDER BY n DESC, pos) AS rn FROM r WHERE trim(point) <> '') SELECT pos AS doc_id, rn = 1 AS kept FROM k""")
@@ -62,7 +83,9 @@ def same_node_dedup(s, d):
     return D.greedy(x, -F.col("n")).select(F.col("pos").alias("doc_id"), "kept")
 
 
-@query()
+@query("WITH RECURSIVE " + REC + ", " + KEYED_SQL + ", " + greedy_sql("o AS (SELECT CAST(row_number() OVER (ORDER BY pos % 2, n DESC, pos) AS BIGINT) AS i, pos, keys FROM k)") + """,
+w AS (SELECT pos, kept, CAST(pos % 2 AS INT) AS origin, CAST(pos // 2 AS VARCHAR) AS id FROM g WHERE pos IS NOT NULL)
+SELECT origin, pos, id AS old_id, CASE WHEN kept AND origin = 1 AND id IN (SELECT id FROM w WHERE kept AND origin = 0) THEN 'sub_non_dictionary_' || id ELSE id END AS id, kept FROM w""")
 def two_origin_merge(s, d):
     """All documents, even ids before odd ones; neighbours 2i and 2i + 1 have the same id, so ids clash over the whole table."""
     x = keyed(s, d, "lang").withColumn("id", F.floor(F.col("pos") / 2).cast("string")).withColumn("rank", -F.col("n")).select("pos", "id", "keys", "rank")
@@ -116,7 +139,7 @@ def partition_application(s, d):
     return D.apply_partition(groups, clusters).select("group_id", "member", "keeper", "problem")
 
 
-@query()
+@query("WITH RECURSIVE " + REC + ", k AS (SELECT *, list_filter(['i' || n, CASE WHEN regexp_replace(name, '[^\\p{L}\\p{N}_]+', '', 'g') <> '' THEN 't' || regexp_replace(name, '[^\\p{L}\\p{N}_]+', '', 'g') END], lambda v: v IS NOT NULL) AS keys FROM r), " + greedy_sql("o AS (SELECT CAST(row_number() OVER (ORDER BY CASE WHEN lang = 'en' THEN 0 ELSE 1 END, pos) AS BIGINT) AS i, pos, keys FROM k)") + " SELECT pos AS doc_id, NOT kept AS duplicate, CASE WHEN NOT kept THEN kept_by END AS duplicate_of FROM g WHERE pos IS NOT NULL")
 def reference_duplicates(s, d):
     """Identifier or title already claimed by a kept row, strict rows before review rows."""
     x = records(s, d).withColumn("keys", F.array_compact(F.array(F.concat(F.lit("i"), F.col("n").cast("string")), F.when(T.title_key(F.col("name")) != "", F.concat(F.lit("t"), T.title_key(F.col("name")))))))
@@ -124,7 +147,9 @@ def reference_duplicates(s, d):
     return g.select(F.col("pos").alias("doc_id"), (~F.col("kept")).alias("duplicate"), F.when(~F.col("kept"), F.col("kept_by")).alias("duplicate_of"))
 
 
-@query()
+@query("WITH RECURSIVE " + REC + ", " + KEYED_SQL + ", " + greedy_sql("o AS (SELECT CAST(row_number() OVER (ORDER BY pos) AS BIGINT) AS i, pos, keys FROM k)") + """,
+h AS (SELECT pos AS head, unnest(keys) AS key FROM k WHERE pos IN (SELECT pos FROM g WHERE kept)), m AS (SELECT pos, min(head) AS bucket FROM (SELECT pos, unnest(keys) AS key FROM k) JOIN h USING (key) GROUP BY 1)
+SELECT pos AS doc_id, coalesce(bucket, pos) AS bucket FROM k LEFT JOIN m USING (pos)""")
 def name_alias_buckets(s, d):
     return D.claim_buckets(keyed(s, d, "lang")).select(F.col("pos").alias("doc_id"), "bucket")
 

@@ -165,11 +165,15 @@ def set_partition_check(s, d):
     return x.agg(F.sum("n").alias("n_input"), F.sum("k").alias("n_kept"), F.sum("r").alias("n_removed"), (F.max(F.col("k") + F.col("r")) == 1).alias("is_partition"))
 
 
-@query("""
-WITH a AS (SELECT doc_id, k AS line, l AS t FROM (SELECT doc_id, unnest(range(1, len(x) + 1)) AS k, unnest(x) AS l FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE lang = 'de'))),
-u AS (SELECT doc_id, t, min(line) AS line FROM a WHERE trim(t) <> '' GROUP BY 1, 2 HAVING count(*) = 1)
-SELECT doc_id, CAST(line AS INT) AS line, CAST(line AS INT) AS other_line FROM u""")
+@query(r"""
+WITH a AS (SELECT doc_id, k AS line, l AS t FROM (SELECT doc_id, unnest(range(1, len(x) + 1)) AS k, unnest(x) AS l FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)) WHERE trim(l) <> ''),
+b AS (SELECT doc_id, k AS line, l AS t FROM (SELECT doc_id, unnest(range(1, len(x) + 1)) AS k, unnest(x) AS l FROM (SELECT doc_id, string_split(source || chr(10) || replace(replace(text, '. ', '.' || chr(10)), 'e', 'E'), chr(10)) AS x FROM documents)) WHERE trim(l) <> ''),
+u AS (SELECT doc_id, lower(trim(t)) AS t, min(line) AS line FROM a GROUP BY 1, 2 HAVING count(*) = 1), v AS (SELECT doc_id, lower(trim(t)) AS t, min(line) AS line FROM b GROUP BY 1, 2 HAVING count(*) = 1)
+SELECT doc_id, CAST(u.line AS INT) AS line, CAST(v.line AS INT) AS other_line FROM u JOIN v USING (doc_id, t)""")
 def unique_line_alignment(s, d):
-    """Lines of two renderings of a document aligned where they are unique in both (here: a text and its copy)."""
-    x = table(s, d, "documents").where("lang = 'de'").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "t")).select("doc_id", (F.col("k") + 1).alias("line_no"), "t").where("trim(t) <> ''")
-    return J.unique_line_match(x, x, F.col("t"))
+    """Lines of two renderings of a document aligned where they are unique in both: the text, and below a title the text
+    in other case, with a line for each sentence."""
+    docs = table(s, d, "documents")
+    rows = lambda x, c: x.select("doc_id", F.posexplode(F.split(c, "\n")).alias("k", "t")).select("doc_id", (F.col("k") + 1).alias("line_no"), "t").where("trim(t) <> ''")
+    other = F.concat("source", F.lit("\n"), F.replace(F.replace("text", F.lit(". "), F.lit(".\n")), F.lit("e"), F.lit("E")))
+    return J.unique_line_match(rows(docs, F.col("text")), rows(docs, other), F.lower(F.trim("t")))

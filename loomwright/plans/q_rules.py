@@ -27,21 +27,38 @@ PRIORITY = ["HIGHER_EDU_TEXTBOOK", "STANDARD", "HANDBOOK"]
 REVIEWED = ["COURSEWARE", "POPULAR_SCIENCE", "SOCIAL_COMMENTARY", "K12_TEXTBOOK", "BUSINESS_INSIGHT", "GUIDE", "EXAM_PREP", "BIOGRAPHY", "SELF_HELP", "HISTORY"]
 
 
-@query("""
-SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'strict_keep' WHEN 1 THEN 'false_positive' WHEN 2 THEN 'review' WHEN 3 THEN 'strict_keep' ELSE 'no_hit' END AS decision,
- CASE p_partkey % 6 WHEN 0 THEN '词典/辞典' WHEN 2 THEN '百科全书' WHEN 3 THEN '图典/辞书' ELSE '' END AS kind FROM part""")
+#: Endings that make titles of reference books, of others, and of both kinds.
+ENDINGS = [" Dictionary of terms", " dictionary learning", " encyclopedia stories", " a Glossary", " dictionaryx", "", " dictionary learning and vocabulary", "百科全书", "图典型", "术语词典"]
+
+
+def _term_sql(column):
+    """(kind, term) pairs of the terms that a title has, in their order."""
+    one = lambda k, t: f"CASE WHEN regexp_matches({column}, '" + (rf"\b{t}\b" if t.isascii() else t) + f"') THEN {{'kind': '{k}', 'term': '{t}'}} END"
+    return "list_filter([" + ", ".join(one(k, t) for k, ts in TERMS.items() for t in ts) + "], lambda v: v IS NOT NULL)"
+
+
+@query(r"""
+WITH x AS (SELECT p_partkey, lower(p_name || ['""" + "','".join(ENDINGS) + r"""'][p_partkey % 10 + 1]) AS t FROM part),
+m AS (SELECT *, regexp_replace(regexp_replace(t, '图典型', '', 'g'), '\bdictionary\s+learning\b', '', 'g') AS u FROM x),
+h AS (SELECT *, """ + _term_sql("t") + " AS raw, " + _term_sql("u") + """ AS hits FROM m)
+SELECT p_partkey, CASE WHEN len(raw) = 0 THEN 'no_hit' WHEN len(hits) = 0 THEN 'false_positive' WHEN regexp_matches(t, '""" + "|".join(REVIEW) + """') THEN 'review' ELSE 'strict_keep' END AS decision,
+ CASE WHEN len(hits) = 0 THEN '' ELSE hits[1].kind END AS kind, array_to_string(list_transform(CASE WHEN len(hits) = 0 THEN raw ELSE hits END, lambda v: v.term), ',') AS evidence FROM h""")
 def track_classifier(s, d):
-    k = F.col("p_partkey") % 6
-    title = F.concat("p_name", F.when(k == 0, " Dictionary of terms").when(k == 1, " dictionary learning").when(k == 2, " encyclopedia stories").when(k == 3, " a Glossary").when(k == 4, " dictionaryx").otherwise(""))
+    title = F.concat("p_name", F.element_at(F.array(*map(F.lit, ENDINGS)), (F.col("p_partkey") % 10 + 1).cast("int")))
     x = table(s, d, "part").select("p_partkey", R.book_track(title, TERMS, MASKS, REVIEW).alias("t"))
-    return x.select("p_partkey", "t.decision", "t.kind")
+    return x.select("p_partkey", "t.decision", "t.kind", F.array_join("t.evidence", ",").alias("evidence"))
+
+
+GENRES = ["handbook", "guide", "novel", " Standard", "", "history"]
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'strict_keep' WHEN p_size % 5 = 1 THEN 'strict_keep' WHEN p_size % 5 = 2 THEN 'strict_keep' ELSE 'review' END AS decision FROM part""")
+WITH x AS (SELECT p_partkey, upper(trim(['""" + "','".join(GENRES) + """'][p_size % 6 + 1])) AS g, upper(['', 'Knowledge_Exposition', 'fiction'][p_partkey % 3 + 1]) AS c, upper(['leisure', 'self; teaching', 'professional_use'][p_partkey // 3 % 3 + 1]) AS u, upper(['public', 'academic', 'Professional '][p_partkey // 9 % 3 + 1]) AS a FROM part)
+SELECT p_partkey, CASE WHEN g IN ('""" + "','".join(PRIORITY) + """') OR (g NOT IN ('""" + "','".join(REVIEWED) + """') AND (c = 'KNOWLEDGE_EXPOSITION' OR (trim(a) IN ('ACADEMIC', 'PROFESSIONAL') AND (contains(u, 'PROFESSIONAL_USE') OR contains(u, 'TEACHING'))))) THEN 'strict_keep' ELSE 'review' END AS decision FROM x""")
 def important_books(s, d):
-    k = F.col("p_size") % 5
-    g = R.important_book(F.when(k == 0, "handbook").when(k == 3, "guide").otherwise("novel"), F.when(k == 1, "Knowledge_Exposition").when(k == 3, "KNOWLEDGE_EXPOSITION").otherwise(""), F.when(k == 2, "self; teaching").otherwise("leisure"), F.when(k.isin(2, 3), "academic").otherwise("public"), PRIORITY, REVIEWED)
+    of = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k + 1).cast("int"))
+    k = F.col("p_partkey")
+    g = R.important_book(of(GENRES, F.col("p_size") % 6), of(["", "Knowledge_Exposition", "fiction"], k % 3), of(["leisure", "self; teaching", "professional_use"], F.floor(k / 3) % 3), of(["public", "academic", "Professional "], F.floor(k / 9) % 3), PRIORITY, REVIEWED)
     return table(s, d, "part").select("p_partkey", g.alias("decision"))
 
 
@@ -53,11 +70,16 @@ def vote_gate_stack(s, d):
     return table(s, d, "labels").select("doc_id", v.alias("v")).select("doc_id", "v.decision", F.array_join("v.adjusted", ",").alias("adjusted"))
 
 
-@query("""
-SELECT p_partkey, array_to_string(list_filter([CASE WHEN p_partkey % 5 = 1 THEN 'error:edge_whitespace' END, CASE WHEN p_partkey % 5 = 2 THEN 'error:repeated_whitespace' END, CASE WHEN p_partkey % 5 = 3 THEN 'error:unbalanced_brackets' END, CASE WHEN p_partkey % 5 = 4 THEN 'suspect:number_prefix' END], lambda v: v IS NOT NULL), ',') AS checks FROM part""")
+@query(r"""
+WITH RECURSIVE x AS (SELECT p_partkey, [' ', 'a  b ', '', '12. ', '(', ''][p_partkey % 6 + 1] || p_name || ['', ' (x [y)]', ' (ok [fine])', ',', ' '][p_partkey % 5 + 1] AS n FROM part),
+b AS (SELECT p_partkey, regexp_replace(n, '[^()\[\]{}]', '', 'g') AS r FROM x UNION ALL SELECT p_partkey, regexp_replace(r, '\(\)|\[\]|\{\}', '', 'g') FROM b WHERE regexp_matches(r, '\(\)|\[\]|\{\}')),
+z AS (SELECT p_partkey, min(length(r)) > 0 AS odd FROM b GROUP BY 1)
+SELECT p_partkey, array_to_string(list_filter([CASE WHEN regexp_matches(n, '^\s|\s$') THEN 'error:edge_whitespace' END, CASE WHEN regexp_matches(n, '\s{2,}') THEN 'error:repeated_whitespace' END, CASE WHEN odd THEN 'error:unbalanced_brackets' END,
+ CASE WHEN regexp_matches(n, '^\s*\d+(?:\.\d+)*[.)]\s*\S') THEN 'suspect:number_prefix' END, CASE WHEN regexp_matches(n, '[,;:]\s*$') THEN 'suspect:trailing_punctuation' END], lambda v: v IS NOT NULL), ',') AS checks FROM x JOIN z USING (p_partkey)""")
 def name_rule_checks(s, d):
-    k = F.col("p_partkey") % 5
-    n = F.when(k == 1, F.concat(F.lit(" "), "p_name")).when(k == 2, F.concat(F.lit("a  b "), "p_name")).when(k == 3, F.concat("p_name", F.lit(" (x [y)]"))).when(k == 4, F.concat(F.lit("12. "), "p_name")).otherwise(F.concat("p_name", F.lit(" (ok [fine])")))
+    of = lambda k, *values: F.element_at(F.array(*map(F.lit, values)), (k + 1).cast("int"))
+    k = F.col("p_partkey")
+    n = F.concat(of(k % 6, " ", "a  b ", "", "12. ", "(", ""), "p_name", of(k % 5, "", " (x [y)]", " (ok [fine])", ",", " "))
     return table(s, d, "part").select("p_partkey", F.array_join(F.transform(R.name_checks(n), lambda c: F.concat_ws(":", c["level"], c["code"])), ",").alias("checks"))
 
 
@@ -95,12 +117,15 @@ def review_causes(s, d):
 
 
 @query("""
-SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'reasonable' ELSE 'uncertain' END AS verdict FROM documents""")
+WITH x AS (SELECT doc_id, text, n_chars, list_filter([[coalesce(string_split(text, ' ')[3], ''), 'definition'], [lang, 'definition'], [source, 'source'], ['', 'definition']], lambda v: doc_id % 7 <> 0 AND (v[1] <> lang OR doc_id % 2 = 0) AND (v[1] <> '' OR doc_id % 5 = 0)) AS ev, source FROM documents)
+SELECT doc_id, CASE WHEN n_chars % 6 <> 0 AND len(ev) > 0 AND len(list_filter(ev, lambda v: v[1] = '' OR NOT contains(CASE v[2] WHEN 'source' THEN source ELSE text END, v[1]))) = 0 THEN 'reasonable' ELSE 'uncertain' END AS verdict FROM x""")
 def evidence_substring_gate(s, d):
+    """Quotes that are in their field, that may not be, that are empty, and none at all."""
     k = F.col("doc_id")
-    piece = F.when(k % 4 == 1, F.concat(F.substring("text", 1, 10), F.lit("~"))).otherwise(F.substring("text", 2, 10))
-    ev = F.when(k % 4 == 2, F.array().cast("array<struct<field:string,text:string>>")).otherwise(F.array(F.struct(F.lit("definition").alias("field"), piece.alias("text"))))
-    return table(s, d, "documents").where("length(text) > 12").select("doc_id", R.evidence_gate(F.lit("reasonable"), ev, F.create_map(F.lit("definition"), "text"), k % 4 != 3).alias("verdict")).unionByName(table(s, d, "documents").where("length(text) <= 12").select("doc_id", F.when(F.col("doc_id") % 4 == 0, "reasonable").otherwise("uncertain").alias("verdict")))
+    quote = lambda text, field: F.struct(F.lit(field).alias("field"), text.alias("text"))
+    ev = F.array(quote(F.coalesce(F.get(F.split("text", " "), F.lit(2)), F.lit("")), "definition"), quote(F.col("lang"), "definition"), quote(F.col("source"), "source"), quote(F.lit(""), "definition"))
+    ev = F.filter(ev, lambda e: (k % 7 != 0) & ((e["text"] != F.col("lang")) | (k % 2 == 0)) & ((e["text"] != "") | (k % 5 == 0)))
+    return table(s, d, "documents").select("doc_id", R.evidence_gate(F.lit("reasonable"), ev, F.create_map(F.lit("definition"), "text", F.lit("source"), "source"), F.col("n_chars") % 6 != 0).alias("verdict"))
 
 
 @query("""
@@ -122,12 +147,17 @@ def two_vote_combine(s, d):
     return table(s, d, "labels").select("doc_id", R.combine_votes(first, second).alias("verdict"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'subject_not_confirmed' WHEN doc_id % 10 = 1 THEN 'not_language_candidate' WHEN doc_id % 10 = 2 THEN 'confidence_below_existing_threshold' WHEN doc_id % 10 = 3 THEN 'cannot_move_name_without_conflict' WHEN doc_id % 10 = 4 THEN 'unbalanced_title_brackets' WHEN doc_id % 10 = 5 THEN 'missing_subject_tag' END AS why FROM documents""")
+@query(r"""
+WITH x AS (SELECT doc_id, quality, toxic, lang, trim(['plain name', '中文 ' || source, 'open (' || lang, source || ' [x]', 'a', 'www.' || source, '中文'][doc_id % 7 + 1]) AS n, ['', '', lang][doc_id // 7 % 3 + 1] AS point, [0.9, 0.8, 0.5, NULL][doc_id // 21 % 4 + 1] AS conf FROM labels JOIN documents USING (doc_id))
+SELECT doc_id, CASE WHEN quality = 0 AND doc_id % 2 = 0 THEN 'subject_not_confirmed' WHEN doc_id % 9 = 0 THEN 'not_language_candidate' WHEN toxic = 1 THEN 'additional_or_unrecognized_flags' WHEN doc_id % 11 = 0 THEN 'pair_not_confirmed' WHEN coalesce(conf, 0) < 0.8 THEN 'confidence_below_existing_threshold' WHEN doc_id % 13 = 0 THEN 'field_contract_not_confirmed'
+ WHEN NOT (regexp_matches(n, '[A-Za-z]') AND NOT regexp_matches(n, '[㐀-䶿一-鿿豈-﫿]')) OR point <> '' THEN 'cannot_move_name_without_conflict' WHEN length(n) = 1 OR length(n) > 160 OR regexp_matches(n, '(?i)https?://|www\.|@') THEN 'invalid_title_format'
+ WHEN length(replace(n, '(', '')) <> length(replace(n, ')', '')) OR length(replace(n, '[', '')) <> length(replace(n, ']', '')) THEN 'unbalanced_title_brackets' WHEN lang = 'es' THEN 'missing_subject_tag' END AS why FROM x""")
 def restore_language_only(s, d):
-    k = F.col("doc_id") % 10
-    w = R.restorable(relevant=k != 0, language_flag=k != 1, other_flags=F.lit(False), pair=F.lit("not_applicable"), confidence=F.when(k == 2, 0.5).otherwise(0.9), field_ok=F.lit(True), reason_ok=F.lit(True), other_problem=F.lit(False), name=F.when(k == 3, "中文").when(k == 4, "open (name").otherwise("plain name"), point=F.lit(""), tag=F.when(k == 5, "").otherwise("t"))
-    return table(s, d, "documents").select("doc_id", w.alias("why"))
+    of = lambda k, *values: F.element_at(F.array(*[F.lit(v) if not hasattr(v, "alias") else v for v in values]), (k + 1).cast("int"))
+    k = F.col("doc_id")
+    name = of(k % 7, "plain name", F.concat(F.lit("中文 "), "source"), F.concat(F.lit("open ("), "lang"), F.concat("source", F.lit(" [x]")), "a", F.concat(F.lit("www."), "source"), "中文")
+    w = R.restorable(relevant=~((F.col("quality") == 0) & (k % 2 == 0)), language_flag=k % 9 != 0, other_flags=F.col("toxic") == 1, pair=F.when(k % 11 == 0, "inconsistent").otherwise("not_applicable"), confidence=of(F.floor(k / 21) % 4, 0.9, 0.8, 0.5, F.lit(None).cast("double")), field_ok=k % 13 != 0, reason_ok=F.lit(True), other_problem=F.lit(False), name=name, point=of(F.floor(k / 7) % 3, "", "", F.col("lang")), tag=F.when(F.col("lang") == "es", "").otherwise(F.col("source")))
+    return table(s, d, "labels").join(table(s, d, "documents"), "doc_id").select("doc_id", w.alias("why"))
 
 
 @query("""
@@ -166,12 +196,19 @@ def bounded_context_sharing(s, d):
     return x.select("doc_id", (F.col("n") > 100).alias("truncated"), F.length(F.col("b.parts")[0]).alias("a"), F.length(F.col("b.parts")[1]).alias("b"))
 
 
-@query("SELECT doc_id, doc_id % 2 = 0 AS matched FROM documents WHERE length(text) > 60 AND NOT contains(text, chr(10))")
+@query(r"""
+WITH x AS (SELECT doc_id, regexp_replace(text, '\s+', '', 'g') AS t, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS w, doc_id % 3 AS k FROM documents),
+a AS (SELECT doc_id, t, list_filter(regexp_split_to_array(CASE WHEN len(w) = 0 THEN '' WHEN k = 0 THEN w[1] || '…' || w[len(w)] WHEN k = 1 THEN w[len(w)] || '......' || w[1] || '…' || w[len(w)] ELSE w[1] || '...§§…' || w[len(w)] END, '…+|\.{3,}'), lambda v: v <> '') AS p FROM x),
+s1 AS (SELECT *, strpos(t, p[1]) AS at1 FROM a), s2 AS (SELECT *, CASE WHEN at1 > 0 THEN substr(t, at1 + length(p[1])) END AS r1 FROM s1),
+s3 AS (SELECT *, CASE WHEN len(p) >= 2 THEN strpos(r1, p[2]) END AS at2 FROM s2), s4 AS (SELECT *, CASE WHEN at2 > 0 THEN substr(r1, at2 + length(p[2])) END AS r2 FROM s3)
+SELECT doc_id, len(p) > 0 AND coalesce(at1 > 0, false) AND (len(p) < 2 OR coalesce(at2 > 0, false)) AND (len(p) < 3 OR coalesce(strpos(r2, p[3]) > 0, false)) AS matched FROM s4""")
 def ordered_anchor_matching(s, d):
-    x = table(s, d, "documents").where("length(text) > 60 and not contains(text, '\n')")
-    a, b = F.substring("text", 1, 20), F.substring("text", 31, 30)
-    anchor = F.when(F.col("doc_id") % 2 == 0, F.concat(a, F.lit("…"), b)).otherwise(F.concat(a, F.lit("..."), F.lit("§§"), b))
-    return x.select("doc_id", R.ordered_parts(F.col("text"), anchor).alias("matched"))
+    """Anchors of a text's first and last words: in order, turned round, and with a part that no text has; whole texts."""
+    w = F.filter(F.split("text", r"(?U)\s+"), lambda x: x != "")
+    first, last = F.get(w, F.lit(0)), F.element_at(w, -1)
+    k = F.col("doc_id") % 3
+    anchor = F.when(F.size(w) == 0, "").when(k == 0, F.concat(first, F.lit("…"), last)).when(k == 1, F.concat(last, F.lit("......"), first, F.lit("…"), last)).otherwise(F.concat(first, F.lit("...§§…"), last))
+    return table(s, d, "documents").select("doc_id", R.ordered_parts(F.col("text"), anchor).alias("matched"))
 
 
 @query("SELECT doc_id, lang, CASE WHEN n_chars < 200 THEN 'name' WHEN lang NOT IN ('en', 'de') THEN 'scope' WHEN quality = 0 THEN 'content' WHEN l.doc_id IS NULL THEN 'pending' ELSE 'kept' END AS disposition FROM documents d LEFT JOIN labels l USING (doc_id)")

@@ -20,12 +20,14 @@ def text_keys(s, d):
     return x.select("doc_id", T.compact(F.col("l")).alias("compact"), T.compact_key(F.col("l")).alias("compact_key"), T.name_key(F.col("l")).alias("name_key"), T.script_class(F.col("l")).alias("script"), F.round(T.symbol_ratio(F.col("l")), 6).alias("symbols"))
 
 
-@query("""
-WITH x AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'ab中文cd文' WHEN 1 THEN 'plain' WHEN 2 THEN '中-x-中' ELSE '' END AS t FROM documents)
-SELECT doc_id, CAST(CASE t WHEN 'ab中文cd文' THEN 3 WHEN '中-x-中' THEN 2 ELSE 0 END AS INT) AS switches FROM x""")
+@query(r"""
+WITH x AS (SELECT doc_id, ['ab中文cd文' || lang, '', '中-x-中', lang || '、文' || source, source][doc_id % 5 + 1] || '文' || text AS t FROM documents),
+y AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '[^A-Za-z㐀-䶿一-鿿豈-﫿]+', '', 'g'), '[A-Za-z]+', 'L', 'g'), '[㐀-䶿一-鿿豈-﫿]+', 'C', 'g') AS t FROM x)
+SELECT doc_id, CAST(greatest(length(t) - 1, 0) AS INT) AS switches FROM y""")
 def script_switches(s, d):
-    x = table(s, d, "documents").select("doc_id", F.when(F.col("doc_id") % 4 == 0, "ab中文cd文").when(F.col("doc_id") % 4 == 1, "plain").when(F.col("doc_id") % 4 == 2, "中-x-中").otherwise("").alias("t"))
-    return x.select("doc_id", T.script_switches(F.col("t")).alias("switches"))
+    k = F.col("doc_id") % 5
+    t = F.when(k == 0, F.concat(F.lit("ab中文cd文"), "lang")).when(k == 1, "").when(k == 2, "中-x-中").when(k == 3, F.concat("lang", F.lit("、文"), "source")).otherwise(F.col("source"))
+    return table(s, d, "documents").select("doc_id", T.script_switches(F.concat(t, F.lit("文"), "text")).alias("switches"))
 
 
 @query(f"""
@@ -53,13 +55,19 @@ def clean_context(s, d):
     return x.select("doc_id", F.sha2("c.text", 256).alias("h"), F.array_contains("c.flags", "context_truncated").alias("cut"))
 
 
+#: Names in and out of their language's field.
+NAMES = ["English name", "中文", "", "12", "Mixed 中文"]
+
+
 @query("""
-WITH x AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'English name' WHEN 1 THEN '中文' WHEN 2 THEN '' ELSE 'English name' END AS zh, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'point' WHEN 2 THEN '中文' ELSE '中文' END AS en FROM documents)
-SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '中文' ELSE '中文' END AS zh, CASE doc_id % 4 WHEN 0 THEN 'English name' WHEN 1 THEN 'point' WHEN 2 THEN '' ELSE 'English name' END AS en,
- CASE doc_id % 4 WHEN 0 THEN 'zh->en' WHEN 1 THEN '' WHEN 2 THEN 'en->zh' ELSE 'swap:zh,en' END AS move, doc_id % 4 = 3 AS reversed FROM x""")
+WITH x AS (SELECT doc_id, ['English name', '中文', '', '12', 'Mixed 中文', lang, source][doc_id % 7 + 1] AS zh, ['', 'point', '中文', '12', '中文 ' || lang, source][doc_id % 6 + 1] AS en FROM documents),
+f AS (SELECT *, regexp_matches(zh, '[A-Za-z]') AND NOT regexp_matches(zh, '[㐀-䶿一-鿿豈-﫿]') AS z_en, regexp_matches(en, '[㐀-䶿一-鿿豈-﫿]') AND NOT regexp_matches(en, '[A-Za-z]') AS e_zh FROM x),
+m AS (SELECT *, CASE WHEN z_en AND en = '' THEN 'zh->en' WHEN zh = '' AND e_zh THEN 'en->zh' WHEN z_en AND e_zh THEN 'swap:zh,en' ELSE '' END AS move FROM f)
+SELECT doc_id, CASE move WHEN 'zh->en' THEN '' WHEN '' THEN zh ELSE en END AS zh, CASE move WHEN 'en->zh' THEN '' WHEN '' THEN en ELSE zh END AS en, move, z_en AND e_zh AS reversed FROM m""")
 def language_routing(s, d):
-    k = F.col("doc_id") % 4
-    x = table(s, d, "documents").select("doc_id", F.when(k == 1, "中文").when(k == 2, "").otherwise("English name").alias("zh"), F.when(k == 0, "").when(k == 1, "point").otherwise("中文").alias("en"))
+    of = lambda k, *values: F.element_at(F.array(*[F.lit(v) if not hasattr(v, "alias") else v for v in values]), (k + 1).cast("int"))
+    k = F.col("doc_id")
+    x = table(s, d, "documents").select("doc_id", of(k % 7, *NAMES, F.col("lang"), F.col("source")).alias("zh"), of(k % 6, "", "point", "中文", "12", F.concat(F.lit("中文 "), "lang"), F.col("source")).alias("en"))
     m = R.language_move(F.col("zh"), F.col("en"))
     return x.select("doc_id", m["zh"].alias("zh"), m["en"].alias("en"), m["move"].alias("move"), R.language_reversed(F.col("zh"), F.col("en")).alias("reversed"))
 
@@ -97,9 +105,17 @@ def html_table_integrity(s, d):
     return table(s, d, "pages").select("page_id", G.intact_table(F.col("html")).alias("intact"))
 
 
-@query()
+@query(r"""
+WITH x AS (SELECT doc_id, text || repeat('=', CAST(doc_id % 20 AS INT)) || repeat(['ab', 'é', '7', ' '][doc_id % 4 + 1], 9) || repeat('Qz+', CAST(60 + doc_id % 20 AS INT)) || '==' AS t FROM documents),
+b AS (SELECT doc_id, regexp_replace(t, '[A-Za-z0-9+/]{200,}={0,2}', '[]', 'g') AS t, list_sum(list_transform(regexp_extract_all(t, '[A-Za-z0-9+/]{200,}={0,2}'), lambda m: length(CAST(length(m) AS VARCHAR)) + 7)) AS more FROM x),
+c AS (SELECT doc_id, unnest(range(1, length(t) + 1)) AS k, t FROM b), s AS (SELECT doc_id, k, t[k] AS ch, k - row_number() OVER (PARTITION BY doc_id, t[k] ORDER BY k) AS g FROM c),
+r AS (SELECT doc_id, ch, g, count(*) AS n FROM s GROUP BY 1, 2, 3), z AS (SELECT doc_id, sum(CASE WHEN n >= 8 AND NOT regexp_matches(ch, '\s|\d') THEN 4 + length(CAST(n AS VARCHAR)) ELSE n END) AS n FROM r GROUP BY 1)
+SELECT doc_id, CAST(coalesce(z.n, 0) + coalesce(more, 0) AS INT) AS n FROM b LEFT JOIN z USING (doc_id)""")
 def repetition_compaction(s, d):
-    return table(s, d, "documents").select("doc_id", F.length(T.cap_repeats(F.col("text"))).alias("n"))
+    k = F.col("doc_id")
+    some = F.when(k % 4 == 0, "ab").when(k % 4 == 1, "é").when(k % 4 == 2, "7").otherwise(" ")
+    t = F.concat("text", F.repeat(F.lit("="), (k % 20).cast("int")), F.repeat(some, F.lit(9)), F.repeat(F.lit("Qz+"), (60 + k % 20).cast("int")), F.lit("=="))
+    return table(s, d, "documents").select("doc_id", F.length(T.cap_repeats(t)).alias("n"))
 
 
 @query(f"""
@@ -119,11 +135,17 @@ def rule_gate_titles(s, d):
     return x.select("doc_id", F.sha2("c.text", 256).alias("h"), "c.reason", F.array_contains("c.flags", "title_prefix_removed").alias("prefix"), F.array_contains("c.flags", "outer_quotes_removed").alias("unquoted"))
 
 
-@query(f"""
-WITH x AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'contents' WHEN doc_id % 4 = 1 THEN '' ELSE lang || ' ' || source || ' name' END AS a, CASE WHEN doc_id % 3 = 0 THEN 'q' WHEN doc_id % 3 = 1 THEN '' ELSE 'some point' END AS b FROM documents),
-y AS (SELECT doc_id, CASE WHEN a = 'contents' THEN 'structural_or_metadata_title' END AS ra, CASE WHEN b = 'q' THEN 'single_latin_letter' END AS rb, a IN ('', 'contents') AS la, b IN ('', 'q') AS lb FROM x)
-SELECT doc_id, CASE WHEN la AND lb THEN 'rejected' ELSE 'pass' END AS status, CASE WHEN NOT (la AND lb) THEN 'rule_pass' WHEN (ra IS NULL) <> (rb IS NULL) THEN coalesce(ra, rb) ELSE 'no_valid_title_after_rule_cleanup' END AS reason FROM y""")
+@query(r"""
+WITH x AS (SELECT doc_id, ['contents', '', lang || ' ' || source || ' name', 'Table 3', 'x', '2020', 'www.' || lang || '.com', '???? ' || source, 'Example 3'][doc_id % 9 + 1] AS a, ['q', '', 'some point', 'index', '12.5', 'a@b.org', '······'][doc_id // 9 % 7 + 1] AS b FROM documents),
+r AS (SELECT doc_id, t, i, CASE WHEN t = '' THEN 'empty_title' WHEN contains(t, '????') THEN 'garbled_title' WHEN regexp_full_match(t, '(?i)(?:https?://|www\.|ftp://|[a-z0-9.-]+\.(?:com|org|net|cn|edu))') OR regexp_full_match(t, '[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}') THEN 'url_or_email_title' WHEN regexp_full_match(t, '(?i)contents|index|preface|references') THEN 'structural_or_metadata_title'
+ WHEN regexp_full_match(t, '(?i)table\s+\d+') THEN 'figure_or_table_title' WHEN regexp_full_match(t, '(?i)example\s*\d+') THEN 'worked_example_title' WHEN regexp_full_match(t, '[+-]?\d+(?:\.\d+)?|(?i:[IVXLCDM]{1,10})') THEN 'bare_number_or_date' WHEN regexp_full_match(t, '[A-Za-z]') THEN 'single_latin_letter' END AS reason
+ FROM (SELECT doc_id, CASE WHEN regexp_full_match(a, '·+') THEN '' ELSE a END AS t, 1 AS i FROM x UNION ALL SELECT doc_id, CASE WHEN regexp_full_match(b, '·+') THEN '' ELSE b END, 2 FROM x)),
+y AS (SELECT doc_id, max(CASE WHEN i = 1 THEN reason END) AS ra, max(CASE WHEN i = 2 THEN reason END) AS rb, max(a) AS a, max(b) AS b FROM r JOIN x USING (doc_id) GROUP BY 1),
+w AS (SELECT doc_id, ra IS NULL AS ka, rb IS NULL AS kb, list_distinct(list_filter([CASE WHEN a <> '' THEN ra END, CASE WHEN b <> '' THEN rb END], lambda v: v IS NOT NULL)) AS why FROM y)
+SELECT doc_id, CASE WHEN ka OR kb THEN 'pass' ELSE 'rejected' END AS status, CASE WHEN ka OR kb THEN 'rule_pass' WHEN len(why) = 1 THEN why[1] ELSE 'no_valid_title_after_rule_cleanup' END AS reason FROM w""")
 def record_rule_gate(s, d):
-    k3, k4 = F.col("doc_id") % 3, F.col("doc_id") % 4
-    x = table(s, d, "documents").select("doc_id", F.when(k4 == 0, "contents").when(k4 == 1, "").otherwise(F.concat_ws(" ", "lang", "source", F.lit("name"))).alias("a"), F.when(k3 == 0, "q").when(k3 == 1, "").otherwise("some point").alias("b"))
+    of = lambda k, *values: F.element_at(F.array(*[F.lit(v) if not hasattr(v, "alias") else v for v in values]), (k + 1).cast("int"))
+    k = F.col("doc_id")
+    a = of(k % 9, "contents", "", F.concat_ws(" ", "lang", "source", F.lit("name")), "Table 3", "x", "2020", F.concat(F.lit("www."), "lang", F.lit(".com")), F.concat(F.lit("???? "), "source"), "Example 3")
+    x = table(s, d, "documents").select("doc_id", a.alias("a"), of(F.floor(k / 9) % 7, "q", "", "some point", "index", "12.5", "a@b.org", "······").alias("b"))
     return R.record_gate(x, "a", "b").select("doc_id", "rule.status", "rule.reason")

@@ -84,19 +84,26 @@ def beam_route(s, d):
 
 
 @query("""
-SELECT s_suppkey, 'r' || n_regionkey || '/n' || s_nationkey AS "primary", CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'r9/n' || s_suppkey END AS related FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+WITH c AS (SELECT s_suppkey, ['r' || n_regionkey, 'n' || s_nationkey] AS best FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+t AS (SELECT s_suppkey, best, unnest(range(0, 6)) AS i FROM c),
+u AS (SELECT s_suppkey, best, i, [best, ['r' || s_suppkey % 5], ['r' || s_suppkey % 5, 'n' || i], ['r9', 'n' || s_suppkey], ['r9', 'n' || s_suppkey], list_concat(best, ['x'])][i + 1] AS codes, ((s_suppkey * 7 + i * 31) % 120) / 100.0 AS score, CASE WHEN (s_suppkey + i) % 5 = 0 THEN NULL ELSE (s_suppkey + i) % 4 = 0 END AS cut FROM t),
+k AS (SELECT s_suppkey, i, array_to_string(codes, '/') AS p FROM u WHERE score >= 0.5 AND score <= 1.0 AND NOT coalesce(cut, false) AND codes[1:len(best)] <> best AND best[1:len(codes)] <> codes),
+f AS (SELECT s_suppkey, p, row_number() OVER (PARTITION BY s_suppkey ORDER BY min(i)) AS n FROM k GROUP BY 1, 2)
+SELECT c.s_suppkey, array_to_string(best, '/') AS "primary", coalesce((SELECT string_agg(p, ',' ORDER BY n) FROM f WHERE f.s_suppkey = c.s_suppkey AND n <= 2), '') AS related FROM c""")
 def route_acceptance(s, d):
-    """Related paths: good enough, not truncated, neither above nor below the primary."""
+    """Related paths: good enough, not truncated, new, neither above nor below the primary, two at most."""
     x = table(s, d, "supplier").join(table(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    r, n = F.concat(F.lit("r"), "n_regionkey"), F.concat(F.lit("n"), "s_nationkey")
-    top = lambda codes, sc, cut: F.struct(codes.alias("codes"), F.lit(sc).alias("score"), cut.alias("truncated"))
-    x = x.select("s_suppkey", F.array(r, n).alias("best"), F.array(top(F.array(r, n), 0.9, F.lit(False)), top(F.array(r), 0.9, F.lit(False)), top(F.array(F.lit("r9"), F.concat(F.lit("n"), "s_suppkey")), 0.8, F.col("s_suppkey") % 3 == 0), top(F.array(F.lit("r8")), 0.1, F.lit(False))).alias("tops"))
-    return H.accepted_candidates(x, "tops", "best", 0.5, 2).select("s_suppkey", "primary", F.array_join("related", ",").alias("related"))
+    k = F.col("s_suppkey")
+    best = F.array(F.concat(F.lit("r"), "n_regionkey"), F.concat(F.lit("n"), "s_nationkey"))
+    five, own = F.concat(F.lit("r"), (k % 5).cast("string")), F.concat(F.lit("n"), k.cast("string"))
+    codes = [best, F.array(five), F.array(five, F.lit("n2")), F.array(F.lit("r9"), own), F.array(F.lit("r9"), own), F.concat(best, F.array(F.lit("x")))]
+    tops = F.array(*[F.struct(c.alias("codes"), (((k * 7 + i * 31) % 120) / 100.0).alias("score"), F.when((k + i) % 5 != 0, (k + i) % 4 == 0).alias("truncated")) for i, c in enumerate(codes)])
+    return H.accepted_candidates(x.select("s_suppkey", best.alias("best"), tops.alias("tops")), "tops", "best", 0.5, 2).select("s_suppkey", "primary", F.array_join("related", ",").alias("related"))
 
 
 @query("""
 WITH x AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN 'accepted_parent' WHEN l_linenumber % 3 = 1 THEN 'accepted_leaf' ELSE 'needs_review' END AS dec, CAST(l_linenumber % 5 AS INT) + 1 AS depth, 0.6 + floor(l_quantity) / 125.0 AS ps,
- 0.5 + floor(l_quantity) / 100.0 AS c1, 0.95 - floor(l_quantity) / 200.0 AS c2, 0.7 AS c4, floor(l_discount * 100 + 0.5) / 100.0 AS gap, CASE WHEN l_returnflag = 'A' THEN 'recall_with_risk' WHEN l_returnflag = 'R' THEN 'needs_review' ELSE 'keep' END AS clean, l_linestatus = 'F' AS warn FROM lineitem WHERE l_orderkey % 10 = 0),
+ 0.5 + floor(l_quantity) / 100.0 AS c1, 0.95 - floor(l_quantity) / 200.0 AS c2, 0.7 AS c4, floor(l_discount * 100 + 0.5) / 100.0 AS gap, CASE WHEN l_returnflag = 'A' THEN 'recall_with_risk' WHEN l_returnflag = 'R' THEN 'needs_review' ELSE 'keep' END AS clean, l_linestatus = 'F' AS warn FROM lineitem),
 y AS (SELECT *, pow(ps, 1.0 / depth) AS nn, 0.6 * least(c1, c2) + 0.4 * (c1 + c2) / 2 AS dir FROM x),
 z AS (SELECT *, least(0.6, CASE WHEN warn THEN 0.04 ELSE 0 END + CASE clean WHEN 'recall_with_risk' THEN 0.06 WHEN 'needs_review' THEN 0.14 ELSE 0 END + CASE WHEN ps < 0.72 THEN 0.08 ELSE 0 END + CASE WHEN nn < 0.88 THEN 0.06 ELSE 0 END
  + CASE WHEN dec = 'accepted_parent' AND depth <= 2 THEN 0.08 ELSE 0 END + CASE WHEN gap < 0.025 THEN 0.10 WHEN gap < 0.075 THEN 0.05 ELSE 0 END) AS pen FROM y),
@@ -105,7 +112,7 @@ SELECT l_orderkey, l_linenumber, CASE WHEN dec = 'needs_review' THEN 'not_accept
  WHEN overall >= 0.70 AND dir >= 0.78 THEN 'medium_confidence' ELSE 'low_confidence' END AS tier, CASE WHEN dec = 'needs_review' THEN 0 ELSE round(overall::DOUBLE, 6) END AS overall FROM o""")
 def calibrate_confidence(s, d):
     q = F.floor("l_quantity")
-    x = table(s, d, "lineitem").where("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") % 3 == 0, "accepted_parent").when(F.col("l_linenumber") % 3 == 1, "accepted_leaf").otherwise("needs_review").alias("dec"), (F.col("l_linenumber") % 5 + 1).alias("depth"), (0.6 + q / 125.0).alias("ps"),
+    x = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") % 3 == 0, "accepted_parent").when(F.col("l_linenumber") % 3 == 1, "accepted_leaf").otherwise("needs_review").alias("dec"), (F.col("l_linenumber") % 5 + 1).alias("depth"), (0.6 + q / 125.0).alias("ps"),
         F.array(*[F.struct(F.lit(k).alias("level"), c.alias("conf")) for k, c in ((1, 0.5 + q / 100.0), (2, 0.95 - q / 200.0), (4, F.lit(0.7)))]).alias("levels"), F.array(F.lit(0.9) + F.floor(F.col("l_discount") * 100 + 0.5) / 100 + 0.005, F.lit(0.9)).alias("tops"),
         F.when(F.col("l_returnflag") == "A", "recall_with_risk").when(F.col("l_returnflag") == "R", "needs_review").otherwise("keep").alias("clean"), F.when(F.col("l_linestatus") == "F", F.array(F.lit("ambiguous"))).otherwise(F.array(F.lit("root_type_forced"))).alias("warnings"))
     c = H.calibrated(x, decision="dec", depth="depth", path_score="ps", levels="levels", tops="tops", clean="clean", warnings="warnings")

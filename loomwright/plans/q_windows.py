@@ -146,34 +146,79 @@ def throughput_per_run(s, d):
     return g.withColumn("per_second", F.when(F.col("seconds") > 0, F.round(F.col("records") / F.col("seconds"), 9)))
 
 
-@query("""
-SELECT doc_id, count(*) AS n_units, sha256(text) AS h FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) FROM documents) GROUP BY doc_id, text""")
+#: A Markdown document around each document's own text: head, list, code and table.
+MARKED = ["# ", "\n\n", "\n- one\n  more\n- two\n\n\n## Part\n```\n# no heading\n\n- no list\n```\n| a | b |\n|---|---|\n| ", " | 2 |\nlast"]
+MARKED_SQL = "(SELECT doc_id, '" + MARKED[0] + "' || source || '" + MARKED[1] + "' || text || '" + MARKED[2] + "' || lang || '" + MARKED[3] + "' AS text FROM documents)"
+
+
+def marked(s, d):
+    return table(s, d, "documents").select("doc_id", F.concat(F.lit(MARKED[0]), "source", F.lit(MARKED[1]), "text", F.lit(MARKED[2]), "lang", F.lit(MARKED[3])).alias("text"))
+
+
+@query(r"""
+WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM """ + MARKED_SQL + r"""), l AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS k, unnest(l) AS line FROM x),
+f AS (SELECT *, regexp_matches(line, '^ {0,3}```') AS fence, count(*) FILTER (regexp_matches(line, '^ {0,3}```')) OVER (PARTITION BY doc_id ORDER BY k) AS n FROM l),
+c AS (SELECT *, CASE WHEN n % 2 = 1 OR fence THEN 'code' WHEN regexp_matches(line, '^ {0,3}#{1,6}([ \t]|$)') THEN 'heading' WHEN regexp_matches(line, '^\s*\|') THEN 'table' WHEN regexp_matches(line, '^ *([-*+]|\d{1,9}[.)])[ \t]+\S') THEN 'list' WHEN trim(line) = '' THEN 'blank' ELSE 'text' END AS kind0 FROM f),
+e AS (SELECT *, CASE WHEN kind0 = 'text' AND line LIKE '  %' AND lag(kind0) OVER w = 'list' THEN 'list' ELSE kind0 END AS kind FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+b AS (SELECT *, CASE WHEN kind IN ('text', 'heading') OR kind <> coalesce(lag(kind) OVER w, '') THEN 1 ELSE 0 END AS new FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+u AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY k) AS unit FROM b)
+SELECT doc_id, CAST(unit - 1 AS INT) AS unit_no, min(kind) AS kind, CAST(min(k) AS INT) AS start_line, CAST(max(k) AS INT) AS end_line, sha256(string_agg(line, chr(10) ORDER BY k)) AS h FROM u GROUP BY doc_id, unit""")
 def markdown_units(s, d):
-    """Lossless units: put together in order they are the text again. In these plain texts each line is a unit."""
-    u = G.units(table(s, d, "documents").select("doc_id", "text"))
-    g = u.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("unit_no", "text"))).alias("u"), F.sum(F.col("end_line") - F.col("start_line") + 1).alias("n_units"))
-    return g.select("doc_id", "n_units", F.sha2(F.array_join(F.transform("u", lambda x: x["text"]), ""), 256).alias("h"))
+    """Units of Markdown, with the lines that they hold."""
+    u = G.units(marked(s, d))
+    return u.select("doc_id", "unit_no", "kind", "start_line", "end_line", F.sha2(F.regexp_replace("text", r"\n\z", ""), 256).alias("h"))
 
 
-@query("SELECT doc_id, CAST(ceil(length(text) / 800.0) AS BIGINT) >= 1 AS some, length(text) AS n_chars, sha256(text) AS h FROM documents")
+@query(r"""
+WITH RECURSIVE x AS (SELECT doc_id, regexp_replace(text, '((?:[^ ]+ ){7}[^ ]+) ', '\1' || chr(10), 'g') || chr(10) AS t FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(v))) AS k, unnest(v[1:len(v) - 1]) AS line FROM (SELECT doc_id, string_split(t, chr(10)) AS v FROM x)),
+r AS (SELECT doc_id, k, length(line) + 1 AS n, line FROM l),
+g AS (SELECT doc_id, k, n AS used, 0 AS chunk FROM r WHERE k = 1 UNION ALL SELECT r.doc_id, r.k, CASE WHEN used + r.n <= 3000 THEN used + r.n ELSE r.n END, CASE WHEN used + r.n <= 3000 THEN chunk ELSE chunk + 1 END FROM g JOIN r ON r.doc_id = g.doc_id AND r.k = g.k + 1)
+SELECT doc_id, CAST(chunk AS INT) AS chunk_no, CAST(sum(r.n) AS INT) AS n, sha256(string_agg(line || chr(10), '' ORDER BY k)) AS h FROM g JOIN r USING (doc_id, k) GROUP BY doc_id, chunk""")
 def chunk_pack(s, d):
-    """Chunks of at most 800 characters, whole lines and sentences where possible; together they are the text."""
-    c = G.chunks(table(s, d, "documents").select("doc_id", "text"), budget=800)
-    g = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_no", "text"))).alias("c"), F.max(F.length("text")).alias("m"))
-    whole = F.array_join(F.transform("c", lambda x: x["text"]), "")
-    return g.select("doc_id", (F.col("m") <= 800).alias("some"), F.length(whole).cast("long").alias("n_chars"), F.sha2(whole, 256).alias("h"))
+    """Chunks of at most 3,000 characters of texts cut to lines of eight words: whole lines, as many as fit."""
+    x = table(s, d, "documents").select("doc_id", F.concat(F.regexp_replace("text", "((?:[^ ]+ ){7}[^ ]+) ", "$1\n"), F.lit("\n")).alias("text"))
+    return G.chunks(x, budget=3000).select("doc_id", "chunk_no", F.length("text").alias("n"), F.sha2("text", 256).alias("h"))
 
 
-@query(f"""
-WITH {LINES} SELECT doc_id, CAST(line_no AS INT) AS line_no, CASE WHEN regexp_matches(line, '^#{{1,6}} ') THEN 'markdown' ELSE 'numbered' END AS method FROM l
-WHERE regexp_matches(line, '^#{{1,6}} +[^ ]') OR (regexp_matches(line, '^ *[0-9]+([.][0-9]+)*[.)]? +[A-Z]') AND length(line) <= 120 AND NOT regexp_matches(line, '[.;:] *$'))""")
+#: Lines of every kind of heading, and lines that look like one, around each document's own text.
+HEADED = ["# ", "\n## 1.2 of ", "\n第三章 总论\n第2节 ", "\n1.2.3 Results of ", "\n4) Also\n1. Ends with a stop.\n2 lower\n（一）小题\n(3) item\n#no heading\n", "\n第十篇"]
+HEADED_SQL = "SELECT doc_id, '" + HEADED[0] + "' || source || '" + HEADED[1] + "' || lang || '" + HEADED[2] + "' || lang || '" + HEADED[3] + "' || source || '" + HEADED[4] + "' || text || '" + HEADED[5] + "' AS text FROM documents"
+
+
+def headed(s, d):
+    parts = [F.lit(HEADED[0]), "source", F.lit(HEADED[1]), "lang", F.lit(HEADED[2]), "lang", F.lit(HEADED[3]), "source", F.lit(HEADED[4]), "text", F.lit(HEADED[5])]
+    return table(s, d, "documents").select("doc_id", F.concat(*parts).alias("text"))
+
+
+HEADING_SQL = r"""x AS (SELECT doc_id, string_split(text, chr(10)) AS v FROM (""" + HEADED_SQL + r""")), l AS (SELECT doc_id, unnest(range(1, len(v) + 1)) AS line_no, unnest(v) AS t FROM x),
+m AS (SELECT *, CASE WHEN regexp_matches(t, '^#{1,6} +\S') THEN 'markdown' WHEN regexp_matches(t, '^\s*第\s*[一二三四五六七八九十百零〇0-9]+\s*(?:章|节|篇|部分)') THEN 'chinese' WHEN regexp_matches(t, '^ *[0-9]+(?:\.[0-9]+)*[.)]? +[A-Z㐀-鿿]') AND length(t) <= 120 AND NOT regexp_matches(t, '[.;:] *$') THEN 'numbered'
+ WHEN regexp_matches(t, '^\s*[（(][一二三四五六七八九十0-9]+[）)]\s*\S') AND length(t) <= 60 THEN 'parenthesis' END AS method FROM l),
+h AS (SELECT *, CASE method WHEN 'markdown' THEN length(regexp_extract(t, '^(#+)', 1)) WHEN 'chinese' THEN CASE WHEN regexp_matches(t, '章|篇|部分') THEN 1 ELSE 2 END WHEN 'numbered' THEN len(string_split(regexp_extract(t, '^ *([0-9]+(?:\.[0-9]+)*)', 1), '.')) ELSE 3 END AS level, trim(regexp_replace(t, '^\s*(?:#{1,6}|[0-9]+(?:\.[0-9]+)*[.)]?)\s*', '')) AS title FROM m WHERE method IS NOT NULL)"""
+
+
+@query("WITH " + HEADING_SQL + " SELECT doc_id, CAST(line_no AS INT) AS line_no, method, CAST(level AS INT) AS level, title FROM h")
 def heading_extract(s, d):
-    return G.headings(X.lines(table(s, d, "documents"))).where(F.col("method").isin("markdown", "numbered")).select("doc_id", "line_no", "method")
+    return G.headings(X.lines(headed(s, d))).select("doc_id", "line_no", "method", "level", "title")
+
+
+@query("WITH " + HEADING_SQL + r""", q AS (SELECT doc_id, line_no, lower(['', 'Contents', title || ' ....... 12', 'Figure 3 ' || title, title || '?', repeat(title || ' ', 12)][line_no % 6 + 1]) AS u FROM h),
+w AS (SELECT doc_id, line_no, CASE WHEN u = 'contents' THEN 'contents_or_index' WHEN regexp_matches(u, '\.{4,}\s*[0-9]+$') THEN 'page_leader' WHEN regexp_matches(u, '^(?:figure|table|fig\.)\s*[0-9]') THEN 'caption' WHEN trim(u) = '' THEN 'empty' WHEN regexp_matches(u, '\?$') THEN 'question' WHEN length(trim(u)) > 100 THEN 'long' END AS why FROM q)
+SELECT doc_id, CAST(line_no AS INT) AS line_no, why, CASE WHEN why IN ('question', 'long') THEN 'review' WHEN why IS NOT NULL THEN 'exclude' ELSE 'keep' END AS decision FROM w""")
+def heading_filter(s, d):
+    """Titles turned into what the filter is for: contents, leaders, captions, questions, very long ones."""
+    t, k = F.col("title"), F.col("line_no") % 6
+    new = F.when(k == 0, "").when(k == 1, "Contents").when(k == 2, F.concat(t, F.lit(" ....... 12"))).when(k == 3, F.concat(F.lit("Figure 3 "), t)).when(k == 4, F.concat(t, F.lit("?"))).otherwise(F.repeat(F.concat(t, F.lit(" ")), 12))
+    return G.heading_filter(G.headings(X.lines(headed(s, d))).withColumn("title", new)).select("doc_id", "line_no", "why", "decision")
 
 
-@query(f"""WITH {LINES} SELECT doc_id, line_no, regexp_extract(line, '^ *([0-9]+[.)]|[-*]) +(.*)$', 2) AS item FROM l WHERE regexp_matches(line, '^ *([0-9]+[.)]|[-*]) +[^ ]')""")
+@query(r"""
+WITH x AS (SELECT doc_id, string_split('1. ' || source || chr(10) || '  - ' || lang || chr(10) || '2) Step one' || chr(10) || '-no item' || chr(10) || '    * deep ' || source || chr(10) || '3.no' || chr(10) || text, chr(10)) AS v FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(v) + 1)) AS line_no, unnest(v) AS t FROM x)
+SELECT doc_id, CAST(line_no AS INT) AS line_no, CASE WHEN regexp_matches(t, '(?i)^ *[0-9]+[.)] +step\b') THEN 'step' WHEN regexp_matches(t, '^ *[0-9]') THEN 'numbered' ELSE 'bullet' END AS kind, CAST(length(regexp_extract(t, '^( *)', 1)) // 2 AS INT) AS depth, regexp_extract(t, '^ *(?:[0-9]+[.)]|[-*]) +(.*)$', 1) AS item FROM l WHERE regexp_matches(t, '^ *(?:[0-9]+[.)]|[-*]) +[^ ]')""")
 def list_items_extract(s, d):
-    return G.list_items(X.lines(table(s, d, "documents"))).select("doc_id", "line_no", "item")
+    x = F.concat(F.lit("1. "), "source", F.lit("\n  - "), "lang", F.lit("\n2) Step one\n-no item\n    * deep "), "source", F.lit("\n3.no\n"), "text")
+    return G.list_items(X.lines(table(s, d, "documents").select("doc_id", x.alias("text")))).select("doc_id", "line_no", "kind", "depth", "item")
 
 
 @query("SELECT doc_id, CAST(len(regexp_extract_all(text, '[^.!?\n]+([.!?]+|\n|$)')) AS BIGINT) AS n FROM documents")
@@ -201,7 +246,22 @@ def html_format_cleanup(s, d):
     return table(s, d, "pages").select("page_id", F.regexp_count("html", F.lit("<a href=")).cast("long").alias("n_links"), F.length(G.plain_html(F.col("html"))).cast("long").alias("n_text"))
 
 
-@query("SELECT doc_id, trim(string_split(text, chr(10))[1]) AS title FROM documents WHERE length(trim(string_split(text, chr(10))[1])) BETWEEN 2 AND 100 AND NOT regexp_matches(trim(string_split(text, chr(10))[1]), '^(#|[-*]|https?:)')")
+@query(r"""
+WITH x AS (SELECT doc_id, source, ['# ' || source || ' title' || chr(10), 'https://' || source || chr(10) || '- ' || lang || ' name' || chr(10), 'x' || chr(10) || chr(10), '', repeat('.' || chr(10), 90)][doc_id % 5 + 1] || text AS t FROM documents),
+l AS (SELECT doc_id, source, list_transform(string_split(t, chr(10))[1:80], lambda v: trim(regexp_replace(v, '^\s*(?:#{1,6}|[-*])\s*', ''))) AS v FROM x)
+SELECT doc_id, coalesce(list_filter(v, lambda e: length(e) BETWEEN 2 AND 100 AND NOT regexp_matches(e, '(?i)^(?:https?:|www\.)'))[1], source) AS title FROM l""")
 def title_guess(s, d):
-    x = table(s, d, "documents").select("doc_id", F.trim(F.split("text", "\n")[0]).alias("first"), G.title_guess(F.col("text"), F.lit("stem")).alias("title"))
-    return x.where("title = first").select("doc_id", "title")
+    k = F.col("doc_id") % 5
+    head = F.when(k == 0, F.concat(F.lit("# "), "source", F.lit(" title\n"))).when(k == 1, F.concat(F.lit("https://"), "source", F.lit("\n- "), "lang", F.lit(" name\n"))).when(k == 2, "x\n\n").when(k == 3, "").otherwise(".\n" * 90)
+    return table(s, d, "documents").select("doc_id", G.title_guess(F.concat(head, "text"), F.col("source")).alias("title"))
+
+
+@query(r"""
+WITH x AS (SELECT doc_id, '![a](b.png)' || text || chr(10) || ' Next ' || chr(10) || 'Figure 12. ' || source || chr(10) || '$$x' || chr(10) || 'y$$ hy-' || chr(10) || 'phen' || chr(10) || chr(10) || chr(10) || chr(10) || chr(10) || lang AS t FROM documents),
+a AS (SELECT doc_id, regexp_replace(regexp_replace(t, '!\[[^\]]*\]\([^)]*\)', '', 'g'), '(?s)\$\$.*?\$\$', '', 'g') AS t FROM x),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(?im)^[ \t]*(?:next|previous|back to top|home)[ \t]*$', '', 'g'), '(?im)^[ \t]*(?:figure|fig\.|table)[ \t]*[0-9]+[.:].*$', '', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(t, '([a-z])-\n([a-z])', '\1\2', 'g') AS t FROM b)
+SELECT doc_id, sha256(regexp_replace(t, '\n{4,}', chr(10) || chr(10) || chr(10), 'g')) AS h FROM c""")
+def format_cleanup(s, d):
+    x = F.concat(F.lit("![a](b.png)"), "text", F.lit("\n Next \nFigure 12. "), "source", F.lit("\n$$x\ny$$ hy-\nphen\n\n\n\n\n"), "lang")
+    return table(s, d, "documents").select("doc_id", F.sha2(G.format_cleanup(x), 256).alias("h"))
