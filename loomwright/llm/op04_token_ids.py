@@ -34,10 +34,16 @@ TOGETHER = 256
 ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
 
 
+def _plain(word: str) -> bool:
+    """Whether the library takes a word of letters, and what it is in small, as one pre-token each."""
+    low = word.lower()
+    return max(word) < "\u0300" and low.isalpha() and max(low) < "\u0300"
+
+
 class WordTokenizer:
     """Ids by word, as little-endian unsigned 32-bit integers, all from the library. Words of letters below U+0300 (which
     NFC leaves alone) are one pre-token each, so the library gets many of them in one text, and the ids that end a word
-    tell them apart; other words are encoded one by one."""
+    tell them apart; other words stand in one text with an added token between them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,6 +56,8 @@ class WordTokenizer:
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and '"behavior": "Removed"' in pre and r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in pre and not any(c.isspace() for t in spec["added_tokens"] for c in t["content"])
         self.cache: dict[str, bytes] = {}
         model = spec["model"]
+        #: An added token, which cuts a text into parts that are encoded on their own.
+        self.between = next(((t["content"], t["id"]) for t in spec["added_tokens"] if not (t["lstrip"] or t["rstrip"] or t["single_word"])), None)
         self.final = np.zeros(self.lib.get_vocab_size(), np.bool_)
         if self.by_word and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>":
             self.final[[i for t, i in model["vocab"].items() if t.endswith("</w>")]] = True
@@ -59,29 +67,35 @@ class WordTokenizer:
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
             new = words
-        cores: dict[str, list[tuple[str, str]]] = {}
-        rest, together = [], bool(self.final.any())
+        forms, rest, together = [], [], bool(self.final.any())
         for w in new:
             core, tail = (w[:-1], w[-1]) if w[-1:] in TAILS else (w, "")
-            if together and core.isalpha() and max(core) < "\u0300" and (low := core.lower()).isalpha() and max(low) < "\u0300":
-                cores.setdefault(low, []).append((w, tail))
+            if together and core.isalpha() and (core.isascii() or _plain(core)):
+                forms.append((w, core.lower(), tail))
             else:
                 rest.append(w)
-        for w, e in zip(rest, self.lib.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.cache[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        tails = {t: b"".join(i.to_bytes(4, "little") for i in self.lib.encode(t, add_special_tokens=False).ids) for t in ("", *TAILS)}
-        names = list(cores)
+        cache = self.cache
+        chunks = [rest[k : k + TOGETHER] for k in range(0, len(rest), TOGETHER)] if self.between else [[w] for w in rest]
+        mark, mark_id = self.between or ("", -1)
+        for chunk, e in zip(chunks, self.lib.encode_batch_fast([mark.join(c) for c in chunks], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            packed, ends = ids.tobytes(), [4 * k for k in [*np.flatnonzero(ids == mark_id).tolist(), len(ids)]]
+            if len(ends) == len(chunk):
+                cache.update(zip(chunk, [packed[a:b] for a, b in zip([0, *(k + 4 for k in ends)], ends, strict=False)], strict=True))
+            else:  # a word that holds the mark
+                cache.update((w, np.array(self.lib.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in chunk)
+        tails = {t: np.array(self.lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ("", *TAILS)}
+        names = list({low for _, low, _ in forms})
+        own: dict[str, bytes] = {}
         chunks = [names[k : k + TOGETHER] for k in range(0, len(names), TOGETHER)]
         for chunk, e in zip(chunks, self.lib.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u4")
             packed, ends = ids.tobytes(), (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
             if len(ends) == len(chunk):
-                own = [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                own.update(zip(chunk, [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
             else:  # a letter that the vocabulary ends no word with
-                own = [b"".join(i.to_bytes(4, "little") for i in self.lib.encode(c, add_special_tokens=False).ids) for c in chunk]
-            for c, x in zip(chunk, own, strict=True):
-                for w, t in cores[c]:
-                    self.cache[w] = x + tails[t] if t else x
+                own.update((c, np.array(self.lib.encode(c, add_special_tokens=False).ids, "<u4").tobytes()) for c in chunk)
+        cache.update([(w, own[low] + tails[t] if t else own[low]) for w, low, t in forms])
 
     def packed(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").replace("\t", " ").split(" ") if self.by_word else [t] for t in texts]
