@@ -104,6 +104,13 @@ def clean_context(c: Column, max_chars: int) -> Column:
     return T.let(t, cut)
 
 
+def clean_model_text(c: Column, max_chars: int = 0) -> Column:
+    """A model's title: prefixes and layout references off, marks at the edges off, cut to a number of characters."""
+    t = T.compact(F.regexp_replace(F.regexp_replace(T.compact(c), ENUMERATION, ""), LAYOUT_REFERENCE, ""))
+    t = F.regexp_replace(t, r"^[ ，。;；:：]+|[ ，。;；:：]+\z", "")
+    return F.substring(t, 1, max_chars) if max_chars else t
+
+
 def metadata_gate(year: Column, file_detail: Column, file_format: Column, language: Column, path: Column, periodical: Column) -> Column:
     """struct<decision, reasons> of a catalogue row."""
     y, lang = T.publication_year(year), F.lower(F.trim(T.blank(language)))

@@ -133,3 +133,20 @@ def packed_batches(df: DataFrame, part: str, order: str, size: Column, most_size
     b = g.select(part, F.posexplode(F.arrays_zip("rows", F.pandas_udf(run, "array<int>")("rows").alias("batch"))).alias("_k", "z"))
     b = b.select(F.col(part).alias("_p"), F.col(f"z.rows.{order}").alias("_o"), F.col("z.batch").alias("batch"))
     return d.join(b, (F.col(part) == F.col("_p")) & (F.col(order) == F.col("_o"))).drop("_size", "_p", "_o")
+
+
+def request_tokens(messages: DataFrame, tokenizer_path: str, ident: str, order: str, role: str, content: str, form: str = "<|{role}|>\n{content}\n", opening: str = "<|assistant|>\n") -> DataFrame:
+    """(id, n_tokens): exact counts of requests, all messages put into a template in their order, by a tokenizers file. A
+    request's messages are joined in one row, as the tokenizer has to see them."""
+    text = F.replace(F.replace(F.lit(form), F.lit("{role}"), F.coalesce(F.col(role), F.lit(""))), F.lit("{content}"), F.coalesce(F.col(content), F.lit("")))
+    g = messages.groupBy(ident).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), text.alias("t")))).alias("m"))
+    whole = F.concat(F.array_join(F.transform("m", lambda x: x["t"]), ""), F.lit(opening))
+
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(tokenizer_path)
+        for s in batches:
+            yield s.map(lambda t: len(tok.encode(t, add_special_tokens=False).ids))
+
+    return g.select(ident, F.pandas_udf(count, "long")(whole).alias("n_tokens"))

@@ -151,3 +151,30 @@ def completed(spark: SparkSession, path: str, policy: str) -> tuple[DataFrame, i
     """Keys done under the current policy in a checkpoint table, and how many rows of other policies were passed over."""
     d = spark.read.parquet(path)
     return d.where(F.col("policy_version") == policy).select("key").distinct(), d.where(F.col("policy_version") != policy).count()
+
+
+def sqlite_rows(spark: SparkSession, path: str, table: str, schema: str) -> DataFrame:
+    """Rows of a table in SQLite files (a file, folder or pattern), each opened from its bytes by one task."""
+    names = [f.name for f in spark.createDataFrame([], schema).schema]
+    quoted = ", ".join('"' + n.replace('"', '""') + '"' for n in names)
+
+    def run(batches):
+        import sqlite3
+
+        for pdf in batches:
+            for content in pdf["content"]:
+                db = sqlite3.connect(":memory:")
+                db.deserialize(bytes(content))
+                rows = db.execute(f'SELECT {quoted} FROM "{table}"')
+                while part := rows.fetchmany(10_000):
+                    yield pd.DataFrame(part, columns=names)
+                db.close()
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
+
+
+def completed_sqlite(spark: SparkSession, path: str, table: str, policy: str) -> tuple[DataFrame, int]:
+    """What ``completed`` gives, of a checkpoint kept in SQLite with columns ``key`` and ``policy_version``."""
+    d = sqlite_rows(spark, path, table, "key string, policy_version string")
+    mine = F.col("policy_version").eqNullSafe(F.lit(policy))
+    return d.where(mine).select("key").distinct(), d.where(~mine).count()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,6 +31,16 @@ def process(spark: SparkSession, source: DataFrame, work: Callable[[DataFrame],
     source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def resume(spark: SparkSession, rows: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, key: str, policy: str, number: int) -> None:
+    """Do what is missing: rows whose key has no result under this policy version. After a change of policy that is all of
+    them; the older results stay in their batches and ``latest`` passes them over. ``number``: the batch to write."""
+    try:
+        done = latest(spark, out, key, policy).select(key)
+    except AnalysisException:  # nothing written yet
+        done = rows.limit(0).select(key)
+    upsert(spark, out, work(rows.join(done, key, "left_anti")).withColumn("policy_version", F.lit(policy)), key, number)
+
+
 def event_counts(events: DataFrame, at: str, kind: str, window: str = "10 minutes", late: str = "1 hour") -> DataFrame:
     """Counts per window and kind of a stream of events, late ones up to ``late``."""
     return events.withWatermark(at, late).groupBy(F.window(at, window), kind).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), kind, "n")
