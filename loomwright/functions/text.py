@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,26 +18,29 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006
 BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】"}
 
 
-def nfkc(c: Column) -> Column:
+def _in_python(c: Column, one: Callable[[str], str], need: Column, plain: Column) -> Column:
+    """``one`` of each text that needs it; others never leave the JVM and are ``plain``."""
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
+        return s.map(lambda v: None if v is None else one(v))
 
-    return F.pandas_udf(run, "string")(c)
+    return F.when(need, F.pandas_udf(run, "string")(F.when(need, c))).otherwise(plain)
+
+
+def _wide(c: Column) -> Column:
+    return c.rlike(r"[^\x00-\x7F]")
+
+
+def nfkc(c: Column) -> Column:
+    return _in_python(c, lambda v: unicodedata.normalize("NFKC", v), _wide(c), c)
 
 
 def unescaped(c: Column) -> Column:
     """NFKC of the text with HTML entities resolved."""
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else unicodedata.normalize("NFKC", html.unescape(v)))
-
-    return F.pandas_udf(run, "string")(c)
+    return _in_python(c, lambda v: unicodedata.normalize("NFKC", html.unescape(v)), _wide(c) | F.contains(c, F.lit("&")), c)
 
 
 def casefold(c: Column) -> Column:
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else v.casefold())
-
-    return F.pandas_udf(run, "string")(c)
+    return _in_python(c, str.casefold, _wide(c), F.lower(c))
 
 
 def let(c: Column, fn) -> Column:

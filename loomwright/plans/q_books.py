@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import books as B
 from ..operators import evidence as E
 from ..operators import windows as X
-from ..operators.graph import scratch
+from ..operators.graph import temporary
 from ..sources import readers, sinks
 from .registry import query, table
 
@@ -303,7 +302,7 @@ def persistent_failures(s, d):
 @query("SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
 def csv_scan(s, d):
     """Written as CSV and read again: all columns are text."""
-    p = scratch(s)
+    p = temporary(s)
     sinks.write_csv(table(s, d, "nation"), p, ["n_nationkey", "n_name", "n_regionkey"])
     return readers.read_csv(s, p, ["n_name"])
 
@@ -311,7 +310,7 @@ def csv_scan(s, d):
 @query("SELECT n_nationkey, n_name FROM nation")
 def json_scan(s, d):
     """Written as JSON lines and read by the reader of all JSON forms."""
-    p = scratch(s)
+    p = temporary(s)
     sinks.write_jsonl(table(s, d, "nation").select("n_nationkey", "n_name"), p)
     return readers.read_json_union(s, p, "n_nationkey int, n_name string").select("n_nationkey", "n_name")
 
@@ -322,13 +321,13 @@ def partition_sink(s, d):
     """A folder for every track and decision, empty ones too."""
     o = table(s, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("track"), F.col("o_orderstatus").alias("decision"))
     tracks = sorted(r[0] for r in o.select("track").distinct().collect())  # an enum
-    return sinks.partitioned(o, scratch(s), "track", "decision", tracks, ["F", "O", "P", "X"])
+    return sinks.partitioned(o, temporary(s), "track", "decision", tracks, ["F", "O", "P", "X"])
 
 
 @query("SELECT CASE WHEN quality = 1 THEN 'keep' WHEN toxic = 1 THEN 'drop' ELSE 'review' END AS route, count(*) AS n FROM labels GROUP BY 1")
 def routed_sink(s, d):
     route = F.when(F.col("quality") == 1, "keep").when(F.col("toxic") == 1, "drop").otherwise("review")
-    return sinks.routed(table(s, d, "labels"), scratch(s), route)
+    return sinks.routed(table(s, d, "labels"), temporary(s), route)
 
 
 @query("SELECT doc_id, sha256(text) AS h FROM documents ORDER BY doc_id LIMIT 20")
