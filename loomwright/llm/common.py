@@ -43,6 +43,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
             for k in range(0, batch.num_rows, BATCH_ROWS):
                 if (out := fn(batch.slice(k, BATCH_ROWS))) is not None:
                     yield out
+        pa.default_memory_pool().release_unused()  # a worker lives on and would keep it for later stages
 
     short_batches(df)
     return df.mapInArrow(run, schema)

@@ -37,7 +37,7 @@ CENTRES = 3
 HOT, HOT_CLASSES = 1000, 10_000
 #: Side of the blocks that a large bucket is compared in, in the exhaustive step.
 BLOCK = 2000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(0, 2**32, SIGNED, dtype=np.uint32) | np.uint32(1)
 _ADD = _rng.integers(0, 2**32, SIGNED, dtype=np.uint32)
