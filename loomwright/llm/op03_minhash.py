@@ -21,6 +21,7 @@ component (null) and is kept. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alone, arrow_map, components, free_name, marked, without, written
+from .common import alone, arrow_map, components, free_name, marked, short_batches, without, written
 
 K, SIGNED, SIGMAS, MISS = 192, 1024, 5.0, 1e-6
 #: Other centres that a class is compared with before the exhaustive step.
@@ -37,6 +38,8 @@ CENTRES = 3
 HOT, HOT_CLASSES = 1000, 10_000
 #: Side of the blocks that a large bucket is compared in, in the exhaustive step.
 BLOCK = 2000
+#: Pairs whose signatures are compared at once there.
+PAIRS = 1 << 15
 CACHE_WORDS = 200_000
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(0, 2**32, SIGNED, dtype=np.uint32) | np.uint32(1)
@@ -184,6 +187,72 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return arrow_map(j, run, "a long, b long")
 
 
+def _meeting(group: np.ndarray, block: np.ndarray, sizes: np.ndarray, ids: np.ndarray, comps: np.ndarray, bits: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b), a > b, of rows (groups side by side) in one group and in blocks that the group compares, of different
+    components, whose sizes and signatures allow a link. ``group`` is (n, 3): key and the two blocks that are compared."""
+    n = len(ids)
+    most = int(np.floor(SIGNED * (1 - 0.25 - 0.75 * slack(percent / 100)) + 1e-9))  # unequal bit pairs of the least estimate
+    last = np.append(np.flatnonzero((group[1:] != group[:-1]).any(axis=1)), n - 1)
+    after = np.repeat(last, np.diff(np.concatenate(([-1], last)))) - np.arange(n)  # rows that follow in the group
+    halves = [np.ascontiguousarray(h) for h in np.split(bits, 2, axis=1)]
+    within, before = group[:, 1] == group[:, 2], np.concatenate(([0], np.cumsum(after)))
+    found_a, found_b = [], []
+    for lo in range(0, int(before[-1]), PAIRS):
+        at = np.arange(lo, min(lo + PAIRS, int(before[-1])))
+        i = np.searchsorted(before, at, side="right") - 1
+        j = i + 1 + at - before[i]
+        small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+        ok = (comps[i] != comps[j]) & (ids[i] != ids[j]) & (small * 100 >= large * percent) & (within[i] | (block[i] != block[j]))
+        i, j = i[ok], j[ok]
+        unequal = np.zeros(len(i), np.int64)
+        for half in halves:  # what differs too much in one half needs no other
+            x = half[i] ^ half[j]
+            x = (x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)
+            unequal += np.bitwise_count(x).sum(axis=1, dtype=np.int64)
+            ok = unequal <= most
+            i, j, unequal = i[ok], j[ok], unequal[ok]
+        found_a.append(np.maximum(ids[i], ids[j]))
+        found_b.append(np.minimum(ids[i], ids[j]))
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *found_a]), np.concatenate([empty, *found_b])
+
+
+def _near_in_buckets(left: DataFrame, mark: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all rows of ``left(key, id, c)`` that share a key and have different c, as far as the signatures and set
+    sizes allow a link. Buckets over BLOCK are cut into blocks, each two of which are compared on their own."""
+    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def compared(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            if t.num_rows > 1:
+                group = np.stack([t[c].to_numpy() for c in ("key", "p", "q")], axis=1)
+                bits = t["bits"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
+                a, b = _meeting(group, *(t[c].to_numpy() for c in ("block", "n_shingles", "id", "c")), bits, percent)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=fields)
+
+        rest, size = [], 0
+        for batch in batches:
+            rest.append(batch)
+            size += batch.num_rows
+            if size >= 2 * BLOCK:  # what stands before the last group, which may go on
+                t = pa.Table.from_batches(rest).combine_chunks()
+                key, p, q = (t[c].to_numpy() for c in ("key", "p", "q"))
+                cut = int(np.flatnonzero((key != key[-1]) | (p != p[-1]) | (q != q[-1]))[-1:].sum() + 1) if (key[0], p[0], q[0]) != (key[-1], p[-1], q[-1]) else 0
+                if cut:
+                    yield from compared(t.slice(0, cut))
+                rest, size = t.slice(cut).to_batches(), t.num_rows - cut
+        if rest:
+            yield from compared(pa.Table.from_batches(rest))
+
+    blocks = left.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = left.select("key", "id", "c").join(mark, "id").join(blocks, "key").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    rows = rows.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "c", "n_shingles", "bits")
+    short_batches(rows)
+    return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
@@ -239,18 +308,7 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
             pairs = some.select(F.greatest("id", "m").alias("a"), F.least("id", "m").alias("b")).distinct()
             pairs = likely(pairs.join(tried, ["a", "b"], "left_anti"))
         else:  # whatever is left across components, without exception
-            own = left.groupBy("id").agg(F.collect_list("key").alias("keys"))  # no more than there are bands
-            blocks = left.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-            rest = left.select("key", "id", "c").join(mark, "id").join(own, "id").join(blocks, "key")
-            block, every = F.expr("cast(pmod(xxhash64(id), blocks) as int)"), F.explode(F.expr("sequence(0, blocks - 1)"))
-            side = lambda s: [F.col(n).alias(f"{n}_{s}") for n in ("id", "c", "n_shingles", "bits", "keys")]
-            x = rest.select("key", block.alias("p"), every.alias("q"), *side("b"))
-            y = rest.select("key", every.alias("p"), block.alias("q"), *side("a"))
-            near = (F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * percent) & (estimate("bits_a", "bits_b") >= low)
-            # each pair in the first bucket that it shares
-            same = (x["key"] == y["key"]) & (x["p"] == y["p"]) & (x["q"] == y["q"])
-            met = x.join(y, same & (F.col("c_a") != F.col("c_b")) & (F.col("id_b") < F.col("id_a")) & near & F.when(near, x["key"] == F.array_min(F.array_intersect("keys_a", "keys_b"))))
-            pairs = met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(tried, ["a", "b"], "left_anti")
+            pairs = _near_in_buckets(left, mark, percent).join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs)
         more = _confirm(pairs, texts, size, percent)
         comp = components(more.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))

@@ -116,3 +116,22 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (5, 5)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 140)}, 200: 200, 201: 200}
+
+
+def test_crowd_that_stays_apart(spark):
+    """Thousands of different components in one bucket: their millions of pairs are compared within seconds."""
+    import time
+
+    import numpy as np
+
+    n, near = 3000, {(k, k + 1500) for k in range(0, 1000, 7)}
+    r = np.random.default_rng(3)
+    bits = r.integers(-(2**63), 2**63, (n, op3.SIGNED // 32), dtype=np.int64)
+    for a, b in near:
+        bits[b] = bits[a]
+        bits[b, :2] = r.integers(-(2**63), 2**63, 2)
+    rows = spark.createDataFrame([(1, k, k if k not in (1507, 1514) else k - 1500, 100 if k != 1521 else 200, bits[k].tolist()) for k in range(n)], "key long, id long, c long, n_shingles long, bits array<long>").repartition(4).localCheckpoint()
+    began = time.time()
+    got = {tuple(p) for p in op3._near_in_buckets(rows.select("key", "id", "c"), rows.select("id", "n_shingles", "bits"), 85).collect()}
+    assert time.time() - began < 20  # as a join on the signatures: a minute
+    assert got == {(b, a) for a, b in near if b not in (1507, 1514, 1521)}
