@@ -3,7 +3,9 @@ library's own."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, MutableMapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,12 +14,34 @@ from pyspark.sql.types import StructType
 
 from ..operators.graph import alone, components, temporary, written
 
-__all__ = ["BATCH_ROWS", "alone", "arrow_map", "components", "free_name", "marked", "short_batches", "temporary", "without", "written"]
+__all__ = ["BATCH_ROWS", "CACHES", "alone", "arrow_map", "begin", "components", "free_name", "give_back", "marked", "short_batches", "temporary", "without", "written"]
 
 #: Rows in an Arrow batch; whole texts can be long, so batches are short.
 BATCH_ROWS = 512
 #: Bits of the broadcast map that rows are sifted by: 2 MB at most, whatever the input.
 SIFT_BITS = 1 << 24
+#: What a Python worker keeps from task to task, by operator (module).
+CACHES: dict[str, MutableMapping] = {}
+_begun = [""]
+
+
+def begin(operator: str) -> None:
+    """A Python worker lives on from stage to stage: when a map of another operator begins, what the others keep goes."""
+    if _begun[0] == operator:
+        return
+    _begun[0] = operator
+    for name, cache in CACHES.items():
+        if name != operator:
+            cache.clear()
+    gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that is not in use; a worker lives on and would keep it for later stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -38,12 +62,15 @@ def short_batches(df: DataFrame) -> None:
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with one output batch per input batch of at most BATCH_ROWS rows."""
+    operator = fn.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(operator)
         for batch in batches:
             for k in range(0, batch.num_rows, BATCH_ROWS):
                 if (out := fn(batch.slice(k, BATCH_ROWS))) is not None:
                     yield out
-        pa.default_memory_pool().release_unused()  # a worker lives on and would keep it for later stages
+        give_back()
 
     short_batches(df)
     return df.mapInArrow(run, schema)

@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import CACHES, arrow_map
 
 #: Distinct words kept by a worker; the cache starts anew when it is full.
 CACHE_WORDS = 300_000
@@ -278,6 +278,7 @@ class AgendaEncoder:
 
 
 _encoders: dict[str, AgendaEncoder] = {}
+CACHES[__name__] = _encoders
 
 
 def encoder(model_path: str) -> AgendaEncoder:

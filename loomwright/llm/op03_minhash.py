@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alone, arrow_map, components, free_name, marked, short_batches, without, written
+from .common import CACHES, alone, arrow_map, begin, components, free_name, give_back, marked, short_batches, without, written
 
 K, SIGNED, SIGMAS, MISS = 192, 1024, 5.0, 1e-6
 #: Other centres that a class is compared with before the exhaustive step.
@@ -57,7 +57,7 @@ class _Hashes(dict):
         return h
 
 
-_hashes = _Hashes()
+_hashes = CACHES[__name__] = _Hashes()
 
 
 def word_list(text: str | None) -> list[bytes]:
@@ -231,6 +231,7 @@ def _near_in_buckets(left: DataFrame, mark: DataFrame, percent: int) -> DataFram
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=fields)
 
+        begin(__name__)
         rest, size = [], 0
         for batch in batches:
             rest.append(batch)
@@ -244,6 +245,7 @@ def _near_in_buckets(left: DataFrame, mark: DataFrame, percent: int) -> DataFram
                 rest, size = t.slice(cut).to_batches(), t.num_rows - cut
         if rest:
             yield from compared(pa.Table.from_batches(rest))
+        give_back()
 
     blocks = left.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = left.select("key", "id", "c").join(mark, "id").join(blocks, "key").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))

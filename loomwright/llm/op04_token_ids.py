@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, arrow_map, short_batches, temporary
+from .common import BATCH_ROWS, CACHES, arrow_map, begin, give_back, short_batches, temporary
 
 CACHE_WORDS = 600_000
 #: Words that are learnt at once, about.
@@ -112,6 +112,7 @@ class WordTokenizer:
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
+CACHES[__name__] = _tokenizers
 
 
 def tokenizer(path: str) -> WordTokenizer:
@@ -128,6 +129,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, out: str, *, end_id: int = 1
     def run(batches):
         from pyspark import TaskContext
 
+        begin(__name__)
         part, pos, tok = TaskContext.get().partitionId(), 0, tokenizer(tokenizer_path)
         for big in batches:
             for k in range(0, big.num_rows, BATCH_ROWS):
@@ -140,6 +142,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, out: str, *, end_id: int = 1
                 n = batch.num_rows
                 yield pa.record_batch([batch.column(0), pa.array([part] * n, pa.int32()), pa.array(range(pos, pos + n), pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)], schema=fields)
                 pos += n
+        give_back()
 
     spark = docs.sparkSession
     short_batches(docs)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import arrow_map, short_batches
+from .common import arrow_map, begin, give_back, short_batches
 
 SAMPLE_ROWS = 1000
 #: N-grams of 1 to so many characters, hashed into 2 ** BITS buckets.
@@ -163,6 +163,7 @@ def document_frequencies(texts: DataFrame, wanted: np.ndarray) -> tuple[int, np.
     shared = texts.sparkSession.sparkContext.broadcast(wanted)  # 2 ** BITS flags
 
     def run(batches):
+        begin(__name__)
         n, mark, total = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.bool_), 0
         for batch in batches:
             for t in batch.column(0):
@@ -177,6 +178,7 @@ def document_frequencies(texts: DataFrame, wanted: np.ndarray) -> tuple[int, np.
                     mark[k] = False
         k = np.flatnonzero((n > 0) & shared.value)
         yield pa.record_batch([pa.array([-1, *k.tolist()], pa.int32()), pa.array([total, *n[k].tolist()], pa.int64())], names=["bucket", "n"])
+        give_back()
 
     short_batches(texts)
     found = texts.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()

@@ -39,3 +39,23 @@ def test_columns_and_odd_rows(spark):
     assert sorted(r.doc_id or 0 for r in out) == [0, 4, 5]
     for _, f in pipe.STAGES:
         assert f(spark, docs.limit(0), DIR).count() == 0
+
+
+def test_workers_keep_one_operators_caches(spark):
+    """What a stage keeps in a Python worker is gone when the next one runs there."""
+    import pyarrow as pa
+
+    from loomwright.llm import op02_sentencepiece as op2
+    from loomwright.llm import op03_minhash as op3
+    from loomwright.llm.common import arrow_map
+
+    docs = spark.createDataFrame([(k, f"one two three words w{k}") for k in range(40)], "doc_id long, text string").repartition(4)
+    op2.encode(docs, public_tokenizers.path("piece_bpe_32k.model")).collect()
+    op3.banded(docs.selectExpr("doc_id as id", "doc_id as h", "text"), 3, 85).collect()
+
+    def held(batch):
+        return pa.record_batch([pa.array([len(op2._encoders)]), pa.array([len(op3._hashes)])], names=["encoders", "hashes"])
+
+    held.__module__ = "another"
+    got = arrow_map(docs, held, "encoders long, hashes long").collect()
+    assert got and all((r.encoders, r.hashes) == (0, 0) for r in got)
