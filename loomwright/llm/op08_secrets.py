@@ -10,7 +10,7 @@ its letter transitions, different characters, dictionary coverage, form of code
 words of the document's source and of the text around, telling, naming and harmless neighbouring words, whether it is
 assigned or quoted. All read the whole candidate.
 
-Letter transitions and the dictionary are learnt from the words of a bounded sample of documents (``learn_vocabulary``).
+Letter transitions and the dictionary are learnt from the commonest words of all documents (``learn_vocabulary``).
 The forest (pyspark.ml, JVM) is trained from labelled findings, given or built here by rule, then written out as one SQL
 expression and applied to the candidate arrays row by row: no shuffle, no join, no Python.
 
@@ -61,8 +61,8 @@ WORDS = ["configuration", "application", "background", "connection", "controller
 CODE = r"\A(?:[$%#]?\{.*|\$[(\w][\w)]*|<.*|%\w|[A-Za-z_][\w.]*[(\[].*|[A-Za-z_]+(?:[.][A-Za-z_]+)+|(?i:none|null|nil|true|false|undefined|str|string|text|bytes?|int|any|required|optional|yes|no)|(.)\1*)\z"
 #: Ordinary words that are not in WORDS, for training.
 ORDINARY = ["correct", "horse", "battery", "staple", "river", "mountain", "understand", "garden", "yellow", "between", "summer", "winter", "people", "measure", "important", "question", "letter", "bridge", "dragon", "silver", "coffee", "monkey", "planet", "orange", "forest", "history", "purple", "window", "market", "sunshine"]
-#: Documents whose words are learnt from, the words kept, and how many of them are the dictionary.
-SAMPLE_ROWS, SAMPLE_WORDS, DICTIONARY = 500, 2000, 200
+#: The words kept, and how many of them are the dictionary.
+MOST_WORDS, DICTIONARY = 2000, 200
 #: Least conditional probabilities of a letter after another that make the levels of transitions.
 LEVELS = (0.1, 0.03, 0.01)
 FEATURES = ["size", "digits", "capitals", "smalls", "others", "hexes", "changes", "transitions", "kinds", "covered", "slashes", "doc_path", "near_path", "telling", "harmless", "assigned", "quoted", "block", "named", "prefixed", "code", "vowels", "in_url"]
@@ -91,14 +91,14 @@ class Vocabulary:
         return cls(tuple(sorted({*common, *WORDS}, key=lambda w: (-len(w), w))), tuple(levels))
 
 
-def learn_vocabulary(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> Vocabulary:
-    """From the SAMPLE_WORDS commonest words of at least two documents among ``rows`` documents, those whose id hashes
-    lowest. With none, the built-in words."""
-    d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    ids = [r.id for r in d.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(rows).collect()]
-    words = d.where(F.col("id").isin(ids)).select("id", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("word")).where(r"word rlike '^[a-z]{2,24}$'")
-    words = words.groupBy("word").agg(F.count("*").alias("n"), F.count_distinct("id").alias("of")).where("of > 1")
-    counts = {r.word: r.n for r in words.orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).collect()} if ids else {}
+def learn_vocabulary(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Vocabulary:
+    """From the MOST_WORDS commonest words of at least two documents, counted over all documents. With none, the built-in
+    words."""
+    d = docs.select(F.xxhash64(F.col(id_col).cast("string")).alias("id"), F.col(text_col).alias("text")).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    words = d.select("id", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("word")).where(r"word rlike '^[a-z]{2,24}$'")
+    # least and greatest hash of the documents tell one from several, and a task sums up before the shuffle
+    words = words.groupBy("word").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    counts = {r.word: r.n for r in words.select("word", "n").orderBy(F.desc("n"), "word").limit(MOST_WORDS).collect()}
     return Vocabulary.of(counts or dict.fromkeys([*WORDS, *ORDINARY], 1))
 
 

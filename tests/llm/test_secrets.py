@@ -87,3 +87,12 @@ def test_named_prefixed_and_long(spark, model):
     want = ["of [SECRET] end"] * len(bare) + [f"{a}[SECRET]{b}" for a, _, b in named] + plain
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     assert [r.text for r in op8.redact(df, model, path_col=None).orderBy("doc_id").collect()] == want
+
+
+def test_vocabulary_counts_all_documents(spark, monkeypatch):
+    """Words are counted over every document, each once per occurrence, and only words of two documents count."""
+    seen = {}
+    monkeypatch.setattr(op8.Vocabulary, "of", classmethod(lambda cls, counts: seen.update(counts)))
+    rows = [(k, f"word Both-{'even' if k % 2 else 'odd'} even") for k in range(3000)] + [(k, None) for k in range(5)] + [(None, "word")] + [(7, "seldom seldom"), (7, "seldom x word9 lone")]
+    op8.learn_vocabulary(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert seen == {"word": 3000, "both": 3000, "odd": 1500, "even": 4500}
