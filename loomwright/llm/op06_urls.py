@@ -5,9 +5,9 @@ rule wins (ties: the longer host, then the rule's text). For urls that no fixed
 combinations of url tokens and verdicts from labelled urls; rules below the least support or confidence, and rules with a
 more general one of no less confidence, are pruned. Tokens below the least support are left out before, as no rule can hold
 them, and of tokens that stand in exactly the same labelled urls only the first is mined, as any set with one of the others
-has the same support. So that long urls of one template don't make a number of sets that doubles with every token, a url
-gives the miner MOST_TOKENS of its tokens at most, those whose share of verdicts differs most from that of all urls (by the
-chi-square of the two); rules are exact as long as no url has more frequent tokens of different occurrence than that. A url is matched through an inverted index, each rule posted under
+has the same support. Where a url has more than MOST_TOKENS
+such tokens, for which all frequent sets may be too many, sets are grown item by item instead, and only from those that
+pruning leaves something of; the rules are the same. A url is matched through an inverted index, each rule posted under
 the rarest of its tokens; the rule of highest confidence (then support, then most tokens, then its text) decides. Where
 none fits, the verdict is ``allow``.
 
@@ -18,6 +18,8 @@ empty tables give empty results; without labels nothing is mined.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ from .common import written
 
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 LEAST_SUPPORT, LEAST_CONFIDENCE = 0.005, 0.6
-#: Tokens of a url that are mined: it gives at most 2 ** MOST_TOKENS sets.
+#: Tokens of a url up to which all its sets, at most 2 ** MOST_TOKENS, are mined by FP-growth.
 MOST_TOKENS = 12
 #: Up to so many mined rules (a few hundred bytes each) are broadcast.
 BROADCAST_RULES = 50_000
@@ -61,6 +63,46 @@ def tokens(url: Column) -> Column:
     return F.when(url.contains("://"), F.array_sort(F.array_distinct(every))).otherwise(F.array().cast("array<string>"))
 
 
+def _all_sets(baskets: DataFrame, support: float) -> DataFrame:
+    """(items, verdict, hits, seen) of all frequent sets of ``baskets(kept, verdict, n)``, by FP-growth."""
+    rows = baskets.select(F.explode(F.expr("sequence(1L, n)")), F.concat(F.array(F.concat(F.lit("verdict="), "verdict")), "kept").alias("items")).select("items")
+    sets = written(FPGrowth(itemsCol="items", minSupport=support).fit(rows).freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
+    whole = F.filter("items", lambda x: x.startswith("verdict="))
+    both = sets.where(F.size(whole) == 1).select(F.filter("items", lambda x: ~x.startswith("verdict=")).alias("items"), F.expr("substring(filter(items, x -> startswith(x, 'verdict='))[0], 9)").alias("verdict"), F.col("freq").alias("hits")).where(F.size("items") > 0)
+    return both.join(sets.withColumnRenamed("freq", "seen"), "items")
+
+
+def _telling_sets(baskets: DataFrame, verdicts: list[str], least: float) -> DataFrame:
+    """The same, but only of the sets that rules can be left of: those whose parts with one item less are met more often than
+    they and with several verdicts. A set that is met as often as a part of it says no more than that part, nor does one with
+    a part that is always of one verdict; nor do larger ones that hold such a set. So sets grow by an item at a time from those
+    that are left, each kept with the baskets that hold it."""
+    of = F.array(*[F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)) for v in verdicts])
+    total, parts = F.expr("aggregate(hits, 0L, (a, x) -> a + x)"), []
+    held = written(baskets.withColumn("basket", F.monotonically_increasing_id()))
+    occ = held.select("basket", "verdict", "n", F.explode("kept").alias("token")).select(F.array("token").alias("items"), "basket", "verdict", "n")
+    good = None
+    while True:
+        sets = occ.groupBy("items").agg(of.alias("hits")).withColumn("seen", total).where(F.array_max("hits") >= least)
+        if good is not None:  # all parts are among the good ones and are met more often
+            out = sets.select("items", "hits", "seen", F.explode("items").alias("out")).select("items", "hits", "seen", F.array_remove("items", F.col("out")).alias("part"))
+            out = out.join(good.select(F.col("items").alias("part"), F.col("seen").alias("part_seen")), "part").where("part_seen > seen")
+            sets = out.groupBy("items").agg(F.first("hits").alias("hits"), F.first("seen").alias("seen"), F.count("*").alias("parts")).where("parts = size(items)").drop("parts")
+        sets = written(sets)
+        if sets.isEmpty():
+            break
+        parts.append(sets)
+        good = sets.where(F.array_max("hits") < F.col("seen"))
+        occ = written(occ.join(good.select("items"), "items", "left_semi"))
+        head = lambda a: F.slice(a, 1, F.size(a) - 1)
+        x = occ.select("basket", "verdict", "n", F.col("items").alias("x"), head(F.col("items")).alias("head"))
+        y = occ.select("basket", F.col("items").alias("y"), head(F.col("items")).alias("head"))
+        occ = written(x.join(y, ["basket", "head"]).where("element_at(x, -1) < element_at(y, -1)").select(F.expr("concat(x, slice(y, -1, 1))").alias("items"), "basket", "verdict", "n"))
+    every = reduce(DataFrame.unionByName, parts) if parts else baskets.sparkSession.createDataFrame([], "items array<string>, hits array<long>, seen long")
+    one = every.select("items", "seen", F.posexplode("hits").alias("at", "hits"))
+    return one.where(F.col("hits") >= least).select("items", F.element_at(F.array(*[F.lit(v) for v in verdicts]), F.col("at") + 1).alias("verdict"), "hits", "seen")
+
+
 def mine(labelled: DataFrame, *, support: float = LEAST_SUPPORT, confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """Rules from ``labelled(url, verdict)``: (rule_id, items, verdict, support, confidence)."""
     spark = labelled.sparkSession
@@ -72,20 +114,15 @@ def mine(labelled: DataFrame, *, support: float = LEAST_SUPPORT, confidence: flo
     if not n:
         return empty
     held = rows.select("row", "verdict", "n", F.explode("items").alias("token"))
-    seen = held.groupBy("token", "verdict").agg(F.sum("n").alias("n"), F.sum(F.col("row").cast("decimal(38,0)")).alias("where"))
-    share = F.element_at(F.create_map(*[F.lit(x) for v, k in shares.items() for x in (v, k / n)]), F.col("verdict"))
-    seen = seen.withColumn("share", share).groupBy("token").agg(F.sum("n").alias("hits"), F.sum("where").alias("where"), F.sum(F.col("n") * F.col("n") / F.col("share")).alias("squares"))
-    seen = seen.where(F.col("hits") >= support * n).withColumn("tells", F.col("squares") / F.col("hits") - F.col("hits"))
+    seen = held.groupBy("token").agg(F.sum("n").alias("hits"), F.sum(F.col("row").cast("decimal(38,0)")).alias("where"))
     # one token for all that stand in the same urls; at most 1 / support tokens of a kind are left for each place in a url
-    mined = seen.groupBy("hits", "where").agg(F.min("token").alias("token"), F.first("tells").alias("tells")).select("token", F.round("tells", 6).alias("tells"))
-    best = held.join(mined, "token").groupBy("row").agg(F.array_sort(F.collect_set(F.struct((-F.col("tells")).alias("t"), "token"))).alias("best"))
-    best = best.select(F.col("row").alias("r"), F.transform(F.slice("best", 1, MOST_TOKENS), lambda x: x["token"]).alias("kept"))
-    whole_row = rows.join(best, F.col("row") == F.col("r"), "left").select("n", F.concat(F.array(F.concat(F.lit("verdict="), "verdict")), F.coalesce("kept", F.array().cast("array<string>"))).alias("items"))
-    baskets = whole_row.select(F.explode(F.expr("sequence(1L, n)")), "items").select("items")
-    sets = written(FPGrowth(itemsCol="items", minSupport=support).fit(baskets).freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
-    whole = F.filter("items", lambda x: x.startswith("verdict="))
-    both = sets.where(F.size(whole) == 1).select(F.filter("items", lambda x: ~x.startswith("verdict=")).alias("items"), F.expr("substring(filter(items, x -> startswith(x, 'verdict='))[0], 9)").alias("verdict"), F.col("freq").alias("hits")).where(F.size("items") > 0)
-    rules = both.join(sets.withColumnRenamed("freq", "seen"), "items").select("items", "verdict", (F.col("hits") / n).alias("support"), (F.col("hits") / F.col("seen")).alias("confidence")).where(F.col("confidence") >= confidence)
+    mined = seen.where(F.col("hits") >= support * n).groupBy("hits", "where").agg(F.min("token").alias("token")).select("token")
+    best = held.join(mined, "token").groupBy("row").agg(F.array_sort(F.collect_set("token")).alias("kept")).withColumnRenamed("row", "r")
+    whole_row = rows.join(best, F.col("row") == F.col("r"), "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<string>")))
+    baskets = written(whole_row.groupBy("kept", "verdict").agg(F.sum("n").alias("n")))
+    longest = baskets.agg(F.max(F.size("kept"))).first()[0] or 0
+    sets = _all_sets(baskets, support) if longest <= MOST_TOKENS else _telling_sets(baskets, sorted(shares), support * n)
+    rules = sets.select("items", "verdict", (F.col("hits") / n).alias("support"), (F.col("hits") / F.col("seen")).alias("confidence")).where(F.col("confidence") >= confidence)
     # a rule goes if one with a part of its items and the same verdict is no less sure
     part = rules.select("items", "verdict", "confidence", F.explode("items").alias("out")).select("verdict", "confidence", F.col("items").alias("long"), F.array_remove("items", F.col("out")).alias("items"))
     worse = part.join(rules.select("items", "verdict", F.col("confidence").alias("short_c")), ["items", "verdict"]).where("short_c >= confidence").select(F.col("long").alias("items"), "verdict").distinct()

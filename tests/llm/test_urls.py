@@ -93,3 +93,26 @@ def test_long_urls_of_one_template(spark):
     rules = op6.mine(lab).collect()
     assert {(tuple(r["items"]), r.verdict) for r in rules} >= {(("p:x",), "block"), (("p:y",), "allow")}
     assert all(r.confidence == 1.0 for r in rules if r["items"] in (["p:x"], ["p:y"]))
+
+
+def test_urls_of_many_tokens(spark):
+    """More tokens in a url than FP-growth is given: rules over any of them are found, as brute force finds them."""
+    import random
+
+    r = random.Random(4)
+    rows = []
+    for _ in range(60):
+        own = sorted(r.sample(range(17), 13))
+        rows.append(("http://t.io/" + "/".join(f"a{k}" for k in own), "block" if {3, 5} <= set(own) or r.random() < 0.2 else "allow"))
+    lab = spark.createDataFrame(rows, "url string, verdict string")
+    want = brute_rules(spark, rows)
+    got = {(tuple(x["items"]), x.verdict): (round(x.support, 9), round(x.confidence, 9)) for x in op6.mine(lab, support=op6.LEAST_SUPPORT * 10).collect()}
+    assert got == {k: (round(a, 9), round(b, 9)) for k, (a, b) in want.items()}
+
+
+def test_grown_sets_give_the_same_rules(spark, monkeypatch):
+    """Urls without tokens count for the support."""
+    lab = spark.createDataFrame([*labelled(), *((f"plain{k}", "allow") for k in range(100))], "url string, verdict string")
+    a = {(tuple(x["items"]), x.verdict, x.support, x.confidence) for x in op6.mine(lab).collect()}
+    monkeypatch.setattr(op6, "MOST_TOKENS", 0)
+    assert a and a == {(tuple(x["items"]), x.verdict, x.support, x.confidence) for x in op6.mine(lab).collect()}
