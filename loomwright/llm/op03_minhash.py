@@ -11,7 +11,8 @@ Buckets are not expanded into all pairs. Documents of equal word sequences are o
 with the least id that shares a bucket with it; links found that way settle nearly all. A second round compares, in
 buckets that still hold several components, each class with CENTRES others outside its component; what then remains of
 pairs across components in one bucket is compared without exception, so a link between different components is never
-skipped. Components come from the confirmed links.
+skipped; there the full sets are compared where the bucket is, and only links that join components leave it. Components
+come from the confirmed links.
 
 Defined results: no words or null text: an empty set, linked with nothing. Repeated rows come back as often as they came;
 rows that share an id are one node, whose text is the one of least hash among those with words. A null id is its own
@@ -21,7 +22,8 @@ component (null) and is kept. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ CENTRES = 3
 HOT, HOT_CLASSES = 1000, 10_000
 #: Side of the blocks that a large bucket is compared in, in the exhaustive step.
 BLOCK = 2000
+#: Shingles of a block at most, about, and bytes that are held at once beside an unfinished group.
+SHINGLES, HELD_BYTES = 1 << 20, 1 << 25
 #: Pairs whose signatures are compared at once there.
 PAIRS = 1 << 15
 CACHE_WORDS = 200_000
@@ -187,16 +191,33 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return arrow_map(j, run, "a long, b long")
 
 
+def _exact_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of ``exact_set`` as numbers, side by side, and where each begins: equal numbers are equal shingles."""
+    number: dict[bytes, int] = {}
+    words = [[number.setdefault(w, len(number) + 1) for w in word_list(t)] for t in texts]
+    words = [w + [0] * (size - len(w)) if w else w for w in words]  # a short text's sequence, which no full shingle equals
+    n = np.array([max(0, len(w) - size + 1) for w in words], np.int64)
+    row, off = np.repeat(np.arange(len(n)), n), np.concatenate(([0], np.cumsum(n)))
+    flat = np.fromiter(chain.from_iterable(words), np.int64, sum(map(len, words)))
+    begins = np.concatenate(([0], np.cumsum([len(w) for w in words])))[:-1]
+    at = np.arange(off[-1]) + np.repeat(begins - off[:-1], n)
+    x = flat[at]
+    for k in range(1, size):
+        x = np.unique((x << 32) | flat[at + k], return_inverse=True)[1]
+    sets = np.unique((row << 32) | x)
+    return sets & 0xFFFFFFFF, np.searchsorted(sets >> 32, np.arange(len(n) + 1))
+
+
 def _meeting(group: np.ndarray, block: np.ndarray, sizes: np.ndarray, ids: np.ndarray, comps: np.ndarray, bits: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(a, b), a > b, of rows (groups side by side) in one group and in blocks that the group compares, of different
-    components, whose sizes and signatures allow a link. ``group`` is (n, 3): key and the two blocks that are compared."""
+    """(i, j) of rows (groups side by side) in one group and in blocks that the group compares, of different components,
+    whose sizes and signatures allow a link. ``group`` is (n, 3): key and the two blocks that are compared."""
     n = len(ids)
     most = int(np.floor(SIGNED * (1 - 0.25 - 0.75 * slack(percent / 100)) + 1e-9))  # unequal bit pairs of the least estimate
     last = np.append(np.flatnonzero((group[1:] != group[:-1]).any(axis=1)), n - 1)
     after = np.repeat(last, np.diff(np.concatenate(([-1], last)))) - np.arange(n)  # rows that follow in the group
     halves = [np.ascontiguousarray(h) for h in np.split(bits, 2, axis=1)]
     within, before = group[:, 1] == group[:, 2], np.concatenate(([0], np.cumsum(after)))
-    found_a, found_b = [], []
+    found_i, found_j = [], []
     for lo in range(0, int(before[-1]), PAIRS):
         at = np.arange(lo, min(lo + PAIRS, int(before[-1])))
         i = np.searchsorted(before, at, side="right") - 1
@@ -211,46 +232,88 @@ def _meeting(group: np.ndarray, block: np.ndarray, sizes: np.ndarray, ids: np.nd
             unequal += np.bitwise_count(x).sum(axis=1, dtype=np.int64)
             ok = unequal <= most
             i, j, unequal = i[ok], j[ok], unequal[ok]
-        found_a.append(np.maximum(ids[i], ids[j]))
-        found_b.append(np.minimum(ids[i], ids[j]))
-    empty = np.zeros(0, np.int64)
-    return np.concatenate([empty, *found_a]), np.concatenate([empty, *found_b])
-
-
-def _near_in_buckets(left: DataFrame, mark: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of all rows of ``left(key, id, c)`` that share a key and have different c, as far as the signatures and set
-    sizes allow a link. Buckets over BLOCK are cut into blocks, each two of which are compared on their own."""
-    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        found_i.append(i.astype(np.int32))
+        found_j.append(j.astype(np.int32))
+    empty = np.zeros(0, np.int32)
+    return np.concatenate([empty, *found_i]), np.concatenate([empty, *found_j])
+
+
+def _joining(pairs: np.ndarray, comps: np.ndarray, sets: tuple[np.ndarray, np.ndarray] | None, percent: int) -> Iterator[tuple[int, int]]:
+    """Of different pairs (a << 32 | b), in order, as many links as join what the pairs' links join: fewer than there are
+    components. Pairs are compared on the full sets, but for those that links found before have joined."""
+    c = np.unique(comps, return_inverse=True)[1]
+    flat, off = sets or (None, None)
+    own = np.zeros(int(flat.max(initial=-1)) + 1, np.bool_) if sets else None
+    ends = np.append(np.flatnonzero((pairs[1:] >> 32) != (pairs[:-1] >> 32)) + 1, len(pairs)).tolist()
+    for lo, hi in zip([0, *ends], ends, strict=False):
+        x, many = int(pairs[lo] >> 32), pairs[lo:hi] & 0xFFFFFFFF
+        many = many[c[many] != c[x]]
+        if not len(many):
+            continue
+        if sets:
+            mine, n = flat[off[x] : off[x + 1]], off[many + 1] - off[many]
+            begins = np.cumsum(n) - n
+            own[mine] = True
+            both = np.add.reduceat(own[flat[np.arange(n.sum()) + np.repeat(off[many] - begins, n)]], begins, dtype=np.int64)
+            own[mine] = False
+            many = many[(both > 0) & (100 * both >= percent * (len(mine) + n - both))]
+        for y in many.tolist():
+            if c[y] != c[x]:
+                yield x, y
+                c[c == c[y]] = c[x]
+
+
+def _near_in_buckets(left: DataFrame, mark: DataFrame, percent: int, texts: DataFrame | None = None, size: int = 0) -> DataFrame:
+    """(a, b): links between rows of ``left(key, id, c)`` that share a key and have different c, as many as join what all
+    such links join, so no more than rows, however many pairs are near. Pairs that the signatures and set sizes allow are
+    compared on the full sets of ``texts(id, text)``; without texts each of them counts. Buckets over BLOCK, or of more than
+    SHINGLES, are cut into blocks, each two of which are compared on their own."""
+    fields, whole = pa.schema([("a", pa.int64()), ("b", pa.int64())]), texts is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def compared(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            if t.num_rows > 1:
-                group = np.stack([t[c].to_numpy() for c in ("key", "p", "q")], axis=1)
-                bits = t["bits"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
-                a, b = _meeting(group, *(t[c].to_numpy() for c in ("block", "n_shingles", "id", "c")), bits, percent)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=fields)
+            """Links in whole groups. What one group joins is joined for the next ones too."""
+            t = t.combine_chunks()
+            group = np.stack([t[c].to_numpy() for c in ("key", "p", "q")], axis=1)
+            block, sizes, ids, comps = (t[c].to_numpy() for c in ("block", "n_shingles", "id", "c"))
+            bits = t["bits"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
+            i, j = _meeting(group, block, sizes, ids, comps, bits, percent)
+            if not len(i):
+                return
+            x = np.unique(np.concatenate([i, j]))
+            nodes, first = np.unique(ids[x], return_index=True)
+            place = np.zeros(t.num_rows, np.int64)
+            place[x] = np.searchsorted(nodes, ids[x])
+            pairs = np.unique((np.maximum(place[i], place[j]) << 32) | np.minimum(place[i], place[j]))
+            sets = _exact_sets(t["text"].take(pa.array(x[first])).to_pylist(), size) if whole else None
+            if found := list(_joining(pairs, comps[x[first]], sets, percent)):
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], schema=fields)
 
         begin(__name__)
-        rest, size = [], 0
+        rest, held = [], 0
         for batch in batches:
             rest.append(batch)
-            size += batch.num_rows
-            if size >= 2 * BLOCK:  # what stands before the last group, which may go on
-                t = pa.Table.from_batches(rest).combine_chunks()
+            held += batch.num_rows
+            if held >= 2 * BLOCK or sum(b.nbytes for b in rest) >= HELD_BYTES:  # what stands before the last group, which may go on
+                t = pa.Table.from_batches(rest)
                 key, p, q = (t[c].to_numpy() for c in ("key", "p", "q"))
-                cut = int(np.flatnonzero((key != key[-1]) | (p != p[-1]) | (q != q[-1]))[-1:].sum() + 1) if (key[0], p[0], q[0]) != (key[-1], p[-1], q[-1]) else 0
-                if cut:
+                before = np.flatnonzero((key != key[-1]) | (p != p[-1]) | (q != q[-1]))
+                if len(before):
+                    cut = int(before[-1]) + 1
                     yield from compared(t.slice(0, cut))
-                rest, size = t.slice(cut).to_batches(), t.num_rows - cut
+                    rest, held = t.slice(cut).to_batches(), t.num_rows - cut
         if rest:
             yield from compared(pa.Table.from_batches(rest))
         give_back()
 
-    blocks = left.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = left.select("key", "id").join(mark.select("id", "n_shingles"), "id")
+    blocks = sizes.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / SHINGLES)).cast("int").alias("blocks"))
     rows = left.select("key", "id", "c").join(mark, "id").join(blocks, "key").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = rows.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "c", "n_shingles", "bits")
+    if whole:
+        rows = rows.join(texts.select("id", "text"), "id").select(*rows.columns, "text")
     short_batches(rows)
     return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "a long, b long").distinct()
 
@@ -309,12 +372,10 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
             some = some.groupBy("id", "k").agg(F.min_by("mid.id", F.xxhash64("mid.id", "k")).alias("m"))
             pairs = some.select(F.greatest("id", "m").alias("a"), F.least("id", "m").alias("b")).distinct()
             pairs = likely(pairs.join(tried, ["a", "b"], "left_anti"))
+            more = _confirm(written(pairs), texts, size, percent)
         else:  # whatever is left across components, without exception
-            pairs = _near_in_buckets(left, mark, percent).join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs)
-        more = _confirm(pairs, texts, size, percent)
+            more = _near_in_buckets(left, mark, percent, texts, size)
         comp = components(more.unionByName(comp.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-        tried = tried.unionByName(pairs)
     by_class = classes.join(comp, classes["rep"] == comp["node"], "left").select(F.col("print").alias("p"), "n", F.coalesce("component", "rep").alias("c"))
     # copies of a class meet by its print, but the rows of a large class, one task's otherwise, by a broadcast
     total = classes.agg(F.sum("n")).first()[0] or 0

@@ -135,3 +135,39 @@ def test_crowd_that_stays_apart(spark):
     got = {tuple(p) for p in op3._near_in_buckets(rows.select("key", "id", "c"), rows.select("id", "n_shingles", "bits"), 85).collect()}
     assert time.time() - began < 20  # as a join on the signatures: a minute
     assert got == {(b, a) for a, b in near if b not in (1507, 1514, 1521)}
+
+
+def test_crowd_leaves_its_bucket_as_few_links(spark):
+    """However many pairs of a group are near, fewer rows than the group has leave it, and they join the same."""
+    n = 300
+    r = random.Random(11)
+    vocab = [f"w{k}" for k in range(3000)]
+    base = r.choices(vocab, k=200)
+    texts = []
+    for k in range(n):  # half a tight group, half near misses of one another, which some are linked in
+        x = list(base)
+        for _ in range(3 if k % 2 else 7):
+            x[r.randrange(200)] = r.choice(vocab)
+        texts.append((k, " ".join(x)))
+    df = spark.createDataFrame(texts, "id long, text string").repartition(3).localCheckpoint()
+    mark = op3.signed(df, 3).localCheckpoint()
+    rows = df.selectExpr("explode(array(1L, 2L)) as key", "id", "id as c").localCheckpoint()
+    allowed = op3._near_in_buckets(rows, mark, 85)
+    assert n / 2 <= allowed.count() < 2 * n  # of 14,024 pairs, each of which left it before
+    got = [tuple(p) for p in op3._near_in_buckets(rows, mark, 85, df, 3).collect()]
+    sets = {k: op3.exact_set(t, 3) for k, t in texts}
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    assert len(got) < 2 * n and all(linked(a, b) for a, b in got)
+    assert sum(linked(a, b) for a, b in itertools.combinations(range(n), 2)) > 5 * n
+    want = [c for _, _, c, _ in brute(texts, 3, 85)]
+    near = dict(map(tuple, components(spark.createDataFrame(got, "a long, b long")).collect()))
+    assert [near.get(k, k) for k in range(n)] == want
+
+
+@pytest.mark.parametrize("size", [1, 3, 5])
+def test_sets_as_numbers(size):
+    texts = [t for _, t in ODD + near_copies()[-40:]] + ["a b a b a b a", "a b a b", "b a b"]
+    flat, off = op3._exact_sets(texts, size)
+    sets, numbers = [op3.exact_set(t, size) for t in texts], [set(flat[a:b].tolist()) for a, b in zip(off, off[1:], strict=False)]
+    assert [len(s) for s in sets] == [len(s) for s in numbers] == (off[1:] - off[:-1]).tolist()
+    assert all(len(a & b) == len(x & y) for a, x in zip(sets, numbers, strict=True) for b, y in zip(sets, numbers, strict=True))
