@@ -4,18 +4,20 @@
 document id: one range partition after the other, each file sorted. ``read_ids`` reads whole files stripe by stripe in
 parallel, or only what row indexes and Bloom filters leave for given ids.
 
-The tokenizers library encodes the white-space separated words of a text, each distinct word once per worker, a last full
-stop or comma apart: its normaliser and pre-tokeniser never reach over white space (checked when the file is loaded; else whole
-texts are encoded). Null texts count as empty: one end id. Rows that repeat a document id stand next to each other, in the order
-of their texts. A null id sorts first. Empty tables give an empty file set.
+The tokenizers library encodes the white-space separated words of a text, each distinct word once per worker, marks after
+letters apart: its normaliser and pre-tokeniser never reach over white space (checked when the file is loaded; else whole
+texts are encoded), nor from a letter to a mark. Null texts count as empty: one end id. Rows that repeat a document id stand
+next to each other, in the order of their texts. A null id sorts first. Empty tables give an empty file set.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
-from itertools import chain
+from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +31,20 @@ CACHE_WORDS = 600_000
 #: Words that are learnt at once, about.
 STEP_WORDS = 200_000
 TAILS = (".", ",")
+#: The pattern of pre-tokens, in JSON, with which marks after letters may be cut off.
+PIECES = r'''"'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"'''
 #: Words in one text for the library.
 TOGETHER = 256
 ORC_OPTIONS = {"orc.create.index": "true", "orc.row.index.stride": "1000", "orc.stripe.size": str(16 << 20), "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
 
 
+#: Characters that a text may hold which is put in small and cut before its words are met: NFC leaves them alone.
+_wide = re.compile("[^\x00-\u02ff\u2010-\u2027]").search
+#: A mark after a letter, where one pre-token ends and another begins, whatever follows.
+_mark_after = re.compile(r"[!-/:-@\[-`{-~](?<=[a-zß-öø-ÿ].)").sub
+_small = re.compile("[a-zß-öø-ÿ]+").fullmatch
+
+
 def _plain(word: str) -> bool:
     """Whether the library takes a word of letters, and what it is in small, as one pre-token each."""
     low = word.lower()
@@ -43,11 +54,12 @@ def _plain(word: str) -> bool:
 class WordTokenizer:
     """Ids by word, as little-endian unsigned 32-bit integers, all from the library. Words of letters below U+0300 (which
     NFC leaves alone) are one pre-token each, so the library gets many of them in one text, and the ids that end a word
-    tell them apart; other words stand in one text with an added token between them."""
+    tell them apart; other words stand in one text with an added token between them. Where a text's characters allow it, it
+    is put in small and marks are cut off before, so that there are fewer different words."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.lib = Tokenizer.from_file(path)
         spec = json.loads(self.lib.to_str())
@@ -61,20 +73,49 @@ class WordTokenizer:
         self.final = np.zeros(self.lib.get_vocab_size(), np.bool_)
         if self.by_word and model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>":
             self.final[[i for t, i in model["vocab"].items() if t.endswith("</w>")]] = True
+        self.together = bool(self.final.any()) and PIECES in pre
+        #: The same model for words of small letters, which need no normaliser and are cut at blanks.
+        self.names = Tokenizer.from_file(path)
+        self.names.normalizer = normalizers.Sequence([])
+        self.names.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.added = [t["content"].lower() for t in spec["added_tokens"]]
+
+    def words(self, text: str) -> list[str]:
+        """What is encoded on its own, one after the other."""
+        if not self.by_word:
+            return [text]
+        if self.together:
+            low = text.lower()
+            if (text.isascii() or not (_wide(text) or _wide(low))) and not any(t in low for t in self.added):
+                text = _mark_after(r" \g<0>", low)
+        return text.replace("\n", " ").replace("\t", " ").split(" ")
+
+    def encoded(self, names: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words of small letters below U+0300 with their ids, many in one text."""
+        chunks = [names[k : k + TOGETHER] for k in range(0, len(names), TOGETHER)]
+        for chunk, e in zip(chunks, self.names.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            packed, ends = ids.tobytes(), (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
+            if len(ends) == len(chunk):
+                yield from zip(chunk, [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True)
+            else:  # a letter that the vocabulary ends no word with
+                yield from ((c, np.array(self.lib.encode(c, add_special_tokens=False).ids, "<u4").tobytes()) for c in chunk)
 
     def learn(self, words: set[str]) -> None:
         new = words.difference(self.cache)
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
             new = words
-        forms, rest, together = [], [], bool(self.final.any())
-        for w in new:
+        names = list(filter(_small, new)) if self.together else []
+        forms, rest = [], []
+        for w in new.difference(names):
             core, tail = (w[:-1], w[-1]) if w[-1:] in TAILS else (w, "")
-            if together and core.isalpha() and (core.isascii() or _plain(core)):
+            if self.together and core.isalpha() and (core.isascii() or _plain(core)):
                 forms.append((w, core.lower(), tail))
             else:
                 rest.append(w)
         cache = self.cache
+        cache.update(self.encoded(names))
         chunks = [rest[k : k + TOGETHER] for k in range(0, len(rest), TOGETHER)] if self.between else [[w] for w in rest]
         mark, mark_id = self.between or ("", -1)
         for chunk, e in zip(chunks, self.lib.encode_batch_fast([mark.join(c) for c in chunks], add_special_tokens=False), strict=True):
@@ -85,26 +126,20 @@ class WordTokenizer:
             else:  # a word that holds the mark
                 cache.update((w, np.array(self.lib.encode(w, add_special_tokens=False).ids, "<u4").tobytes()) for w in chunk)
         tails = {t: np.array(self.lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ("", *TAILS)}
-        names = list({low for _, low, _ in forms})
-        own: dict[str, bytes] = {}
-        chunks = [names[k : k + TOGETHER] for k in range(0, len(names), TOGETHER)]
-        for chunk, e in zip(chunks, self.lib.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            packed, ends = ids.tobytes(), (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
-            if len(ends) == len(chunk):
-                own.update(zip(chunk, [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
-            else:  # a letter that the vocabulary ends no word with
-                own.update((c, np.array(self.lib.encode(c, add_special_tokens=False).ids, "<u4").tobytes()) for c in chunk)
+        own = dict(self.encoded(list({low for _, low, _ in forms})))
         cache.update([(w, own[low] + tails[t] if t else own[low]) for w, low, t in forms])
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").replace("\t", " ").split(" ") if self.by_word else [t] for t in texts]
+        words = [self.words(t) for t in texts]
         out, size = [], 0
         for k in range(len(words)):
             size += len(words[k])
             if size > STEP_WORDS or k == len(words) - 1:
                 now = words[len(out) : k + 1]
-                self.learn(set(chain.from_iterable(now)))
+                if new := set(filterfalse(self.cache.__contains__, chain.from_iterable(now))):
+                    if len(self.cache) + len(new) > CACHE_WORDS:  # the cache starts anew, with all words of these texts
+                        new = set(chain.from_iterable(now))
+                    self.learn(new)
                 get = self.cache.__getitem__
                 out += [b"".join(map(get, w)) for w in now]
                 size = 0

@@ -59,3 +59,28 @@ def test_empty_repeated_and_extra(spark, tmp_path, fn):
     assert fn(spark, empty, str(tmp_path / "a")).count() == 0
     twice = spark.createDataFrame([(1, "x y", "q", 1), (1, "x y", "q", 1), (None, None, None, None)], "doc_id long, text string, ids string, start int")
     assert fn(spark, twice, str(tmp_path / "b")).count() == 3
+
+
+def test_small_and_cut_words_equal_library():
+    """Any mixture of letters, marks, digits, added tokens and blanks has the library's ids, and words that differ only in
+    capitals and marks are encoded once."""
+    import random
+
+    r = random.Random(4)
+    parts = list("aZéÉßÿ÷×µªœŒİıǰȺΣς'’…_-.,*<|>0½ \n\t\xa0\x85\u0301ﬁ中") + ["'s", "'RE", "'ll ", "don't", "x'", ". ", "***", "<|startoftext|>", "<|STARTOFTEXT|>", "<|endoftext|>", "|>", "Word"]
+    texts = ["".join(r.choices(parts if k % 2 else parts[:7] + parts[-14:], k=r.randrange(12))) for k in range(6000)]
+    tok = op4.WordTokenizer(P.path("word_bpe_49k.json"))
+    assert tok.by_word and tok.together
+    for t, got in zip(texts, tok.packed(texts), strict=True):
+        assert got == b"".join(i.to_bytes(4, "little") for i in tok.lib.encode(t, add_special_tokens=False).ids), t
+    tok.cache.clear()
+    tok.packed(["Abc abc aBC, ABC, abc. Abc. abc*** ABC***"])
+    assert sorted(tok.cache) == ["***", ",", ".", "abc"]
+
+
+def test_cache_of_words_restart(monkeypatch):
+    monkeypatch.setattr(op4, "CACHE_WORDS", 5)
+    monkeypatch.setattr(op4, "STEP_WORDS", 3)
+    tok = op4.WordTokenizer(P.path("word_bpe_49k.json"))
+    texts = ["a b c d", "a e f", "g a b", "h i, j. K", "a b"]
+    assert tok.packed(texts) == [b"".join(i.to_bytes(4, "little") for i in e.ids) for e in tok.lib.encode_batch(texts, add_special_tokens=False)]
