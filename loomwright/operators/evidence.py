@@ -147,13 +147,31 @@ def verification_reason(definition: Column, confidence: Column, identity: Column
     return F.when(definition.isNull(), None).when(F.coalesce(confidence != "high", F.lit(True)), F.concat(F.lit("confidence_"), F.coalesce(confidence, F.lit("unknown")))).when(rank < percent, "high_confidence_sample")
 
 
-def group_audit(rows: DataFrame, groups: DataFrame) -> DataFrame:
+def group_audit(rows: DataFrame, groups: DataFrame, lists: DataFrame | None = None) -> DataFrame:
     """rows(candidate_id, members, reviewed) whose members are not exactly one group's of groups(member, group_id, members,
-    status); an unreviewed row may only stand alone."""
-    j = rows.join(groups.select(F.col("member").alias("candidate_id"), F.col("members").alias("own"), "status"), "candidate_id", "left")
-    n = F.count("*").over(W.partitionBy("candidate_id"))
-    alone = F.size("members") == 1
-    p = T.first_reason((~F.array_contains("members", F.col("candidate_id")), "not_a_member"), (~F.col("reviewed") & ~alone, "unconfirmed_group"), (F.col("reviewed") & F.col("own").isNull(), "missing_group"), (F.col("reviewed") & (n > 1), "several_groups"), (F.col("reviewed") & (F.array_sort("members") != F.array_sort("own")), "other_members"), (F.col("reviewed") & (F.col("status") != "same") & ~alone, "uncertain_group_expanded"))
+    status); an unreviewed row may only stand alone.
+
+    Lists that many rows share are given once, as lists(list_id, member), with ``list_id`` instead of ``members`` in rows and
+    no ``members`` in groups: no row then carries a list, and lists are held against groups member by member."""
+    if lists is None:
+        named = lambda d, n: d.withColumn(n, F.sha2(F.to_json(F.array_sort("members"), {"ignoreNullFields": "false"}), 256))
+        rows, own = named(rows, "list_id"), named(groups, "group_id")
+        spread = lambda d, n: d.select(n, "members").dropDuplicates([n]).select(n, F.explode("members").alias("member"))
+        lists, sets = spread(rows, "list_id"), spread(own, "group_id")
+    else:
+        own, sets = groups, groups
+    times = lambda d, n: d.groupBy(n, "member").agg(F.count("*").alias("times"))
+    asked, known = times(lists, "list_id"), times(sets, "group_id")
+    sizes = lambda d, n, size: d.groupBy(n).agg(F.sum("times").alias(size))
+    common = asked.join(known, ["member", "times"]).groupBy("list_id", "group_id").agg(F.sum("times").alias("common"))
+    equal = common.join(sizes(known, "group_id", "own_size"), "group_id").where("common = own_size").drop("own_size")
+
+    of = own.select(F.col("member").alias("candidate_id"), "group_id", "status")
+    j = rows.join(of, "candidate_id", "left").withColumn("_n", F.count("*").over(W.partitionBy("candidate_id")))
+    j = j.join(asked.select("list_id", F.col("member").alias("candidate_id"), F.lit(True).alias("listed")), ["list_id", "candidate_id"], "left")
+    j = j.join(sizes(asked, "list_id", "size"), "list_id", "left").join(equal, ["list_id", "group_id"], "left")
+    alone, same = F.coalesce("size", F.lit(0)) == 1, F.coalesce(F.col("common") == F.col("size"), F.lit(False))
+    p = T.first_reason((F.col("listed").isNull(), "not_a_member"), (~F.col("reviewed") & ~alone, "unconfirmed_group"), (F.col("reviewed") & F.col("group_id").isNull(), "missing_group"), (F.col("reviewed") & (F.col("_n") > 1), "several_groups"), (F.col("reviewed") & ~same, "other_members"), (F.col("reviewed") & (F.col("status") != "same") & ~alone, "uncertain_group_expanded"))
     return j.withColumn("problem", p).where("problem is not null").select("candidate_id", "problem")
 
 
