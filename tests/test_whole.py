@@ -41,3 +41,10 @@ def test_group_audits_carry_no_lists(spark, tmp_path):
     assert got == want and len(got) == 19
     plan = entry.queries()["group_audits"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
+
+
+def test_sentence_units_of_odd_documents(spark, tmp_path):
+    """Documents without a sentence or a text, and ids that are there twice, keep their rows."""
+    rows = [(1, "One. Two!"), (2, ""), (3, None), (4, "..."), (5, "\n"), (6, "a"), (6, "b. c"), (7, "x\n\ny")]
+    got, want = against_sql(spark, tmp_path, "sentence_units", documents=(rows, "doc_id long, text string"))
+    assert got == want and len(got) == 8
