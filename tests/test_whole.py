@@ -1,9 +1,12 @@
 """Queries on odd tables against their SQL, and operators on what larger tables hold."""
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from loomwright.operators import evidence as E
+from loomwright.operators import segment as G
 
 
 def against_sql(spark, tmp_path, name, **tables):
@@ -48,3 +51,20 @@ def test_sentence_units_of_odd_documents(spark, tmp_path):
     rows = [(1, "One. Two!"), (2, ""), (3, None), (4, "..."), (5, "\n"), (6, "a"), (6, "b. c"), (7, "x\n\ny")]
     got, want = against_sql(spark, tmp_path, "sentence_units", documents=(rows, "doc_id long, text string"))
     assert got == want and len(got) == 8
+
+
+def test_prose_units():
+    t = 'See e.g. this one. It costs 3.5 (about 3. Really.). He said "No." and left. "Stop!" She did. A. B. Smith and Dr. Lee came.\n(p. 12)\nNext one... goes\non. 中文。（人民日报，2020年1月2日）好 (see p. 3). The boys\' hats.'
+    got = G.prose_units(t)
+    assert [t[a:b].strip() for a, b, _ in got] == ["See e.g. this one.", "It costs 3.5 (about 3. Really.).", 'He said "No." and left.', '"Stop!"', "She did.", "A. B. Smith and Dr. Lee came.", "(p. 12)", "Next one... goes\non.", "中文。", "（人民日报，2020年1月2日）", "好 (see p. 3).", "The boys' hats."]
+    assert [t[a:b] for a, b, note in got if note] == ["(p. 12)", "（人民日报，2020年1月2日）"]
+
+
+def test_sentence_units_of_paired_marks(spark, tmp_path):
+    r = random.Random(3)
+    parts = ["Word", "word ", " and ", "s", " ", "\n", ". ", ".", "! ", "。", "！", "(", ")", "（", "）", "[", "]", '"', "'", "’", "“", "”", "《", "》", "e.g. ", "A. B. ", "sk. x", "\\", "(p. 12)", "（人民日报，2020年1月2日）", "(王小明：《书》)", "é", "...", "cats' ", "don't ", "x.) (Y.) (Z.) ", '." ']
+    rows = [(k, "".join(r.choices(parts, k=r.randrange(0, 30)))) for k in range(600)]
+    got, want = against_sql(spark, tmp_path, "sentence_units", documents=(rows, "doc_id long, text string"))
+    assert got == want
+    whole = {r.doc_id: r.n for r in G.sentences(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert whole == {i: n for i, n in got if n}
