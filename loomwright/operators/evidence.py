@@ -99,10 +99,12 @@ def layout_verdict(evidence: DataFrame, lines: DataFrame) -> DataFrame:
     """(book, class, valid): evidence(book, class, line_id, quote, role) checked against lines(book, window, line_id, text):
     quotes literal, the roles that the class needs, and for the main class two windows that share no line."""
     e = evidence.join(lines, ["book", "line_id"]).where(F.contains("text", F.col("quote")) & (F.trim("quote") != ""))
-    g = e.groupBy("book", "class").agg(F.collect_set("role").alias("roles"), F.count_distinct(F.when(F.col("role") == "prose", F.col("line_id"))).alias("prose"), F.count_distinct(F.when(F.col("role").isin("step", "rule"), F.col("line_id"))).alias("steps"), F.count_distinct("window").alias("windows"))
-    has = lambda *r: F.size(F.array_intersect("roles", F.array(*map(F.lit, r)))) == len(r)
-    ok = F.when(F.col("class") == "N1", has("heading", "prose")).when(F.col("class") == "N2", F.col("prose") >= 2).when(F.col("class") == "N3", F.col("steps") >= 2).when(F.col("class") == "N4", has("table_header", "table_row")).when(F.col("class") == "N5", F.array_contains("roles", "image") & F.arrays_overlap("roles", F.array(F.lit("caption"), F.lit("image_reference"))))
-    return g.select("book", "class", F.coalesce(ok, F.lit(False)).alias("roles_ok"), (F.col("windows") >= 2).alias("windows_ok"))
+    has = lambda *r: [F.coalesce(F.bool_or(F.col("role").isin(*r)), F.lit(False)).alias("_" + r[0])]
+    two = lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False))
+    roles = [x for r in (["heading"], ["prose"], ["table_header"], ["table_row"], ["image"], ["caption", "image_reference"]) for x in has(*r)]
+    g = e.groupBy("book", "class").agg(*roles, two(F.when(F.col("role") == "prose", F.col("line_id"))).alias("_proses"), two(F.when(F.col("role").isin("step", "rule"), F.col("line_id"))).alias("_steps"), two(F.col("window")).alias("windows_ok"))
+    ok = F.when(F.col("class") == "N1", F.col("_heading") & F.col("_prose")).when(F.col("class") == "N2", F.col("_proses")).when(F.col("class") == "N3", F.col("_steps")).when(F.col("class") == "N4", F.col("_table_header") & F.col("_table_row")).when(F.col("class") == "N5", F.col("_image") & F.col("_caption"))
+    return g.select("book", "class", F.coalesce(ok, F.lit(False)).alias("roles_ok"), "windows_ok")
 
 
 def source_language_kept(output: Column, evidence: Column) -> Column:

@@ -68,3 +68,22 @@ def test_sentence_units_of_paired_marks(spark, tmp_path):
     assert got == want
     whole = {r.doc_id: r.n for r in G.sentences(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     assert whole == {i: n for i, n in got if n}
+
+
+def test_layout_verdict_counts_in_one_pass(spark):
+    """The same verdicts as by sets of roles, lines and windows, without a row for each of them."""
+    r = random.Random(5)
+    classes, roles = ["N1", "N2", "N3", "N4", "N5", "N6"], ["heading", "prose", "step", "rule", "table_header", "table_row", "image", "caption", "image_reference", None]
+    ev = [(b, r.choice(classes), r.randrange(3), r.choice(["a", "x", " "]), r.choice(roles)) for b in range(150) for _ in range(r.randrange(1, 6))]
+    at = [(b, r.choice([1, 2, None]), k, r.choice(["a b", "x a"])) for b in range(150) for k in range(3) for _ in range(r.randrange(1, 3))]
+    want = {}
+    for b, c, line, q, role in ev:
+        for b2, w, k, text in at:
+            if (b, line) == (b2, k) and q in text and q.strip():
+                want.setdefault((b, c), []).append((role, line, w))
+    need = {"N1": lambda h, p, s: {"heading", "prose"} <= h, "N2": lambda h, p, s: len(p) >= 2, "N3": lambda h, p, s: len(s) >= 2, "N4": lambda h, p, s: {"table_header", "table_row"} <= h, "N5": lambda h, p, s: "image" in h and bool(h & {"caption", "image_reference"}), "N6": lambda h, p, s: False}
+    want = {(b, c, need[c]({x for x, _, _ in v}, {k for x, k, _ in v if x == "prose"}, {k for x, k, _ in v if x in ("step", "rule")}), len({w for _, _, w in v if w is not None}) >= 2) for (b, c), v in want.items()}
+    out = E.layout_verdict(spark.createDataFrame(ev, "book int, class string, line_id int, quote string, role string"), spark.createDataFrame(at, "book int, window int, line_id int, text string"))
+    assert {tuple(x) for x in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "collect_set" not in plan
