@@ -123,21 +123,31 @@ def metadata_gate(year: Column, file_detail: Column, file_format: Column, langua
 def book_track(title: Column, terms: dict[str, list[str]], masks: list[str], review_terms: list[str]) -> Column:
     """struct<track, decision, kind, evidence>: reference titles by terms (kind -> terms, in order), hits that only stand
     in a masked phrase being false."""
-    t = F.lower(F.trim(T.blank(title)))
     flat = [(k, term) for k, ts in terms.items() for term in ts]
     pat = lambda term: (rf"\b{term}\b" if term.isascii() else term)
-    hits = lambda x: F.array_compact(F.array(*[F.when(x.rlike(pat(term)), F.struct(F.lit(k).alias("kind"), F.lit(term).alias("term"))) for k, term in flat]))
-    masked = t
-    for m in masks:
-        masked = F.regexp_replace(masked, m, "")
-    raw, real = hits(t), hits(masked)
-    review = F.lit(False)
-    for term in review_terms:
-        review |= F.contains(t, F.lit(term))
-    decision = F.when(F.size(raw) == 0, "no_hit").when(F.size(real) == 0, "false_positive").when(review, "review").otherwise("strict_keep")
-    none = decision.isin("no_hit", "false_positive")
-    shown = F.when(F.size(real) == 0, raw).otherwise(real)
-    return F.struct(F.when(none, "other").otherwise("reference").alias("track"), decision.alias("decision"), F.when(none, "").otherwise(F.get(real, F.lit(0))["kind"]).alias("kind"), F.array_distinct(F.transform(shown, lambda h: h["term"])).alias("evidence"))
+    # a plain search tells most titles off; only where it finds a term its pattern is looked for
+    hits = lambda x: F.array_compact(F.array(*[F.when((F.contains(x, F.lit(term)) if term.isalnum() else F.lit(True)) & x.rlike(pat(term)), F.struct(F.lit(k).alias("kind"), F.lit(term).alias("term"))) for k, term in flat]))
+
+    def masked(t: Column) -> Column:
+        for m in masks:
+            t = F.regexp_replace(t, m, "")
+        return t
+
+    def judged(h: Column) -> Column:
+        raw, real = h["raw"], h["real"]
+        decision = F.when(F.size(raw) == 0, "no_hit").when(F.size(real) == 0, "false_positive").when(h["review"], "review").otherwise("strict_keep")
+        none = F.size(real) == 0
+        shown = F.when(none, raw).otherwise(real)
+        return F.struct(F.when(none, "other").otherwise("reference").alias("track"), decision.alias("decision"), F.when(none, "").otherwise(F.get(real, F.lit(0))["kind"]).alias("kind"), F.array_distinct(F.transform(shown, lambda x: x["term"])).alias("evidence"))
+
+    def found(t: Column) -> Column:
+        raw = hits(t)
+        review = F.lit(False)
+        for term in review_terms:
+            review |= F.contains(t, F.lit(term))
+        return T.let(raw, lambda raw: F.struct(raw.alias("raw"), F.when(F.size(raw) == 0, raw).otherwise(T.let(masked(t), hits)).alias("real"), ((F.size(raw) > 0) & review).alias("review")))
+
+    return T.let(T.let(F.lower(F.trim(T.blank(title))), found), judged)
 
 
 def important_book(genre: Column, category: Column, usage: Column, audience: Column, priority: list[str], review: list[str]) -> Column:
