@@ -199,20 +199,18 @@ def term_hits(c: Column, terms: list[str]) -> Column:
     return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
 
 
-def cap_repeats(c: Column, least: int = 8) -> Column:
-    """Runs of one character and long base64 shortened to a marker that keeps the run's length."""
-    import re
-
-    def run(s: pd.Series) -> pd.Series:
-        again = re.compile(r"([^\s\d])\1{%d,}" % (least - 1))
-        b64 = re.compile(r"[A-Za-z0-9+/]{200,}={0,2}")
+def _each_replaced(c: Column, pattern: str, new: Callable[[Column], Column]) -> Column:
+    """Every match of a pattern (none empty) as ``new`` of it."""
+    def put(t: Column) -> Column:
+        between, found = F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+        return F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size(found)), found, lambda x, m: F.concat(x, new(m))), ""), F.element_at(between, -1))
 
-        def one(v):
-            if v is None:
-                return None
-            v = b64.sub(lambda m: f"[base64:{len(m.group())}]", v)
-            return again.sub(lambda m: f"{m.group(1)}[x{len(m.group())}]", v)
+    return let(c, lambda t: F.when(t.rlike(pattern), put(t)).otherwise(t))
 
-        return s.map(one)
 
-    return F.pandas_udf(run, "string")(c)
+def cap_repeats(c: Column, least: int = 8) -> Column:
+    """Runs of one character and long base64 shortened to a marker that keeps the run's length."""
+    n = lambda m: F.length(m).cast("string")
+    t = _each_replaced(c, r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{200,}+={0,2}", lambda m: F.concat(F.lit("[base64:"), n(m), F.lit("]")))
+    plain = lambda m: F.substring(m, 1, 1).rlike(r"(?U)[\s\d\x1c-\x1f]")
+    return _each_replaced(t, r"(?s)(.)\1{%d,}+" % (least - 1), lambda m: F.when(plain(m), m).otherwise(F.concat(F.substring(m, 1, 1), F.lit("[x"), n(m), F.lit("]"))))

@@ -1,11 +1,14 @@
 """Queries on odd tables against their SQL, and operators on what larger tables hold."""
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from loomwright.functions import text as T
 from loomwright.operators import evidence as E
+from loomwright.operators import rules as R
 from loomwright.operators import segment as G
 
 
@@ -87,3 +90,24 @@ def test_layout_verdict_counts_in_one_pass(spark):
     assert {tuple(x) for x in out.collect()} == want
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan and "collect_set" not in plan
+
+
+def test_book_track_looks_once(spark):
+    """Each term's pattern stands in the plan once for the title and once for the masked one, each mask once."""
+    title = ["Dictionary of x", "dictionary learning", "a (b) dictionary learning glossary stories", "图典型", "图典型 词典", "dictionaryx", None, " "]
+    df = spark.createDataFrame([(t,) for t in title], "t string").select(R.book_track(F.col("t"), {"d": ["词典", "dictionary", "图典"], "g": ["glossary", r"\(b\)"]}, ["图典型", r"\bdictionary\s+learning\b"], ["stories"]).alias("v"))
+    got = [(r.v.track, r.v.decision, r.v.kind, r.v.evidence) for r in df.collect()]
+    assert got == [("reference", "strict_keep", "d", ["dictionary"]), ("other", "false_positive", "", ["dictionary"]), ("reference", "review", "g", ["glossary"]), ("other", "false_positive", "", ["图典"]), ("reference", "strict_keep", "d", ["词典"]), ("other", "no_hit", "", []), ("other", "no_hit", "", []), ("other", "no_hit", "", [])]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("learning") == 1 and plan.count("bglossary") == 2
+
+
+def test_cap_repeats_stays_in_the_jvm(spark):
+    r = random.Random(7)
+    parts = ["a", "é" * 9, "=" * 8, "x" * 7, "🙂" * 10, "٣" * 9, "\x1c" * 9, "　" * 9, "7" * 12, "Qz+" * 70, "ab/" * 66, "==", "=", "\n", " ", "b" * 300, "\\" * 9, "$" * 8, "中"]
+    rows = [(k, "".join(r.choices(parts, k=r.randrange(0, 9)))) for k in range(400)] + [(400, None), (401, "")]
+    again, b64 = re.compile(r"([^\s\d])\1{7,}"), re.compile(r"[A-Za-z0-9+/]{200,}={0,2}")
+    want = {k: None if t is None else again.sub(lambda m: f"{m.group(1)}[x{len(m.group())}]", b64.sub(lambda m: f"[base64:{len(m.group())}]", t)) for k, t in rows}
+    df = spark.createDataFrame(rows, "k int, t string").select("k", T.cap_repeats(F.col("t")).alias("u"))
+    assert {x.k: x.u for x in df.collect()} == want
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
